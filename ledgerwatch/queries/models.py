@@ -1,0 +1,329 @@
+"""Preparation, training, scoring, explanations and streams."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ledgerwatch.functions.risk import RISK_SCORE
+from ledgerwatch.operators import gates
+from ledgerwatch.operators.metrics import f1
+from ledgerwatch.operators.sampling import hash_sample, hash_top_n, split_name
+from ledgerwatch.plans import attribution, features, layers, learning
+from ledgerwatch.plans.oracles import over
+from ledgerwatch.plans.registry import query
+from ledgerwatch.sources.binding import Bank
+from ledgerwatch.sources.readers import convert
+from ledgerwatch.sources.tables import scratch, staged
+from ledgerwatch.streaming.flows import score_requests
+from ledgerwatch.streaming.ingest import StreamTable, append_stream, raw_stream, read_table, run_to_end, table_stream
+
+STARTED_AT = dt.datetime(2024, 1, 1)
+NOT_INPUTS = ("transaction_id", "event_ts", "is_fraud", "split")
+
+# One setting per family, moderate in size.
+LOGISTIC = learning.Trial(0, "logistic", {"C": 0.5, "tol": 1e-5})
+BOOSTED = learning.Trial(1, "gbt", {"trees": 10, "depth": 4, "rate": 0.2, "bins": 32})
+
+# A narrower space than the default one, for a search that is part of a regular run.
+QUICK_SPACE = {
+    "logistic": learning.SPACE["logistic"],
+    "gbt": {"trees": ("logint", 5, 10), "depth": ("int", 3, 4), "rate": ("uniform", 1e-2, 0.9), "bins": ("int", 8, 64)},
+    "forest": {"trees": ("logint", 5, 20), "depth": ("int", 3, 6), "bins": ("int", 8, 64)},
+}
+
+
+def _known_balances(bank: Bank) -> DataFrame:
+    """Balances that are not positive count as unknown."""
+    return bank.gold.select(
+        "id", *[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in ("oldBalanceOrig", "newBalanceOrig", "oldBalanceDest")]
+    )
+
+
+_BALANCES = """known AS (SELECT id, CASE WHEN oldBalanceOrig > 0 THEN oldBalanceOrig END AS oldBalanceOrig,
+  CASE WHEN newBalanceOrig > 0 THEN newBalanceOrig END AS newBalanceOrig,
+  CASE WHEN oldBalanceDest > 0 THEN oldBalanceDest END AS oldBalanceDest FROM gold_transactions)"""
+_BALANCE_COLUMNS = ("oldBalanceOrig", "newBalanceOrig", "oldBalanceDest")
+
+
+def _rounded(df: DataFrame, columns, digits: int) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+@query(
+    over(
+        "gold_transactions",
+        ctes=_BALANCES,
+        select=f"""SELECT id, {", ".join(f"round(coalesce({c}, avg({c}) OVER ()), 3) AS {c}" for c in _BALANCE_COLUMNS)}
+                   FROM known""",
+    )
+)
+def imputed(bank: Bank) -> DataFrame:
+    return _rounded(learning.impute_mean(_known_balances(bank), _BALANCE_COLUMNS), _BALANCE_COLUMNS, 3)
+
+
+@query(
+    over(
+        "gold_transactions",
+        ctes=_BALANCES,
+        select=f"""SELECT id, {", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in _BALANCE_COLUMNS)}
+                   FROM known""",
+    )
+)
+def standardized(bank: Bank) -> DataFrame:
+    return _rounded(learning.standardize(_known_balances(bank), _BALANCE_COLUMNS), _BALANCE_COLUMNS, 6)
+
+
+_ENCODED = ("type", "country", "countryDest_name")
+
+
+@query(
+    over(
+        "fraud_features",
+        "fraud_labels",
+        ctes="seen AS (SELECT f.* FROM fraud_features f JOIN fraud_labels l USING (transaction_id) WHERE split = 'train')",
+        select=" UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, CASE WHEN {c} IN (SELECT {c} FROM seen) THEN {c} ELSE '(unseen)' END
+                AS category, count(*) AS n FROM fraud_features GROUP BY 2"""
+            for c in _ENCODED
+        ),
+    )
+)
+def onehot_counts(bank: Bank) -> DataFrame:
+    rows = features.with_features(bank.gold).withColumn("split", split_name(F.col("transaction_id")))
+    model = learning.preparation(rows.where("split = 'train'"), _ENCODED, ["amount"])
+    return learning.onehot_totals(model, rows, _ENCODED)
+
+
+def _training(bank: Bank) -> DataFrame:
+    """The training set as a table: preparation, fit and scoring each read it."""
+    return staged(features.training_set(features.label_table(bank.gold), bank.features), "training")
+
+
+def _train_rows(training: DataFrame) -> DataFrame:
+    return training.where("split = 'train'")
+
+
+def _scored_by(bank: Bank, trial: learning.Trial) -> DataFrame:
+    training = _training(bank)
+    categorical, numeric = learning.model_columns(training, NOT_INPUTS)
+    model = learning.fit(_train_rows(training), trial, categorical, numeric)
+    return learning.score(model, training, ["transaction_id", "is_fraud", "split"])
+
+
+@query()
+def score_logistic(bank: Bank) -> DataFrame:
+    return _scored_by(bank, LOGISTIC)
+
+
+@query()
+def score_gbt(bank: Bank) -> DataFrame:
+    return _scored_by(bank, BOOSTED)
+
+
+@query()
+def model_report(bank: Bank) -> DataFrame:
+    """Train and test metrics of the refitted model."""
+    training = _training(bank)
+    categorical, numeric = learning.model_columns(training, NOT_INPUTS)
+    model = learning.fit(_train_rows(training), LOGISTIC, categorical, numeric)
+    return learning.evaluate(model, training)
+
+
+@query()
+def hpo_trials(bank: Bank) -> DataFrame:
+    training = _training(bank)
+    categorical, numeric = learning.model_columns(training, NOT_INPUTS)
+    trials = learning.draw_trials(space=QUICK_SPACE)
+    return learning.search(_train_rows(training), trials, categorical, numeric, STARTED_AT)
+
+
+CUTOFFS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
+
+
+def _cutoff_trials(scored: DataFrame, started: str) -> DataFrame:
+    """The rule at several cutoffs as a trial log: test F1 of each, from one aggregate."""
+    test = scored.where(split_name(F.col("transaction_id")) == "test")
+    positive = F.col("label") == 1
+
+    def score(cutoff: float) -> Column:
+        chosen = features.rule_prediction(F.col("risk_score"), cutoff) == 1
+        return f1(F.count_if(chosen & positive), F.count_if(chosen & ~positive), F.count_if(~chosen & positive))
+
+    scores = test.agg(*[score(c).alias(f"c{i}") for i, c in enumerate(CUTOFFS)])
+    first = F.lit(started).cast("timestamp_ntz")
+    rows = [
+        F.struct(
+            F.lit(f"cutoff-{c}").alias("run_id"),
+            F.col(f"c{i}").alias("test_f1"),
+            F.lit("FINISHED").alias("state"),
+            F.timestamp_add("MINUTE", F.lit(i), first).alias("started_at"),
+        )
+        for i, c in enumerate(CUTOFFS)
+    ]
+    return scores.select(F.inline(F.array(*rows)))
+
+
+_CUTOFF_SQL = " UNION ALL ".join(
+    f"""SELECT 'cutoff-{c}' AS run_id, CAST(2 * tp{i} AS DOUBLE) / nullif(2 * tp{i} + fp{i} + fn{i}, 0) AS test_f1,
+        'FINISHED' AS state, TIMESTAMP '2024-01-01' + INTERVAL {i} MINUTE AS started_at FROM counted"""
+    for i, c in enumerate(CUTOFFS)
+)
+_CUTOFF_COUNTS = ", ".join(
+    f"""count(*) FILTER (WHERE risk_score >= CAST({c} AS FLOAT) AND label = 1) AS tp{i},
+        count(*) FILTER (WHERE risk_score >= CAST({c} AS FLOAT) AND label = 0) AS fp{i},
+        count(*) FILTER (WHERE risk_score < CAST({c} AS FLOAT) AND label = 1) AS fn{i}"""
+    for i, c in enumerate(CUTOFFS)
+)
+
+
+@query(
+    over(
+        "fraud_scored",
+        "fraud_labels",
+        ctes=f"""counted AS (SELECT {_CUTOFF_COUNTS} FROM fraud_scored JOIN fraud_labels USING (transaction_id)
+                 WHERE split = 'test'), trials AS ({_CUTOFF_SQL})""",
+        select="SELECT * FROM trials ORDER BY test_f1 DESC NULLS LAST, started_at DESC, run_id LIMIT 1",
+    )
+)
+def best_trial(bank: Bank) -> DataFrame:
+    return gates.best_trial(_cutoff_trials(bank.scored, "2024-01-01 00:00:00"))
+
+
+WEIGHTS = {"amount": 4e-6, "balance_orig_ratio": 0.05, "is_cross_border": 0.7, "is_full_transfer": 1.1}
+
+_ATTRIBUTED = "attributed AS (" + " UNION ALL ".join(
+    f"""SELECT transaction_id, '{c}' AS feature, CAST({w} AS DOUBLE) * ({c} - avg({c}) OVER ()) AS value
+        FROM fraud_features"""
+    for c, w in WEIGHTS.items()
+) + ")"
+
+
+def _attributed(bank: Bank) -> DataFrame:
+    return attribution.linear_attribution(features.with_features(bank.gold), "transaction_id", WEIGHTS)
+
+
+@query(
+    over(
+        "fraud_features",
+        ctes=_ATTRIBUTED,
+        select="SELECT transaction_id, feature, round(value, 6) AS value FROM attributed",
+    )
+)
+def linear_attribution(bank: Bank) -> DataFrame:
+    return _rounded(_attributed(bank), ["value"], 6)
+
+
+@query(
+    over(
+        "fraud_features",
+        ctes=_ATTRIBUTED,
+        select="""SELECT feature, round(avg(abs(value)), 6) AS mean_abs_attribution FROM attributed
+                  GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
+    )
+)
+def global_importance(bank: Bank) -> DataFrame:
+    return _rounded(attribution.global_importance(_attributed(bank)), ["mean_abs_attribution"], 6)
+
+
+@query(
+    over(
+        "fraud_features",
+        ctes=_ATTRIBUTED,
+        select="SELECT transaction_id, "
+        + ", ".join(f"round(max(value) FILTER (WHERE feature = '{c}'), 6) AS {c}" for c in WEIGHTS)
+        + " FROM attributed GROUP BY 1",
+    )
+)
+def row_explanations(bank: Bank) -> DataFrame:
+    wide = attribution.row_explanations(_attributed(bank), "transaction_id", list(WEIGHTS))
+    return _rounded(wide, list(WEIGHTS), 6)
+
+
+EXPLAINED = ["amount", "balance_orig_ratio", "is_full_transfer", "is_cross_border", "type", "country"]
+
+
+@query()
+def tree_attribution(bank: Bank) -> DataFrame:
+    """Sampled explanations of a boosted model on the explanation sample of the test rows."""
+    training = staged(
+        features.with_features(bank.gold, keep=["is_fraud"]).withColumns(
+            {"is_fraud": F.col("is_fraud").cast("int"), "split": split_name(F.col("transaction_id"))}
+        ),
+        "explained",
+    )
+    train = _train_rows(training)
+    categorical = ["type", "country"]
+    numeric = [c for c in EXPLAINED if c not in categorical]
+    model = learning.fit(train, BOOSTED, categorical, numeric)
+    sample = hash_sample(training.where("split = 'test'"), "transaction_id", 5)
+    explained = hash_top_n(sample, "transaction_id", attribution.EXPLAINED_ROWS)
+    return attribution.sampled_attribution(
+        explained,
+        train,
+        "transaction_id",
+        EXPLAINED,
+        lambda rows: learning.score(model, rows),
+        permutations=4,
+    )
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def ingest_events(bank: Bank) -> DataFrame:
+    """Events written as JSON files and taken in one file per batch."""
+    folder = scratch(bank.spark, "ingest")
+    convert(bank.spark, f"{bank.folder}/events.parquet", "json", f"{folder}/raw", files=4)
+    table = StreamTable(f"{folder}/events")
+    run_to_end(append_stream(raw_stream(bank.spark, f"{folder}/raw", "json", max_files=1), table))
+    # JSON has no times: they arrive as text.
+    return read_table(bank.spark, table).select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props"
+    )
+
+
+@query(
+    over(
+        "bronze_transactions",
+        "fraud_reports",
+        select="""SELECT t.id, t.amount, newBalanceDest - oldBalanceDest AS "diffDest", is_fraud,
+                  replace(t.countryOrig, '--', '') AS "countryOrig"
+                  FROM bronze_transactions t LEFT JOIN fraud_reports f ON t.id = f.id""",
+    )
+)
+def stream_silver(bank: Bank) -> DataFrame:
+    """Silver built by a chain of streams: transactions appended to a table, cleaned and labelled from there."""
+    folder = scratch(bank.spark, "silver")
+    bronze, silver = StreamTable(f"{folder}/bronze"), StreamTable(f"{folder}/silver")
+    bank.transactions.write.parquet(bronze.data)
+    reports = bank.reports
+    run_to_end(append_stream(layers.silver(table_stream(bank.spark, bronze), reports), silver))
+    return read_table(bank.spark, silver).select("id", "amount", "diffDest", "is_fraud", "countryOrig")
+
+
+@query(
+    over(
+        "fraud_scored",
+        select="""SELECT CAST(o_orderkey AS STRING) AS transaction_id, s.risk_score, s.prediction
+                  FROM orders LEFT JOIN fraud_scored s ON s.transaction_id = CAST(o_orderkey AS STRING)""",
+    )
+)
+def stream_scores(bank: Bank) -> DataFrame:
+    """A stream of order ids scored against the feature snapshot; ids without features keep null scores."""
+    spark = bank.spark
+    orders = spark.readStream.schema(bank.table("orders").schema).option("pathGlobFilter", "orders.parquet")
+    requests = orders.parquet(bank.folder).select(F.col("o_orderkey").cast("string").alias("transaction_id"))
+
+    def score(rows: DataFrame) -> DataFrame:
+        scored = RISK_SCORE.add_to(rows)
+        known = F.col("amount").isNotNull()
+        return scored.select(
+            "transaction_id",
+            F.when(known, F.col("risk_score")).alias("risk_score"),
+            F.when(known, features.rule_prediction(F.col("risk_score"))).alias("prediction"),
+        )
+
+    table = StreamTable(f"{scratch(spark, 'scores')}/scores")
+    run_to_end(append_stream(score_requests(requests, features.with_features(bank.gold), score), table))
+    return read_table(spark, table)
