@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import ratio
 from ledgerwatch.operators.skew import running_totals
+from ledgerwatch.sources.tables import staged
 
 # Fixed value: loss booked for one missed positive.
 MISSED_FRAUD = -200_000
@@ -90,24 +91,34 @@ def rates(counts: DataFrame) -> DataFrame:
     )
 
 
-def curve_areas(df: DataFrame, score: str, label: str = "label", by: Sequence[str] = ()) -> DataFrame:
-    """Exact ROC AUC (ties count half) and PR AUC (trapezoids, starting at precision 1).
-
-    Rows are first counted per distinct score; the running counts over the scores are made by ranges.
-    """
+def score_points(
+    df: DataFrame, score: str, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    """Labelled rows counted per distinct score and prediction: all a report needs, from one pass."""
     y = F.col(label).cast("int")
-    points = (
-        df.where(y.isNotNull() & F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).alias("__score"))
+    keys = [F.col(score).cast("double").alias("score"), F.col(prediction).cast("int").alias("prediction")]
+    return (
+        df.where(y.isNotNull())
+        .groupBy(*by, *keys)
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
-    walked = running_totals(points, "__score", ["pos", "neg"], by, descending=True)
+
+
+def curve_areas(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Exact ROC AUC (ties count half) and PR AUC (trapezoids, starting at precision 1) from `score_points`.
+
+    The running counts over the scores are made by ranges of scores, not in one task.
+    """
+    per_score = points.where("score IS NOT NULL").groupBy(*by, "score")
+    steps = per_score.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    walked = running_totals(steps, "score", ["pos", "neg"], by, descending=True)
     tp, fp = F.col("pos_before"), F.col("neg_before")
     pos, neg = F.col("pos"), F.col("neg")
     precision_before = F.coalesce(ratio(tp, tp + fp), F.lit(1.0))
     precision_after = ratio(tp + pos, tp + pos + fp + neg)
     areas = walked.groupBy(*by).agg(
-        F.sum(neg * (tp * 2 + pos)).alias("__wins"),
+        # As double: pairs of rows outgrow a 64-bit count.
+        F.sum(neg.cast("double") * (tp * 2 + pos)).alias("__wins"),
         F.sum(pos * (precision_before + precision_after)).alias("__area"),
         F.sum(pos).alias("__pos"),
         F.sum(neg).alias("__neg"),
@@ -119,19 +130,33 @@ def curve_areas(df: DataFrame, score: str, label: str = "label", by: Sequence[st
     )
 
 
-def log_loss(score: str, label: str = "label", floor: float = 1e-15) -> Column:
-    """Mean negative log likelihood, probabilities clipped to [floor, 1 - floor]."""
-    p = F.least(F.greatest(F.col(score).cast("double"), F.lit(floor)), F.lit(1 - floor))
-    return F.avg(F.when(F.col(label).cast("int") == 1, -F.ln(p)).otherwise(-F.ln(F.lit(1.0) - p)))
-
-
 def classification_report(
-    df: DataFrame, score: str, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction"
+    df: DataFrame,
+    score: str,
+    by: Sequence[str] = (),
+    label: str = "label",
+    prediction: str = "prediction",
+    floor: float = 1e-15,
 ) -> DataFrame:
-    """Counts, rates, log loss and both curve areas, per group of `by`."""
-    counts = [c.alias(n) for n, c in confusion_counts(label, prediction).items()]
-    summary = rates(df.groupBy(*by).agg(*counts, log_loss(score, label).alias("log_loss")))
-    areas = curve_areas(df, score, label, by)
+    """Counts, rates, log loss (probabilities clipped to [floor, 1 - floor]) and both curve areas per group.
+
+    The rows are read once into counts per score, which are written out; the rest works on those.
+    """
+    points = staged(score_points(df, score, by, label, prediction), "scores")
+    pos, neg, chosen = F.col("pos"), F.col("neg"), F.col("prediction") == 1
+    p = F.least(F.greatest(F.col("score"), F.lit(floor)), F.lit(1 - floor))
+    counts = {
+        "tn": F.when(~chosen, neg),
+        "fp": F.when(chosen, neg),
+        "fn": F.when(~chosen, pos),
+        "tp": F.when(chosen, pos),
+    }
+    known = F.when(F.col("score").isNotNull(), pos + neg)
+    summary = points.groupBy(*by).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in counts.items()],
+        ratio(F.sum(-(pos * F.ln(p) + neg * F.ln(F.lit(1.0) - p))), F.sum(known)).alias("log_loss"),
+    )
+    areas = curve_areas(points, by)
     if not by:
         summary, areas = summary.withColumn("__one", F.lit(1)), areas.withColumn("__one", F.lit(1))
-    return summary.join(areas, list(by) or ["__one"], "left").drop("__one")
+    return rates(summary).join(areas, list(by) or ["__one"], "left").drop("__one")

@@ -50,7 +50,7 @@ def running_totals(
     values: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    parts: int = 256,
+    parts: int = 1024,
 ) -> DataFrame:
     """For each row the sum of `values` over the rows before it, as `<value>_before`.
 

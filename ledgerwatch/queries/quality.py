@@ -12,6 +12,7 @@ from ledgerwatch.operators.sampling import split_name
 from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
 from ledgerwatch.sources.binding import Bank
+from ledgerwatch.sources.tables import staged
 
 DECIDED_AT = "2024-01-01 12:00:00"
 
@@ -230,21 +231,27 @@ profile AS (
     CAST(tp AS DOUBLE) / nullif(tp + fn, 0) AS fraud_catch_rate, CAST(fp AS DOUBLE) / nullif(fp + tn, 0) AS false_alarm_rate,
     loss AS expected_fraud_loss, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max,
     CAST(NULL AS DOUBLE) AS stddev FROM quality
-  {" ".join(f"UNION ALL SELECT window_start, model_version, slice_key, slice_value, n, labelled, '{c}', c_{c}, n - c_{c}, NULL, NULL, NULL, NULL, round(avg_{c}, 4), min_{c}, max_{c}, round(sd_{c}, 4) FROM quality" for c in PROFILED)})"""
+  {" ".join(f"UNION ALL SELECT window_start, model_version, slice_key, slice_value, n, labelled, '{c}', c_{c}, n - c_{c}, NULL, NULL, NULL, NULL, round(avg_{c}, 5), min_{c}, max_{c}, round(sd_{c}, 4) FROM quality" for c in PROFILED)})"""
 
 
-def _profile(bank: Bank) -> DataFrame:
-    return monitor.profile_metrics(bank.scored, PROFILED, ts="event_ts")
+def _profile(log: DataFrame) -> DataFrame:
+    return monitor.profile_metrics(log, PROFILED, ts="event_ts")
+
+
+def _log(bank: Bank) -> DataFrame:
+    """The inference log as a table: drift reads it for the bins and again for the histograms."""
+    columns = {*PROFILED, *monitor.DRIFT_COLUMNS, "event_ts", "model_version"}
+    return staged(bank.scored.select(*sorted(columns)), "log")
 
 
 @query(over("fraud_scored", ctes=_PROFILE, select="SELECT * FROM profile"))
 def profile_metrics(bank: Bank) -> DataFrame:
-    return _profile(bank).select(
+    return _profile(bank.scored).select(
         F.col("window.start").alias("window_start"),
         "model_version", "slice_key", "slice_value", "n", "labelled", "column_name", "count", "num_nulls",
         F.col("f1_score.macro").alias("f1_macro"),
         "fraud_catch_rate", "false_alarm_rate", "expected_fraud_loss",
-        F.round("mean", 4).alias("mean"), "min", "max", F.round("stddev", 4).alias("stddev"),
+        F.round("mean", 5).alias("mean"), "min", "max", F.round("stddev", 4).alias("stddev"),
     )
 
 
@@ -255,7 +262,7 @@ _RECENT_PROFILE = """recent_profile AS (
 
 @query(over("fraud_scored", ctes=f"{_PROFILE}, {_RECENT_PROFILE}", select="SELECT * FROM recent_profile"))
 def recent_profile(bank: Bank) -> DataFrame:
-    return monitor.recent_profile(_profile(bank))
+    return monitor.recent_profile(_profile(bank.scored))
 
 
 _CELLS = f"""
@@ -308,7 +315,7 @@ def _drift_rows(drift: DataFrame) -> DataFrame:
     )
 )
 def drift_consecutive(bank: Bank) -> DataFrame:
-    return _drift_rows(monitor.drift_consecutive(bank.scored, ts="event_ts"))
+    return _drift_rows(monitor.drift_consecutive(_log(bank), ts="event_ts"))
 
 
 @query(
@@ -328,7 +335,8 @@ aligned AS (SELECT window_start, model_version, column_name, bin, sum(p) AS p, s
     )
 )
 def drift_baseline(bank: Bank) -> DataFrame:
-    return _drift_rows(monitor.drift_baseline(bank.scored, bank.scored, ts="event_ts"))
+    log = _log(bank)
+    return _drift_rows(monitor.drift_baseline(log, log, ts="event_ts"))
 
 
 _RECENT_DRIFT = """recent_drift AS (
@@ -336,13 +344,13 @@ _RECENT_DRIFT = """recent_drift AS (
   ORDER BY window_start DESC, model_version, column_name LIMIT 50)"""
 
 
-def _recent_drift(bank: Bank) -> DataFrame:
-    return monitor.recent_drift(monitor.drift_consecutive(bank.scored, ts="event_ts"))
+def _recent_drift(log: DataFrame) -> DataFrame:
+    return monitor.recent_drift(monitor.drift_consecutive(log, ts="event_ts"))
 
 
 @query(over("fraud_scored", ctes=f"{_DRIFT}, {_RECENT_DRIFT}", select="SELECT * FROM recent_drift"))
 def recent_drift(bank: Bank) -> DataFrame:
-    return _recent_drift(bank).withColumn("drift_metric", F.round("drift_metric", 7))
+    return _recent_drift(_log(bank)).withColumn("drift_metric", F.round("drift_metric", 7))
 
 
 _VIOLATIONS = f"""{_PROFILE}, {_RECENT_PROFILE}, {_DRIFT}, {_RECENT_DRIFT},
@@ -360,7 +368,8 @@ counted AS (SELECT
     )
 )
 def violations(bank: Bank) -> DataFrame:
-    return monitor.violations(monitor.recent_profile(_profile(bank)), _recent_drift(bank))
+    log = _log(bank)
+    return monitor.violations(monitor.recent_profile(_profile(log)), _recent_drift(log))
 
 
 @query(
@@ -372,7 +381,8 @@ def violations(bank: Bank) -> DataFrame:
     )
 )
 def retrain_decision(bank: Bank) -> DataFrame:
-    return monitor.retrain_decision(monitor.recent_profile(_profile(bank)), _recent_drift(bank))
+    log = _log(bank)
+    return monitor.retrain_decision(monitor.recent_profile(_profile(log)), _recent_drift(log))
 
 
 @query(
