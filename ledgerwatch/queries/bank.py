@@ -39,7 +39,7 @@ def gold_transactions(bank: Bank) -> DataFrame:
     )
 )
 def fraud_by_hour(bank: Bank) -> DataFrame:
-    return analytics.fraud_by_hour(bank.gold, ANCHOR)
+    return analytics.fraud_by_hour(bank.stored_gold("step", "is_fraud", "amount"), ANCHOR)
 
 
 _ROUTES = """routes AS (
@@ -88,12 +88,12 @@ def _top_account_sql(account: str) -> str:
 
 @query(_top_account_sql("nameOrig"))
 def top_origin_account(bank: Bank) -> DataFrame:
-    return analytics.top_origin_account(bank.gold)
+    return analytics.top_origin_account(bank.stored_gold("step", "is_fraud", "nameOrig"))
 
 
 @query(_top_account_sql("nameDest"))
 def top_dest_account(bank: Bank) -> DataFrame:
-    return analytics.top_dest_account(bank.gold)
+    return analytics.top_dest_account(bank.stored_gold("step", "is_fraud", "nameDest"))
 
 
 _AMOUNTS = """amounts AS (
@@ -121,7 +121,7 @@ def fraud_amount_by_dest(bank: Bank) -> DataFrame:
 
 @query(over("gold_transactions", ctes=RECENT, select="SELECT count(*) AS transactions FROM recent"))
 def fraud_count(bank: Bank) -> DataFrame:
-    return analytics.fraud_count(bank.gold)
+    return analytics.fraud_count(bank.stored_gold("step", "is_fraud"))
 
 
 @query(

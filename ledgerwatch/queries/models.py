@@ -37,9 +37,8 @@ QUICK_SPACE = {
 
 def _known_balances(bank: Bank) -> DataFrame:
     """Balances that are not positive count as unknown."""
-    return bank.gold.select(
-        "id", *[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in ("oldBalanceOrig", "newBalanceOrig", "oldBalanceDest")]
-    )
+    gold = bank.stored_gold("id", *_BALANCE_COLUMNS)
+    return gold.select("id", *[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in _BALANCE_COLUMNS])
 
 
 _BALANCES = """known AS (SELECT id, CASE WHEN oldBalanceOrig > 0 THEN oldBalanceOrig END AS oldBalanceOrig,
@@ -92,14 +91,16 @@ _ENCODED = ("type", "country", "countryDest_name")
     )
 )
 def onehot_counts(bank: Bank) -> DataFrame:
-    rows = features.with_features(bank.gold).withColumn("split", split_name(F.col("transaction_id")))
+    rows = features.with_features(bank.gold).select("transaction_id", "amount", *_ENCODED)
+    rows = staged(rows.withColumn("split", split_name(F.col("transaction_id"))), "encoded")
     model = learning.preparation(rows.where("split = 'train'"), _ENCODED, ["amount"])
     return learning.onehot_totals(model, rows, _ENCODED)
 
 
 def _training(bank: Bank) -> DataFrame:
     """The training set as a table: preparation, fit and scoring each read it."""
-    return staged(features.training_set(features.label_table(bank.gold), bank.features), "training")
+    gold = bank.stored_gold()
+    return staged(features.training_set(features.label_table(gold), features.feature_table(gold)), "training")
 
 
 def _train_rows(training: DataFrame) -> DataFrame:
@@ -202,7 +203,8 @@ _ATTRIBUTED = "attributed AS (" + " UNION ALL ".join(
 
 
 def _attributed(bank: Bank) -> DataFrame:
-    return attribution.linear_attribution(features.with_features(bank.gold), "transaction_id", WEIGHTS)
+    rows = staged(features.with_features(bank.gold).select("transaction_id", *WEIGHTS), "features")
+    return attribution.linear_attribution(rows, "transaction_id", WEIGHTS)
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import protected_columns
+from ledgerwatch.functions.columns import PROTECTED_COLUMNS, protected_columns
 from ledgerwatch.operators import fairness, gates, metrics, monitor
 from ledgerwatch.operators.quality import AMOUNT_DECENT, CORRECT_CUSTOMER, CORRECT_DATA, Expectation, report
 from ledgerwatch.operators.sampling import split_name
@@ -406,19 +406,25 @@ flags AS (SELECT c.model_version, p.model_version AS champion_version, true AS h
 )
 def promotion_gate(bank: Bank) -> DataFrame:
     """Version 1 of the rule as champion, version 2 as challenger."""
-    scored = bank.scored.withColumn("model_name", F.lit("rule"))
+    log = staged(bank.scored.select("model_version", "label", "prediction", *PROTECTED_COLUMNS), "log")
     keys = ["model_name", "model_version"]
     counts = [c.alias(n) for n, c in metrics.confusion_counts().items()]
     unscored = F.count_if(F.col("prediction").isNull()).alias("unscored")
-    per_version = scored.groupBy(*keys).agg(*counts, F.count("prediction").alias("scored"), unscored)
-    measured = metrics.model_value(metrics.rates(per_version)).select(*keys, "f1", "value", "scored", "unscored")
-    passed = fairness.fairness_gate(_slices(bank)).select(
-        F.lit("rule").alias("model_name"), F.when(F.col("passes"), "Passed").otherwise("Failed").alias("fairness_check")
+    per_version = (
+        log.groupBy("model_version")
+        .agg(*counts, F.count("prediction").alias("scored"), unscored)
+        .withColumn("model_name", F.lit("rule"))
     )
+    # The model versions are a table of their own, one row each.
+    measured = staged(metrics.model_value(metrics.rates(per_version)), "versions")
+    gate = fairness.fairness_gate(fairness.subgroup_metrics(log, PROTECTED_COLUMNS))
+    passed = gate.select(F.when(F.col("passes"), "Passed").otherwise("Failed")).scalar()
     version = F.col("model_version")
     versions = measured.select(
         *keys,
         F.when(version == "1", gates.CHAMPION).otherwise(gates.CHALLENGER).alias("alias"),
         F.concat(F.lit("Risk score rule, version "), version).alias("description"),
-    ).join(passed, "model_name")
-    return gates.promotion_gate(versions, measured, F.lit(DECIDED_AT).cast("timestamp_ntz"))
+        passed.alias("fairness_check"),
+    )
+    performance = measured.select(*keys, "f1", "value", "scored", "unscored")
+    return gates.promotion_gate(versions, performance, F.lit(DECIDED_AT).cast("timestamp_ntz"))

@@ -13,6 +13,7 @@ from ledgerwatch.plans import features
 from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
 from ledgerwatch.sources.binding import Bank
+from ledgerwatch.sources.tables import staged
 
 KEYS = ["transaction_id", "event_ts"]
 SCORED_AT = "2024-01-01 12:00:00"
@@ -51,7 +52,8 @@ def label_split_counts(bank: Bank) -> DataFrame:
     )
 )
 def training_set(bank: Bank) -> DataFrame:
-    return features.training_set(features.label_table(bank.gold), bank.features)
+    gold = bank.stored_gold()
+    return features.training_set(features.label_table(gold), features.feature_table(gold))
 
 
 @query(
@@ -63,7 +65,8 @@ def training_set(bank: Bank) -> DataFrame:
     )
 )
 def inference_log(bank: Bank) -> DataFrame:
-    joined = features.training_set(features.label_table(bank.gold), bank.features)
+    gold = bank.stored_gold()
+    joined = features.training_set(features.label_table(gold), features.feature_table(gold))
     scored = joined.select(
         *KEYS,
         "is_fraud",
@@ -87,8 +90,9 @@ def inference_log(bank: Bank) -> DataFrame:
 )
 def inference_labelled(bank: Bank) -> DataFrame:
     # Only the training labels have arrived; the other rows keep a null label.
-    log = bank.scored.select(*KEYS, "prediction", "model_version")
-    return features.with_labels(log, features.label_table(bank.gold).where("split = 'train'"))
+    gold = bank.stored_gold()
+    log = features.rule_scored(gold).select(*KEYS, "prediction", "model_version")
+    return features.with_labels(log, features.label_table(gold).where("split = 'train'"))
 
 
 @query(
@@ -102,14 +106,15 @@ def inference_labelled(bank: Bank) -> DataFrame:
     )
 )
 def label_backfill(bank: Bank) -> DataFrame:
-    log = bank.scored.select(*KEYS, "prediction", F.lit(-1).alias("label"))
-    late = features.label_table(bank.gold).where("split = 'test'").withColumnRenamed("is_fraud", "label")
+    gold = bank.stored_gold()
+    log = features.rule_scored(gold).select(*KEYS, "prediction", F.lit(-1).alias("label"))
+    late = features.label_table(gold).where("split = 'test'").withColumnRenamed("is_fraud", "label")
     return keyed.update_from(log, late, KEYS, ["label"])
 
 
 def _target_and_source(bank: Bank) -> tuple[DataFrame, DataFrame]:
     """Features up to 2000 as stored, and those from 1999 on with an amount corrected by a fee."""
-    rows = bank.features.select(*KEYS, "amount", "type", "is_cross_border")
+    rows = staged(bank.features.select(*KEYS, "amount", "type", "is_cross_border"), "features")
     stored = rows.where(_before("2000-01-01"))
     newer = rows.where(~_before("1999-01-01")).withColumn(
         "amount", F.when(F.col("is_cross_border") > 0, F.col("amount") + 1).otherwise(F.col("amount"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.plans import features, layers
+from ledgerwatch.sources.tables import staged
 
 # Balances are account balances on the scale of the order totals.
 _SCALE = 50
@@ -97,6 +98,10 @@ class Bank:
     def gold(self) -> DataFrame:
         return layers.gold(self.silver, self.countries, self.customers)
 
+    def stored_gold(self, *columns: str) -> DataFrame:
+        """Gold, or the named columns of it, as a table: for queries that read it more than once."""
+        return staged(self.gold.select(*columns) if columns else self.gold, "gold")
+
     @cached_property
     def features(self) -> DataFrame:
         return features.feature_table(self.gold)
