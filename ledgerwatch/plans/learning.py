@@ -107,7 +107,6 @@ def preparation(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str
             OneHotEncoder(
                 inputCols=[f"{c}_index" for c in categorical],
                 outputCols=[f"{c}_onehot" for c in categorical],
-                handleInvalid="keep",
             ),
         ]
     inputs = [f"{c}_scaled" for c in numeric] + [f"{c}_onehot" for c in categorical]

@@ -1,0 +1,152 @@
+"""Cleaning, enrichment, features and splits at their edges."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerwatch.functions import columns
+from ledgerwatch.functions.risk import RISK_SCORE, register_risk_score, transaction_risk_score
+from ledgerwatch.operators.quality import DROP, FAIL, Expectation, ExpectationFailed, enforce, report
+from ledgerwatch.operators.sampling import hash_bucket, hash_sample, hash_top_n, split_name
+from ledgerwatch.operators.windows import last_hours
+from ledgerwatch.plans import analytics, features, layers
+from tests.bank import COUNTRIES, CUSTOMERS, REPORTS, TRANSACTIONS, frames
+
+
+def test_silver_and_gold(spark):
+    transactions, reports, countries, customers = frames(spark)
+    silver = layers.silver(transactions, reports)
+    assert "_rescued_data" not in silver.columns and silver.count() == 6  # t2 was reported twice
+    by = {r.id: r for r in silver.collect()}
+    assert (by["t1"].countryOrig, by["t1"].countryDest, by["t1"].diffOrig) == ("FRA", "USA", -60.0)
+    assert by["t4"].diffDest is None and by["t3"].is_fraud is None
+    gold = layers.gold(silver, countries, customers)
+    # t4 has an unknown country, t5 an unknown customer.
+    assert sorted(r.id for r in gold.collect()) == ["t1", "t2", "t2", "t3"]
+    rows = {r.id: r for r in gold.collect()}
+    assert rows["t1"].is_fraud and not rows["t3"].is_fraud
+    assert (rows["t1"].countryOrig_name, rows["t1"].countryLatDest_lat, rows["t1"].firstname) == ("France", 38.0, "Ann")
+
+
+def test_new_source_columns_reach_gold(spark):
+    transactions, reports, countries, customers = frames(spark)
+    gold = layers.gold(layers.silver(transactions.withColumn("channel", F.lit("web")), reports), countries, customers)
+    assert "channel" in gold.columns
+
+
+@pytest.mark.parametrize(
+    "text, expected, unreadable",
+    [("1", True, False), ("0", False, False), ("1.0", True, False), ("true", True, False), ("FALSE", False, False),
+     (None, False, False), ("maybe", False, True), ("", False, True)],
+)
+def test_fraud_flag(spark, text, expected, unreadable):
+    df = spark.createDataFrame([(text,)], "f string")
+    row = df.select(columns.truthy(F.col("f")).alias("f"), columns.unreadable_flag(F.col("f")).alias("u")).first()
+    assert (row.f, row.u) == (expected, unreadable)
+
+
+@pytest.mark.parametrize("a, b, key", [("b", "a", "a-b"), ("a", "b", "a-b"), ("a", "a", "a-a"), (None, "a", None)])
+def test_pair_key(spark, a, b, key):
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(columns.pair_key(F.col("a"), F.col("b"))).first()[0] == key
+
+
+def test_column_types(spark):
+    df = spark.createDataFrame([], "amount double, type string, country int, flag boolean, name string, day date")
+    assert columns.split_by_type(df) == (["type", "country", "name"], ["amount", "flag"])
+
+
+def test_features_of_missing_values_are_zero(spark):
+    transactions, reports, countries, customers = frames(spark)
+    empty = {c: F.lit(None).cast("double") for c in ("oldBalanceOrig", "newBalanceOrig", "oldBalanceDest")}
+    gold = layers.gold(layers.silver(transactions, reports), countries, customers).withColumns(empty)
+    found = features.feature_table(gold, "seen_at").collect()
+    assert len(found) == 3  # one per transaction
+    for r in found:
+        assert (r.balance_orig_ratio, r.is_full_transfer, r.dest_balance_anomaly) == (0.0, 0.0, 0.0)
+
+
+def test_no_division_by_an_empty_balance(spark):
+    transactions, reports, countries, customers = frames(spark)
+    gold = layers.gold(layers.silver(transactions, reports), countries, customers)
+    rows = {r.transaction_id: r for r in features.feature_table(gold, "seen_at").collect()}
+    assert rows["t3"].balance_orig_ratio == 0.0 and rows["t1"].balance_orig_ratio == 0.6
+
+
+@pytest.mark.parametrize(
+    "amount, ratio, full, border, expected",
+    [(200_001.0, 1.0, 1.0, 1.0, 0.8), (200_000.0, 0.9, 0.0, 0.0, 0.15), (100_000.0, 0.0, 0.0, 0.0, 0.0),
+     (None, 0.95, None, 1.0, 0.25), (None, None, None, None, 0.0)],
+)
+def test_risk_score(spark, amount, ratio, full, border, expected):
+    register_risk_score(spark)
+    df = spark.createDataFrame([(amount, ratio, full, border)], "a double, r double, f double, b double")
+    native = transaction_risk_score(*[F.col(c) for c in "arfb"]).alias("native")
+    row = df.select(native, F.expr("transaction_risk_score(a, r, f, b)").alias("named")).first()
+    assert row.native == row.named == pytest.approx(expected, abs=1e-6)
+    assert df.select(native).dtypes == [("native", "float")]
+
+
+def test_split_does_not_depend_on_the_layout(spark):
+    ids = spark.range(20_000).select(F.col("id").cast("string").alias("id"), split_name(F.col("id")).alias("split"))
+    counts = {r.split: r["count"] for r in ids.groupBy("split").count().collect()}
+    assert 0.78 < counts["train"] / 20_000 < 0.82
+    again = ids.repartition(7).select("id", split_name(F.col("id")).alias("split"))
+    assert ids.exceptAll(again).count() == 0
+
+
+def test_samples(spark):
+    ids = spark.range(20_000).select(F.col("id").cast("string").alias("id"))
+    sample = hash_sample(ids, "id", 5)
+    assert 800 < sample.count() < 1200
+    # The sample is independent of the split.
+    assert 0.7 < sample.where(split_name(F.col("id")) == "train").count() / sample.count() < 0.9
+    first = {r.id for r in hash_top_n(ids, "id", 50).collect()}
+    assert len(first) == 50 and first == {r.id for r in hash_top_n(ids.repartition(5), "id", 50).collect()}
+    assert ids.select(hash_bucket(F.col("id"), buckets=10).alias("b")).distinct().count() == 10
+
+
+def test_last_hours_includes_both_ends(spark):
+    df = spark.createDataFrame([(s,) for s in (0, 9, 10, 15, 20)], "step long")
+    assert sorted(r.step for r in last_hours(df, hours=10).collect()) == [10, 15, 20]
+    assert last_hours(df.where("step < 0"), hours=10).count() == 0
+
+
+def test_flow_order(spark):
+    routes = [("FRA", "USA", 1), ("ITA", "USA", 5), ("USA", "FRA", 3)]
+    rows = [(a, b, "T", 400_000.0) for a, b, n in routes for _ in range(n)]
+    gold = spark.createDataFrame(rows, "countryOrig string, countryDest string, type string, amount double")
+    by_pair = [(r.countries_combined, r.value) for r in analytics.flow_pairs(gold, 2).collect()]
+    assert by_pair == [("FRA-USA", 3), ("FRA-USA", 1)]
+    assert [r.value for r in analytics.flow_pairs(gold, 2, order="value").collect()] == [5, 3]
+
+
+POSITIVE = Expectation("positive", "v > 0")
+
+
+def test_a_null_result_fails_the_expectation(spark):
+    df = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
+    assert [tuple(r) for r in report(df, [POSITIVE]).collect()] == [("positive", "warn", 1, 2)]
+    assert enforce(df, [POSITIVE]).count() == 3
+    assert enforce(df, [Expectation("positive", "v > 0", DROP)]).count() == 1
+    with pytest.raises(ExpectationFailed, match="positive: 2"):
+        enforce(df, [Expectation("positive", "v > 0", FAIL)])
+    assert [tuple(r) for r in report(df.where("v > 5"), [POSITIVE]).collect()] == [("positive", "warn", 0, 0)]
+
+
+def test_training_set_uses_what_was_known(spark):
+    labels = spark.sql(
+        "SELECT * FROM VALUES ('a', timestamp_ntz'2024-01-02', 1), ('b', timestamp_ntz'2024-01-01', 0), "
+        "('c', timestamp_ntz'2024-01-02', null) AS t(transaction_id, event_ts, is_fraud)"
+    )
+    known = spark.sql(
+        "SELECT *, 0.95D AS balance_orig_ratio, 0D AS is_full_transfer, 0D AS is_cross_border FROM VALUES "
+        "('a', timestamp_ntz'2024-01-01', 150000D), ('a', timestamp_ntz'2024-01-03', 1D), "
+        "('b', timestamp_ntz'2024-01-02', 1D) AS t(transaction_id, event_ts, amount)"
+    )
+    rows = features.training_set(labels, known, [RISK_SCORE], exclude=["event_ts"]).collect()
+    found = {r.transaction_id: (r.amount, round(r.risk_score, 6)) for r in rows}
+    assert found == {"a": (150_000.0, 0.3), "b": (None, 0.0)} and "event_ts" not in rows[0]
+
+
+def test_fixture_is_complete():
+    assert len(TRANSACTIONS) == 5 and len(CUSTOMERS) and len(COUNTRIES) and len(REPORTS)
