@@ -106,14 +106,15 @@ class Bins:
     high: float | None = None
 
     def number(self) -> Column:
-        """The bin of a row as text; nulls are a bin of their own."""
+        """The bin of a row: its value, or its place among the widths. Nulls stay null, a bin of their own."""
         value = F.col(self.column).cast("double")
         if self.low is None:
-            return F.coalesce(value.cast("string"), F.lit("null"))
+            return value
         if self.low == self.high:
-            return F.when(value.isNull(), "null").otherwise("0")
-        place = F.floor((value - self.low) / (self.high - self.low) * RANGE_BINS)
-        return F.coalesce(F.least(place, F.lit(RANGE_BINS - 1)).cast("string"), F.lit("null"))
+            return F.when(value.isNotNull(), F.lit(0.0))
+        place = F.floor((value - self.low) / (self.high - self.low) * RANGE_BINS).cast("double")
+        # least() would skip the null.
+        return F.when(place >= RANGE_BINS, F.lit(RANGE_BINS - 1.0)).otherwise(place)
 
 
 def plan_bins(df: DataFrame, columns: Sequence[str]) -> list[Bins]:
@@ -139,9 +140,9 @@ def histograms(df: DataFrame, bins: Sequence[Bins], by: Sequence[Column]) -> Dat
     cells = F.inline(F.array(*[F.struct(F.lit(b.column).alias("column_name"), b.number().alias("bin")) for b in bins]))
     names = [*df.select(*by).columns]
     counted = df.select(*by, cells).groupBy(*names, "column_name", "bin").agg(F.count(F.lit(1)).alias("rows"))
-    return counted.groupBy(*names, "column_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "rows"))).alias("histogram")
-    )
+    # Keys of a map cannot be null.
+    entry = F.struct(F.coalesce(F.col("bin").cast("string"), F.lit("null")).alias("bin"), "rows")
+    return counted.groupBy(*names, "column_name").agg(F.map_from_entries(F.collect_list(entry)).alias("histogram"))
 
 
 def js_distance(a: Column, b: Column) -> Column:

@@ -34,6 +34,12 @@ CORRECT_DATA = Expectation("correct_data", "id IS NOT NULL")
 CORRECT_CUSTOMER = Expectation("correct_customer_id", "customer_id IS NOT NULL")
 AMOUNT_DECENT = Expectation("amount_decent", "amount > 10")
 
+# Labels that `truthy` cannot read count as no fraud; this shows how many there are.
+READABLE_LABEL = Expectation(
+    "readable_label",
+    "is_fraud IS NULL OR try_cast(is_fraud AS DOUBLE) IS NOT NULL OR try_cast(is_fraud AS BOOLEAN) IS NOT NULL",
+)
+
 
 class ExpectationFailed(Exception):
     pass

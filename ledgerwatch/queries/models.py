@@ -299,8 +299,7 @@ def stream_silver(bank: Bank) -> DataFrame:
     folder = scratch(bank.spark, "silver")
     bronze, silver = StreamTable(f"{folder}/bronze"), StreamTable(f"{folder}/silver")
     bank.transactions.write.parquet(bronze.data)
-    reports = bank.reports
-    run_to_end(append_stream(layers.silver(table_stream(bank.spark, bronze), reports), silver))
+    run_to_end(append_stream(layers.silver(table_stream(bank.spark, bronze), bank.reports), silver))
     return read_table(bank.spark, silver).select("id", "amount", "diffDest", "is_fraud", "countryOrig")
 
 

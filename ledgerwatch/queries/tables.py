@@ -231,7 +231,8 @@ def asof_click_recent(bank: Bank) -> DataFrame:
         "fraud_features",
         select="""SELECT transaction_id, amount FROM fraud_features
           WHERE CAST(concat('0x', substr(md5(concat('sample', transaction_id)), 1, 8)) AS BIGINT) % 100 < 5""",
-    )
+    ),
+    name="hash_sample",
 )
 def hash_sample_rows(bank: Bank) -> DataFrame:
     return hash_sample(features.with_features(bank.gold).select("transaction_id", "amount"), "transaction_id", 5)
@@ -242,7 +243,8 @@ def hash_sample_rows(bank: Bank) -> DataFrame:
         "fraud_features",
         select="""SELECT transaction_id, amount FROM fraud_features
                   ORDER BY md5(concat('sample', transaction_id)), transaction_id LIMIT 2000""",
-    )
+    ),
+    name="hash_top_n",
 )
 def hash_top_rows(bank: Bank) -> DataFrame:
     return hash_top_n(features.with_features(bank.gold).select("transaction_id", "amount"), "transaction_id", 2000)

@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwatch.plans import features, layers
 from ledgerwatch.sources.tables import staged
@@ -18,19 +19,22 @@ def _country_code(nation: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.lpad(nation.cast("string"), 2, "0"))
 
 
+# Columns per table path, as a catalog would keep them: opening a file anew costs a job each time.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Bank:
-    """Lazy frames over one folder of Parquet tables."""
+    """Lazy frames over one folder of Parquet tables, which are not rewritten during a session."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One frame per table: opening a Parquet table reads its footer."""
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._tables[name]
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def countries(self) -> DataFrame:

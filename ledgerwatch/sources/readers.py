@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,19 +28,24 @@ def _options(fmt: str, multi_line: bool) -> dict[str, str]:
 
 
 def infer_schema(
-    spark: SparkSession, path: str, fmt: str, multi_line: bool = False, sampling_ratio: float = 1.0
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    multi_line: bool = False,
+    typed: bool = True,
+    modified_after: dt.datetime | None = None,
 ) -> T.StructType:
-    """Column types found in the files. What a sample missed ends in the rescue column, not in an error."""
+    """Columns and types found in the files, or in those modified after a time (UTC); all text if not `typed`.
+
+    Every record is looked at: a sample could miss a column, and its values with it.
+    """
     reader = spark.read.format(fmt).options(**_options(fmt, multi_line))
     if fmt in TEXT_FORMATS:
-        reader = reader.option("inferSchema", "true").option("samplingRatio", sampling_ratio)
-    return reader.load(path).schema
-
-
-def text_schema(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> T.StructType:
-    """The columns of the files, all as text."""
-    names = spark.read.format(fmt).options(**_options(fmt, multi_line)).load(path).columns
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = reader.option("inferSchema", str(typed).lower())
+    if modified_after is not None:
+        reader = reader.options(modifiedAfter=modified_after.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC")
+    found = reader.load(path).schema
+    return found if typed else T.StructType([T.StructField(f.name, T.StringType()) for f in found])
 
 
 def rescue_options(schema: T.StructType, fmt: str, multi_line: bool) -> tuple[T.StructType, dict[str, str]]:
@@ -64,7 +71,7 @@ def read_raw(
     if fmt not in TEXT_FORMATS:
         return spark.read.format(fmt).load(path)
     if schema is None:
-        schema = (infer_schema if typed else text_schema)(spark, path, fmt, multi_line)
+        schema = infer_schema(spark, path, fmt, multi_line, typed)
     options = _options(fmt, multi_line)
     if rescue:
         schema, options = rescue_options(schema, fmt, multi_line)

@@ -34,6 +34,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def _matches(spark: SparkSession, pattern: str) -> list:
+    """Paths that match a glob, on any file system Spark can read."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [found.getPath() for found in system.globStatus(glob) or []]
+
+
 class VersionedTable:
     """A table that is replaced as a whole while it may be read, also by the plan that replaces it.
 
@@ -46,10 +53,8 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def versions(self) -> list[int]:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        glob = hadoop.Path(f"{self.path}/v=*/_SUCCESS")
-        system = glob.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return sorted(int(found.getPath().getParent().getName()[2:]) for found in system.globStatus(glob) or [])
+        found = _matches(self.spark, f"{self.path}/v=*/_SUCCESS")
+        return sorted(int(marker.getParent().getName()[2:]) for marker in found)
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -94,6 +99,28 @@ def append(df: DataFrame, path: str, day_of: str | None = None) -> None:
         df.withColumn("day", F.to_date(day_of)).write.mode("append").partitionBy("day").parquet(path)
 
 
+def upsert_partitions(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str
+) -> None:
+    """Merge rows by key into a folder partitioned by `partition`, rewriting only the partitions `source` touches.
+
+    `partition` must follow from the key, so that a row never has its match in another partition. The
+    merged partitions are staged before they replace the old ones, because a plan cannot overwrite what
+    it reads.
+    """
+    incoming = staged(source, "upsert")
+    # A dynamic overwrite leaves no success marker; the partitions themselves tell that the table exists.
+    if _matches(spark, f"{path}/{partition}=*"):
+        touched = F.broadcast(incoming.select(partition).distinct())
+        # A join on the partition column: the scan skips every partition that is not touched.
+        target = spark.read.parquet(path).join(touched, partition, "left_semi")
+        merged = staged(keyed.upsert(target, incoming, keys), "merged")
+    else:
+        merged = keyed.upsert(None, incoming, keys)
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
+
+
 def append_lineage(df: DataFrame, path: str, run_id: str, at: Column, at_name: str = "computed_at") -> None:
     """Append rows with the run they come from; new columns are allowed (see `read_grown`)."""
     append(df.withColumns({"run_id": F.lit(run_id), at_name: at}), path)

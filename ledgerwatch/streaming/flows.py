@@ -7,13 +7,22 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.operators.quality import AMOUNT_DECENT, CORRECT_CUSTOMER, CORRECT_DATA, CORRECT_SCHEMA, enforce, report
+from ledgerwatch.operators.quality import (
+    AMOUNT_DECENT,
+    CORRECT_CUSTOMER,
+    CORRECT_DATA,
+    CORRECT_SCHEMA,
+    READABLE_LABEL,
+    enforce,
+    report,
+)
 from ledgerwatch.plans import layers
 from ledgerwatch.sources.readers import with_coordinates
 from ledgerwatch.sources.tables import VersionedTable
 from ledgerwatch.streaming.ingest import (
     StreamTable,
     append_stream,
+    evolving_schema,
     raw_stream,
     read_table,
     run_to_end,
@@ -42,19 +51,23 @@ class Lake:
     def gold_quality(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.folder}/gold_quality")
 
+    def _raw(self, name: str, fmt: str, max_files: int | None = None, multi_line: bool = False, typed: bool = True):
+        """Stream of a raw folder; its columns grow with the files, and what does not fit them is rescued."""
+        path, notes = f"{self.raw}/{name}", f"{self.folder}/raw_columns/{name}/g={self.generation}"
+        schema = evolving_schema(self.spark, path, fmt, notes, multi_line, typed)
+        return raw_stream(self.spark, path, fmt, schema, max_files, multi_line, rescue=True)
+
     def ingest(self) -> None:
         """Raw files to bronze tables."""
-        transactions = raw_stream(self.spark, f"{self.raw}/transactions", "json", max_files=self.max_files)
-        customers = raw_stream(
-            self.spark, f"{self.raw}/customers", "csv", max_files=None, multi_line=True, rescue=True
-        )
-        countries = raw_stream(self.spark, f"{self.raw}/country_code", "csv", max_files=None, typed=False)
-        reports = raw_stream(self.spark, f"{self.raw}/fraud_report", "csv", max_files=None, typed=False)
+        transactions = self._raw("transactions", "json", self.max_files)
+        customers = self._raw("customers", "csv", multi_line=True)
+        countries = with_coordinates(self._raw("country_code", "csv", typed=False))
+        reports = self._raw("fraud_report", "csv", typed=False)
         # Four independent queries; they run side by side.
         for query in [
             append_stream(transactions, self.stream_table("bronze_transactions")),
             append_stream(customers, self.stream_table("banking_customers"), [CORRECT_SCHEMA]),
-            append_stream(with_coordinates(countries), self.stream_table("country_coordinates")),
+            append_stream(countries, self.stream_table("country_coordinates")),
             append_stream(reports, self.stream_table("fraud_reports")),
         ]:
             run_to_end(query)
@@ -64,7 +77,8 @@ class Lake:
         transactions = table_stream(self.spark, self.stream_table("bronze_transactions"))
         reports = read_table(self.spark, self.stream_table("fraud_reports"))
         silver = layers.silver(transactions, reports)
-        run_to_end(append_stream(silver, self.stream_table("silver_transactions"), [CORRECT_DATA, CORRECT_CUSTOMER]))
+        checks = [CORRECT_DATA, CORRECT_CUSTOMER, READABLE_LABEL]
+        run_to_end(append_stream(silver, self.stream_table("silver_transactions"), checks))
 
     def enrich(self) -> int:
         """Silver to gold, recomputed as a whole and replaced; sorted by step for readers that filter on it."""

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.operators.quality import DROP, FAIL, Expectation, ExpectationFailed, enforce, report
-from ledgerwatch.sources.readers import TEXT_FORMATS, _options, infer_schema, rescue_options, text_schema
+from ledgerwatch.sources.readers import TEXT_FORMATS, _options, infer_schema, rescue_options
+from ledgerwatch.sources.tables import VersionedTable
+
+# Files may carry a time a little older than their arrival.
+_ARRIVAL_SLACK = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -36,6 +43,51 @@ class StreamTable:
     def quality(self) -> str:
         return f"{self.folder}/g={self.generation}/quality"
 
+    @property
+    def schema(self) -> str:
+        return f"{self.folder}/g={self.generation}/schema"
+
+
+def remembered(spark: SparkSession, folder: str) -> tuple[T.StructType, dt.datetime] | None:
+    """The columns noted in a folder and when."""
+    notes = VersionedTable(spark, folder)
+    if not notes.exists():
+        return None
+    note = notes.read().first()  # one row
+    return T.StructType.fromJson(json.loads(note.columns)), note.noted_at
+
+
+def remember(spark: SparkSession, folder: str, schema: T.StructType, noted_at: dt.datetime) -> None:
+    row = spark.createDataFrame([(schema.json(), noted_at)], "columns string, noted_at timestamp_ntz")
+    VersionedTable(spark, folder).replace(row)
+
+
+def grown(known: T.StructType, seen: T.StructType) -> T.StructType:
+    """Known columns with their types, then the new ones. A value that no longer fits is rescued, not retyped."""
+    names = set(known.fieldNames())
+    return T.StructType([*known.fields, *[f for f in seen.fields if f.name not in names]])
+
+
+def evolving_schema(
+    spark: SparkSession, path: str, fmt: str, notes: str, multi_line: bool = False, typed: bool = True
+) -> T.StructType:
+    """Columns of a growing folder of raw files, inferred once and then only from files that are new."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    past = remembered(spark, notes)
+    if past is None:
+        schema = infer_schema(spark, path, fmt, multi_line, typed)
+    else:
+        known, noted_at = past
+        try:
+            new = infer_schema(spark, path, fmt, multi_line, typed, modified_after=noted_at - _ARRIVAL_SLACK)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return known  # no new file
+        schema = grown(known, new)
+    remember(spark, notes, schema, now)
+    return schema
+
 
 def raw_stream(
     spark: SparkSession,
@@ -49,10 +101,7 @@ def raw_stream(
 ) -> DataFrame:
     """File stream over a folder. A file source needs its columns up front: they are inferred by one batch read."""
     if schema is None:
-        if fmt in TEXT_FORMATS and not typed:
-            schema = text_schema(spark, path, fmt, multi_line)
-        else:
-            schema = infer_schema(spark, path, fmt, multi_line)
+        schema = infer_schema(spark, path, fmt, multi_line, typed)
     options = _options(fmt, multi_line) if fmt in TEXT_FORMATS else {}
     if rescue:
         schema, options = rescue_options(schema, fmt, multi_line)
@@ -71,6 +120,11 @@ def append_stream(
     its counts; without them the file sink is used.
     """
     expectations = list(expectations)
+    spark = stream.sparkSession
+    past = remembered(spark, table.schema)
+    if past is None or past[0] != grown(past[0], stream.schema):
+        columns = stream.schema if past is None else grown(past[0], stream.schema)
+        remember(spark, table.schema, columns, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     writer = stream.writeStream.option("checkpointLocation", table.checkpoint).trigger(availableNow=True)
     if not expectations:
         return writer.format("parquet").outputMode("append").option("path", table.data).start()
@@ -97,8 +151,16 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def table_schema(spark: SparkSession, table: StreamTable) -> T.StructType:
+    """All columns the table ever had, as noted by its writers; no file is opened for them."""
+    past = remembered(spark, table.schema)
+    return past[0] if past else spark.read.parquet(table.data).schema
+
+
 def read_table(spark: SparkSession, table: StreamTable) -> DataFrame:
-    return spark.read.parquet(table.data).drop("batch_id")
+    """The rows so far. Columns that came later are null in older rows."""
+    schema = table_schema(spark, table)
+    return spark.read.schema(schema).parquet(table.data).select(*schema.fieldNames())
 
 
 def read_quality(spark: SparkSession, table: StreamTable) -> DataFrame:
@@ -109,4 +171,4 @@ def read_quality(spark: SparkSession, table: StreamTable) -> DataFrame:
 
 def table_stream(spark: SparkSession, table: StreamTable) -> DataFrame:
     """Stream of the rows appended to another table's folder."""
-    return spark.readStream.schema(spark.read.parquet(table.data).schema).parquet(table.data)
+    return spark.readStream.schema(table_schema(spark, table)).parquet(table.data)

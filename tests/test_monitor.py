@@ -66,8 +66,8 @@ def test_bins(spark):
     a, b, c, d = monitor.plan_bins(df, ["a", "b", "c", "d"])
     assert (a.low, a.high) == (0.0, 99.0) and b.low is None and c.low is None and d.low is None
     counted = df.groupBy(a.number().alias("bin")).count().collect()
-    assert {r.bin: r["count"] for r in counted} == {str(i): 10 for i in range(10)}
-    assert {r[0] for r in df.select(d.number()).distinct().collect()} == {"null"}
+    assert {r.bin: r["count"] for r in counted} == {float(i): 10 for i in range(10)}
+    assert {r[0] for r in df.select(d.number()).distinct().collect()} == {None}
 
 
 def test_twenty_values_are_binned_by_value_and_21_by_width(spark):

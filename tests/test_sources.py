@@ -112,3 +112,17 @@ def test_log_is_kept_by_day(spark, folder):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert tables.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, folder):
+    schema = "id int, day string, v string"
+    first = [(1, "d1", "a"), (2, "d1", "b"), (3, "d2", "c")]
+    tables.upsert_partitions(spark, folder, spark.createDataFrame(first, schema), ["id", "day"], "day")
+    untouched = [f for f in spark.read.parquet(folder).inputFiles() if "day=d2" in f]
+    later = [(2, "d1", "B"), (4, "d1", "d"), (5, "d3", "e")]
+    tables.upsert_partitions(spark, folder, spark.createDataFrame(later, schema), ["id", "day"], "day")
+    found = spark.read.parquet(folder)
+    assert sorted((r.id, r.day, r.v) for r in found.collect()) == [
+        (1, "d1", "a"), (2, "d1", "B"), (3, "d2", "c"), (4, "d1", "d"), (5, "d3", "e")
+    ]
+    assert [f for f in found.inputFiles() if "day=d2" in f] == untouched
