@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,19 @@ def linear_attribution(df: DataFrame, key: str, weights: Mapping[str, float]) ->
     return df.select(key, F.inline(F.array(*cells)))
 
 
+def model_attribution(prepared: DataFrame, key: str, coefficients: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """(key, feature, value) of a linear model over a prepared `features` vector, in log-odds.
+
+    `names` has one entry per place of the vector. The means are those of `prepared` itself.
+    """
+    means = prepared.agg(vector_to_array(Summarizer.mean(F.col("features")))).scalar()
+    away = F.zip_with(vector_to_array("features"), F.col("means"), lambda x, m: x - m)
+    weights = F.array(*[F.lit(float(w)) for w in coefficients])
+    values = F.zip_with(away, weights, lambda d, w: d * w)
+    cells = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), values.alias("value"))
+    return prepared.withColumn("means", means).select(key, F.inline(cells))
+
+
 def sampled_attribution(
     rows: DataFrame,
     background: DataFrame,
@@ -45,32 +60,34 @@ def sampled_attribution(
     numbered = listed.select(F.posexplode("pool").alias("place", "row")).select("place", "row.base")
     size = pool.agg(F.count(F.lit(1))).scalar()
 
+    # Names of its own, so that any name may be a feature.
+    draw, step, feature = "__draw", "__step", "__feature"
     draws = rows.select(key, F.struct(*features).alias("own")).withColumn(
-        "draw", F.explode(F.sequence(F.lit(1), F.lit(permutations)))
+        draw, F.explode(F.sequence(F.lit(1), F.lit(permutations)))
     )
-    shuffled = [F.struct(F.xxhash64(F.col(key), F.col("draw"), F.lit(f)).alias("o"), F.lit(f).alias("f")) for f in features]
+    shuffled = [F.struct(F.xxhash64(F.col(key), F.col(draw), F.lit(f)).alias("o"), F.lit(f).alias("f")) for f in features]
     order = F.transform(F.array_sort(F.array(*shuffled)), lambda s: s["f"])
-    place = F.pmod(F.xxhash64(F.col(key), F.col("draw"), F.lit("background")), size).cast("int")
+    place = F.pmod(F.xxhash64(F.col(key), F.col(draw), F.lit("background")), size).cast("int")
     drawn = draws.withColumns({"order": order, "place": place}).join(F.broadcast(numbered), "place")
-    steps = drawn.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    steps = drawn.withColumn(step, F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     mixed = steps.select(
         key,
-        "draw",
-        "step",
-        F.when(F.col("step") > 0, F.get(F.col("order"), F.col("step") - 1)).alias("feature"),
+        draw,
+        step,
+        F.when(F.col(step) > 0, F.get(F.col("order"), F.col(step) - 1)).alias(feature),
         *[
-            F.when(F.array_position("order", f) <= F.col("step"), F.col("own")[f]).otherwise(F.col("base")[f]).alias(f)
+            F.when(F.array_position("order", f) <= F.col(step), F.col("own")[f]).otherwise(F.col("base")[f]).alias(f)
             for f in features
         ],
     )
-    scored = score(mixed).select(key, "draw", "step", "feature", "probability")
+    scored = score(mixed).select(key, draw, step, feature, "probability")
     # At most features + 1 scores per (row, draw).
-    walk = scored.groupBy(key, "draw").agg(
-        F.array_sort(F.collect_list(F.struct("step", "feature", "probability"))).alias("walk")
+    walk = scored.groupBy(key, draw).agg(
+        F.array_sort(F.collect_list(F.struct(step, feature, "probability"))).alias("walk")
     )
-    changes = walk.select(key, "draw", F.posexplode("walk").alias("i", "now"), "walk").where("i > 0").select(
+    changes = walk.select(key, F.posexplode("walk").alias("i", "now"), "walk").where("i > 0").select(
         key,
-        F.col("now.feature").alias("feature"),
+        F.col("now")[feature].alias("feature"),
         (F.col("now.probability") - F.get(F.col("walk"), F.col("i") - 1)["probability"]).alias("change"),
     )
     return changes.groupBy(key, "feature").agg(

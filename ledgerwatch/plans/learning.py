@@ -253,6 +253,27 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None
     )
 
 
+def feature_names(model: PipelineModel) -> list[str]:
+    """A name for every place of the feature vector: a numeric column, or column=category."""
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    indexer = next((s for s in model.stages if hasattr(s, "labelsArray")), None)
+    labels = dict(zip(indexer.getInputCols(), indexer.labelsArray)) if indexer else {}
+    names = []
+    for column in inputs:
+        plain = column.removesuffix("_scaled")
+        if plain != column:
+            names.append(plain)
+        else:
+            plain = column.removesuffix("_onehot")
+            names += [f"{plain}={category}" for category in labels[f"{plain}_text"]]
+    return names
+
+
+def trial_from(row: Any) -> Trial:
+    """The trial that a row of the trial log describes."""
+    return Trial(row.trial, row.family, dict(row.settings))
+
+
 def evaluate(model: PipelineModel, df: DataFrame, by: Sequence[str] = ("split",), label: str = "is_fraud") -> DataFrame:
     """Classification report of a model, for example on train and test rows."""
     scored = score(model, df, [*by, label])

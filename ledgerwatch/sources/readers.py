@@ -22,8 +22,7 @@ _FULL_TIMES = {
 def _options(fmt: str, multi_line: bool) -> dict[str, str]:
     options = {"multiLine": str(multi_line).lower()}
     if fmt == "csv":
-        # A quote inside a quoted field is doubled, as spreadsheet and database exports write it.
-        options.update(header="true", escape='"')
+        options["header"] = "true"
     return options
 
 
@@ -84,7 +83,8 @@ def convert(spark: SparkSession, source: str, fmt: str, target: str, files: int
     if fmt in TEXT_FORMATS:
         writer = writer.options(**_FULL_TIMES)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("escape", '"')
+        # Blanks around a value are part of it; the writer would strip them.
+        writer = writer.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     writer.format(fmt).save(target)
 
 

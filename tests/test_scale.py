@@ -17,9 +17,11 @@ BOUNDED = {
     ("asof.py", "collect"): "hot keys, at most 1/share",
     ("quality.py", "collect"): "one row per expectation",
     ("ingest.py", "collect"): "one row per expectation",
+    ("ingest.py", "first"): "the note of a table's columns",
     ("monitor.py", "first"): "one row of column bounds",
     ("learning.py", "first"): "one row of column statistics or one F1",
     ("learning.py", "count"): "a number",
+    ("lifecycle.py", "first"): "the best trial",
 }
 WATCHED = {"collect", "toPandas", "first", "head", "take", "count", "toLocalIterator"}
 FORBIDDEN = {"localCheckpoint", "crossJoin", "rdd", "toPandas", "coalesce_partitions"}

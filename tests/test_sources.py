@@ -9,7 +9,7 @@ from ledgerwatch.sources import tables
 from ledgerwatch.sources.readers import convert, infer_schema, read_raw, with_coordinates
 from ledgerwatch.sources.tables import VersionedTable
 
-ROWS = [(1, "a, \"b\"\nc", 1.5, dt.datetime(2024, 1, 1, 1, 2, 3, 456789)), (2, None, None, None)]
+ROWS = [(1, " a, \"b\"\nc ", 1.5, dt.datetime(2024, 1, 1, 1, 2, 3, 456789)), (2, None, None, None)]
 SCHEMA = "id int, note string, v double, at timestamp_ntz"
 
 

@@ -67,7 +67,7 @@ def test_failing_expectation_stops_the_stream(spark, folder):
 def write_raw(spark, folder, parts, mode="overwrite"):
     transactions, reports, countries, customers = parts
     transactions.drop("_rescued_data").coalesce(2).write.mode(mode).json(f"{folder}/transactions")
-    csv = {"header": "true", "escape": '"'}
+    csv = {"header": "true"}
     customers.drop("_rescued_data").coalesce(1).write.mode(mode).options(**csv).csv(f"{folder}/customers")
     countries.coalesce(1).write.mode(mode).options(**csv).csv(f"{folder}/country_code")
     reports.drop("_rescued_data").coalesce(1).write.mode(mode).options(**csv).csv(f"{folder}/fraud_report")
