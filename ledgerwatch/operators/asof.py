@@ -28,8 +28,8 @@ def _carry_forward_hot(left: DataFrame, right: DataFrame, on: Sequence[str], spl
     """Form for heavy keys: the same result from time ranges of equal size.
 
     Rows are first reduced to one per (key, time), which bounds what one moment can hold. Ranges come
-    from quantiles of the times, so each holds about 1/splits of the rows. Within a range the pass is
-    as above; the state at the start of a range comes from one row per (key, range).
+    from quantiles of the times, so each holds at most about 1/splits of the rows. Within a range the
+    pass is as above; the state at the start of a range comes from one row per (key, range).
     """
     moments = (
         right.groupBy(*on, _TIME)
@@ -39,7 +39,9 @@ def _carry_forward_hot(left: DataFrame, right: DataFrame, on: Sequence[str], spl
             left.select(*on, _TIME).distinct().withColumn(_SIDE, F.lit(_LEFT)), allowMissingColumns=True
         )
     )
-    cut = moments.withColumn("__cuts", cut_points(moments, F.col(_TIME), splits))
+    # Quantiles of all rows: no shuffle, and a moment with many rows only repeats a cut.
+    times = right.select(_TIME).unionByName(left.select(_TIME))
+    cut = moments.withColumn("__cuts", cut_points(times, F.col(_TIME), splits))
     ranged = cut.withColumn("__range", range_number(F.col(_TIME), F.col("__cuts"), splits)).drop("__cuts")
 
     earlier = Window.partitionBy(*on).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

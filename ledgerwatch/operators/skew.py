@@ -27,21 +27,14 @@ def cut_points(df: DataFrame, value: Column, parts: int) -> Column:
 
 
 def range_number(value: Column, cuts: Column, parts: int) -> Column:
-    """How many cut points are <= value, found by binary search in the sorted array `cuts`."""
-    start = F.struct(F.lit(0).alias("low"), F.coalesce(F.size(cuts), F.lit(0)).alias("high"))
-    steps = F.sequence(F.lit(1), F.lit(max(1, parts.bit_length())))
+    """How many cut points are <= value, found by binary search in the sorted array `cuts` of at most `parts`."""
+    jumps = [2**i for i in reversed(range(max(1, parts.bit_length())))]
 
-    def halve(found: Column, _: Column) -> Column:
-        middle = F.floor((found["low"] + found["high"]) / 2).cast("int")
-        above = F.get(cuts, middle) <= value
-        return F.when(found["low"] >= found["high"], found).otherwise(
-            F.struct(
-                F.when(above, middle + 1).otherwise(found["low"]).alias("low"),
-                F.when(above, found["high"]).otherwise(middle).alias("high"),
-            )
-        )
+    def jump(passed: Column, by: Column) -> Column:
+        # Beyond the end of the array there is null, and no jump.
+        return F.when(F.get(cuts, passed + by - 1) <= value, passed + by).otherwise(passed)
 
-    return F.aggregate(steps, start, halve, lambda found: found["low"])
+    return F.aggregate(F.array(*[F.lit(j) for j in jumps]), F.lit(0), jump)
 
 
 def running_totals(
