@@ -76,17 +76,29 @@ def report_prompt(instructions: str = INSTRUCTIONS, keep_nulls: bool = False) ->
     )
 
 
+# The built-in answer, as SQL over the detail fields.
+TEMPLATE = """
+CASE WHEN is_fraud THEN concat(
+  'Fraud report: transaction ', id, ' of customer ', customer_id, ' (', type, ', ', nameOrig, ' to ', nameDest,
+  '). Freeze the account and escalate to compliance.\\nDear ', firstname,
+  ', suspicious activity was detected on your account. Please contact the fraud team.')
+ELSE concat('Transaction ', id, ' is legitimate and can be processed.') END"""
+
+
 def template_report() -> Column:
     """The built-in answer: a fixed text that depends on the fraud mark."""
-    fraud = F.concat(
-        F.lit("Fraud report: transaction "), F.col("id"),
-        F.lit(" of customer "), F.col("customer_id"),
-        F.lit(" ("), F.col("type"), F.lit(", "), F.col("nameOrig"), F.lit(" to "), F.col("nameDest"),
-        F.lit("). Freeze the account and escalate to compliance.\nDear "), F.col("firstname"),
-        F.lit(", suspicious activity was detected on your account. Please contact the fraud team."),
-    )
-    fine = F.concat(F.lit("Transaction "), F.col("id"), F.lit(" is legitimate and can be processed."))
-    return F.when(F.col("is_fraud"), fraud).otherwise(fine)
+    return F.expr(TEMPLATE)
+
+
+def register_reports(
+    spark: SparkSession, prompt: str = "fraud_report_prompt", report: str = "fraud_report", instructions: str = INSTRUCTIONS
+) -> None:
+    """Prompt and built-in report as SQL functions of the detail fields, in their order."""
+    arguments = ", ".join(f"{c} {t.upper()}" for c, t in DETAILS.items())
+    fields = ", ".join(f"'{c}', {c}" for c in DETAILS)
+    head = (instructions + DETAILS_HEADING).replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    for name, body in ((prompt, f"concat('{head}', to_json(named_struct({fields})))"), (report, TEMPLATE)):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS STRING RETURN {body}")
 
 
 def fraud_reports(

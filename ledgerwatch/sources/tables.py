@@ -34,7 +34,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def _matches(spark: SparkSession, pattern: str) -> list:
+def matching_paths(spark: SparkSession, pattern: str) -> list:
     """Paths that match a glob, on any file system Spark can read."""
     glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     system = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -53,7 +53,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def versions(self) -> list[int]:
-        found = _matches(self.spark, f"{self.path}/v=*/_SUCCESS")
+        found = matching_paths(self.spark, f"{self.path}/v=*/_SUCCESS")
         return sorted(int(marker.getParent().getName()[2:]) for marker in found)
 
     def exists(self) -> bool:
@@ -110,7 +110,7 @@ def upsert_partitions(
     """
     incoming = staged(source, "upsert")
     # A dynamic overwrite leaves no success marker; the partitions themselves tell that the table exists.
-    if _matches(spark, f"{path}/{partition}=*"):
+    if matching_paths(spark, f"{path}/{partition}=*"):
         touched = F.broadcast(incoming.select(partition).distinct())
         # A join on the partition column: the scan skips every partition that is not touched.
         target = spark.read.parquet(path).join(touched, partition, "left_semi")

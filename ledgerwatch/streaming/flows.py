@@ -18,7 +18,7 @@ from ledgerwatch.operators.quality import (
 )
 from ledgerwatch.plans import layers
 from ledgerwatch.sources.readers import with_coordinates
-from ledgerwatch.sources.tables import VersionedTable
+from ledgerwatch.sources.tables import VersionedTable, matching_paths
 from ledgerwatch.streaming.ingest import (
     StreamTable,
     append_stream,
@@ -32,14 +32,22 @@ from ledgerwatch.streaming.ingest import (
 
 @dataclass
 class Lake:
-    """Bronze and silver streaming tables and the gold table, fed from a folder of raw files."""
+    """Bronze and silver streaming tables and the gold table, fed from a folder of raw files.
+
+    A lake that exists is opened at its newest generation.
+    """
 
     spark: SparkSession
     raw: str
     folder: str
-    generation: int = 1
+    generation: int | None = None
     max_files: int | None = 1
 
+    def __post_init__(self):
+        if self.generation is None:
+            lives = matching_paths(self.spark, f"{self.folder}/bronze_transactions/g=*")
+            self.generation = max((int(p.getName()[2:]) for p in lives), default=1)
+
     def stream_table(self, name: str) -> StreamTable:
         return StreamTable(f"{self.folder}/{name}", self.generation)
 

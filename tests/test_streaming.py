@@ -106,6 +106,7 @@ def test_lake_equals_batch_and_grows(spark, folder):
     # A full refresh sees all reports.
     fresh = lake.refresh(full=True)
     assert rows(fresh.gold.read()) == batch(transactions, reports)
+    assert Lake(spark, f"{folder}/raw", f"{folder}/lake").generation == fresh.generation == 2
 
 
 def test_scores_on_a_stream(spark, folder):
