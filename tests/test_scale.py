@@ -25,7 +25,7 @@ BOUNDED = {
     ("lifecycle.py", "first"): "the best trial",
 }
 WATCHED = {"collect", "toPandas", "first", "head", "take", "count", "toLocalIterator"}
-FORBIDDEN = {"localCheckpoint", "crossJoin", "rdd", "toPandas", "coalesce_partitions"}
+FORBIDDEN = {"localCheckpoint", "crossJoin", "toPandas", "mapPartitions"}
 
 
 def calls():
