@@ -1,6 +1,6 @@
 """The queries of this package by name, and SQL for those that a second engine can run."""
 
-from ledgerwatch.llm import jaccard, quality
+from ledgerwatch.llm import binary, jaccard, lexicon, packing, quality
 
-QUERIES = {f.__name__: f for f in (quality.op2_quality_rules, jaccard.op5_jaccard_join)}
+QUERIES = {f.__name__: f for f in (quality.op2_quality_rules, packing.op4_best_fit_packing, jaccard.op5_jaccard_join, lexicon.op8_bpe_lexicon, binary.op10_token_files)}
 ORACLES: dict[str, str] = {}

@@ -76,10 +76,10 @@ class Words:
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of an array of texts and the offset of each text in them."""
+    """The bytes of an array of texts or binaries and the offset of each text in them."""
     texts = pa.array([], pa.string()) if texts.type == pa.null() else texts
-    texts = texts.fill_null("") if texts.null_count else texts
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    texts = texts.fill_null("" if pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type) else b"") if texts.null_count else texts
+    kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     if offsets is None or not len(texts):
         return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
