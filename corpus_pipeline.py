@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import jaccard, quality
+from ledgerwatch.llm import jaccard, language, packing, quality
 from ledgerwatch.sources.tables import staged
 
-STAGES = [("quality_rules", quality.stage_quality), ("jaccard_join", jaccard.stage_unique)]
+STAGES = [
+    ("quality_rules", quality.stage_quality),
+    ("language_id", language.stage_language),
+    ("jaccard_join", jaccard.stage_unique),
+    ("best_fit_packing", packing.stage_pack),
+]
 
 #: None: the trees of the quality rules and the language model have no SQL form.
 ORACLE_SQL = None

@@ -1,6 +1,18 @@
 """The queries of this package by name, and SQL for those that a second engine can run."""
 
-from ledgerwatch.llm import binary, jaccard, lexicon, packing, quality
+from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, packing, quality, topk
 
-QUERIES = {f.__name__: f for f in (quality.op2_quality_rules, packing.op4_best_fit_packing, jaccard.op5_jaccard_join, lexicon.op8_bpe_lexicon, binary.op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        quality.op2_quality_rules,
+        topk.op3_exact_top_k,
+        packing.op4_best_fit_packing,
+        jaccard.op5_jaccard_join,
+        chat.op6_chat_format,
+        language.op7_language_id,
+        lexicon.op8_bpe_lexicon,
+        binary.op10_token_files,
+    )
+}
+ORACLES: dict[str, str] = {"op3_exact_top_k": topk.ORACLE, "op6_chat_format": chat.ORACLE}
