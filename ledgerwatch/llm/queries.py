@@ -1,10 +1,11 @@
 """The queries of this package by name, and SQL for those that a second engine can run."""
 
-from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, packing, quality, topk
+from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, packing, quality, topk, wrapper
 
 QUERIES = {
     f.__name__: f
     for f in (
+        wrapper.op1_wrapper_text,
         quality.op2_quality_rules,
         topk.op3_exact_top_k,
         packing.op4_best_fit_packing,
