@@ -31,6 +31,8 @@ WORDS, SIMILARITY, RECALL, MOST_HASHES = 5, (4, 5), 0.9999, 128
 BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1_000_000, 2048
 #: Columns beside those of a caller's table.
 OWN, ROOT, FIRST = "__lw_class", "__lw_root", "__lw_first"
+#: Bits of the table that thins out rows before a shuffle.
+BITS = 1 << 24
 
 
 def banding(similarity: float, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -84,17 +86,17 @@ def signatures(flat: np.ndarray, at: np.ndarray, bands: int, rows: int) -> np.nd
 
 
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, class, number of shingles and the hashes of all bands, little-endian."""
+    """doc_id, class, number of shingles and the hashes of all bands."""
 
     def work(part: pa.RecordBatch) -> dict:
         flat, at = shingles(X.words(part.column("text")))
         return {
             "doc_id": part.column("doc_id"), "class": identity(flat, at), "shingles": np.diff(at),
-            "bands": [r.tobytes() for r in signatures(flat, at, bands, rows)],
+            "bands": list(signatures(flat, at, bands, rows).view(np.int64)),
         }
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return X.map_slices(docs.select("doc_id", "text"), f"doc_id {kind}, class binary, shingles long, bands binary", work)
+    return X.map_slices(docs.select("doc_id", "text"), f"doc_id {kind}, class binary, shingles long, bands array<long>", work)
 
 
 def with_class(docs: DataFrame, *more: str) -> DataFrame:
@@ -160,7 +162,7 @@ def _verify(similarity: tuple[int, int]):
             held.sort(key=lambda r: (r[0], r[3]))
             ids, size, bands, side, sets = zip(*held, strict=True)
             return _cell(
-                key[3], key[1] == key[2], list(ids), np.array(size), np.array([np.frombuffer(b, np.uint64) for b in bands]),
+                key[3], key[1] == key[2], list(ids), np.array(size), np.array(bands),
                 np.array(side), [np.frombuffer(s, np.uint64) for s in sets], similarity,
             )
 
@@ -183,26 +185,42 @@ def _verify(similarity: tuple[int, int]):
     return run
 
 
-def _candidates(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Buckets of two classes or more, each set of members once, and the (bucket, class) rows."""
-    rows = distinct.select("class", "shingles", F.posexplode(F.expr("transform(sequence(0, length(bands) div 8 - 1), x -> substring(bands, x * 8 + 1, 8))")).alias("band", "bucket"))
+def bits_of(keys: DataFrame, key: str) -> DataFrame:
+    """word, mask: a table of BITS bits, at most BITS / 64 rows whatever the number of keys, with one bit per key set."""
+    bit = F.pmod(F.xxhash64(key), F.lit(BITS))
+    return keys.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("mask"))
+
+
+def likely(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """The rows whose key may be among the keys of `bits`: all that are, and few others while the table is not full."""
+    bit = F.pmod(F.xxhash64(key), F.lit(BITS))
+    marked = df.withColumn("_bit", bit).withColumn("word", F.expr("_bit div 64")).join(F.broadcast(bits), "word")
+    return marked.where("shiftright(mask, cast(_bit % 64 as int)) & 1 = 1").select(*df.columns)
+
+
+def _candidates(distinct: DataFrame) -> DataFrame:
+    """(class, shingles, bucket, band, n, total) of the buckets with two classes or more, each set of members once.
+
+    Only rows that may be in such a bucket are shuffled to be joined with it.
+    """
+    rows = distinct.select("class", "shingles", F.posexplode("bands").alias("band", "bucket"))
+    several = staged(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "buckets")
+    members = staged(likely(rows, "bucket", bits_of(several, "bucket")).join(several, "bucket"), "members")
     mark = F.xxhash64("class")
-    buckets = (
-        rows.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("band").alias("band"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("y"))
-        .where("n > 1")
+    buckets = members.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("band").alias("band"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("y")
     )
-    return rows, buckets.groupBy("n", "total", "x", "y").agg(F.min_by(F.struct("band", "bucket"), F.struct("band", "bucket")).alias("b")).select("n", "total", "b.*")
+    once = F.struct("band", "bucket")
+    buckets = buckets.groupBy("n", "total", "x", "y").agg(F.min(once).alias("b")).select("n", "total", "b.bucket")
+    return staged(members.join(buckets, "bucket"), "members")
 
 
 def linked(docs: DataFrame, distinct: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """(class, links, root) rows of all cells. `distinct`: class, doc_id, shingles, bands, one row a class."""
-    rows, buckets = _candidates(distinct)
-    buckets = staged(buckets, "buckets")
-    members = staged(rows.select("class", "bucket").join(buckets, "bucket"), "members")
-    some = distinct.join(members.select("class").distinct(), "class", "left_semi")
-    some = staged(some, "candidates")
-    texts = docs.select("doc_id", "text").join(some.select("doc_id").distinct(), "doc_id", "left_semi")
+    members = _candidates(distinct)
+    some = staged(distinct.join(members.select("class").distinct(), "class", "left_semi"), "candidates")
+    ids = some.select("doc_id").distinct()
+    texts = likely(docs.select("doc_id", "text"), "doc_id", bits_of(ids, "doc_id")).join(ids, "doc_id", "left_semi")
     sets = with_class(texts, "set").where(F.col(OWN).isNotNull()).select(F.col(OWN).alias("class"), "set")
     sets = some.select("class", "shingles", "bands").join(sets, "class").dropDuplicates(["class"])
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES), F.lit(1)).cast("int")
@@ -247,7 +265,7 @@ def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, recall: f
     each = staged(signed(docs, *banding(similarity[0] / similarity[1], recall)), "signatures")
     known = each.where("class is not null")
     groups = known.groupBy("class").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"))
-    firsts = known.where("doc_id is not null").dropDuplicates(["class"])
+    firsts = staged(known.where("doc_id is not null").dropDuplicates(["class"]), "distinct")
     found = staged(linked(docs, firsts, similarity), "links")
     links = found.groupBy("class").agg(F.sum("links").alias("n_links"))
     joined = components(found.select("class", "root"), "class", "root").withColumnRenamed("node", "class")
