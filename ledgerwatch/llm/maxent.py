@@ -2,7 +2,7 @@
 
 A text is its lower-cased words and one end token. Words fall into classes by their last bytes; the end is a class of its
 own. P(w | h) = P(class | h) P(w | class): the first factor is a softmax over classes of weights hashed by
-features of the words before, the last one, the last two together, and the second and third last alone; the second is the
+features of the words before, the last one, the last two together, and the second last alone; the second is the
 smoothed share of the word in its class, with one place for all unseen words of the class.
 
 Texts are coded once into blocks, each with a dictionary of its own. Counts over the corpus come from the
@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm import text as X
 from ledgerwatch.sources.tables import staged
 
+#: At most 2^16 weight rows.
 CLASSES, ROWS, SUFFIX = 64, 1 << 14, 3
 #: Bytes of text in a block; dictionary entries that one task counts; tokens per training task, gradient step and scoring batch.
-BLOCK_BYTES, ENTRIES, TASK_TOKENS, STEP, BATCH = 1 << 23, 1_000_000, 4_000_000, 2048, 8192
-ROUNDS, RATE, FAN = 3, 0.5, 32
+BLOCK_BYTES, ENTRIES, TASK_TOKENS, STEP, BATCH = 1 << 23, 1_000_000, 4_000_000, 4096, 4096
+ROUNDS, RATE, FAN = 3, 0.1, 32
 END = np.uint64(0x1D8AF066A1C3B2E5)
-_SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
+_SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273], np.uint64)
 _BLOCK = "block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, low binary, high binary"
 
 
@@ -97,17 +98,17 @@ class Block:
         return cls(np.frombuffer(raw["words"], "<u8"), np.frombuffer(raw["classes"], np.uint8), codes, *lists)
 
     def features(self, rows: int = ROWS) -> np.ndarray:
-        """Weight rows of every token: last word, last two, second last and third last."""
+        """Weight rows of every token: last word, last two, second last."""
         hashed = self.words[self.codes]
         ends = np.cumsum(self.size)
         depth = np.arange(len(hashed)) - np.repeat(ends - self.size, self.size)
         back = []
-        for k in (1, 2, 3):
+        for k in (1, 2):
             before = np.zeros_like(hashed)
             before[k:] = hashed[:-k] if len(hashed) > k else before[k:]
             back.append(np.where(depth >= k, before, np.uint64(k)))
         both = back[0] * X.GOLDEN + back[1]
-        return np.column_stack([X.mix(x ^ s) >> np.uint64(64 - int(rows).bit_length() + 1) for x, s in zip((back[0], both, back[1], back[2]), _SALTS, strict=True)]).astype(np.int64)
+        return np.column_stack([X.mix(x ^ s) >> np.uint64(64 - int(rows).bit_length() + 1) for x, s in zip((back[0], both, back[1]), _SALTS, strict=True)]).astype(np.uint16)
 
 
 def _buckets(words: np.ndarray, number: int) -> np.ndarray:
@@ -151,27 +152,40 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(add, "bucket int, block long, totals binary, sums array<long>")
 
 
-def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    z = weights[features[:, 0]] + bias
+def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+    z = np.take(weights, features[:, 0], axis=0)
     for k in range(1, features.shape[1]):
-        z += weights[features[:, k]]
+        z += np.take(weights, features[:, k], axis=0)
+    z += bias
     z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
+def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each target class."""
+    z = _logits(weights, bias, features)
+    own = z[np.arange(len(z)), target]
+    return own - np.log(np.exp(z, out=z).sum(1))
+
+
 def _steps(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float) -> None:
     """Gradient steps over batches of tokens, each weight row with its own pace."""
     for low in range(0, len(target), STEP):
         f, y = features[low : low + STEP], target[low : low + STEP]
-        g = np.exp(_log_softmax(weights, bias, f))
+        g = _logits(weights, bias, f)
+        np.exp(g, out=g)
+        g /= g.sum(1, keepdims=True)
         g[np.arange(len(y)), y] -= 1
-        for k in range(f.shape[1]):
-            order = np.argsort(f[:, k], kind="stable")
-            rows, first, n = np.unique(f[order, k], return_index=True, return_counts=True)
-            summed = np.add.reduceat(g[order], first, axis=0) / np.sqrt(n)[:, None]
-            squares[rows] += (summed * summed).mean(1)
-            weights[rows] -= rate * summed / np.sqrt(squares[rows] + 1e-3)[:, None]
+        flat = f.T.ravel()
+        order = np.argsort(flat, kind="stable")
+        ranked = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        rows, n = ranked[first], np.diff(first, append=len(ranked))
+        summed = np.add.reduceat(np.take(g, order % len(y), axis=0), first, axis=0)
+        summed /= np.sqrt(n, dtype=np.float32)[:, None]
+        squares[rows] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
+        summed *= (rate / np.sqrt(squares[rows] + 1e-3))[:, None]
+        weights[rows] -= summed
 
 
 def train(coded: DataFrame, tokens: int, bias: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
@@ -184,16 +198,16 @@ def train(coded: DataFrame, tokens: int, bias: np.ndarray, rounds: int = ROUNDS,
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
-        def step(batches, shared=shared, turn=turn):
+        def step(batches, shared=shared):
             own, squares, seen = shared.value.copy(), np.zeros(ROWS, np.float32), 0
             for batch in batches:
                 for row in range(len(batch)):
                     block = Block.of(batch, row)
                     taught = np.repeat(~block.held, block.size)
-                    _steps(own, squares, bias, block.features()[taught], block.classes[block.codes[taught]].astype(np.int64), rate / (1 + turn))
+                    _steps(own, squares, bias, block.features()[taught], block.classes[block.codes[taught]].astype(np.int64), rate)
                     seen += int(taught.sum())
             if seen:
-                change = np.split((own - shared.value) * np.float32(1), slices)
+                change = np.split(own - shared.value, slices)
                 part = TaskContext.get().partitionId()
                 made = {"slice": range(slices), "part": [part] * slices, "n": [float(seen)] * slices, "change": [c.astype("<f2").tobytes() for c in change]}
                 yield X.record(made, into)
@@ -237,8 +251,8 @@ def score(coded: DataFrame, counted: DataFrame, number: int, weights: np.ndarray
                 features, target = block.features(), classes[block.codes]
                 chosen = np.empty(len(target))
                 for low in range(0, len(target), BATCH):
-                    z = _log_softmax(shared.value, bias, features[low : low + BATCH])
-                    chosen[low : low + BATCH] = z[np.arange(len(z)), target[low : low + BATCH]]
+                    some = slice(low, low + BATCH)
+                    chosen[some] = _log_softmax(shared.value, bias, features[some], target[some])
                 first = np.cumsum(block.size) - block.size
                 per = lambda values: np.add.reduceat(values, first)  # noqa: E731  every text has its end token
                 made = {

@@ -1,6 +1,6 @@
 """The queries of this package by name, and SQL for those that a second engine can run."""
 
-from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, packing, quality, topk, wrapper
+from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, maxent, packing, quality, topk, wrapper
 
 QUERIES = {
     f.__name__: f
@@ -13,6 +13,7 @@ QUERIES = {
         chat.op6_chat_format,
         language.op7_language_id,
         lexicon.op8_bpe_lexicon,
+        maxent.op9_maxent_scores,
         binary.op10_token_files,
     )
 }
