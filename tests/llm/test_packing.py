@@ -1,0 +1,107 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from ledgerwatch.llm import binary, packing
+from tests.llm.cases import documents
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def spread(counts: dict[int, int], capacity: int) -> dict[int, list[tuple[int, int]]]:
+    """(offset, length) of the pieces of each sequence that a plan gives."""
+    rows = sorted(packing.plan(counts, capacity))
+    out = defaultdict(list)
+    for size, n in counts.items():
+        own = [r for r in rows if r[0] == size]
+        for rank in range(n):
+            _, start, first, each, offset = [r for r in own if r[1] <= rank][-1]
+            out[first + (rank - start) // each].append((offset + (rank - start) % each * size, size))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_plan_fills_without_gaps(seed):
+    rng, capacity = random.Random(seed), random.Random(seed).choice([10, 64, 100])
+    counts = Counter(rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 400)))
+    found = spread(counts, capacity)
+    assert sorted(found) == list(range(len(found)))
+    for pieces in found.values():
+        at = 0
+        for offset, size in sorted(pieces):
+            assert offset == at
+            at += size
+        assert at <= capacity
+        assert sum(3 * size > capacity for _, size in pieces) <= 2
+    total = sum(size * n for size, n in counts.items())
+    assert len(found) <= -(-total * 11 // (capacity * 9)) + 1
+    assert len(found) >= max(-(-total // capacity), sum(n for size, n in counts.items() if 2 * size > capacity))
+
+
+def test_large_pieces_are_matched_best():
+    # 6+4, 6+4, 5+5: no waste, where pairing in order of arrival would need four.
+    assert len(spread({6: 2, 4: 2, 5: 2}, 10)) == 3
+
+
+def test_packed_rows(spark):
+    library, docs = Tokenizer.from_file(PATH), documents(spark)
+    rows, capacity = packing.pack(docs, PATH, 512).collect(), 512
+    want = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        ids = [*library.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), capacity):
+            own = np.array(ids[k : k + capacity], "<u4")
+            want[r["doc_id"], k // capacity, k, len(own), zlib.crc32(own.tobytes())] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for pieces in bins.values():
+        at = 0
+        for offset, size in sorted(pieces):
+            assert offset == at
+            at += size
+        assert at <= capacity
+    assert len(bins) <= 1.02 * sum(r["length"] for r in rows) / capacity + 1
+
+
+def test_nothing_to_pack(spark):
+    assert packing.pack(documents(spark, []).limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])
+def test_numbers_round_trip(n):
+    rng = np.random.default_rng(n)
+    numbers = (rng.integers(0, 2**32, n) >> rng.integers(0, 32, n)).astype(np.uint32)
+    numbers[:4] = [0, 255, 256, 2**32 - 1][: len(numbers[:4])]
+    control, data = binary.pack_numbers(numbers)
+    assert len(control) == -(-n // 4) and binary.unpack_numbers(control, data, n).tolist() == numbers.tolist()
+
+
+def test_files_round_trip(spark, folder, monkeypatch):
+    monkeypatch.setattr(binary, "FILE", 2000)
+    library, docs = Tokenizer.from_file(PATH), documents(spark)
+    binary.write_ids(docs, PATH, folder)
+    rows = binary.read_ids(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in rows), key=lambda i: (i is not None, i))
+    at = 0
+    for r in rows:
+        assert r["start"] == at and r["n_tokens"] == len(r["ids"])
+        at += r["n_tokens"]
+    want = Counter((r["doc_id"], *library.encode(r["text"] or "", add_special_tokens=False).ids, 1) for r in docs.collect())
+    assert Counter((r["doc_id"], *r["ids"]) for r in rows) == want
+    crc = {(r["start"], r["ids_crc32"]) for r in binary.read_ids(spark, folder, digest=True).collect()}
+    assert crc == {(r["start"], zlib.crc32(np.array(r["ids"], "<u4").tobytes())) for r in rows}
+    ranked = [r["id"] for r in spark.read.parquet(f"{folder}/ranks").orderBy("rank").collect()]
+    counts = Counter(i for r in rows for i in r["ids"])
+    assert [counts[i] for i in ranked] == sorted(counts.values(), reverse=True)
+
+
+def test_no_files(spark, folder):
+    binary.write_ids(documents(spark, []).limit(0), PATH, folder)
+    assert binary.read_ids(spark, folder, digest=True).count() == 0
