@@ -121,7 +121,7 @@ class Trees:
 
 
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, direction: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 64, l2: float = 1.0, least: float = 5.0
+    x: np.ndarray, y: np.ndarray, direction: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 64, l2: float = 1.0, least: float = 0.2
 ) -> Trees | None:
     """Gradient boosting of the logistic loss; None if y has one class only."""
     if len(y) == 0 or y.min() == y.max():
@@ -155,7 +155,7 @@ def fit_trees(
             gr, hr = g.sum() - gl, h.sum() - hl
             vl, vr = np.clip(-gl / (hl + l2), low, high), np.clip(-gr / (hr + l2), low, high)
             gain = own - loss(gl, hl, vl) - loss(gr, hr, vr)
-            gain[(hl < least / 4) | (hr < least / 4) | (direction[j] * (vr - vl) < 0)] = -np.inf
+            gain[(hl < least) | (hr < least) | (direction[j] * (vr - vl) < 0)] = -np.inf
             k = int(np.argmax(gain))
             if gain[k] > 1e-3 and (best is None or gain[k] > best[0]):
                 best = gain[k], j, k, vl[k], vr[k]
