@@ -192,8 +192,8 @@ def fit(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees |
 
 
 def judged(measured: DataFrame, model: Trees | None, threshold: float = THRESHOLD) -> DataFrame:
-    """`base_failed`, `kept` and the model's `quality` next to the statistics."""
-    schema = f"doc_id {measured.schema['doc_id'].dataType.simpleString()}, {BASE}, base_failed boolean, kept boolean, quality double"
+    """`base_failed`, `kept` and the model's `probability` next to the statistics."""
+    schema = f"doc_id {measured.schema['doc_id'].dataType.simpleString()}, {BASE}, base_failed boolean, kept boolean, probability double"
 
     into = X.arrow_schema(schema)
 
@@ -210,7 +210,7 @@ def judged(measured: DataFrame, model: Trees | None, threshold: float = THRESHOL
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """Statistics and verdict of every document: doc_id, n_words ... n_repeat_words, base_failed, kept, quality."""
+    """Statistics and verdict of every document: doc_id, n_words ... n_repeat_words, base_failed, kept, probability."""
     measured = staged(statistics(docs), "quality")
     return judged(measured, fit(measured, labels, sample), threshold)
 
