@@ -31,7 +31,7 @@ from ledgerwatch.sources.tables import staged
 #: At most 2^16 weight rows.
 CLASSES, ROWS, SUFFIX = 64, 1 << 14, 3
 #: Bytes of text in a block; dictionary entries that one task counts; tokens per training task, gradient step and scoring batch.
-BLOCK_BYTES, ENTRIES, TASK_TOKENS, STEP, BATCH = 1 << 23, 1_000_000, 4_000_000, 4096, 4096
+BLOCK_BYTES, ENTRIES, TASK_TOKENS, STEP, BATCH = 1 << 22, 1_000_000, 4_000_000, 4096, 4096
 ROUNDS, RATE, FAN = 3, 0.1, 32
 END = np.uint64(0x1D8AF066A1C3B2E5)
 _SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273], np.uint64)
@@ -100,15 +100,18 @@ class Block:
     def features(self, rows: int = ROWS) -> np.ndarray:
         """Weight rows of every token: last word, last two, second last."""
         hashed = self.words[self.codes]
-        ends = np.cumsum(self.size)
-        depth = np.arange(len(hashed)) - np.repeat(ends - self.size, self.size)
-        back = []
-        for k in (1, 2):
-            before = np.zeros_like(hashed)
-            before[k:] = hashed[:-k] if len(hashed) > k else before[k:]
-            back.append(np.where(depth >= k, before, np.uint64(k)))
-        both = back[0] * X.GOLDEN + back[1]
-        return np.column_stack([X.mix(x ^ s) >> np.uint64(64 - int(rows).bit_length() + 1) for x, s in zip((back[0], both, back[1]), _SALTS, strict=True)]).astype(np.uint16)
+        out = np.empty((len(hashed), len(_SALTS)), np.uint16)
+        shift, first = np.uint64(64 - int(rows).bit_length() + 1), np.cumsum(self.size) - self.size
+        one = np.concatenate([hashed[:1], hashed[:-1]])
+        one[first] = 1
+        out[:, 0] = X.mix(one ^ _SALTS[0]) >> shift
+        two = np.concatenate([one[:1], one[:-1]])
+        two[first] = 2
+        out[:, 2] = X.mix(two ^ _SALTS[2]) >> shift
+        one *= X.GOLDEN
+        one += two
+        out[:, 1] = X.mix(one ^ _SALTS[1]) >> shift
+        return out
 
 
 def _buckets(words: np.ndarray, number: int) -> np.ndarray:
