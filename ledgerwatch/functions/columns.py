@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Money is added as an exact decimal, so a total does not depend on the order of the rows.
-MONEY = "decimal(20,4)"
+MONEY = "decimal(28,4)"
 
 # Fixed value: candidate protected columns, in report order.
 PROTECTED_COLUMNS = ("country", "age_group", "is_cross_border")
@@ -18,28 +18,20 @@ PROTECTED_COLUMNS = ("country", "age_group", "is_cross_border")
 CATEGORY_COLUMNS = ("type", "countryOrig", "countryDest", "country")
 
 
-def all_but(df: DataFrame, *names: str) -> list[Column]:
-    """Every column of `df` except `names`, resolved when the plan is built."""
-    return [df[c] for c in df.columns if c not in names]
-
-
 def strip_dashes(code: Column) -> Column:
     """Country code without any `--`."""
     return F.replace(code, F.lit("--"), F.lit(""))
 
 
 def truthy(flag: Column) -> Column:
-    """Boolean from 1/0, true/false or text of either; null and unreadable text are false."""
-    return F.coalesce(flag.try_cast("double") != 0, flag.try_cast("boolean"), F.lit(False))
-
-
-def unreadable_flag(flag: Column) -> Column:
-    """True where a flag is present but `truthy` cannot read it."""
-    return flag.isNotNull() & flag.try_cast("double").isNull() & flag.try_cast("boolean").isNull()
+    """Boolean from finite numbers, true/false or text of either; null and unreadable text are false."""
+    number = flag.try_cast("double")
+    return F.coalesce(F.when(F.abs(number) < float("inf"), number != 0), flag.try_cast("boolean"), F.lit(False))
 
 
 def money_sum(amount: Column) -> Column:
-    return F.sum(amount.cast(MONEY)).cast("double")
+    """The exact total; amounts that are no finite number, or of 24 digits before the point and more, are unknown."""
+    return F.sum(amount.try_cast(MONEY)).cast("double")
 
 
 def pair_key(a: Column, b: Column) -> Column:

@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.operators.skew import HOT_ROWS, HOT_SHARE, cut_points, hot_keys, range_number
+from ledgerwatch.operators.skew import HOT_ROWS, cut_points, hot_keys, range_number
+from ledgerwatch.sources.tables import staged
 
 _ROW, _TIME, _SIDE = "__row", "__time", "__side"
+# Cut points that one sketch of the times gives; beyond, ranges grow.
+MOST_RANGES = 8192
 _RIGHT, _LEFT = 0, 1  # on equal times the right row comes first, so it is found
 
 
@@ -67,8 +70,8 @@ def asof_join(
     tolerance: str | None = None,
     matched_ts: str | None = None,
     hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
-    splits: int = 1024,
+    range_rows: int = HOT_ROWS,
+    right_unique: bool = False,
 ) -> DataFrame:
     """Left rows, each with the columns of the newest right row of its key at or before its time.
 
@@ -76,8 +79,10 @@ def asof_join(
     text such as "2 hours" that limits how old a match may be. `matched_ts` names an output column for
     the time of the matched row. Of several right rows at one time the greatest by its columns counts.
 
-    Keys with few rows take one union and one window, a single shuffle. One small count decides
-    whether any key is hot; the rows of such keys are processed by ranges of time instead.
+    With `right_unique` the caller vouches for one right row per key, and a plain join with a test of the times
+    does. Else keys with few rows take one union and one window, a single shuffle. A count per key finds
+    those with more than `hot_rows` rows; they stay in a table, and their rows are
+    processed by ranges of time of about `range_rows` rows instead.
     """
     right_ts = right_ts or ts
     values = [c for c in right.columns if c not in {*on, right_ts}]
@@ -99,11 +104,17 @@ def asof_join(
         )
         return _carry_forward(events, on).drop(_SIDE)
 
+    if right_unique:
+        one = timed_right.withColumnRenamed(_TIME, "__right_time")
+        joined = timed_left.join(one, list(on), "left")
+        row = F.when(F.col("__right_time") <= F.col(_TIME), F.col(_ROW))
+        return _matched(joined.withColumn(_ROW, row), left.columns, values, tolerance, matched_ts)
+
     keys = timed_right.select(*on).unionByName(matchable.select(*on))
-    hot = hot_keys(keys, on, hot_rows, hot_share)
-    hot_list = hot.collect()  # at most 1/hot_share keys
-    if hot_list:
-        heavy = F.broadcast(left.sparkSession.createDataFrame(hot_list, hot.schema))
+    hot = staged(hot_keys(keys, on, hot_rows), "hot-keys")
+    rows = hot.agg(F.sum("__n")).first()[0]  # one number
+    if rows:
+        heavy, splits = hot.select(*on), min(MOST_RANGES, max(2, -(-rows // range_rows)))
         found = plain(
             matchable.join(heavy, list(on), "left_anti"), timed_right.join(heavy, list(on), "left_anti")
         ).unionByName(
@@ -115,10 +126,14 @@ def asof_join(
         found = plain(matchable, timed_right)
 
     found = found.unionByName(unmatchable, allowMissingColumns=True)
+    return _matched(found, left.columns, values, tolerance, matched_ts)
+
+
+def _matched(found: DataFrame, left: Sequence[str], values: Sequence[str], tolerance: str | None, matched_ts: str | None) -> DataFrame:
     row = F.col(_ROW)
     if tolerance is not None:
         row = F.when(F.col(_ROW)["__at"] + F.expr(f"INTERVAL {tolerance}") >= F.col(_TIME), row)
-    out = [*left.columns, *[row[c].alias(c) for c in values]]
+    out = [*left, *[row[c].alias(c) for c in values]]
     if matched_ts:
         out.append(row["__at"].alias(matched_ts))
     return found.select(*out)

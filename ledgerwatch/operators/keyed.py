@@ -79,11 +79,17 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], value
 def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row-level change set between two versions of a table with unique, non-null keys.
 
-    One row per insert and delete, two per update (`update_pre`, `update_post`), none for equal rows.
+    One row per insert and delete, two per update (`update_pre`, `update_post`), none for equal rows. A column
+    that only one version has is null in the rows of the other, so a new or dropped column with values is an update.
     """
-    fields = _others(new, keys)
-    before = old.select(*keys, F.struct(*fields).alias("__old"))
-    after = new.select(*keys, F.struct(*fields).alias("__new"))
+    fields = [*_others(new, keys), *[c for c in _others(old, keys) if c not in new.columns]]
+    types = {f.name: f.dataType for version in (old, new) for f in version.schema.fields}
+
+    def whole(df: DataFrame) -> Column:
+        return F.struct(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in fields])
+
+    before = old.select(*keys, whole(old).alias("__old"))
+    after = new.select(*keys, whole(new).alias("__new"))
     was, now = F.col("__old"), F.col("__new")
 
     def record(kind: str, row: Column) -> Column:
@@ -101,9 +107,3 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
         .select(*keys, "__change.change_type", "__change.row.*")
     )
 
-
-def apply_changes(old: DataFrame, change_set: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`old` with a change set applied: the inverse of `changes`."""
-    touched = change_set.where("change_type <> 'insert'").select(*keys).distinct()
-    written = change_set.where("change_type IN ('insert', 'update_post')").drop("change_type")
-    return old.join(touched, list(keys), "left_anti").unionByName(written)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import ratio
@@ -23,8 +23,12 @@ CATCH_FLOOR = 0.4
 LOSS_FLOOR = -50_000
 DRIFT_CEILING = 0.2
 
+# How the columns are compared: these by value, the others by ranges.
+VALUE_COLUMNS = ("prediction", "label", "is_cross_border")
 RANGE_BINS = 10
-MAX_VALUE_BINS = 20
+# Exact quantiles up to so many baseline rows, and the most values of a column compared by value.
+EDGE_ACCURACY = 100_000
+MAX_VALUES = 100
 
 
 def profile_metrics(
@@ -99,49 +103,69 @@ def profile_metrics(
 
 @dataclass(frozen=True)
 class Bins:
-    """How one column is binned: by value, or by equal widths between low and high."""
+    """How one column is binned: by the values that the baseline has, or by edges taken from its quantiles.
+
+    Bins are fixed once, with the baseline, so that later rows never change an earlier distance.
+    """
 
     column: str
-    low: float | None = None
-    high: float | None = None
+    values: tuple[float, ...] | None = None
+    edges: tuple[float, ...] = ()
 
-    def number(self) -> Column:
-        """The bin of a row: its value, or its place among the widths. Nulls stay null, a bin of their own."""
+    def label(self) -> Column:
+        """The bin of a row. Nulls and NaN are bins of their own, infinite values lie in the end bins, and a
+        value that the baseline does not have is `other`."""
         value = F.col(self.column).cast("double")
-        if self.low is None:
-            return value
-        if self.low == self.high:
-            return F.when(value.isNotNull(), F.lit(0.0))
-        place = F.floor((value - self.low) / (self.high - self.low) * RANGE_BINS).cast("double")
-        # least() would skip the null.
-        return F.when(place >= RANGE_BINS, F.lit(RANGE_BINS - 1.0)).otherwise(place)
+        if self.values is not None:
+            known = F.when(value.isin(*self.values), value.cast("string")) if self.values else F.lit(None).cast("string")
+            place = F.coalesce(known, F.lit("other"))
+        else:
+            place = F.lit(0)
+            for edge in self.edges:
+                place = place + F.when(value >= edge, 1).otherwise(0)
+            place = place.cast("string")
+        return F.when(value.isNull(), "null").when(F.isnan(value), "NaN").otherwise(place)
 
 
-def plan_bins(df: DataFrame, columns: Sequence[str]) -> list[Bins]:
-    """Choose the bins from all rows compared: one per value up to 20 values, else equal widths.
+def fix_bins(baseline: DataFrame, columns: Sequence[str] = DRIFT_COLUMNS, by_value: Sequence[str] = VALUE_COLUMNS) -> list[Bins]:
+    """The bins of a baseline: one per value for the columns named in `by_value`, else tenths of its finite values.
 
-    Two one-row aggregates reach the driver. Exact distinct counts are made only for columns whose
-    estimate is low, so no column with many values is shuffled for them.
+    A column by value with more than MAX_VALUES of them is refused; it belongs among the ranges.
     """
-    numbers = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    bounds = numbers.agg(
-        *[F.min(c).alias(f"low_{c}") for c in columns],
-        *[F.max(c).alias(f"high_{c}") for c in columns],
-        *[F.approx_count_distinct(c).alias(f"about_{c}") for c in columns],
-    ).first()
-    few = [c for c in columns if bounds[f"about_{c}"] <= 3 * MAX_VALUE_BINS]
-    exact = numbers.agg(F.lit(0).alias("none"), *[F.count_distinct(c).alias(c) for c in few]).first()
-    by_value = {c for c in few if exact[c] <= MAX_VALUE_BINS}
-    return [Bins(c) if c in by_value else Bins(c, bounds[f"low_{c}"], bounds[f"high_{c}"]) for c in columns]
+
+    def finite(c: str) -> Column:
+        value = F.col(c).cast("double")
+        return F.when(F.abs(value) < float("inf"), value)
+
+    tenths = [k / RANGE_BINS for k in range(1, RANGE_BINS)]
+    few, ranged = [c for c in columns if c in by_value], [c for c in columns if c not in by_value]
+    edges = baseline.agg(F.lit(0).alias("none"), *[F.percentile_approx(finite(c), tenths, EDGE_ACCURACY).alias(c) for c in ranged]).first()
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), finite(c).alias("value")) for c in few]))
+    seen = baseline.select(cells).distinct().where("value IS NOT NULL").limit(MAX_VALUES * len(few) + 1).collect() if few else []
+    values = {c: tuple(sorted(r.value for r in seen if r.column == c)) for c in few}
+    for c, found in values.items():
+        if len(found) > MAX_VALUES:
+            raise ValueError(f"{c} has more than {MAX_VALUES} values: compare it by ranges")
+    return [Bins(c, values[c]) if c in few else Bins(c, None, tuple(sorted(set(edges[c] or ())))) for c in columns]
+
+
+def bins_table(spark: SparkSession, bins: Sequence[Bins]) -> DataFrame:
+    """The bins as rows, to be stored beside their baseline."""
+    rows = [(b.column, None if b.values is None else list(b.values), list(b.edges)) for b in bins]
+    return spark.createDataFrame(rows, "column_name string, bin_values array<double>, edges array<double>")
+
+
+def stored_bins(table: DataFrame) -> list[Bins]:
+    rows = table.orderBy("column_name").collect()  # one row per column
+    return [Bins(r.column_name, None if r.bin_values is None else tuple(r.bin_values), tuple(r.edges)) for r in rows]
 
 
 def histograms(df: DataFrame, bins: Sequence[Bins], by: Sequence[Column]) -> DataFrame:
-    """Per group and column one map bin -> rows. A map has at most 21 or 11 entries."""
-    cells = F.inline(F.array(*[F.struct(F.lit(b.column).alias("column_name"), b.number().alias("bin")) for b in bins]))
+    """Per group and column one map bin -> rows, from one pass. A map has as many entries as there are bins."""
+    cells = F.inline(F.array(*[F.struct(F.lit(b.column).alias("column_name"), b.label().alias("bin")) for b in bins]))
     names = [*df.select(*by).columns]
     counted = df.select(*by, cells).groupBy(*names, "column_name", "bin").agg(F.count(F.lit(1)).alias("rows"))
-    # Keys of a map cannot be null.
-    entry = F.struct(F.coalesce(F.col("bin").cast("string"), F.lit("null")).alias("bin"), "rows")
+    entry = F.struct("bin", "rows")
     return counted.groupBy(*names, "column_name").agg(F.map_from_entries(F.collect_list(entry)).alias("histogram"))
 
 
@@ -179,7 +203,7 @@ def _drift_row(kind: str, version: str, distance: Column) -> list[Column]:
 
 def drift_consecutive(
     log: DataFrame,
-    columns: Sequence[str] = DRIFT_COLUMNS,
+    bins: Sequence[Bins],
     ts: str = "inference_timestamp",
     version: str = "model_version",
     window: str = "1 day",
@@ -188,7 +212,7 @@ def drift_consecutive(
 
     The rows are read into histograms once; what is ordered per version is one row per window.
     """
-    found = histograms(log, plan_bins(log, columns), [F.window(ts, window).alias("window"), F.col(version)])
+    found = histograms(log, bins, [F.window(ts, window).alias("window"), F.col(version)])
     earlier = Window.partitionBy(version, "column_name").orderBy("window.start")
     with_previous = found.withColumn("previous", F.lag("histogram").over(earlier)).where("previous IS NOT NULL")
     distance = js_distance(F.col("histogram"), F.col("previous"))
@@ -198,13 +222,12 @@ def drift_consecutive(
 def drift_baseline(
     log: DataFrame,
     baseline: DataFrame,
-    columns: Sequence[str] = DRIFT_COLUMNS,
+    bins: Sequence[Bins],
     ts: str = "inference_timestamp",
     version: str = "model_version",
     window: str = "1 day",
 ) -> DataFrame:
-    """Distance of each column between a window and the baseline; bins come from both together."""
-    bins = plan_bins(log.select(*columns).unionByName(baseline.select(*columns)), columns)
+    """Distance of each column between a window and the baseline that the bins were fixed with."""
     found = histograms(log, bins, [F.window(ts, window).alias("window"), F.col(version)])
     # One row per column.
     reference = F.broadcast(histograms(baseline, bins, []).withColumnRenamed("histogram", "reference"))

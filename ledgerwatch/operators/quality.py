@@ -37,7 +37,7 @@ AMOUNT_DECENT = Expectation("amount_decent", "amount > 10")
 # Labels that `truthy` cannot read count as no fraud; this shows how many there are.
 READABLE_LABEL = Expectation(
     "readable_label",
-    "is_fraud IS NULL OR try_cast(is_fraud AS DOUBLE) IS NOT NULL OR try_cast(is_fraud AS BOOLEAN) IS NOT NULL",
+    "is_fraud IS NULL OR abs(try_cast(is_fraud AS DOUBLE)) < double('infinity') OR try_cast(is_fraud AS BOOLEAN) IS NOT NULL",
 )
 
 

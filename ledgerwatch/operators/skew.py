@@ -7,17 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of the rows, so at most 1/HOT_SHARE keys are hot.
-HOT_SHARE = 1e-4
-# Never treat a key as hot below this many rows: one task sorts them without effort.
+# Rows that one task sorts without effort; a key with more is hot, whatever its share of the table.
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than max(min_rows, share x rows) rows; at most 1/share of them by construction."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    return counts.where((F.col("__n") > min_rows) & (F.col("__n") > total * share)).select(*keys)
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `min_rows` rows, and `__n`, how many."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > min_rows)
 
 
 def cut_points(df: DataFrame, value: Column, parts: int) -> Column:

@@ -75,10 +75,14 @@ def training_set(
     functions: Iterable[BoundFunction] = (RISK_SCORE,),
     label: str = "is_fraud",
     exclude: Iterable[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """Labelled rows with the features known at label time and the on-demand columns."""
+    """Labelled rows with the features known at label time and the on-demand columns.
+
+    `unique` says that `features` has one row per transaction, as `feature_table` makes it.
+    """
     known = labels.where(F.col(label).isNotNull())
-    joined = asof_join(known, features, on=["transaction_id"], ts="event_ts")
+    joined = asof_join(known, features, on=["transaction_id"], ts="event_ts", right_unique=unique)
     for function in functions:
         joined = function.add_to(joined)
     return joined.drop(*exclude)

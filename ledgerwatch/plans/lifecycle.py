@@ -71,7 +71,7 @@ def train_and_judge(
     """
     spark = gold.sparkSession
     labels, known = features.label_table(gold, event_ts), features.feature_table(gold, event_ts)
-    training = staged(features.training_set(labels, known, functions), "training")
+    training = staged(features.training_set(labels, known, functions, unique=True), "training")
     train, test = training.where("split = 'train'"), training.where("split = 'test'")
     categorical, numeric = learning.model_columns(training, NOT_INPUTS)
 
@@ -129,18 +129,22 @@ class Watch:
 def watch(
     log: DataFrame,
     labels: DataFrame,
-    baseline: DataFrame | None = None,
+    baseline: DataFrame,
     columns: Sequence[str] = ("amount", "balance_orig_ratio"),
     ts: str = "inference_timestamp",
+    bins: Sequence[monitor.Bins] | None = None,
 ) -> Watch:
-    """Profile and drift of an inference log with the labels known by now, and whether to train again."""
+    """Profile and drift of an inference log with the labels known by now, and whether to train again.
+
+    The baseline is a fixed table apart from the log; its bins are those stored with it, or are made from it.
+    """
     labelled = staged(features.with_labels(log, labels), "labelled")
-    reference = features.baseline(labelled) if baseline is None else baseline
+    bins = monitor.fix_bins(baseline) if bins is None else bins
     profile = staged(monitor.profile_metrics(labelled, columns, ts), "profile")
-    drift = staged(monitor.drift_consecutive(labelled, ts=ts), "drift")
+    drift = staged(monitor.drift_consecutive(labelled, bins, ts=ts), "drift")
     return Watch(
         profile,
         drift,
-        monitor.drift_baseline(labelled, reference, ts=ts),
+        monitor.drift_baseline(labelled, baseline, bins, ts=ts),
         monitor.retrain_decision(monitor.recent_profile(profile), monitor.recent_drift(drift)),
     )

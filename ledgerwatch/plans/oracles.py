@@ -6,7 +6,7 @@ VIEWS = {
     "country_coordinates": """
 SELECT concat('N', lpad(CAST(n_nationkey AS STRING), 2, '0')) AS alpha3_code, n_name AS country,
        CAST(n_nationkey * 14 - 170 AS DOUBLE) AS long_avg, CAST(n_nationkey * 7 - 84 AS DOUBLE) AS lat_avg
-FROM nation WHERE n_nationkey <> 24""",
+FROM nation""",
     "banking_customers": """
 SELECT CAST(c_custkey AS STRING) AS id, c_name AS firstname, c_mktsegment AS lastname,
        concat('N', lpad(CAST(c_nationkey AS STRING), 2, '0')) AS country,

@@ -100,7 +100,7 @@ def onehot_counts(bank: Bank) -> DataFrame:
 def _training(bank: Bank) -> DataFrame:
     """The training set as a table: preparation, fit and scoring each read it."""
     gold = bank.stored_gold()
-    return staged(features.training_set(features.label_table(gold), features.feature_table(gold)), "training")
+    return staged(features.training_set(features.label_table(gold), features.feature_table(gold), unique=True), "training")
 
 
 def _train_rows(training: DataFrame) -> DataFrame:

@@ -238,8 +238,12 @@ def _profile(log: DataFrame) -> DataFrame:
     return monitor.profile_metrics(log, PROFILED, ts="event_ts")
 
 
+def _reference(log: DataFrame) -> DataFrame:
+    return log.where(F.col("event_ts") < F.lit(REFERENCE_UNTIL).cast("timestamp_ntz"))
+
+
 def _log(bank: Bank) -> DataFrame:
-    """The inference log as a table: drift reads it for the bins and again for the histograms."""
+    """The inference log as a table: the bins come from its reference period, the histograms from all of it."""
     columns = {*PROFILED, *monitor.DRIFT_COLUMNS, "event_ts", "model_version"}
     return staged(bank.scored.select(*sorted(columns)), "log")
 
@@ -265,12 +269,21 @@ def recent_profile(bank: Bank) -> DataFrame:
     return monitor.recent_profile(_profile(bank.scored))
 
 
+# The reference period of the drift queries: the first year of the log.
+REFERENCE_UNTIL = "1996-01-01"
+_RANGED = [c for c in monitor.DRIFT_COLUMNS if c not in monitor.VALUE_COLUMNS]
+
 _CELLS = f"""
-cells AS ({" UNION ALL ".join(f"SELECT date_trunc('day', event_ts) AS window_start, model_version, '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM fraud_scored" for c in monitor.DRIFT_COLUMNS)}),
-bounds AS (SELECT column_name, min(v) AS lo, max(v) AS hi, count(DISTINCT v) AS k FROM cells GROUP BY 1),
-binned AS (SELECT window_start, model_version, column_name,
-  CASE WHEN v IS NULL THEN 'null' WHEN k <= 20 THEN CAST(v AS STRING) WHEN lo = hi THEN '0'
-       ELSE CAST(least(floor((v - lo) / (hi - lo) * 10), 9) AS STRING) END AS bin FROM cells JOIN bounds USING (column_name)),
+cells AS ({" UNION ALL ".join(f"SELECT event_ts, date_trunc('day', event_ts) AS window_start, model_version, '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM fraud_scored" for c in monitor.DRIFT_COLUMNS)}),
+reference AS (SELECT column_name, v FROM cells WHERE event_ts < TIMESTAMP '{REFERENCE_UNTIL}' AND isfinite(v)),
+cuts AS (SELECT column_name, list_distinct(quantile_disc(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges
+  FROM reference WHERE column_name IN ({", ".join(f"'{c}'" for c in _RANGED)}) GROUP BY 1),
+known AS (SELECT DISTINCT column_name, v FROM reference),
+binned AS (SELECT window_start, c.model_version, c.column_name,
+  CASE WHEN c.v IS NULL THEN 'null' WHEN isnan(c.v) THEN 'NaN'
+       WHEN e.edges IS NOT NULL THEN CAST(len(list_filter(e.edges, lambda x: x <= c.v)) AS STRING)
+       WHEN k.v IS NULL THEN 'other' ELSE CAST(c.v AS STRING) END AS bin, event_ts < TIMESTAMP '{REFERENCE_UNTIL}' AS in_reference
+  FROM cells c LEFT JOIN cuts e ON c.column_name = e.column_name LEFT JOIN known k ON c.column_name = k.column_name AND c.v = k.v),
 hist AS (SELECT window_start, model_version, column_name, bin, count(*) AS rows_ FROM binned GROUP BY ALL),
 sums AS (SELECT window_start, model_version, column_name, CAST(sum(rows_) AS DOUBLE) AS total
   FROM hist GROUP BY ALL),
@@ -315,14 +328,15 @@ def _drift_rows(drift: DataFrame) -> DataFrame:
     )
 )
 def drift_consecutive(bank: Bank) -> DataFrame:
-    return _drift_rows(monitor.drift_consecutive(_log(bank), ts="event_ts"))
+    log = _log(bank)
+    return _drift_rows(monitor.drift_consecutive(log, monitor.fix_bins(_reference(log)), ts="event_ts"))
 
 
 @query(
     over(
         "fraud_scored",
         ctes=f"""{_CELLS},
-base AS (SELECT column_name, bin, sum(rows_) AS rows_ FROM hist GROUP BY ALL),
+base AS (SELECT column_name, bin, count(*) AS rows_ FROM binned WHERE in_reference GROUP BY ALL),
 base_total AS (SELECT column_name, CAST(sum(rows_) AS DOUBLE) AS total FROM base GROUP BY 1),
 now_ AS (SELECT window_start, model_version, column_name, bin, rows_ / total AS p, 0.0::DOUBLE AS q
   FROM hist JOIN totals USING (window_start, model_version, column_name)),
@@ -336,7 +350,8 @@ aligned AS (SELECT window_start, model_version, column_name, bin, sum(p) AS p, s
 )
 def drift_baseline(bank: Bank) -> DataFrame:
     log = _log(bank)
-    return _drift_rows(monitor.drift_baseline(log, log, ts="event_ts"))
+    reference = _reference(log)
+    return _drift_rows(monitor.drift_baseline(log, reference, monitor.fix_bins(reference), ts="event_ts"))
 
 
 _RECENT_DRIFT = """recent_drift AS (
@@ -345,7 +360,7 @@ _RECENT_DRIFT = """recent_drift AS (
 
 
 def _recent_drift(log: DataFrame) -> DataFrame:
-    return monitor.recent_drift(monitor.drift_consecutive(log, ts="event_ts"))
+    return monitor.recent_drift(monitor.drift_consecutive(log, monitor.fix_bins(_reference(log)), ts="event_ts"))
 
 
 @query(over("fraud_scored", ctes=f"{_DRIFT}, {_RECENT_DRIFT}", select="SELECT * FROM recent_drift"))

@@ -53,7 +53,7 @@ def label_split_counts(bank: Bank) -> DataFrame:
 )
 def training_set(bank: Bank) -> DataFrame:
     gold = bank.stored_gold()
-    return features.training_set(features.label_table(gold), features.feature_table(gold))
+    return features.training_set(features.label_table(gold), features.feature_table(gold), unique=True)
 
 
 @query(
@@ -66,7 +66,7 @@ def training_set(bank: Bank) -> DataFrame:
 )
 def inference_log(bank: Bank) -> DataFrame:
     gold = bank.stored_gold()
-    joined = features.training_set(features.label_table(gold), features.feature_table(gold))
+    joined = features.training_set(features.label_table(gold), features.feature_table(gold), unique=True)
     scored = joined.select(
         *KEYS,
         "is_fraud",
@@ -221,7 +221,7 @@ def asof_click_recent(bank: Bank) -> DataFrame:
     purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     clicks = events.where("event_type = 'click'").select("user_id", "ts", F.col("value").alias("click_value"))
     found = asof_join(
-        purchases, clicks, on=["user_id"], ts="ts", tolerance="12 hours", hot_rows=0, hot_share=0.0, splits=16
+        purchases, clicks, on=["user_id"], ts="ts", tolerance="12 hours", hot_rows=0, range_rows=1000
     )
     return found.select("event_id", "click_value")
 

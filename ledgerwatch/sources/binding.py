@@ -39,15 +39,11 @@ class Bank:
     @cached_property
     def countries(self) -> DataFrame:
         key = F.col("n_nationkey")
-        return (
-            self.table("nation")
-            .where(key != 24)
-            .select(
-                _country_code(key, "N").alias("alpha3_code"),
-                F.col("n_name").alias("country"),
-                (key * 14 - 170).cast("double").alias("long_avg"),
-                (key * 7 - 84).cast("double").alias("lat_avg"),
-            )
+        return self.table("nation").select(
+            _country_code(key, "N").alias("alpha3_code"),
+            F.col("n_name").alias("country"),
+            (key * 14 - 170).cast("double").alias("long_avg"),
+            (key * 7 - 84).cast("double").alias("lat_avg"),
         )
 
     @cached_property

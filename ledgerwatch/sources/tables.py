@@ -41,6 +41,14 @@ def matching_paths(spark: SparkSession, pattern: str) -> list:
     return [found.getPath() for found in system.globStatus(glob) or []]
 
 
+def claimed(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file; false if it is there already."""
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(file.getParent())
+    return bool(system.createNewFile(file))
+
+
 class VersionedTable:
     """A table that is replaced as a whole while it may be read, also by the plan that replaces it.
 
@@ -68,8 +76,13 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.path}/v={version}")
 
     def replace(self, df: DataFrame, sort_by: Sequence[str] = ()) -> int:
-        """Write a new version, schema included. Sorting within files lets readers skip row groups."""
+        """Write a new version, schema included. Sorting within files lets readers skip row groups.
+
+        The number is claimed first by a file that only one writer can create, so two writers never share a version.
+        """
         version = max(self.versions(), default=0) + 1
+        while not claimed(self.spark, f"{self.path}/claims/{version}"):
+            version += 1
         rows = df.sortWithinPartitions(*sort_by) if sort_by else df
         rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         return version
@@ -106,14 +119,17 @@ def upsert_partitions(
 
     `partition` must follow from the key, so that a row never has its match in another partition. The
     merged partitions are staged before they replace the old ones, because a plan cannot overwrite what
-    it reads.
+    it reads. Rows without a partition value are a partition of their own.
     """
     incoming = staged(source, "upsert")
     # A dynamic overwrite leaves no success marker; the partitions themselves tell that the table exists.
     if matching_paths(spark, f"{path}/{partition}=*"):
-        touched = F.broadcast(incoming.select(partition).distinct())
+        stored = spark.read.parquet(path)
         # A join on the partition column: the scan skips every partition that is not touched.
-        target = spark.read.parquet(path).join(touched, partition, "left_semi")
+        target = stored.join(incoming.select(partition).where(F.col(partition).isNotNull()).distinct(), partition, "left_semi")
+        if not incoming.where(F.col(partition).isNull()).isEmpty():
+            # A null matches nothing in a join, but the overwrite replaces its partition all the same.
+            target = target.unionByName(stored.where(F.col(partition).isNull()))
         merged = staged(keyed.upsert(target, incoming, keys), "merged")
     else:
         merged = keyed.upsert(None, incoming, keys)

@@ -11,7 +11,7 @@ START = dt.datetime(2024, 1, 1)
 LEFT = "id int, k string, ts timestamp_ntz"
 RIGHT = "k string, ts timestamp_ntz, v int, w string"
 
-PATHS = {"plain": {}, "hot": {"hot_rows": 0, "hot_share": 0.0, "splits": 8}, "mixed": {"hot_rows": 60, "hot_share": 0.0, "splits": 16}}
+PATHS = {"plain": {}, "hot": {"hot_rows": 0, "range_rows": 30}, "mixed": {"hot_rows": 60, "range_rows": 12}, "one": {"hot_rows": 0, "range_rows": 10**9}}
 
 
 def at(minute):
@@ -80,6 +80,17 @@ def test_right_time_may_have_another_name(spark):
     assert asof_join(left, right, ["k"], "ts", right_ts="seen").first().v == 7
 
 
+def test_one_right_row_per_key(spark):
+    """The plain join gives what the other paths give, with fewer exchanges."""
+    left, right = random_sides(4)
+    once = list({k: (k, t, v, w) for k, t, v, w in right}.values())
+    sides = spark.createDataFrame(left, LEFT), spark.createDataFrame(once, RIGHT)
+    found = asof_join(*sides, ["k"], "ts", tolerance="20 minutes", matched_ts="at", right_unique=True)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == brute_force(left, once, dt.timedelta(minutes=20))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Union" not in plan
+
+
 def test_empty_right_keeps_the_left(spark):
     left = spark.createDataFrame([(1, "a", at(5)), (2, None, None)], LEFT)
     found = asof_join(left, spark.createDataFrame([], RIGHT), ["k"], "ts").collect()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions import columns
 from ledgerwatch.functions.risk import RISK_SCORE, register_risk_score, transaction_risk_score
-from ledgerwatch.operators.quality import DROP, FAIL, Expectation, ExpectationFailed, enforce, report
+from ledgerwatch.operators.quality import DROP, FAIL, READABLE_LABEL, Expectation, ExpectationFailed, enforce, report
 from ledgerwatch.operators.sampling import hash_bucket, hash_sample, hash_top_n, split_name
 from ledgerwatch.operators.windows import last_hours
 from ledgerwatch.plans import analytics, features, layers
@@ -36,12 +36,18 @@ def test_new_source_columns_reach_gold(spark):
 @pytest.mark.parametrize(
     "text, expected, unreadable",
     [("1", True, False), ("0", False, False), ("1.0", True, False), ("true", True, False), ("FALSE", False, False),
-     (None, False, False), ("maybe", False, True), ("", False, True)],
+     (None, False, False), ("maybe", False, True), ("", False, True), ("NaN", False, True), ("-Infinity", False, True), ("2.5", True, False)],
 )
 def test_fraud_flag(spark, text, expected, unreadable):
     df = spark.createDataFrame([(text,)], "f string")
-    row = df.select(columns.truthy(F.col("f")).alias("f"), columns.unreadable_flag(F.col("f")).alias("u")).first()
-    assert (row.f, row.u) == (expected, unreadable)
+    row = df.select(columns.truthy(F.col("f")).alias("f")).first()
+    counts = report(df.toDF("is_fraud"), [READABLE_LABEL]).first()
+    assert (row.f, bool(counts.failed)) == (expected, unreadable)
+
+
+def test_money_adds_up_beyond_double_precision(spark):
+    df = spark.createDataFrame([(1e16,), (0.25,), (-1e16,), (float("nan"),), (float("inf"),), (1e30,), (None,)], "v double")
+    assert df.select(columns.money_sum(F.col("v"))).first()[0] == 0.25
 
 
 @pytest.mark.parametrize("a, b, key", [("b", "a", "a-b"), ("a", "b", "a-b"), ("a", "a", "a-a"), (None, "a", None)])

@@ -42,7 +42,7 @@ def test_train_judge_score_watch(spark, gold, folder, trial):
     stored = spark.read.parquet(f"{folder}/log").drop("day")
     assert {(r.model_version, r.inference_timestamp) for r in stored.select("model_version", "inference_timestamp").distinct().collect()} == {("7", AT)}
     shifted = stored.withColumn("inference_timestamp", F.col("inference_timestamp") + F.expr("INTERVAL 1 DAY")).withColumn("amount", F.col("amount") * 10)
-    watched = lifecycle.watch(stored.unionByName(shifted), labels)
+    watched = lifecycle.watch(stored.unionByName(shifted), labels, features.baseline(features.with_labels(stored, labels)))
     assert watched.decision.first().retrain  # the amounts moved
     moved = {r.column_name for r in watched.drift.where("js_distance > 0.2").collect()}
     assert moved == {"amount"} and watched.baseline_drift.count() == 10

@@ -53,7 +53,8 @@ def test_profile_slices_and_unlabelled_rows(spark):
 
 def test_consecutive_drift_skips_empty_days(spark):
     rows = [(0, 0.0, 0.0, 1.0, 0.0)] * 4 + [(3, 0.0, 1.0, 1.0, 0.0)] * 4 + [(4, 0.0, 1.0, None, 0.0)] * 4
-    found = monitor.drift_consecutive(log(spark, rows))
+    whole = log(spark, rows)
+    found = monitor.drift_consecutive(whole, monitor.fix_bins(whole))
     by = {(r.window.start.day, r.column_name): r.js_distance for r in found.collect()}
     assert len(by) == 2 * len(monitor.DRIFT_COLUMNS)  # the first day has nothing to compare with
     assert by[4, "prediction"] == pytest.approx(1.0) and by[5, "prediction"] == pytest.approx(0.0)
@@ -61,25 +62,46 @@ def test_consecutive_drift_skips_empty_days(spark):
     assert by[4, "label"] == pytest.approx(0.0)
 
 
-def test_bins(spark):
-    df = spark.createDataFrame([(float(i), float(i % 3), 7.0, None) for i in range(100)], "a double, b double, c double, d double")
-    a, b, c, d = monitor.plan_bins(df, ["a", "b", "c", "d"])
-    assert (a.low, a.high) == (0.0, 99.0) and b.low is None and c.low is None and d.low is None
-    counted = df.groupBy(a.number().alias("bin")).count().collect()
-    assert {r.bin: r["count"] for r in counted} == {float(i): 10 for i in range(10)}
-    assert {r[0] for r in df.select(d.number()).distinct().collect()} == {None}
+def test_bins_of_a_baseline(spark):
+    df = spark.createDataFrame([(float(i), float(i % 3), None) for i in range(1, 101)] + [(float("nan"), float("inf"), None)], "a double, b double, c double")
+    a, b, c = monitor.fix_bins(df, ["a", "b", "c"], by_value=["b"])
+    assert a.edges == tuple(float(k) for k in range(10, 100, 10)) and b.values == (0.0, 1.0, 2.0) and c.edges == ()
+    odd = spark.createDataFrame([(v, v) for v in (None, float("nan"), float("inf"), float("-inf"), 1.0, 55.0, 1e9)], "a double, b double")
+    assert [tuple(r) for r in odd.select(a.label(), b.label()).collect()] == [
+        ("null", "null"), ("NaN", "NaN"), ("9", "other"), ("0", "other"), ("0", "1.0"), ("5", "other"), ("9", "other")
+    ]
+    assert monitor.stored_bins(monitor.bins_table(spark, [a, b, c])) == [a, b, c]
+
+
+def test_too_many_values_are_refused(spark):
+    df = spark.range(200).select(F.col("id").cast("double").alias("b"))
+    with pytest.raises(ValueError, match="by ranges"):
+        monitor.fix_bins(df, ["b"], by_value=["b"])
+
+
+def test_one_value_does_not_switch_drift_off(spark):
+    """Two days with disjoint amounts, then one NaN, one outlier, one infinite value on later days."""
+    days = [(0, 0.0, 0.0, float(10 + k), 0.0) for k in range(20)] + [(1, 0.0, 0.0, float(100 + k), 0.0) for k in range(20)]
+    first = log(spark, days[:20])
+    bins = monitor.fix_bins(first)
 
+    def second_day(rows):
+        found = monitor.drift_consecutive(log(spark, rows), bins).where("column_name = 'amount'").collect()
+        return {r.window.start.day: r.js_distance for r in found}[2]
 
-def test_twenty_values_are_binned_by_value_and_21_by_width(spark):
-    df = spark.createDataFrame([(float(i % 20), float(i % 21)) for i in range(420)], "a double, b double")
-    a, b = monitor.plan_bins(df, ["a", "b"])
-    assert a.low is None and (b.low, b.high) == (0.0, 20.0)
+    alone = second_day(days)
+    assert alone > 0.8
+    for odd in (float("nan"), 1e9, float("inf")):
+        assert second_day([*days, (2, 0.0, 0.0, odd, 0.0)]) == alone
+    with_nan = [*days, (1, 0.0, 0.0, float("nan"), 0.0)]
+    assert second_day(with_nan) > 0.8
 
 
 def test_baseline_drift(spark):
     rows = [(0, 0.0, 0.0, 1.0, 0.0)] * 4 + [(1, 0.0, 1.0, 1.0, 0.0)] * 4
     whole = log(spark, rows)
-    found = monitor.drift_baseline(whole, whole.where("prediction = 0"))
+    reference = whole.where("prediction = 0")
+    found = monitor.drift_baseline(whole, reference, monitor.fix_bins(reference))
     by = {(r.window.start.day, r.column_name): r.js_distance for r in found.collect()}
     assert by[1, "prediction"] == pytest.approx(0.0) and by[2, "prediction"] == pytest.approx(1.0)
 
@@ -118,4 +140,4 @@ def test_recent_rows_come_from_the_whole_log(spark):
     profile = monitor.profile_metrics(log(spark, rows), ["amount"])
     recent = monitor.recent_profile(profile).collect()
     assert len(recent) == 30 and recent[0].time_window == DAY + dt.timedelta(days=39)
-    assert monitor.recent_drift(monitor.drift_consecutive(log(spark, rows))).count() == 50
+    assert monitor.recent_drift(monitor.drift_consecutive(log(spark, rows), monitor.fix_bins(log(spark, rows)))).count() == 50

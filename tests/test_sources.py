@@ -110,6 +110,21 @@ def test_log_is_kept_by_day(spark, folder):
     assert day.count() == 2 and "PartitionFilters: [isnotnull(day" in day._jdf.queryExecution().toString()
 
 
+def test_two_writers_never_share_a_version(spark, folder):
+    table = VersionedTable(spark, folder)
+    assert tables.claimed(spark, f"{folder}/claims/1")  # another writer is at work on it
+    assert table.replace(spark.range(3).toDF("id")) == 2 and table.versions() == [2]
+
+
+def test_upsert_keeps_rows_without_partition(spark, folder):
+    schema = "id int, day string, v string"
+    tables.upsert_partitions(spark, folder, spark.createDataFrame([(1, None, "a"), (2, "d1", "b")], schema), ["id"], "day")
+    tables.upsert_partitions(spark, folder, spark.createDataFrame([(3, None, "c"), (1, None, "A")], schema), ["id"], "day")
+    tables.upsert_partitions(spark, folder, spark.createDataFrame([(2, "d1", "B")], schema), ["id"], "day")
+    found = sorted((r.id, r.day, r.v) for r in spark.read.parquet(folder).collect())
+    assert found == [(1, None, "A"), (2, "d1", "B"), (3, None, "c")]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert tables.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
