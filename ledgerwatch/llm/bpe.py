@@ -98,6 +98,7 @@ class Vocabulary:
         key = np.array([[ids[a], ids[b]] for a, b in pairs], np.uint64)
         self.ranks = Table((key[:, 0] << np.uint64(32)) | key[:, 1], np.arange(len(pairs), dtype=np.int32))
         self.made = np.array([ids[a + b] for a, b in pairs], np.int32)
+        self.kept = KEPT
         self.pieces: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {"\0": _END}
         back = {c: b for b, c in enumerate(chars)}
@@ -187,7 +188,7 @@ class Vocabulary:
         plain = pieces if not odd.any() else [p for p, o in zip(pieces, odd.tolist(), strict=True) if not o]
         text = b"\0".join([*plain, b""]).decode()
         found = (_LOWER_WORDS if self.by_words else _BYTE_WORDS).findall(text.lower() if self.by_words else text)
-        if len(self.words) > KEPT:
+        if len(self.words) > self.kept:
             self.words.clear()
         self.words["\0"] = _END
         unseen = list(set(found).difference(self.words))
@@ -235,7 +236,7 @@ class Vocabulary:
         `known(keys)` may return the ids of a list of keys, None where it has none.
         """
         keys = self.keys(texts)
-        if len(self.pieces) > KEPT:
+        if len(self.pieces) > self.kept:
             self.pieces.clear()
         unseen = list(set().union(*keys).difference(self.pieces))
         if known is not None and unseen:

@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.llm import bpe
 from ledgerwatch.llm import text as X
+from ledgerwatch.sources.tables import staged
 
-#: Words in the lexicon, and distinct words a task counts before it passes them on.
-SIZE, HELD = 65_536, 400_000
+#: Most words in the lexicon; distinct words a task counts before it passes them on; unseen words a worker keeps.
+SIZE, HELD, KEPT = 65_536, 200_000, 200_000
 _FIELDS = ("shape", "keys", "values", "target", "skip", "final", "at", "ids")
 _TYPES = ("<i8", "<u8", "<i4", "<i4", "<i4", "u1", "<i8", "<u4")
 
@@ -147,8 +148,18 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
 
 
 def frequent(docs: DataFrame, path: str, size: int = SIZE) -> bytes:
-    """The compiled lexicon of the `size` most frequent words of all texts, ties to the smaller word."""
-    top = word_counts(docs, path).orderBy(F.desc("count"), "word").limit(size).select("word").toPandas()["word"]
+    """The compiled lexicon of the most frequent words of all texts: all above the lowest count that leaves at most `size`.
+
+    What reaches the driver is a histogram of the counts, a row per distinct count, and the chosen words.
+    """
+    counted = staged(word_counts(docs, path), "words")
+    cut = total = 0
+    for row in counted.groupBy("count").agg(F.count("*").alias("n")).orderBy(F.desc("count")).collect():
+        total += row["n"]
+        if total > size:
+            cut = row["count"]
+            break
+    top = counted.where(F.col("count") > cut).select("word").toPandas()["word"]
     words, vocabulary = [bytes(w) for w in top], bpe.Vocabulary(path)
     return compile_lexicon(words, vocabulary.encode_pieces([vocabulary.piece(w) for w in words]))
 
@@ -159,6 +170,7 @@ def encoder(spark: SparkSession, path: str, block: bytes):
 
     def setup():
         vocabulary, lexicon = bpe.vocabulary(path), Lexicon(shared.value)
+        vocabulary.kept = KEPT
         return vocabulary, lambda texts: vocabulary.encode(texts, lexicon.find)
 
     return setup

@@ -35,9 +35,9 @@ def test_decoding_equals_the_library():
         assert own.decode(np.array(ids, int)).decode("utf-8", "replace") == library.decode(ids, skip_special_tokens=False)
 
 
-def test_caches_may_be_dropped(monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT", 3)
+def test_caches_may_be_dropped():
     own = bpe.Vocabulary(public_tokenizers.path(FILES[1]))
+    own.kept = 3
     one = [own.encode(pa.array(texts(), pa.string())) for _ in range(3)]
     assert one[0] == one[1] == one[2]
 
@@ -80,6 +80,14 @@ def test_word_counts_cover_all_texts(spark, monkeypatch):
     assert counts == {b" a": 2, b"b": 1, b"a": 1, b"\nb": 1, b" ": 1 + 1}
 
 
+def test_lexicon_has_all_words_above_a_count(spark):
+    path = public_tokenizers.path(FILES[1])
+    docs = spark.createDataFrame([("a a a b b c c d",)], "text string")
+    for size, words in ((4, {b"a", b"b", b"c", b"d"}), (3, {b"a", b"b", b"c"}), (2, {b"a"}), (1, {b"a"}), (0, set())):
+        found = lexicon.Lexicon(lexicon.frequent(docs, path, size)).find([b"a", b"b", b"c", b"d"])
+        assert {w for w, ids in zip([b"a", b"b", b"c", b"d"], found, strict=True) if ids is not None} == words
+
+
 def test_empty_table(spark):
     docs = documents(spark, []).limit(0)
     assert lexicon.digests(docs, public_tokenizers.path(FILES[0])).count() == 0
