@@ -18,7 +18,7 @@ from ledgerwatch.sources.binding import Bank
 from ledgerwatch.sources.readers import convert
 from ledgerwatch.sources.tables import scratch, staged
 from ledgerwatch.streaming.flows import score_requests
-from ledgerwatch.streaming.ingest import StreamTable, append_stream, raw_stream, read_table, run_to_end, table_stream
+from ledgerwatch.streaming.ingest import StreamTable, append_stream, ingest_files, raw_stream, read_table, run_to_end, table_stream
 
 STARTED_AT = dt.datetime(2024, 1, 1)
 NOT_INPUTS = ("transaction_id", "event_ts", "is_fraud", "split")
@@ -278,13 +278,54 @@ def ingest_events(bank: Bank) -> DataFrame:
     folder = scratch(bank.spark, "ingest")
     convert(bank.spark, f"{bank.folder}/events.parquet", "json", f"{folder}/raw", files=4)
     table = StreamTable(f"{folder}/events")
-    run_to_end(append_stream(raw_stream(bank.spark, f"{folder}/raw", "json", max_files=1), table))
+    run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table, max_files=1))
     # JSON has no times: they arrive as text.
     return read_table(bank.spark, table).select(
         "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props"
     )
 
 
+@query("SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def ingest_csv(bank: Bank) -> DataFrame:
+    """Customers from CSV files whose columns come in other orders, the last with one inserted."""
+    folder, customers = scratch(bank.spark, "ingest"), bank.table("customer")
+    orders = ["c_custkey", "c_name", "c_acctbal"], ["c_acctbal", "c_custkey", "c_name"], ["c_custkey", "c_mktsegment", "c_name", "c_acctbal"]
+    table = StreamTable(f"{folder}/customers")
+    for k, columns in enumerate(orders):
+        part = customers.where(F.pmod("c_custkey", F.lit(3)) == k).select(*columns)
+        part.coalesce(1).write.mode("append").option("header", "true").csv(f"{folder}/raw")
+        if k:  # the first two files come in one batch
+            run_to_end(ingest_files(bank.spark, f"{folder}/raw", "csv", table))
+    return read_table(bank.spark, table).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment")
+
+
+@query("SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN props END AS props FROM events")
+def ingest_grown(bank: Bank) -> DataFrame:
+    """Events from JSON files; the later ones have a field more."""
+    folder, events = scratch(bank.spark, "ingest"), bank.table("events")
+    table = StreamTable(f"{folder}/events")
+    for k, columns in enumerate((["event_id", "user_id"], ["event_id", "props", "user_id"])):
+        events.where(F.pmod("event_id", F.lit(2)) == k).select(*columns).coalesce(2).write.mode("append").json(f"{folder}/raw")
+        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table))
+    return read_table(bank.spark, table).select("event_id", "user_id", "props")
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN user_id END AS user_id, event_id % 10 = 3 AS rescued,
+       CASE WHEN event_id % 10 = 3 THEN 'u' || user_id END AS rescued_user FROM events"""
+)
+def ingest_rescued(bank: Bank) -> DataFrame:
+    """Events from JSON files; later some users are text, which does not fit and is kept as it came."""
+    folder, events = scratch(bank.spark, "ingest"), bank.table("events").select("event_id", "user_id")
+    table, odd = StreamTable(f"{folder}/events"), F.pmod("event_id", F.lit(10)) == 3
+    late = events.where(odd).withColumn("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    for part in (events.where(~odd), late):
+        part.coalesce(2).write.mode("append").json(f"{folder}/raw")
+        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table))
+    raw = F.col("_rescued_data")
+    return read_table(bank.spark, table).select("event_id", "user_id", raw.isNotNull().alias("rescued"), F.get_json_object(raw, "$.user_id").alias("rescued_user"))
+
+
 @query(
     over(
         "bronze_transactions",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,26 +27,64 @@ def _options(fmt: str, multi_line: bool) -> dict[str, str]:
 
 
 def infer_schema(
-    spark: SparkSession,
-    path: str,
-    fmt: str,
-    multi_line: bool = False,
-    typed: bool = True,
-    modified_after: dt.datetime | None = None,
+    spark: SparkSession, path: str | list[str], fmt: str, multi_line: bool = False, typed: bool = True
 ) -> T.StructType:
-    """Columns and types found in the files, or in those modified after a time (UTC); all text if not `typed`.
+    """Columns and types found in the files; all text if not `typed`.
 
     Every record is looked at: a sample could miss a column, and its values with it.
     """
     reader = spark.read.format(fmt).options(**_options(fmt, multi_line))
     if fmt in TEXT_FORMATS:
         reader = reader.option("inferSchema", str(typed).lower())
-    if modified_after is not None:
-        reader = reader.options(modifiedAfter=modified_after.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC")
     found = reader.load(path).schema
     return found if typed else T.StructType([T.StructField(f.name, T.StringType()) for f in found])
 
 
+def grown(known: T.StructType, seen: T.StructType) -> T.StructType:
+    """Known columns with their types, then the new ones. A value that no longer fits is rescued, not retyped."""
+    names = {n.lower() for n in known.fieldNames()}
+    return T.StructType([*known.fields, *[f for f in seen.fields if f.name.lower() not in names]])
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files by their header; files without one hold no rows."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(spark.read.option("header", "true").csv(path).columns)
+        groups.setdefault(header, []).append(path)
+    groups.pop((), None)
+    return groups
+
+
+def read_files(
+    spark: SparkSession,
+    paths: list[str],
+    fmt: str,
+    known: T.StructType | None = None,
+    multi_line: bool = False,
+    typed: bool = True,
+) -> tuple[DataFrame, T.StructType]:
+    """The rows of exactly these JSON or CSV files, and the columns known so far with those the files add.
+
+    Columns are matched by name, whatever their order in a file, and none is lost: what a file has beyond the
+    known columns is added. A record that does not fit the columns' types is kept as text in `_rescued_data`.
+    """
+    known = known or T.StructType()
+    if fmt == "json":
+        schema = grown(known, infer_schema(spark, paths, fmt, multi_line, typed))
+        return read_raw(spark, paths, fmt, schema, multi_line, rescue=True), schema
+    schema, parts = known, []
+    for header, own in _by_header(spark, paths).items():
+        schema = grown(schema, infer_schema(spark, own, fmt, multi_line, typed))
+        types = {f.name.lower(): f for f in schema.fields}
+        parts.append((T.StructType([types[name.lower()] for name in header]), own))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(RESCUE, T.StringType())])), schema
+    frames = [read_raw(spark, own, fmt, order, multi_line, rescue=True) for order, own in parts]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.select(*schema.fieldNames(), RESCUE), schema
+
+
 def rescue_options(schema: T.StructType, fmt: str, multi_line: bool) -> tuple[T.StructType, dict[str, str]]:
     """Schema and options that keep the raw text of a record that did not parse in `_rescued_data`.
 
@@ -59,7 +97,7 @@ def rescue_options(schema: T.StructType, fmt: str, multi_line: bool) -> tuple[T.
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str,
     schema: T.StructType | None = None,
     multi_line: bool = False,

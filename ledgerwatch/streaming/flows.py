@@ -22,8 +22,7 @@ from ledgerwatch.sources.tables import VersionedTable, matching_paths
 from ledgerwatch.streaming.ingest import (
     StreamTable,
     append_stream,
-    evolving_schema,
-    raw_stream,
+    ingest_files,
     read_table,
     run_to_end,
     table_stream,
@@ -59,24 +58,18 @@ class Lake:
     def gold_quality(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.folder}/gold_quality")
 
-    def _raw(self, name: str, fmt: str, max_files: int | None = None, multi_line: bool = False, typed: bool = True):
-        """Stream of a raw folder; its columns grow with the files, and what does not fit them is rescued."""
-        path, notes = f"{self.raw}/{name}", f"{self.folder}/raw_columns/{name}/g={self.generation}"
-        schema = evolving_schema(self.spark, path, fmt, notes, multi_line, typed)
-        return raw_stream(self.spark, path, fmt, schema, max_files, multi_line, rescue=True)
-
     def ingest(self) -> None:
-        """Raw files to bronze tables."""
-        transactions = self._raw("transactions", "json", self.max_files)
-        customers = self._raw("customers", "csv", multi_line=True)
-        countries = with_coordinates(self._raw("country_code", "csv", typed=False))
-        reports = self._raw("fraud_report", "csv", typed=False)
+        """Raw files to bronze tables; columns grow with the files, and what does not fit them is rescued."""
+
+        def start(name: str, fmt: str, table: str, checks=(), **options):
+            return ingest_files(self.spark, f"{self.raw}/{name}", fmt, self.stream_table(table), checks, **options)
+
         # Four independent queries; they run side by side.
         for query in [
-            append_stream(transactions, self.stream_table("bronze_transactions")),
-            append_stream(customers, self.stream_table("banking_customers"), [CORRECT_SCHEMA]),
-            append_stream(countries, self.stream_table("country_coordinates")),
-            append_stream(reports, self.stream_table("fraud_reports")),
+            start("transactions", "json", "bronze_transactions", max_files=self.max_files),
+            start("customers", "csv", "banking_customers", [CORRECT_SCHEMA], multi_line=True),
+            start("country_code", "csv", "country_coordinates", prepare=with_coordinates, typed=False),
+            start("fraud_report", "csv", "fraud_reports", typed=False),
         ]:
             run_to_end(query)
 

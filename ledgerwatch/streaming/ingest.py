@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerwatch.operators.quality import DROP, FAIL, Expectation, ExpectationFailed, enforce, report
-from ledgerwatch.sources.readers import TEXT_FORMATS, _options, infer_schema, rescue_options
+from ledgerwatch.operators.quality import DROP, FAIL, Expectation, enforce
+from ledgerwatch.sources.readers import TEXT_FORMATS, _options, grown, infer_schema, read_files, rescue_options
 from ledgerwatch.sources.tables import VersionedTable
 
-# Files may carry a time a little older than their arrival.
-_ARRIVAL_SLACK = dt.timedelta(days=1)
+# Files per batch where nothing else is said: their names reach the driver.
+MAX_FILES = 1000
+# A file source passes over files much older than the newest one it has seen; none may be lost for its time stamp.
+_ANY_AGE = "36500d"
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 @dataclass(frozen=True)
@@ -62,33 +64,6 @@ def remember(spark: SparkSession, folder: str, schema: T.StructType, noted_at: d
     VersionedTable(spark, folder).replace(row)
 
 
-def grown(known: T.StructType, seen: T.StructType) -> T.StructType:
-    """Known columns with their types, then the new ones. A value that no longer fits is rescued, not retyped."""
-    names = set(known.fieldNames())
-    return T.StructType([*known.fields, *[f for f in seen.fields if f.name not in names]])
-
-
-def evolving_schema(
-    spark: SparkSession, path: str, fmt: str, notes: str, multi_line: bool = False, typed: bool = True
-) -> T.StructType:
-    """Columns of a growing folder of raw files, inferred once and then only from files that are new."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    past = remembered(spark, notes)
-    if past is None:
-        schema = infer_schema(spark, path, fmt, multi_line, typed)
-    else:
-        known, noted_at = past
-        try:
-            new = infer_schema(spark, path, fmt, multi_line, typed, modified_after=noted_at - _ARRIVAL_SLACK)
-        except AnalysisException as error:
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            return known  # no new file
-        schema = grown(known, new)
-    remember(spark, notes, schema, now)
-    return schema
-
-
 def raw_stream(
     spark: SparkSession,
     path: str,
@@ -105,45 +80,90 @@ def raw_stream(
     options = _options(fmt, multi_line) if fmt in TEXT_FORMATS else {}
     if rescue:
         schema, options = rescue_options(schema, fmt, multi_line)
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+    reader = spark.readStream.format(fmt).schema(schema).options(**options, maxFileAge=_ANY_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
 
 
+def _note_columns(spark: SparkSession, table: StreamTable, columns: T.StructType) -> None:
+    past = remembered(spark, table.schema)
+    merged = columns if past is None else grown(past[0], columns)
+    if past is None or past[0] != merged:
+        remember(spark, table.schema, merged, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+
+def write_batch(rows: DataFrame, table: StreamTable, expectations: Iterable[Expectation], number: int) -> None:
+    """One batch in a folder of its own, replaced if the batch is repeated, then its counts.
+
+    The rows are read once: they are counted while they are written. A broken `fail` expectation ends the write.
+    """
+    expectations = list(expectations)
+    counted, fatal = Observation(), [e for e in expectations if e.policy == FAIL]
+    for e in fatal:
+        rows = rows.where(F.when(e.holds(), True).otherwise(F.raise_error(F.lit(f"expectation {e.name}"))))
+    if expectations:
+        names = [F.count_if(e.holds()).alias(f"e{k}") for k, e in enumerate(expectations)]
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"), *names)
+    kept = enforce(rows, [e for e in expectations if e.policy == DROP])
+    kept.write.mode("overwrite").parquet(f"{table.data}/batch_id={number}")
+    if expectations:
+        found = counted.get
+        lines = [(e.name, e.policy, found[f"e{k}"], found["rows"] - found[f"e{k}"], number) for k, e in enumerate(expectations)]
+        counts = rows.sparkSession.createDataFrame(lines, "expectation string, policy string, passed long, failed long, batch long")
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{table.quality}/batch_id={number}")
+
+
 def append_stream(
     stream: DataFrame, table: StreamTable, expectations: Iterable[Expectation] = ()
 ) -> StreamingQuery:
     """Append all that is available, then stop. The checkpoint makes each input row count once.
 
-    With expectations each batch goes to a folder of its own, replaced if the batch is repeated, beside
-    its counts; without them the file sink is used.
+    With expectations each batch is written with its counts; without them the file sink is used.
     """
     expectations = list(expectations)
-    spark = stream.sparkSession
-    past = remembered(spark, table.schema)
-    if past is None or past[0] != grown(past[0], stream.schema):
-        columns = stream.schema if past is None else grown(past[0], stream.schema)
-        remember(spark, table.schema, columns, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    _note_columns(stream.sparkSession, table, stream.schema)
     writer = stream.writeStream.option("checkpointLocation", table.checkpoint).trigger(availableNow=True)
     if not expectations:
         return writer.format("parquet").outputMode("append").option("path", table.data).start()
+    return writer.foreachBatch(lambda batch, number: write_batch(batch, table, expectations, number)).start()
+
+
+def ingest_files(
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    table: StreamTable,
+    expectations: Iterable[Expectation] = (),
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    max_files: int | None = None,
+    multi_line: bool = False,
+    typed: bool = True,
+) -> StreamingQuery:
+    """Append the rows of all JSON or CSV files that are new in a folder, each file once, then stop.
+
+    The stream carries file names only. Each batch reads exactly its files, takes new columns from them whatever
+    their time stamps, matches columns by name and rescues what does not fit, so that a change of
+    shape loses nothing.
+    """
+    expectations = list(expectations)
+    names = spark.readStream.format("binaryFile").schema(_FILES).options(maxFilesPerTrigger=max_files or MAX_FILES, maxFileAge=_ANY_AGE)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = batch.persist()
-        try:
-            counts = report(rows, expectations).withColumn("batch", F.lit(number))
-            counts.write.mode("overwrite").parquet(f"{table.quality}/batch_id={number}")
-            fatal = [e.name for e in expectations if e.policy == FAIL]
-            broken = counts.where(F.col("expectation").isin(fatal) & (F.col("failed") > 0)).collect() if fatal else []
-            if broken:  # at most one row per expectation
-                raise ExpectationFailed(", ".join(r.expectation for r in broken))
-            kept = enforce(rows, [e for e in expectations if e.policy == DROP])
-            kept.write.mode("overwrite").parquet(f"{table.data}/batch_id={number}")
-        finally:
-            rows.unpersist()
-
-    return writer.foreachBatch(write).start()
+        paths = sorted(r.path for r in batch.select("path").collect())  # at most max_files
+        if not paths:
+            return
+        past = remembered(spark, f"{table.folder}/g={table.generation}/raw_columns")
+        rows, columns = read_files(spark, paths, fmt, past[0] if past else None, multi_line, typed)
+        if past is None or past[0] != columns:
+            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            remember(spark, f"{table.folder}/g={table.generation}/raw_columns", columns, now)
+        rows = prepare(rows) if prepare else rows
+        _note_columns(spark, table, rows.schema)
+        write_batch(rows, table, expectations, number)
+
+    stream = names.load(path).select("path")
+    return stream.writeStream.option("checkpointLocation", table.checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -169,6 +189,7 @@ def read_quality(spark: SparkSession, table: StreamTable) -> DataFrame:
     return counts.groupBy("expectation", "policy").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
-def table_stream(spark: SparkSession, table: StreamTable) -> DataFrame:
-    """Stream of the rows appended to another table's folder."""
-    return spark.readStream.schema(table_schema(spark, table)).parquet(table.data)
+def table_stream(spark: SparkSession, table: StreamTable, max_bytes: int = 64 << 30) -> DataFrame:
+    """Stream of the rows appended to another table's folder, in batches of about `max_bytes` of files."""
+    reader = spark.readStream.schema(table_schema(spark, table)).option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(table.data)

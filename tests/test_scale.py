@@ -17,7 +17,7 @@ ROOT = Path(__file__).resolve().parents[1] / "ledgerwatch"
 BOUNDED = {
     ("asof.py", "first"): "one sum",
     ("quality.py", "collect"): "one row per expectation",
-    ("ingest.py", "collect"): "one row per expectation",
+    ("ingest.py", "collect"): "names of the files of a batch",
     ("ingest.py", "first"): "the note of a table's columns",
     ("monitor.py", "first"): "one row of edges",
     ("monitor.py", "collect"): "bins: one row per column, or at most MAX_VALUES per column",

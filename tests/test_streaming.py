@@ -12,8 +12,7 @@ from ledgerwatch.streaming.flows import Lake, score_requests
 from ledgerwatch.streaming.ingest import (
     StreamTable,
     append_stream,
-    evolving_schema,
-    grown,
+    ingest_files,
     raw_stream,
     read_quality,
     read_table,
@@ -34,8 +33,7 @@ def test_each_file_once(spark, folder):
     table = StreamTable(f"{folder}/t")
 
     def run():
-        schema = evolving_schema(spark, f"{folder}/raw", "json", f"{folder}/notes")
-        query = append_stream(raw_stream(spark, f"{folder}/raw", "json", schema), table)
+        query = ingest_files(spark, f"{folder}/raw", "json", table, max_files=1)
         run_to_end(query)
         return len([p for p in query.recentProgress if p["numInputRows"]])
 
@@ -129,23 +127,50 @@ def test_chained_stream(spark, folder):
     assert read_table(spark, down).agg(F.sum("x")).first()[0] == 90
 
 
+def ingested(spark, folder, fmt="json", **options):
+    table = StreamTable(f"{folder}/t")
+    run_to_end(ingest_files(spark, f"{folder}/raw", fmt, table, **options))
+    return read_table(spark, table)
+
+
 def test_columns_grow_and_keep_their_type(spark, folder):
     files(f"{folder}/raw", a='{"id": 1}\n')
-    notes = f"{folder}/notes"
-    assert evolving_schema(spark, f"{folder}/raw", "json", notes).simpleString() == "struct<id:bigint>"
+    assert ingested(spark, folder).schema.simpleString() == "struct<id:bigint,_rescued_data:string>"
     files(f"{folder}/raw", b='{"id": "x", "v": 1.5}\n')
-    schema = evolving_schema(spark, f"{folder}/raw", "json", notes)
-    assert schema.simpleString() == "struct<id:bigint,v:double>" and grown(schema, schema) == schema
-    table = StreamTable(f"{folder}/t")
-    run_to_end(append_stream(raw_stream(spark, f"{folder}/raw", "json", schema, rescue=True), table))
-    rescued = {r.id: r._rescued_data for r in read_table(spark, table).collect()}
-    assert rescued == {1: None, None: '{"id": "x", "v": 1.5}'}
+    found = ingested(spark, folder)
+    assert dict(found.dtypes) == {"id": "bigint", "v": "double", "_rescued_data": "string"}
+    assert {r.id: r._rescued_data for r in found.collect()} == {1: None, None: '{"id": "x", "v": 1.5}'}
 
 
-def test_no_new_file_keeps_the_columns(spark, folder):
+def test_an_old_file_brings_its_columns(spark, folder):
+    """A file with an old time stamp is taken in, with a field that no other file has."""
     import os
 
     files(f"{folder}/raw", a='{"id": 1}\n')
-    os.utime(f"{folder}/raw/a.json", (1_000_000_000, 1_000_000_000))
-    first = evolving_schema(spark, f"{folder}/raw", "json", f"{folder}/notes")
-    assert evolving_schema(spark, f"{folder}/raw", "json", f"{folder}/notes") == first
+    ingested(spark, folder)
+    files(f"{folder}/raw", b='{"id": 2, "fee": 0.5}\n')
+    os.utime(f"{folder}/raw/b.json", (1_000_000_000, 1_000_000_000))
+    assert {r.id: r.fee for r in ingested(spark, folder).collect()} == {1: None, 2: 0.5}
+    assert ingested(spark, folder).count() == 2
+
+
+def test_csv_columns_are_matched_by_name(spark, folder):
+    raw = Path(f"{folder}/raw")
+    raw.mkdir(parents=True)
+    (raw / "a.csv").write_text("id,name,city\n1,Ann,Oslo\n")
+    (raw / "b.csv").write_text("id,city,name\n2,Paris,Cid\n")
+    ingested(spark, folder, "csv")
+    (raw / "c.csv").write_text("id,name,mail,City\n3,Dan,d@x,Rome\n4,only,two\n")
+    (raw / "empty.csv").write_text("")
+    found = {r.id: (r.name, r.city, r.mail, r._rescued_data) for r in ingested(spark, folder, "csv").collect()}
+    assert found == {1: ("Ann", "Oslo", None, None), 2: ("Cid", "Paris", None, None), 3: ("Dan", "Rome", "d@x", None), 4: ("only", None, "two", "4,only,two")}
+
+
+def test_a_repeated_batch_replaces_itself(spark, folder):
+    from ledgerwatch.streaming.ingest import write_batch
+
+    table, seen = StreamTable(f"{folder}/t"), [Expectation("small", "id < 3")]
+    for _ in range(2):
+        write_batch(spark.range(5).toDF("id"), table, seen, 0)
+    assert spark.read.parquet(table.data).count() == 5
+    assert [(r.passed, r.failed) for r in read_quality(spark, table).collect()] == [(3, 2)]
