@@ -1,6 +1,6 @@
 """Every registered query. Importing the modules fills the registry."""
 
 from ledgerwatch.plans.registry import ORACLES, QUERIES
-from ledgerwatch.queries import bank, models, quality, tables  # noqa: F401
+from ledgerwatch.queries import bank, models, quality, storage, tables  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
