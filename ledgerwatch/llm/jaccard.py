@@ -9,7 +9,8 @@ forest of them, from which the connected classes follow.
 
 Texts of one to four words have one shingle, all their words; empty and null texts have none and stand
 alone. Repeated rows are copies. Ids may be null: a class takes its smallest id, null if it has none, and
-then has no links to other classes.
+then has no links to other classes. A class is known by the id of one of its rows; different texts of one id count
+as one document where they have links.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from ledgerwatch.sources.tables import staged
 
 WORDS, SIMILARITY, RECALL, MOST_HASHES = 5, (4, 5), 0.9999, 128
 #: A cell has about so many classes and shingles from either block.
-BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 512, 1_000_000, 2048
+BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 1024, 1_000_000, 2048
 #: Columns beside those of a caller's table.
 OWN, ROOT, FIRST = "__lw_class", "__lw_root", "__lw_first"
 #: Bits of the table that thins out rows before a shuffle.
@@ -130,7 +131,7 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _cell(band: int, diagonal: bool, ids: list[bytes], size: np.ndarray, bands: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similarity: tuple[int, int]):
-    """(class, links, root) of the classes that have a link in this cell."""
+    """(node, links, root) of the classes that have a link in this cell."""
     near = ~np.eye(len(ids), dtype=bool) if diagonal else side[:, None] != side[None, :]
     for k in range(band):
         near &= bands[:, k][:, None] != bands[:, k][None, :]
@@ -152,15 +153,15 @@ def _cell(band: int, diagonal: bool, ids: list[bytes], size: np.ndarray, bands:
     return [(ids[own[i]], int(links[i]), ids[own[root[i]]]) for i in np.flatnonzero(links)]
 
 
-def _verify(similarity: tuple[int, int]):
-    into = X.arrow_schema("class binary, links long, root binary")
+def _verify(similarity: tuple[int, int], schema: str):
+    into = X.arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, made = None, [], []
 
         def close():
-            held.sort(key=lambda r: (r[0], r[3]))
-            ids, size, bands, side, sets = zip(*held, strict=True)
+            rows = sorted({(r[0], r[3]): r for r in held}.values(), key=lambda r: (r[0], r[3]))  # a repeated document once
+            ids, size, bands, side, sets = zip(*rows, strict=True)
             return _cell(
                 key[3], key[1] == key[2], list(ids), np.array(size), np.array(bands),
                 np.array(side), [np.frombuffer(s, np.uint64) for s in sets], similarity,
@@ -168,7 +169,7 @@ def _verify(similarity: tuple[int, int]):
 
         for batch in batches:
             columns = batch.to_pydict()
-            for now, row in zip(zip(*(columns[c] for c in ("bucket", "i", "j", "band")), strict=True), zip(*(columns[c] for c in ("class", "shingles", "bands", "block", "set")), strict=True), strict=True):
+            for now, row in zip(zip(*(columns[c] for c in ("bucket", "i", "j", "band")), strict=True), zip(*(columns[c] for c in ("node", "shingles", "bands", "block", "set")), strict=True), strict=True):
                 if now != key and held:
                     made += close()
                     held = []
@@ -199,62 +200,72 @@ def likely(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
 
 
 def _candidates(distinct: DataFrame) -> DataFrame:
-    """(class, shingles, bucket, band, n, total) of the buckets with two classes or more, each set of members once.
+    """(node, shingles, bucket, band, n, total) of the buckets with two classes or more, each set of members once.
 
     Only rows that may be in such a bucket are shuffled to be joined with it.
     """
-    rows = distinct.select("class", "shingles", F.posexplode("bands").alias("band", "bucket"))
+    rows = distinct.select("node", "shingles", F.posexplode("bands").alias("band", "bucket"))
     several = staged(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "buckets")
     members = staged(likely(rows, "bucket", bits_of(several, "bucket")).join(several, "bucket"), "members")
-    mark = F.xxhash64("class")
+    mark = F.xxhash64("node")
     buckets = members.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("band").alias("band"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("y")
+        F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("band").alias("band"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("y")
     )
+    # Of the buckets with the same members the one of the first band.
     once = F.struct("band", "bucket")
     buckets = buckets.groupBy("n", "total", "x", "y").agg(F.min(once).alias("b")).select("n", "total", "b.bucket")
     return staged(members.join(buckets, "bucket"), "members")
 
 
 def linked(docs: DataFrame, distinct: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """(class, links, root) rows of all cells. `distinct`: class, doc_id, shingles, bands, one row a class."""
+    """(node, links, root) rows of all cells. `distinct`: node (the id of a row), class, shingles, bands, one row a class."""
     members = _candidates(distinct)
-    some = staged(distinct.join(members.select("class").distinct(), "class", "left_semi"), "candidates")
-    ids = some.select("doc_id").distinct()
-    texts = likely(docs.select("doc_id", "text"), "doc_id", bits_of(ids, "doc_id")).join(ids, "doc_id", "left_semi")
-    sets = with_class(texts, "set").where(F.col(OWN).isNotNull()).select(F.col(OWN).alias("class"), "set")
-    sets = some.select("class", "shingles", "bands").join(sets, "class").dropDuplicates(["class"])
+    nodes = members.select("node").distinct()
+    some = staged(likely(distinct, "node", bits_of(nodes, "node")).join(nodes, "node"), "candidates")
+    # Inner joins: a semi join would be moved below the filter that keeps most texts from being shuffled.
+    texts = likely(docs.select("doc_id", "text"), "doc_id", bits_of(nodes, "node"))
+    texts = texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id")
+    sets = with_class(texts, "set").select(F.col("doc_id").alias("node"), OWN, "set")
+    sets = some.join(sets, "node").where(F.col("class") == F.col(OWN)).select("node", "shingles", "bands", "set")
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES), F.lit(1)).cast("int")
     cells = (
         members.withColumn("blocks", F.least(blocks, F.col("n").cast("int")))
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "class"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "band", "class", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .select("bucket", "band", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    spread = cells.join(sets, "class").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return spread.mapInArrow(_verify(similarity), "class binary, links long, root binary")
+    spread = cells.join(sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    kind = distinct.schema["node"].dataType.simpleString()
+    schema = f"node {kind}, links long, root {kind}"
+    return spread.mapInArrow(_verify(similarity, schema), schema).join(some.select("node", "class"), "node")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, root: every node of the edges with the least node it is connected to (alternating star contraction)."""
+    """node, root: every node of the edges with the least node it is connected to.
 
-    def mark(df: DataFrame) -> tuple:
-        return df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+    Alternating star contraction: all greater neighbours of a node are tied to the least one, then all
+    smaller ones, until every node has one parent that is no child itself.
+    """
+
+    def tie(df: DataFrame) -> DataFrame:
+        least = df.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+        return df.join(least, "a")
 
     now = staged(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(), "edges")
-    before = mark(now)
-    while before[0]:
+    while not _stars(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        joined = large.join(least, "a")
+        large = tie(both).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        joined = tie(large)
         small = joined.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).union(joined.select("a", F.col("least").alias("b")))
-        now = staged(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        after = mark(now)
-        if after == before:
-            break
-        before = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b"), F.col("b"))).distinct()
+        now = staged(small.where("a <> b").distinct(), "edges")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """No node has two parents, and no parent has one."""
+    marks = edges.select("a", F.lit(1).alias("child"), F.lit(0).alias("parent")).union(edges.select("b", F.lit(0), F.lit(1)))
+    odd = marks.groupBy("a").agg(F.sum("child").alias("children"), F.sum("parent").alias("parents")).where("children > 1 or children = 1 and parents > 0")
+    return odd.isEmpty()
 
 
 def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
@@ -265,12 +276,12 @@ def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, recall: f
     each = staged(signed(docs, *banding(similarity[0] / similarity[1], recall)), "signatures")
     known = each.where("class is not null")
     groups = known.groupBy("class").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"))
-    firsts = staged(known.where("doc_id is not null").dropDuplicates(["class"]), "distinct")
+    firsts = staged(known.where("doc_id is not null").dropDuplicates(["class"]).withColumnRenamed("doc_id", "node"), "distinct")
     found = staged(linked(docs, firsts, similarity), "links")
-    links = found.groupBy("class").agg(F.sum("links").alias("n_links"))
-    joined = components(found.select("class", "root"), "class", "root").withColumnRenamed("node", "class")
-    table = groups.join(links, "class", "left").where("n_copies > 1 or n_links is not null").join(joined, "class", "left")
-    table = staged(table.select("class", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "class").alias("root")), "classes")
+    links = found.groupBy("class", "node").agg(F.sum("links").alias("n_links")).join(components(found, "node", "root"), "node", "left")
+    table = groups.join(links.select("class", "n_links", F.col("root").cast("string").alias("root")), "class", "left")
+    table = table.where("n_copies > 1 or n_links is not null").withColumn("root", F.coalesce("root", F.hex("class")))
+    table = staged(table.withColumn("n_links", F.coalesce("n_links", F.lit(0))), "classes")
     return each.select("doc_id", "class"), table.join(table.groupBy("root").agg(F.min("copy_id").alias("class_id")), "root")
 
 

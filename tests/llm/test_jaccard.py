@@ -53,7 +53,7 @@ def check(spark, rows):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == brute(rows)
 
 
-@pytest.mark.parametrize("block", [512, 7])
+@pytest.mark.parametrize("block", [1024, 7])
 def test_equals_all_pairs(spark, monkeypatch, block):
     """With small blocks the dense groups are cut into many cells."""
     monkeypatch.setattr(jaccard, "BLOCK_CLASSES", block)

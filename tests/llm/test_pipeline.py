@@ -44,7 +44,7 @@ def test_equals_second_engine(spark, name):
 
 #: Every place where rows reach the driver, and why their number is bounded.
 BOUNDED = {
-    ("binary.py", "collect"): "ids of a vocabulary", ("jaccard.py", "first"): "a count and a checksum", ("language.py", "toPandas"): "the training sample",
+    ("binary.py", "collect"): "ids of a vocabulary", ("language.py", "toPandas"): "the training sample",
     ("lexicon.py", "toPandas"): "the words of the lexicon", ("lexicon.py", "collect"): "a row per distinct count", ("maxent.py", "collect"): "one row per class or slice of the weights", ("maxent.py", "first"): "two sums",
     ("packing.py", "collect"): "one row per length", ("quality.py", "toPandas"): "the training sample", ("topk.py", "collect"): "cutoffs of a block of queries",
     ("packing.py", "take"): "of an Arrow array", ("maxent.py", "take"): "of a numpy array", ("topk.py", "toArrow"): "a block of queries", ("topk.py", "count"): "a number", ("jaccard.py", "count"): "an aggregate",
