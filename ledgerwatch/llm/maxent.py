@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import text as X
-from ledgerwatch.sources.tables import staged
+from ledgerwatch.sources.tables import scratch
 
 #: At most 2^16 weight rows.
 CLASSES, ROWS, SUFFIX = 64, 1 << 14, 3
@@ -273,13 +273,20 @@ def _bias(class_tokens: np.ndarray) -> np.ndarray:
     return np.log((class_tokens + 1.0) / (class_tokens.sum() + len(class_tokens))).astype(np.float32)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written and read back, tightly packed: the blocks are about as large as the texts."""
+    folder = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def language_model_scores(docs: DataFrame) -> DataFrame:
     """Scores of (doc_id, text, held) under a model of the texts that are not held."""
     coded = blocks(docs)
-    folder = staged(coded, "coded")
+    folder = _stored(coded, "coded")
     size = folder.agg(F.sum(F.expr("length(words) div 8")).alias("entries"), F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
     number = max(1, -(-(size["entries"] or 0) // ENTRIES))
-    counted = staged(counts(folder, number), "counts")
+    counted = _stored(counts(folder, number), "counts")
     sums = {r["pos"]: r["n"] for r in counted.where("block < 0").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     tokens, words = (np.array([sums.get(k + at, 0) for k in range(CLASSES)], np.int64) for at in (0, CLASSES))
     weights = train(folder, size["tokens"] or 0, _bias(tokens))
