@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import money_sum, pair_key
+from ledgerwatch.functions.columns import MONEY, money_sum, pair_key
 from ledgerwatch.operators.windows import last_hours, top
 
 # Fixed value: amount above which a transaction is looked at by route.
@@ -19,16 +19,20 @@ def _recent_fraud(gold: DataFrame, hours: int) -> DataFrame:
     return last_hours(gold, "step", hours).where("is_fraud")
 
 
+def _fraud_by_step(gold: DataFrame, hours: int) -> DataFrame:
+    """Fraud per step, from one pass: the window is cut out of the one row per step that the aggregate leaves."""
+    amount = F.sum(F.when(F.col("is_fraud"), F.col("amount").try_cast(MONEY))).cast("double")
+    steps = gold.groupBy("step").agg(F.count_if("is_fraud").alias("fraud_transactions"), amount.alias("fraud_amount"))
+    newest = F.max("step").over(Window.partitionBy())
+    recent = F.col("step").between(F.col("__newest") - hours, F.col("__newest"))
+    return steps.withColumn("__newest", newest).where(recent & (F.col("fraud_transactions") > 0))
+
+
 def fraud_by_hour(gold: DataFrame, anchor: str, hours: int = 24 * 30) -> DataFrame:
     """Count and amount of fraud per time point; step n lies n hours after `anchor`."""
     start = F.lit(anchor).cast("timestamp_ntz")
     at = F.timestamp_add("HOUR", F.col("step").cast("int"), start)
-    return (
-        _recent_fraud(gold, hours)
-        .groupBy(at.alias("ts"))
-        .agg(F.count(F.lit(1)).alias("fraud_transactions"), money_sum(F.col("amount")).alias("fraud_amount"))
-        .orderBy("ts")
-    )
+    return _fraud_by_step(gold, hours).select(at.alias("ts"), "fraud_transactions", "fraud_amount").orderBy("ts")
 
 
 def flow_pairs(gold: DataFrame, n: int = 20, order: str = "pair") -> DataFrame:
@@ -81,4 +85,4 @@ def fraud_amount_by_dest(gold: DataFrame, n: int = 100) -> DataFrame:
 
 
 def fraud_count(gold: DataFrame, hours: int = 24 * 30) -> DataFrame:
-    return _recent_fraud(gold, hours).agg(F.count(F.lit(1)).alias("transactions"))
+    return _fraud_by_step(gold, hours).agg(F.coalesce(F.sum("fraud_transactions"), F.lit(0)).alias("transactions"))

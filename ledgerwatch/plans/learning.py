@@ -19,6 +19,8 @@ from ledgerwatch.functions.columns import split_by_type, to_number
 from ledgerwatch.operators.metrics import classification_report, confusion, f1
 from ledgerwatch.operators.sampling import hash_bucket
 
+# Most values of a column that is encoded one by one: their names lie on the driver and in the plan.
+MOST_CATEGORIES = 1000
 MISSING = "(missing)"
 FEATURES = "features"
 
@@ -91,8 +93,21 @@ def numeric_stage(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
 
-def preparation(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> PipelineModel:
+def check_categories(df: DataFrame, categorical: Sequence[str], most: int = MOST_CATEGORIES) -> None:
+    """Refuses columns of many values before any of them reaches the driver: they are no categories."""
+    if not categorical:
+        return
+    found = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in categorical]).first()  # one row
+    many = [c for c in categorical if found[c] > 1.1 * most]
+    if many:
+        raise ValueError(f"more than {most} categories in {many}: leave these columns out, or hash them into fewer")
+
+
+def preparation(
+    df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], most: int = MOST_CATEGORIES
+) -> PipelineModel:
     """Fitted stages from raw columns to one feature vector. A category not seen in `df` encodes to all zeros."""
+    check_categories(df, categorical, most)
     texts = [f"{c}_text" for c in categorical]
     stages: list[Any] = [numeric_stage(df, numeric, categorical)]
     if texts:

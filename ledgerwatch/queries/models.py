@@ -18,7 +18,7 @@ from ledgerwatch.sources.binding import Bank
 from ledgerwatch.sources.readers import convert
 from ledgerwatch.sources.tables import scratch, staged
 from ledgerwatch.streaming.flows import score_requests
-from ledgerwatch.streaming.ingest import StreamTable, append_stream, ingest_files, raw_stream, read_table, run_to_end, table_stream
+from ledgerwatch.streaming.ingest import StreamTable, append_stream, ingest_files, read_table, run_to_end, table_stream
 
 STARTED_AT = dt.datetime(2024, 1, 1)
 NOT_INPUTS = ("transaction_id", "event_ts", "is_fraud", "split")
@@ -336,11 +336,14 @@ def ingest_rescued(bank: Bank) -> DataFrame:
     )
 )
 def stream_silver(bank: Bank) -> DataFrame:
-    """Silver built by a chain of streams: transactions appended to a table, cleaned and labelled from there."""
+    """Silver built by a chain of streams, in batches of two files and of one: raw files to a table, cleaned and labelled from there."""
     folder = scratch(bank.spark, "silver")
     bronze, silver = StreamTable(f"{folder}/bronze"), StreamTable(f"{folder}/silver")
-    bank.transactions.write.parquet(bronze.data)
-    run_to_end(append_stream(layers.silver(table_stream(bank.spark, bronze), bank.reports), silver))
+    bank.transactions.repartition(4).write.json(f"{folder}/raw")
+    reports = staged(bank.reports, "reports")  # each batch reads them
+    for _ in range(2):  # the second round finds nothing new
+        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", bronze, max_files=2))
+        run_to_end(append_stream(layers.silver(table_stream(bank.spark, bronze, max_bytes=1), reports), silver))
     return read_table(bank.spark, silver).select("id", "amount", "diffDest", "is_fraud", "countryOrig")
 
 
@@ -367,5 +370,6 @@ def stream_scores(bank: Bank) -> DataFrame:
         )
 
     table = StreamTable(f"{scratch(spark, 'scores')}/scores")
-    run_to_end(append_stream(score_requests(requests, features.with_features(bank.gold), score), table))
+    snapshot = staged(features.with_features(bank.gold), "snapshot")  # each batch reads it
+    run_to_end(append_stream(score_requests(requests, snapshot, score), table))
     return read_table(spark, table)

@@ -88,6 +88,13 @@ def test_search_logs_every_trial(spark, planted):
     assert log[0].test_f1 >= log[1].test_f1 > 0.5 and log[2].test_f1 is None
 
 
+def test_columns_of_many_values_are_refused(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("name"), F.lit("a").alias("kind"))
+    learning.check_categories(df, ["kind"])
+    with pytest.raises(ValueError, match="name"):
+        learning.preparation(df, ["name", "kind"], [])
+
+
 def test_single_class_training_set(spark, planted):
     """Nothing to learn, but scoring still works."""
     model = learning.fit(planted.where("is_fraud = 0"), LOGISTIC, CATEGORICAL, NUMERIC)
