@@ -23,6 +23,9 @@ CATCH_FLOOR = 0.4
 LOSS_FLOOR = -50_000
 DRIFT_CEILING = 0.2
 
+# Newest windows that are judged.
+JUDGED_WINDOWS = 30
+
 # How the columns are compared: these by value, the others by ranges.
 VALUE_COLUMNS = ("prediction", "label", "is_cross_border")
 RANGE_BINS = 10
@@ -235,9 +238,8 @@ def drift_baseline(
     return found.join(reference, "column_name").select(*_drift_row(BASELINE, version, distance))
 
 
-def recent_profile(profile: DataFrame, n: int = 30, version: str = "model_version") -> DataFrame:
-    """Model quality of the newest windows, whole log only."""
-    whole = profile.where(
+def _whole_profile(profile: DataFrame, version: str) -> DataFrame:
+    return profile.where(
         (F.col("log_type") == INPUT) & (F.col("column_name") == TABLE_ROW) & F.col("slice_key").isNull()
     ).select(
         F.col("window.start").alias("time_window"),
@@ -247,19 +249,44 @@ def recent_profile(profile: DataFrame, n: int = 30, version: str = "model_versio
         "expected_fraud_loss",
         version,
     )
-    return top(whole, n, F.desc("time_window"), ties=[version])
 
 
-def recent_drift(
-    drift: DataFrame, n: int = 50, columns: Sequence[str] = DRIFT_COLUMNS, version: str = "model_version"
-) -> DataFrame:
-    """Consecutive drift of the newest windows."""
-    rows = drift.where(
+def _consecutive(drift: DataFrame, columns: Sequence[str], version: str) -> DataFrame:
+    return drift.where(
         F.col("column_name").isin(*columns) & F.col("slice_key").isNull() & (F.col("drift_type") == CONSECUTIVE)
     ).select(
         F.col("window.start").alias("time_window"), "column_name", F.col("js_distance").alias("drift_metric"), version
     )
-    return top(rows, n, F.desc("time_window"), ties=[version, "column_name"])
+
+
+def recent_profile(profile: DataFrame, n: int = 30, version: str = "model_version") -> DataFrame:
+    """Model quality of the newest windows, whole log only, as a report of n rows."""
+    return top(_whole_profile(profile, version), n, F.desc("time_window"), ties=[version])
+
+
+def recent_drift(
+    drift: DataFrame, n: int = 50, columns: Sequence[str] = DRIFT_COLUMNS, version: str = "model_version"
+) -> DataFrame:
+    """Consecutive drift of the newest windows, as a report of n rows."""
+    return top(_consecutive(drift, columns, version), n, F.desc("time_window"), ties=[version, "column_name"])
+
+
+def _newest(rows: DataFrame, windows: int) -> DataFrame:
+    """All rows of the newest windows, however many versions and columns they hold."""
+    first = rows.select("time_window").distinct().orderBy(F.desc("time_window")).limit(windows).agg(F.min("time_window"))
+    return rows.where(F.col("time_window") >= first.scalar())
+
+
+def judged_profile(profile: DataFrame, windows: int = JUDGED_WINDOWS, version: str = "model_version") -> DataFrame:
+    """Model quality in the windows that the decision to retrain looks at."""
+    return _newest(_whole_profile(profile, version), windows)
+
+
+def judged_drift(
+    drift: DataFrame, windows: int = JUDGED_WINDOWS, columns: Sequence[str] = DRIFT_COLUMNS, version: str = "model_version"
+) -> DataFrame:
+    """Consecutive drift in the windows that the decision to retrain looks at."""
+    return _newest(_consecutive(drift, columns, version), windows)
 
 
 def violations(profile_rows: DataFrame, drift_rows: DataFrame) -> DataFrame:

@@ -146,5 +146,5 @@ def watch(
         profile,
         drift,
         monitor.drift_baseline(labelled, baseline, bins, ts=ts),
-        monitor.retrain_decision(monitor.recent_profile(profile), monitor.recent_drift(drift)),
+        monitor.retrain_decision(monitor.judged_profile(profile), monitor.judged_drift(drift)),
     )

@@ -368,11 +368,20 @@ def recent_drift(bank: Bank) -> DataFrame:
     return _recent_drift(_log(bank)).withColumn("drift_metric", F.round("drift_metric", 7))
 
 
-_VIOLATIONS = f"""{_PROFILE}, {_RECENT_PROFILE}, {_DRIFT}, {_RECENT_DRIFT},
+def _judged(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    drift = monitor.drift_consecutive(log, monitor.fix_bins(_reference(log)), ts="event_ts")
+    return monitor.judged_profile(_profile(log)), monitor.judged_drift(drift)
+
+
+_VIOLATIONS = f"""{_PROFILE}, {_DRIFT},
+judged_profile AS (SELECT * FROM profile WHERE column_name = ':table' AND slice_key IS NULL AND window_start >=
+  (SELECT min(w) FROM (SELECT DISTINCT window_start AS w FROM profile ORDER BY 1 DESC LIMIT {monitor.JUDGED_WINDOWS}))),
+judged_drift AS (SELECT js AS drift_metric FROM drift WHERE window_start >=
+  (SELECT min(w) FROM (SELECT DISTINCT window_start AS w FROM drift ORDER BY 1 DESC LIMIT {monitor.JUDGED_WINDOWS}))),
 counted AS (SELECT
-  (SELECT count(*) FROM recent_profile WHERE f1_macro < 0.5 OR fraud_catch_rate < 0.4 OR expected_fraud_loss < -50000)
+  (SELECT count(*) FROM judged_profile WHERE f1_macro < 0.5 OR fraud_catch_rate < 0.4 OR expected_fraud_loss < -50000)
     AS performance_violations,
-  (SELECT count(*) FROM recent_drift WHERE drift_metric > 0.2) AS drift_violations)"""
+  (SELECT count(*) FROM judged_drift WHERE drift_metric > 0.2) AS drift_violations)"""
 
 
 @query(
@@ -383,8 +392,7 @@ counted AS (SELECT
     )
 )
 def violations(bank: Bank) -> DataFrame:
-    log = _log(bank)
-    return monitor.violations(monitor.recent_profile(_profile(log)), _recent_drift(log))
+    return monitor.violations(*_judged(_log(bank)))
 
 
 @query(
@@ -396,8 +404,7 @@ def violations(bank: Bank) -> DataFrame:
     )
 )
 def retrain_decision(bank: Bank) -> DataFrame:
-    log = _log(bank)
-    return monitor.retrain_decision(monitor.recent_profile(_profile(log)), _recent_drift(log))
+    return monitor.retrain_decision(*_judged(_log(bank)))
 
 
 @query(

@@ -135,6 +135,15 @@ def test_no_rows_no_retraining(spark):
     assert (found.total_violations, found.retrain) == (0, False)
 
 
+def test_all_versions_and_columns_of_a_window_are_judged(spark):
+    """Eleven versions in five columns: a limit of fifty rows would cut the newest window in the middle."""
+    rows = [(d, 1.0, 1.0, 1.0, 1.0) for d in range(3)]
+    whole = log(spark, rows).drop("model_version").crossJoin(spark.range(11).select(F.col("id").cast("string").alias("model_version")))
+    bins = monitor.fix_bins(whole)
+    assert monitor.judged_drift(monitor.drift_consecutive(whole, bins), windows=1).count() == 55
+    assert monitor.judged_profile(monitor.profile_metrics(whole, ["amount"]), windows=2).count() == 22
+
+
 def test_recent_rows_come_from_the_whole_log(spark):
     rows = [(d, 1.0, 1.0, 1.0, 1.0) for d in range(40)]
     profile = monitor.profile_metrics(log(spark, rows), ["amount"])
