@@ -31,7 +31,8 @@ WORDS, SIMILARITY, RECALL, MOST_HASHES = 5, (4, 5), 0.9999, 128
 #: A cell has about so many classes and shingles from either block.
 BLOCK_CLASSES, BLOCK_SHINGLES, COLUMNS = 1024, 1_000_000, 2048
 #: Columns beside those of a caller's table.
-OWN, ROOT, FIRST = "__lw_class", "__lw_root", "__lw_first"
+OWN, ROOT, FIRST, TWICE = "__lw_class", "__lw_root", "__lw_first", "__lw_twice"
+_BIT, _WORD, _MASK = "__lw_bit", "__lw_word", "__lw_mask"
 #: Bits of the table that thins out rows before a shuffle.
 BITS = 1 << 24
 
@@ -187,16 +188,19 @@ def _verify(similarity: tuple[int, int], schema: str):
 
 
 def bits_of(keys: DataFrame, key: str) -> DataFrame:
-    """word, mask: a table of BITS bits, at most BITS / 64 rows whatever the number of keys, with one bit per key set."""
+    """A table of BITS bits, at most BITS / 64 rows whatever the number of keys, with one bit per key set."""
     bit = F.pmod(F.xxhash64(key), F.lit(BITS))
-    return keys.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("mask"))
+    mask = F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias(_MASK)
+    return keys.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias(_WORD)).agg(mask)
 
 
-def likely(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
-    """The rows whose key may be among the keys of `bits`: all that are, and few others while the table is not full."""
-    bit = F.pmod(F.xxhash64(key), F.lit(BITS))
-    marked = df.withColumn("_bit", bit).withColumn("word", F.expr("_bit div 64")).join(F.broadcast(bits), "word")
-    return marked.where("shiftright(mask, cast(_bit % 64 as int)) & 1 = 1").select(*df.columns)
+def likely(df: DataFrame, key: str, bits: DataFrame, yes: bool = True) -> DataFrame:
+    """The rows whose key may be among the keys of `bits`: all that are, and few others while the table is not full.
+    Without `yes` the other rows, none of which is."""
+    marked = df.withColumn(_BIT, F.pmod(F.xxhash64(key), F.lit(BITS))).withColumn(_WORD, F.expr(f"{_BIT} div 64"))
+    marked = marked.join(F.broadcast(bits), _WORD, "inner" if yes else "left")
+    test = F.expr(f"coalesce(shiftright({_MASK}, cast({_BIT} % 64 as int)) & 1, 0)")
+    return marked.where(test == int(yes)).select(*df.columns)
 
 
 def _candidates(distinct: DataFrame) -> DataFrame:
@@ -303,11 +307,26 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def unique(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """One row of each class of linked texts, the one with its least id; texts without words all stay.
+
+    Verdicts are made without texts. Only rows whose id may be among those that go, or come twice, are shuffled.
+    """
+    each, table = classes(docs, similarity, recall)
+    known = table.select("class", "root", "class_id")
+    rows = each.join(known, "class").withColumn("first", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    twice = rows.where("first").groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root", F.lit(True).alias("twice"))
+    rows = staged(rows.join(twice, "root", "left"), "verdicts")
+    verdicts = rows.select("class", "root", "class_id", F.coalesce("twice", F.lit(False)).alias(TWICE)).distinct()
+    verdicts = verdicts.withColumnsRenamed({"class": OWN, "root": ROOT, "class_id": FIRST})
+    odd = bits_of(rows.where("not first or twice"), "doc_id")
+    asked = with_class(likely(docs, "doc_id", odd)).join(verdicts, OWN, "left")
+    own = F.col("doc_id").eqNullSafe(F.col(FIRST))
+    kept = asked.where(F.col(ROOT).isNull() | own & ~F.col(TWICE)).select(*docs.columns)
+    again = with_class(likely(docs, "doc_id", bits_of(rows.where("first and twice"), "doc_id"))).join(verdicts.where(TWICE), OWN)
+    once = again.where(own).dropDuplicates([ROOT]).select(*docs.columns)
+    return likely(docs, "doc_id", odd, yes=False).unionByName(kept).unionByName(once)
+
+
 def stage_unique(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One row of each class of linked texts, the one with its least id; texts without words all stay."""
-    _, table = classes(docs)
-    found = table.select(F.col("class").alias(OWN), F.col("root").alias(ROOT), F.col("class_id").alias(FIRST))
-    held = with_class(docs).join(found, OWN, "left")
-    alone = held.where(F.col(ROOT).isNull()).select(*docs.columns)
-    first = held.where(F.col(ROOT).isNotNull() & F.col("doc_id").eqNullSafe(F.col(FIRST))).dropDuplicates([ROOT])
-    return alone.unionByName(first.select(*docs.columns))
+    return unique(docs)
