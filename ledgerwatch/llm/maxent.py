@@ -1,22 +1,24 @@
-"""Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
+"""Language-model scores by a maximum-entropy model with a class-factored softmax.
 
 A text is its lower-cased words and one end token. Words fall into classes by their last bytes; the end is a class of its
-own. P(w | h) = P(class | h) P(w | class): the first factor is a softmax over classes of weights hashed by
-features of the words before, the last one, the last two together, and the second last alone; the second is the
-smoothed share of the word in its class, with one place for all unseen words of the class.
+own. P(w | h) = P(class | h) P(w | class, h): the first factor is a softmax over classes of weights of features of the
+words before, the last one, the last two together, and the second and third last alone; a feature has a weight for each
+class that follows it somewhere in the training texts. The second is the share of the word among the words of its class
+after the same last word, drawn by `MASS` to its smoothed share in the class, with one place for all unseen words of the class.
 
 Texts are coded once into blocks, each with a dictionary of its own. Counts over the corpus come from the
 dictionaries: every block sends its words in packets by hash, which sums them without a row per word, and gets
-the totals back. The weights start at zero and see every training text once, in rounds: in a round each
-task takes gradient steps on its blocks from the common weights, and the changes are averaged, by tokens, in a tree. Scoring goes through a
-block in batches of sparse features.
+the totals back. Weights live in a table by ranges of feature keys, as many ranges as the tokens ask for; they start
+at nothing and see every training text once, in rounds: in a round each block asks for the weights of its own features, takes
+gradient steps, and sends the changes back, which are averaged by how often a block has the feature. Scoring asks alike.
 
-Words are told apart by 64-bit hashes. Null and empty texts are the end token alone. Repeated rows count and are scored each.
+Words and features are told apart by 64-bit hashes. Null and empty texts are the end token alone. Repeated rows count and are scored each.
 Without training texts every class and word is equally new. A null id is never held out.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,13 +30,13 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm import text as X
 from ledgerwatch.sources.tables import scratch
 
-#: At most 2^16 weight rows.
+#: Classes; features that a gradient step or a scoring batch has at most; bytes of a word that make its class.
 CLASSES, ROWS, SUFFIX = 64, 1 << 14, 3
-#: Bytes of text in a block; dictionary entries that one task counts; tokens per training task, gradient step and scoring batch.
-BLOCK_BYTES, ENTRIES, TASK_TOKENS, STEP, BATCH = 1 << 22, 1_000_000, 4_000_000, 4096, 4096
-ROUNDS, RATE, FAN = 3, 0.1, 32
+#: Bytes of text in a block; dictionary entries that one task counts; tokens per gradient step and scoring batch.
+BLOCK_BYTES, ENTRIES, STEP, BATCH = 1 << 21, 1_000_000, 2048, 4096
+ROUNDS, RATE, MASS = 3, 0.2, 4.0
 END = np.uint64(0x1D8AF066A1C3B2E5)
-_SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273], np.uint64)
+_SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
 _BLOCK = "block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, low binary, high binary"
 
 
@@ -97,21 +99,15 @@ class Block:
         lists = (np.array(batch.column(n)[row].values.to_numpy(zero_copy_only=False)) for n in ("size", "held"))
         return cls(np.frombuffer(raw["words"], "<u8"), np.frombuffer(raw["classes"], np.uint8), codes, *lists)
 
-    def features(self, rows: int = ROWS) -> np.ndarray:
-        """Weight rows of every token: last word, last two, second last."""
-        hashed = self.words[self.codes]
-        out = np.empty((len(hashed), len(_SALTS)), np.uint16)
-        shift, first = np.uint64(64 - int(rows).bit_length() + 1), np.cumsum(self.size) - self.size
-        one = np.concatenate([hashed[:1], hashed[:-1]])
-        one[first] = 1
-        out[:, 0] = X.mix(one ^ _SALTS[0]) >> shift
-        two = np.concatenate([one[:1], one[:-1]])
-        two[first] = 2
-        out[:, 2] = X.mix(two ^ _SALTS[2]) >> shift
-        one *= X.GOLDEN
-        one += two
-        out[:, 1] = X.mix(one ^ _SALTS[1]) >> shift
-        return out
+    def features(self) -> np.ndarray:
+        """Keys of the features of every token: last word, last two, second last, third last."""
+        hashed, first, back = self.words[self.codes], np.cumsum(self.size) - self.size, []
+        for k in (1, 2, 3):
+            hashed = np.concatenate([hashed[:1], hashed[:-1]])
+            hashed[first] = k
+            back.append(hashed)
+        one, two, three = back
+        return np.column_stack([X.mix(x ^ s) for x, s in zip((one, one * X.GOLDEN + two, two, three), _SALTS, strict=True)])
 
 
 def _buckets(words: np.ndarray, number: int) -> np.ndarray:
@@ -171,8 +167,8 @@ def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, ta
     return own - np.log(np.exp(z, out=z).sum(1))
 
 
-def _steps(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """Gradient steps over batches of tokens, each weight row with its own pace."""
+def _steps(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray | None = None) -> None:
+    """Gradient steps over batches of tokens, each weight row with its own pace. Only weights that `seen` marks move."""
     for low in range(0, len(target), STEP):
         f, y = features[low : low + STEP], target[low : low + STEP]
         g = _logits(weights, bias, f)
@@ -186,82 +182,197 @@ def _steps(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features:
         rows, n = ranked[first], np.diff(first, append=len(ranked))
         summed = np.add.reduceat(np.take(g, order % len(y), axis=0), first, axis=0)
         summed /= np.sqrt(n, dtype=np.float32)[:, None]
+        if seen is not None:
+            summed *= seen[rows]
         squares[rows] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
         summed *= (rate / np.sqrt(squares[rows] + 1e-3))[:, None]
         weights[rows] -= summed
 
 
-def train(coded: DataFrame, tokens: int, bias: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
-    """Weights (ROWS x CLASSES) after one pass over all training tokens in rounds of averaged local steps."""
-    spark = coded.sparkSession
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    into = X.arrow_schema("slice int, part long, n double, change binary")
-    tasks, slices = max(1, -(-tokens // rounds // TASK_TOKENS)), 16
+#: Weights by feature. In changes `n` counts the feature's training tokens in a block, in the table it is 0; `tf` counts those of each class.
+_PACKET = "bucket int, block long, keys binary, per binary, n binary, classes binary, value binary, tf binary"
+_INTO = pa.schema([pa.field(n, pa.int32() if n == "bucket" else pa.int64() if n == "block" else pa.binary()) for n in re.findall(r"(\w+) \w+", _PACKET)])
+_KINDS = {"keys": "<u8", "per": "u1", "n": "<u4", "classes": "u1", "value": "<f2", "tf": "<u8"}
+
+
+def _joined(values: list, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(v for v in values if v is not None), kind)
+
+
+def _packets(number: int, block: int, keys: np.ndarray, per: np.ndarray | None = None, n=None, classes=None, value=None, tf=None) -> pa.RecordBatch:
+    """Sorted keys, and what belongs to them, cut by bucket."""
+    bucket = _buckets(keys, number)
+    some, first = np.unique(bucket, return_index=True)
+    cuts = [*first.tolist(), len(keys)]
+    made = {"bucket": some, "block": np.full(len(some), block)} | dict.fromkeys(_KINDS)
+    ends = [0] * len(cuts) if per is None else np.concatenate([[0], np.cumsum(per, dtype=np.int64)])[cuts].tolist()
+    for name, values, at in (("keys", keys, cuts), ("per", per, cuts), ("n", n, cuts), ("classes", classes, ends), ("value", value, ends), ("tf", tf, ends)):
+        made[name] = [None] * len(some) if values is None else [values[a:b].astype(_KINDS[name]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+    return X.record(made, _INTO)
+
+
+def merged(table: pa.Table) -> pa.Table:
+    """The weights of a bucket from those before and the changes of a round."""
+    got = {n: _joined(table.column(n).to_pylist(), k) for n, k in _KINDS.items()}
+    keys, place = np.unique(got["keys"], return_inverse=True)
+    owner = np.repeat(np.arange(len(place)), got["per"])
+    pairs, at = np.unique(place[owner] * CLASSES + got["classes"], return_inverse=True)
+    n, value = got["n"][owner].astype(float), got["value"].astype(float)
+    weights = np.bincount(at, np.where(n, 0, value), len(pairs)) + np.bincount(at, n * value, len(pairs)) / np.maximum(np.bincount(at, n, len(pairs)), 1)
+    tf = np.bincount(at, got["tf"], len(pairs))
+    per = np.bincount(pairs // CLASSES, minlength=len(keys))
+    made = {"keys": keys, "per": per, "n": np.zeros(len(keys)), "classes": pairs % CLASSES, "value": weights, "tf": tf}
+    made = {k: [v.astype(_KINDS[k]).tobytes()] for k, v in made.items()}
+    return pa.Table.from_batches([X.record({"bucket": [table.column("bucket")[0].as_py()], "block": [-1], **made}, _INTO)])
+
+
+def answered(table: pa.Table) -> pa.Table:
+    """For every packet of keys the weights and counts that its features have."""
+    rows = table.to_pylist()
+    known = {n: _joined([r[n] for r in rows if r["block"] < 0], k) for n, k in _KINDS.items()}
+    low = np.concatenate([[0], np.cumsum(known["per"], dtype=np.int64)])
+    made: dict[str, list] = {n: [] for n in _INTO.names}
+    for r in rows:
+        if r["block"] < 0:
+            continue
+        asked = np.frombuffer(r["keys"], "<u8")
+        at = np.searchsorted(known["keys"], asked)
+        found = at < len(known["keys"])
+        found[found] = known["keys"][at[found]] == asked[found]
+        per = np.zeros(len(asked), np.int64)
+        per[found] = known["per"][at[found]]
+        begin = np.where(found, low[np.minimum(at, len(low) - 1)], 0)
+        own = np.repeat(begin - np.cumsum(per) + per, per) + np.arange(per.sum())
+        one = {"per": per.astype("u1").tobytes(), "keys": None, "n": None} | {n: known[n][own].tobytes() for n in ("classes", "value", "tf")}
+        for name, value in ({"bucket": r["bucket"], "block": r["block"]} | one).items():
+            made[name].append(value)
+    return pa.Table.from_batches([X.record(made, _INTO)])
+
+
+class Weights:
+    """Weights and training counts of the features of a block. `pairs` are feature places times CLASSES plus class, in order."""
+
+    def __init__(self, block: Block, parts: list[dict] | None, taught: np.ndarray | None = None):
+        self.keys, place = np.unique(block.features(), return_inverse=True)
+        self.place, self.target = place.reshape(-1, len(_SALTS)), block.classes[block.codes].astype(np.int64)
+        parts = sorted(parts or [], key=lambda p: p["bucket"])
+        per, classes, value, tf = (_joined([p[n] for p in parts], _KINDS[n]) for n in ("per", "classes", "value", "tf"))
+        given = np.repeat(np.arange(len(per)), per) * CLASSES + classes
+        self.own, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if taught is not None:
+            self.own, self.count = np.unique(self.place[taught] * CLASSES + self.target[taught][:, None], return_counts=True)
+        self.pairs = np.union1d(given, self.own) if len(self.own) else given
+        self.value, self.tf = np.zeros(len(self.pairs), np.float32), np.zeros(len(self.pairs), np.int64)
+        at = np.searchsorted(self.pairs, given)
+        self.value[at], self.tf[at] = value, tf
+        self.low = np.searchsorted(self.pairs, np.arange(len(self.keys) + 1) * CLASSES)
+
+    def dense(self, some) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Features of some tokens; a table of their weights, the rows of it for each token, and which pairs it holds where."""
+        used, row = np.unique(self.place[some], return_inverse=True)
+        per = self.low[used + 1] - self.low[used]
+        own = np.repeat(self.low[used] - np.cumsum(per) + per, per) + np.arange(per.sum())
+        at = np.repeat(np.arange(len(used)), per) * CLASSES + self.pairs[own] % CLASSES
+        table = np.zeros((len(used), CLASSES), np.float32)
+        table.ravel()[at] = self.value[own]
+        return used, table, row.reshape(-1, len(_SALTS)), np.stack([own, at])
+
+    def share(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts of each word after the one before it, and of its class there."""
+        pair = self.place[:, 0] * CLASSES + self.target
+        at = np.minimum(np.searchsorted(self.pairs, pair), max(len(self.pairs) - 1, 0))
+        kind = np.where(self.pairs[at] == pair, self.tf[at], 0) if len(self.pairs) else np.zeros(len(pair), np.int64)
+        total = np.concatenate([[0], np.cumsum(self.tf)])
+        total = total[self.low[1:]] - total[self.low[:-1]]
+        # The word and the one before it are the last two of the next token; the end has no next and is alone in its class.
+        word = np.append(total[self.place[1:, 1]], 0)
+        last = np.cumsum(block.size) - 1
+        word[last] = kind[last]
+        return word, kind
+
+
+def _with_parts(coded: DataFrame, state: DataFrame, number: int) -> DataFrame:
+    """Blocks with `weights`: what the table has for their features."""
+
+    def ask(batches):
+        for batch in batches:
+            for row in range(len(batch)):
+                yield _packets(number, batch.column("block")[row].as_py(), np.unique(Block.of(batch, row).features()))
+
+    asked = coded.select("block", "held", "size", "words", "classes", "low", "high").mapInArrow(ask, _PACKET)
+    parts = asked.union(state).groupBy("bucket").applyInArrow(answered, _PACKET)
+    parts = parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "per", F.col("classes"), "value", "tf")).alias("weights"))
+    return coded.join(parts, "block")
+
+
+def train(coded: DataFrame, number: int, bias: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> DataFrame:
+    """The table of weights after one pass over all training tokens in rounds of averaged local steps."""
+    state = None
 
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast(weights)
 
-        def step(batches, shared=shared):
-            own, squares, seen = shared.value.copy(), np.zeros(ROWS, np.float32), 0
+        def step(batches, pace=rate / (1 + turn)):
             for batch in batches:
                 for row in range(len(batch)):
                     block = Block.of(batch, row)
-                    taught = np.repeat(~block.held, block.size)
-                    _steps(own, squares, bias, block.features()[taught], block.classes[block.codes[taught]].astype(np.int64), rate)
-                    seen += int(taught.sum())
-            if seen:
-                change = np.split(own - shared.value, slices)
-                part = TaskContext.get().partitionId()
-                made = {"slice": range(slices), "part": [part] * slices, "n": [float(seen)] * slices, "change": [c.astype("<f2").tobytes() for c in change]}
-                yield X.record(made, into)
-
-        def average(table: pa.Table) -> pa.Table:
-            n = table.column("n").to_numpy()
-            mean = sum(w * np.frombuffer(c, "<f2").astype(np.float64) for w, c in zip(n / n.sum(), table.column("change").to_pylist(), strict=True))
-            made = {"slice": [table.column("slice")[0].as_py()], "part": [table.column("part")[0].as_py()], "n": [n.sum()], "change": [mean.astype("<f2").tobytes()]}
-            return pa.Table.from_batches([X.record(made, into)])
+                    taught = np.flatnonzero(np.repeat(~block.held, block.size))
+                    if not len(taught):
+                        continue
+                    parts = batch.column("weights")[row].as_py() if "weights" in batch.schema.names else None
+                    w = Weights(block, parts, taught)
+                    before, squares = w.value.copy(), np.zeros(len(w.keys), np.float32)
+                    for low in range(0, len(taught), STEP):
+                        some = taught[low : low + STEP]
+                        used, table, rows, (own, at) = w.dense(some)
+                        seen, speed = np.zeros(table.shape, bool), squares[used]
+                        seen.ravel()[at] = True
+                        _steps(table, speed, bias, rows, w.target[some], pace, seen)
+                        squares[used], w.value[own] = speed, table.ravel()[at]
+                    n = np.bincount(w.place[taught].ravel(), minlength=len(w.keys))
+                    keep, tf = n > 0, np.zeros(len(w.pairs), np.int64)
+                    tf[np.searchsorted(w.pairs, w.own)] = w.count
+                    moved = keep[w.pairs // CLASSES]
+                    yield _packets(
+                        number, 0, w.keys[keep], np.diff(w.low)[keep], n[keep], (w.pairs % CLASSES)[moved], (w.value - before)[moved], tf[moved],
+                    )
 
         mine = coded.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn).select("block", "held", "size", "words", "classes", "low", "high")
-        moved, left = mine.coalesce(tasks).mapInArrow(step, "slice int, part long, n double, change binary"), tasks
-        while left > 1:
-            moved = moved.withColumn("part", F.expr(f"part div {FAN}")).groupBy("slice", "part").applyInArrow(average, "slice int, part long, n double, change binary")
-            left = -(-left // FAN)
-        change = {r["slice"]: np.frombuffer(r["change"], "<f2") for r in moved.collect()}  # one row per slice
-        if change:
-            weights = weights + np.concatenate([change[k] for k in range(slices)]).reshape(weights.shape).astype(np.float32)
-        shared.unpersist()
-    return weights
-
-
-def score(coded: DataFrame, counted: DataFrame, number: int, weights: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
+        moved = (mine if state is None else _with_parts(mine, state, number)).mapInArrow(step, _PACKET)
+        state = _stored((moved if state is None else moved.union(state)).groupBy("bucket").applyInArrow(merged, _PACKET), "weights")
+    return state
+
+
+def score(coded: DataFrame, counted: DataFrame, number: int, class_tokens: np.ndarray, class_words: np.ndarray) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text; `coded` has its weights."""
     kind = coded.schema["doc_id"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    into, spark = X.arrow_schema(schema), coded.sparkSession
+    into, bias = X.arrow_schema(schema), _bias(class_tokens)
     total, distinct = int(class_tokens.sum()), int(class_words.sum())
-    shared, bias = spark.sparkContext.broadcast(weights), _bias(class_tokens)
-    places = np.log10(class_tokens + class_words + 1.0)
+    places = class_tokens + class_words + 1.0
 
     def run(batches):
         for batch in batches:
             for row in range(len(batch)):
-                block, own = Block.of(batch, row), np.empty(0)
+                block = Block.of(batch, row)
                 order = np.argsort(_buckets(block.words, number), kind="stable")
                 parts = sorted(batch.column("parts")[row].as_py(), key=lambda p: p["bucket"])
                 own = np.empty(len(order))
                 own[order] = np.frombuffer(b"".join(p["totals"] for p in parts), "<u8")
                 gain, classes = np.log10(own + 1), block.classes.astype(np.int64)
-                features, target = block.features(), classes[block.codes]
-                chosen = np.empty(len(target))
-                for low in range(0, len(target), BATCH):
+                w = Weights(block, batch.column("weights")[row].as_py())
+                chosen = np.empty(len(w.target))
+                for low in range(0, len(w.target), BATCH):
                     some = slice(low, low + BATCH)
-                    chosen[some] = _log_softmax(shared.value, bias, features[some], target[some])
+                    _, table, rows, _ = w.dense(some)
+                    chosen[some] = _log_softmax(table, bias, rows, w.target[some])
+                word, alike = w.share(block)
+                within = np.log10((word + MASS * ((own + 1) / places[classes])[block.codes]) / (alike + MASS))
                 first = np.cumsum(block.size) - block.size
                 per = lambda values: np.add.reduceat(values, first)  # noqa: E731  every text has its end token
                 made = {
                     "doc_id": batch.column("doc_id")[row].values, "held_out": block.held, "n_tokens": block.size, "n_known": per((own > 0)[block.codes].astype(np.int64)),
                     "train_tokens": np.full(len(first), total), "base_score": per((gain - np.log10(total + distinct + 1.0))[block.codes]),
-                    "score": per((gain - places[classes])[block.codes] + chosen / np.log(10)),
+                    "score": per(within + chosen / np.log(10)),
                 }
                 yield X.record(made, into)
 
@@ -289,8 +400,9 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     counted = _stored(counts(folder, number), "counts")
     sums = {r["pos"]: r["n"] for r in counted.where("block < 0").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     tokens, words = (np.array([sums.get(k + at, 0) for k in range(CLASSES)], np.int64) for at in (0, CLASSES))
-    weights = train(folder, size["tokens"] or 0, _bias(tokens))
-    return score(folder, counted, number, weights, tokens, words)
+    ranges = max(1, -(-(size["tokens"] or 0) * len(_SALTS) // ENTRIES))
+    weights = train(folder, ranges, _bias(tokens))
+    return score(_with_parts(folder, weights, ranges), counted, number, tokens, words)
 
 
 def op9_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -77,3 +77,41 @@ def test_without_training_texts(spark):
     assert {r["train_tokens"] for r in rows} == {0} and all(r["base_score"] == 0 and r["n_known"] == 0 for r in rows)
     empty = documents(spark, []).limit(0).withColumn("held", F.lit(False))
     assert maxent.language_model_scores(empty).count() == 0
+
+
+def test_features_never_share_a_row():
+    """More word pairs than a fixed table of 2^14 or 2^16 rows has; the third last word counts too."""
+    n = 70_000
+    words = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(2654435761)
+    block = maxent.Block(words, np.zeros(n, np.uint8), np.arange(n), np.array([n]), np.array([False]))
+    keys = block.features()
+    assert keys.shape == (n, 4) and len(np.unique(keys)) == 4 * n
+
+
+@pytest.mark.parametrize("entries", [1_000_000, 50])
+def test_context_tells_words_of_a_class_apart(spark, monkeypatch, entries):
+    """Both words end alike, so they are of one class, and are equally frequent."""
+    monkeypatch.setattr(maxent, "ENTRIES", entries)
+    rows = [(k, ("left", "right")[k % 2] + " " + ("walking", "talking")[k % 2], False) for k in range(200)]
+    rows += [(1000, "left walking", True), (1001, "left talking", True), (1002, "right talking", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean").repartition(3)
+    score = {r["doc_id"]: r["score"] for r in maxent.language_model_scores(docs).collect()}
+    assert score[1000] > score[1001] + 0.5 and score[1002] > score[1001] + 0.5
+
+
+def test_words_of_a_class_add_up_in_a_context():
+    """After each word the counts of a class are those of its words."""
+    rng = np.random.default_rng(3)
+    size = rng.integers(1, 30, 40)
+    codes = rng.integers(1, 9, size.sum())
+    codes[np.cumsum(size) - 1] = 0
+    block = maxent.Block(np.arange(5, 14, dtype=np.uint64), np.array([0, *[1 + k % 3 for k in range(8)]], np.uint8), codes, size, np.zeros(40, bool))
+    w = maxent.Weights(block, None, np.arange(len(codes)))
+    w.tf[np.searchsorted(w.pairs, w.own)] = w.count
+    word, alike = w.share(block)
+    first = np.cumsum(size) - size
+    before = np.append(-1, codes[:-1])
+    before[first] = -1
+    pairs, kinds = Counter(zip(before, codes)), Counter(zip(before, block.classes[codes]))
+    assert word.tolist() == [pairs[b, c] for b, c in zip(before, codes)]
+    assert alike.tolist() == [kinds[b, c] for b, c in zip(before, block.classes[codes])]
