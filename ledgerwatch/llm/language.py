@@ -8,7 +8,8 @@ k(x, landmarks) K^(-1/2), and one ridge regression per language separates it fro
 batch is two matrix products.
 
 Null texts and texts without a letter are `und` with score 0; so is every text if nothing can be learned. Ties go
-to the language that sorts first. Repeated rows get a row each. Rows without id or language teach nothing.
+to the language that sorts first. The stage of the pipeline keeps a text only on evidence: enough of its three-byte n-grams
+must be known, and the best language must lead the second by enough, both by what training texts have. Repeated rows get a row each. Rows without id or language teach nothing.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from ledgerwatch.llm import text as X
 #: Bounds of the training set: labelled texts, landmarks, and n-grams that the kernel counts.
 SAMPLE, LANDMARKS, GRAMS = 2_000, 192, 8_192
 RIDGE, UNKNOWN, LEAST_SCORE = 1e-2, "und", 0.3
+#: The quantile of training texts that evidence is measured by, and the shares of it that a text needs: of known n-grams and of the lead.
+QUANTILE, COVERED, LEAD = 0.01, 0.9, 0.5
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
@@ -55,8 +58,9 @@ class Model:
     landmarks: np.ndarray
     weights: np.ndarray
     names: list[str]
+    least: tuple[float, float] = (0.0, 0.0)
 
-    def scorer(self):
+    def scorer(self, evidence: bool = False):
         index = np.full((1 << 17) + (1 << 24), -1, np.int16)
         index[self.codes] = np.arange(len(self.codes))
         norm = np.sqrt(self.landmarks.sum(1))
@@ -64,7 +68,8 @@ class Model:
         weights = (self.weights / norm[:, None]).astype(np.float32)
 
         def score(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-            """One-versus-rest values of each text."""
+            """One-versus-rest values of each text, and with `evidence` whether each has enough of it."""
+            covered = np.zeros(len(at) - 1)
             out = np.zeros((len(at) - 1, len(self.names)), np.float32)
             for low in range(0, len(at) - 1, ROWS):
                 high = min(low + ROWS, len(at) - 1)
@@ -75,19 +80,33 @@ class Model:
                     column = index[code]
                     inside = column >= 0
                     if n:
-                        inside &= row[n:] == row[: len(row) - n]
+                        whole = row[n:] == row[: len(row) - n]
+                        inside &= whole
                     has[row[: len(column)][inside] * len(self.codes) + column[inside]] = True
+                    if n == 2:
+                        found, total = (np.bincount(row[: len(column)][x], minlength=high - low) for x in (inside, whole))
+                        covered[low:high] = found / np.maximum(total, 1)
                 has = has.reshape(high - low, -1)
                 size = np.sqrt(np.maximum(has.sum(1), 1))
                 out[low:high] = (has.astype(np.float32) @ shared) @ weights / size[:, None]
-            return out
+            return (out, (covered >= self.least[0]) & (lead(out) >= self.least[1])) if evidence else out
 
         return score
 
 
-def fit_model(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, most: int = GRAMS, ridge: float = RIDGE) -> Model | None:
-    """The model of labelled n-gram sets; None without any. The n-grams that most texts have are kept."""
-    sets, labels = zip(*[(s, y) for s, y in zip(sets, labels, strict=True) if len(s)], strict=True) if any(len(s) for s in sets) else ((), ())
+def lead(values: np.ndarray) -> np.ndarray:
+    """By how much the best language is ahead of the second; of one language its value."""
+    ranked = np.sort(values, axis=1)
+    return ranked[:, -1] - (ranked[:, -2] if values.shape[1] > 1 else 0)
+
+
+def fit_model(
+    sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, most: int = GRAMS, ridge: float = RIDGE, counts: list[np.ndarray] | None = None
+) -> Model | None:
+    """The model of labelled n-gram sets, and how often a text has each; None without any. The n-grams that most texts have are kept."""
+    counts = [np.ones(len(s)) for s in sets] if counts is None else counts
+    some = [x for x in zip(sets, labels, counts, strict=True) if len(x[0])]
+    sets, labels, counts = zip(*some, strict=True) if some else ((), (), ())
     if not sets:
         return None
     names = sorted(set(labels))
@@ -113,7 +132,10 @@ def fit_model(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMA
     features = kernel.astype(float) @ root
     target = np.where(np.array(labels)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     ridge_by = np.linalg.solve(features.T @ features + ridge * len(sets) * np.eye(features.shape[1]) / 10, features.T @ target)
-    return Model(keep, rows[some], root @ ridge_by, names)
+    threes = [s >= 1 << 17 for s in sets]
+    covered = [n[t & np.isin(s, keep)].sum() / max(n[t].sum(), 1) for s, t, n in zip(sets, threes, counts, strict=True)]
+    least = COVERED * np.quantile(covered, QUANTILE), LEAD * np.quantile(lead(features @ ridge_by), QUANTILE)
+    return Model(keep, rows[some], root @ ridge_by, names, tuple(map(float, least)))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model | None:
@@ -124,17 +146,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Mo
 
     def work(part: pa.RecordBatch) -> dict:
         buf, at = X.bytes_of(part.column("text"))
-        sets = [np.unique(np.concatenate(grams(buf[a:b]))) if b - a > 2 else np.zeros(0, np.uint32) for a, b in zip(at[:-1], at[1:], strict=True)]
-        return {"doc_id": part.column("doc_id"), "lang": part.column("lang"), "codes": [s.astype("<u4").tobytes() for s in sets]}
+        none = np.zeros(0, np.uint32)
+        sets = [np.unique(np.concatenate(grams(buf[a:b])), return_counts=True) if b - a > 2 else (none, none) for a, b in zip(at[:-1], at[1:], strict=True)]
+        made = {n: [s[k].astype("<u4").tobytes() for s in sets] for k, n in enumerate(("codes", "counts"))}
+        return {"doc_id": part.column("doc_id"), "lang": part.column("lang")} | made
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = X.map_slices(rows, f"doc_id {kind}, lang string, codes binary", work).orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "codes").limit(sample).toPandas()
-    return fit_model([np.frombuffer(c, "<u4") for c in sets["codes"]], list(sets["lang"]), landmarks)
+    sets = X.map_slices(rows, f"doc_id {kind}, lang string, codes binary, counts binary", work).orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "codes").limit(sample).toPandas()
+    codes, counts = ([np.frombuffer(c, "<u4") for c in sets[n]] for n in ("codes", "counts"))
+    return fit_model(codes, list(sets["lang"]), landmarks, counts=counts)
 
 
-def judge(model: Model | None):
-    """A function for workers: texts -> (languages, scores)."""
-    score = model.scorer() if model else None
+def judge(model: Model | None, evidence: bool = False):
+    """A function for workers: texts -> (languages, scores). With `evidence` texts that lack it are unknown."""
+    score = model.scorer(True) if model else None
 
     def one(texts) -> tuple[list[str], np.ndarray]:
         buf, at = X.bytes_of(texts)
@@ -143,7 +168,8 @@ def judge(model: Model | None):
             letters[i] = has_letter(buf[at[i] : at[i + 1]].tobytes())
         if model is None:
             return [UNKNOWN] * len(letters), np.zeros(len(letters))
-        values = score(buf, at)
+        values, enough = score(buf, at)
+        letters = letters & enough if evidence else letters
         best = values.argmax(1)
         sure = np.clip((1 + values[np.arange(len(best)), best].astype(float)) / 2, 0, 1)
         return [model.names[b] if k else UNKNOWN for b, k in zip(best, letters, strict=True)], np.where(letters, sure, 0.0)
@@ -178,11 +204,11 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents in a learned language; texts without letters or with a score below LEAST_SCORE go."""
+    """The documents in a learned language; texts without letters, without evidence or with a score below LEAST_SCORE go."""
     shared = spark.sparkContext.broadcast(fit(docs.where(~held_out())))
 
     def run(batches):
-        one = judge(shared.value)
+        one = judge(shared.value, evidence=True)
         for batch in batches:
             for part in X.slices(batch):
                 lang, score = one(part.column("text"))

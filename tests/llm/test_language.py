@@ -68,3 +68,20 @@ def test_stage_drops_only_texts_without_language(spark, small):
     kept = language.stage_language(spark, docs, small)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in docs.select("doc_id").subtract(kept.select("doc_id")).collect()} == {10**9, 10**9 + 1}
+
+
+def test_stage_drops_an_unlearned_language_and_noise(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rng = np.random.default_rng(2)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), 400)) for _ in range(40)]
+    script = ["".join(rng.choice([chr(c) for c in range(0x10D0, 0x10F0)] + [" "], 300)) for _ in range(20)]
+    extra = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(noise + script)], "doc_id long, text string")
+    known = docs.withColumn("unlearned", F.col("lang") == "fr").withColumn("lang", F.when(F.col("lang") != "fr", F.col("lang")))
+    known = known.unionByName(extra, allowMissingColumns=True)
+    kept = language.stage_language(spark, known, folder)
+    n = {r["unlearned"]: r["n"] for r in kept.groupBy("unlearned").agg(F.count("*").alias("n")).collect()}
+    every = {r["unlearned"]: r["n"] for r in known.groupBy("unlearned").agg(F.count("*").alias("n")).collect()}
+    assert n.get(None, 0) == 0
+    assert n.get(True, 0) < 0.1 * every[True]
+    assert n[False] > 0.99 * every[False]
