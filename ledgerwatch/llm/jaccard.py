@@ -8,9 +8,8 @@ is counted twice and none is written out. A cell returns the number of links per
 forest of them, from which the connected classes follow.
 
 Texts of one to four words have one shingle, all their words; empty and null texts have none and stand
-alone. Repeated rows are copies. Ids may be null: a class takes its smallest id, null if it has none, and
-then has no links to other classes. A class is known by the id of one of its rows; different texts of one id count
-as one document where they have links.
+alone. Repeated rows are copies. Ids may be null, and different texts may have one id: a class has a number of its own, and
+takes its smallest id, null if it has none.
 """
 
 from __future__ import annotations
@@ -222,15 +221,20 @@ def _candidates(distinct: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, distinct: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """(node, links, root) rows of all cells. `distinct`: node (the id of a row), class, shingles, bands, one row a class."""
+    """(node, links, root, class) rows of all cells. `distinct`: node (a number), doc_id (of a row), class, shingles, bands, one row a class."""
     members = _candidates(distinct)
     nodes = members.select("node").distinct()
     some = staged(likely(distinct, "node", bits_of(nodes, "node")).join(nodes, "node"), "candidates")
     # Inner joins: a semi join would be moved below the filter that keeps most texts from being shuffled.
-    texts = likely(docs.select("doc_id", "text"), "doc_id", bits_of(nodes, "node"))
-    texts = texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id")
-    sets = with_class(texts, "set").select(F.col("doc_id").alias("node"), OWN, "set")
-    sets = some.join(sets, "node").where(F.col("class") == F.col(OWN)).select("node", "shingles", "bands", "set")
+    ids = some.where("doc_id is not null").select("doc_id").distinct()
+    texts = likely(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", bits_of(ids, "doc_id")).join(ids, "doc_id")
+    sets = with_class(texts, "set").select(F.col("doc_id").alias(FIRST), OWN, "set")
+    sets = some.join(sets, (F.col("doc_id") == F.col(FIRST)) & (F.col("class") == F.col(OWN))).select("node", "shingles", "bands", "set")
+    # Of the rows without id one a class, among the classes that have no other row.
+    bare = some.where("doc_id is null").select("node", "class", "shingles", "bands")
+    texts = with_class(docs.select("doc_id", "text").where("doc_id is null"), "set")
+    bare = bare.join(texts.select(F.col(OWN).alias("class"), "set"), "class").dropDuplicates(["class"])
+    sets = sets.unionByName(bare.select("node", "shingles", "bands", "set"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES), F.lit(1)).cast("int")
     cells = (
         members.withColumn("blocks", F.least(blocks, F.col("n").cast("int")))
@@ -280,7 +284,9 @@ def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, recall: f
     each = staged(signed(docs, *banding(similarity[0] / similarity[1], recall)), "signatures")
     known = each.where("class is not null")
     groups = known.groupBy("class").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"))
-    firsts = staged(known.where("doc_id is not null").dropDuplicates(["class"]).withColumnRenamed("doc_id", "node"), "distinct")
+    # One row a class, with an id where a row of it has one; the table fixes the numbers.
+    firsts = known.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.any_value("shingles").alias("shingles"), F.any_value("bands").alias("bands"))
+    firsts = staged(firsts.withColumn("node", F.monotonically_increasing_id()), "distinct")
     found = staged(linked(docs, firsts, similarity), "links")
     links = found.groupBy("class", "node").agg(F.sum("links").alias("n_links")).join(components(found, "node", "root"), "node", "left")
     table = groups.join(links.select("class", "n_links", F.col("root").cast("string").alias("root")), "class", "left")

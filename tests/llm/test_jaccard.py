@@ -110,3 +110,17 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (105, 100)], "a long, b long")
     found = {r["node"]: r["root"] for r in jaccard.components(edges).collect()}
     assert found == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 105: 100}
+
+
+def test_different_texts_of_one_id_and_texts_without_id(spark):
+    """Each text has its own links, whatever its id."""
+    one, two, three, lone = (prose(k, 100).split(" ") for k in (901, 902, 903, 904))
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, near(one)), (3, near(two)), (None, " ".join(three)), (None, near(three)), (1, " ".join(lone))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(jaccard.jaccard_join(docs).collect(), key=str)
+    assert sorted(r["n_links"] for r in found) == [0, 1, 1, 1, 1, 1, 1]
+    assert {(r["doc_id"], r["class_id"]) for r in found} == {(1, 1), (2, 1), (3, 1), (None, None)}
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.unique(docs).collect()]
+    assert sorted(k for k in kept if k[0]) == sorted([rows[0], rows[1], rows[6]])
+    assert len(kept) == 4 and [k for k in kept if k[0] is None][0] in rows[4:6]
