@@ -27,13 +27,6 @@ NOT_INPUTS = ("transaction_id", "event_ts", "is_fraud", "split")
 LOGISTIC = learning.Trial(0, "logistic", {"C": 0.5, "tol": 1e-5})
 BOOSTED = learning.Trial(1, "gbt", {"trees": 10, "depth": 4, "rate": 0.2, "bins": 32})
 
-# A narrower space than the default one, for a search that is part of a regular run.
-QUICK_SPACE = {
-    "logistic": learning.SPACE["logistic"],
-    "gbt": {"trees": ("logint", 5, 10), "depth": ("int", 3, 4), "rate": ("uniform", 1e-2, 0.9), "bins": ("int", 8, 64)},
-    "forest": {"trees": ("logint", 5, 20), "depth": ("int", 3, 6), "bins": ("int", 8, 64)},
-}
-
 
 def _known_balances(bank: Bank) -> DataFrame:
     """Balances that are not positive count as unknown."""
@@ -137,7 +130,7 @@ def model_report(bank: Bank) -> DataFrame:
 def hpo_trials(bank: Bank) -> DataFrame:
     training = _training(bank)
     categorical, numeric = learning.model_columns(training, NOT_INPUTS)
-    trials = learning.draw_trials(space=QUICK_SPACE)
+    trials = learning.draw_trials()
     return learning.search(_train_rows(training), trials, categorical, numeric, STARTED_AT)
 
 

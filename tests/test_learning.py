@@ -143,3 +143,13 @@ def test_sampled_attributions_add_up_for_an_interaction(spark):
     for i in range(30):
         value, error = totals[str(i)]
         assert math.isclose(value, (i % 5) * (i % 3) - mean, abs_tol=4 * error + 0.05)
+
+
+def test_the_registered_search_draws_from_the_whole_space(spark, small, monkeypatch):
+    from ledgerwatch.queries import models
+    from ledgerwatch.sources.binding import Bank
+
+    seen = []
+    monkeypatch.setattr(models.learning, "search", lambda rows, trials, *more: seen.extend(trials))
+    models.hpo_trials(Bank(spark, small))
+    assert seen == learning.draw_trials(space=learning.SPACE)
