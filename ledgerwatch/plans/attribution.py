@@ -9,12 +9,18 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.operators.sampling import hash_top_n
+from ledgerwatch.operators.sampling import hash_sample, hash_top_n
 
-EXPLAINED_ROWS = 2_000
+DRAWS = 8
 TOP_FEATURES = 15
 
 
+def explained_rows(df: DataFrame, key: str, percent: int = 100, rows: int | None = None) -> DataFrame:
+    """All rows, or those of a sample by hash and at most so many of them."""
+    some = df if percent >= 100 else hash_sample(df, key, percent)
+    return some if rows is None else hash_top_n(some, key, rows)
+
+
 def linear_attribution(df: DataFrame, key: str, weights: Mapping[str, float]) -> DataFrame:
     """(key, feature, value): weight x (value - mean of the feature), in the units of the linear score."""
     means = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in weights])).scalar()
@@ -44,7 +50,7 @@ def sampled_attribution(
     key: str,
     features: Sequence[str],
     score: Callable[[DataFrame], DataFrame],
-    permutations: int = 8,
+    permutations: int = DRAWS,
     background_rows: int = 500,
 ) -> DataFrame:
     """(key, feature, value, stderr): mean change of the score when a feature takes the row's value.

@@ -15,13 +15,11 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import protected_columns
 from ledgerwatch.functions.risk import RISK_SCORE, BoundFunction
 from ledgerwatch.operators import fairness, gates, monitor
-from ledgerwatch.operators.sampling import hash_sample, hash_top_n
 from ledgerwatch.plans import attribution, features, learning
 from ledgerwatch.sources.tables import append, append_lineage, scratch, staged
 
 KEY = "transaction_id"
 NOT_INPUTS = (KEY, "event_ts", "is_fraud", "split")
-EXPLAINED_PERCENT = 5
 
 
 @dataclass
@@ -46,14 +44,18 @@ class Candidate:
         append_lineage(self.slices, f"{folder}/fairness_metrics", run_id, at)
 
 
-def explain(model: PipelineModel, rows: DataFrame, background: DataFrame, inputs: Sequence[str]) -> DataFrame:
-    """Exact attributions of a linear model by place of its feature vector, sampled ones of any other by input."""
+def explain(
+    model: PipelineModel, rows: DataFrame, background: DataFrame, inputs: Sequence[str], percent: int = 100, most: int | None = None, draws: int = attribution.DRAWS
+) -> DataFrame:
+    """Exact attributions of a linear model by place of its feature vector, on all rows; sampled ones of any other by
+    input, on `percent` of the rows and `most` of these, all if not said otherwise."""
     classifier = model.stages[-1]
     if isinstance(classifier, LogisticRegressionModel):
         names = learning.feature_names(model)
         prepared = PipelineModel(stages=model.stages[:-1]).transform(rows)
         return attribution.model_attribution(prepared, KEY, list(classifier.coefficients), names)
-    return attribution.sampled_attribution(rows, background, KEY, inputs, lambda df: learning.score(model, df))
+    some = staged(attribution.explained_rows(rows, KEY, percent, most), "explained")
+    return attribution.sampled_attribution(some, background, KEY, inputs, lambda df: learning.score(model, df), draws)
 
 
 def train_and_judge(
@@ -64,10 +66,13 @@ def train_and_judge(
     functions: Iterable[BoundFunction] = (RISK_SCORE,),
     path: str | None = None,
     parallelism: int = 4,
+    percent: int = 100,
+    rows: int | None = None,
+    draws: int = attribution.DRAWS,
 ) -> Candidate:
     """Training set, search, refit of the best trial, metrics, explanations and the fairness gate.
 
-    All training rows train. The explanations use a sample of the test rows, the fairness metrics all of them.
+    All training rows train. Explanations and fairness metrics use all test rows; sampled explanations take `percent` and `rows` for fewer.
     """
     spark = gold.sparkSession
     labels, known = features.label_table(gold, event_ts), features.feature_table(gold, event_ts)
@@ -85,7 +90,6 @@ def train_and_judge(
 
     scored = learning.score(model, test).withColumn("label", F.col("is_fraud"))
     slices = fairness.subgroup_metrics(scored, protected_columns(scored.columns))
-    sample = hash_top_n(hash_sample(test, KEY, EXPLAINED_PERCENT), KEY, attribution.EXPLAINED_ROWS)
     return Candidate(
         model=model,
         path=path,
@@ -93,7 +97,7 @@ def train_and_judge(
         report=learning.evaluate(model, training),
         slices=slices,
         gate=fairness.fairness_gate(slices),
-        attributions=explain(model, staged(sample, "explained"), train, [*numeric, *categorical]),
+        attributions=explain(model, test, train, [*numeric, *categorical], percent, rows, draws),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.risk import RISK_SCORE
 from ledgerwatch.operators import gates
 from ledgerwatch.operators.metrics import f1
-from ledgerwatch.operators.sampling import hash_sample, hash_top_n, split_name
+from ledgerwatch.operators.sampling import split_name
 from ledgerwatch.plans import attribution, features, layers, learning
 from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
@@ -241,8 +241,8 @@ EXPLAINED = ["amount", "balance_orig_ratio", "is_full_transfer", "is_cross_borde
 
 
 @query()
-def tree_attribution(bank: Bank) -> DataFrame:
-    """Sampled explanations of a boosted model on the explanation sample of the test rows."""
+def tree_attribution(bank: Bank, percent: int = 100, rows: int | None = None, draws: int = attribution.DRAWS) -> DataFrame:
+    """Sampled explanations of a boosted model on the test rows, or on some of them."""
     training = staged(
         features.with_features(bank.gold, keep=["is_fraud"]).withColumns(
             {"is_fraud": F.col("is_fraud").cast("int"), "split": split_name(F.col("transaction_id"))}
@@ -253,15 +253,14 @@ def tree_attribution(bank: Bank) -> DataFrame:
     categorical = ["type", "country"]
     numeric = [c for c in EXPLAINED if c not in categorical]
     model = learning.fit(train, BOOSTED, categorical, numeric)
-    sample = hash_sample(training.where("split = 'test'"), "transaction_id", 5)
-    explained = hash_top_n(sample, "transaction_id", attribution.EXPLAINED_ROWS)
+    explained = attribution.explained_rows(training.where("split = 'test'"), "transaction_id", percent, rows)
     return attribution.sampled_attribution(
         explained,
         train,
         "transaction_id",
         EXPLAINED,
         lambda rows: learning.score(model, rows),
-        permutations=4,
+        permutations=draws,
     )
 
 

@@ -153,3 +153,15 @@ def test_the_registered_search_draws_from_the_whole_space(spark, small, monkeypa
     monkeypatch.setattr(models.learning, "search", lambda rows, trials, *more: seen.extend(trials))
     models.hpo_trials(Bank(spark, small))
     assert seen == learning.draw_trials(space=learning.SPACE)
+
+
+def test_tree_explanations_take_all_test_rows(spark, small):
+    from ledgerwatch.operators.sampling import split_name
+    from ledgerwatch.plans import features
+    from ledgerwatch.queries import models
+    from ledgerwatch.sources.binding import Bank
+
+    bank = Bank(spark, small)
+    ids = features.with_features(bank.gold).where(split_name(F.col("transaction_id")) == "test").select("transaction_id").distinct()
+    assert models.tree_attribution(bank, draws=2).select("transaction_id").distinct().count() == ids.count()
+    assert models.tree_attribution(bank, rows=7, draws=2).select("transaction_id").distinct().count() == 7
