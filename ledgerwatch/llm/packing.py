@@ -88,6 +88,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
             while at >= 0 and not left[large[at]]:
                 del large[at]
                 at -= 1
+            if at >= 0 and large[at] == size and left[size] == 1:
+                # No second piece of its own length: the next smaller one.
+                at -= 1
+                while at >= 0 and not left[large[at]]:
+                    del large[at]
+                    at -= 1
             other = large[at] if at >= 0 else 0
             if other == size and left[size] > 1:
                 number = left[size] // 2

@@ -105,3 +105,8 @@ def test_files_round_trip(spark, folder, monkeypatch):
 def test_no_files(spark, folder):
     binary.write_ids(documents(spark, []).limit(0), PATH, folder)
     assert binary.read_ids(spark, folder, digest=True).count() == 0
+
+
+def test_an_odd_piece_takes_a_shorter_partner():
+    for counts, sequences in (({2000: 1, 1900: 1}, 1), ({2000: 3, 1900: 1, 1500: 1}, 3), ({2048: 1, 1366: 1}, 1)):
+        assert max(first + -(-1 // each) for _, _, first, each, _ in packing.plan(counts)) <= sequences
