@@ -1,6 +1,6 @@
 """The queries of this package by name, and SQL for those that a second engine can run."""
 
-from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, maxent, packing, quality, topk, wrapper
+from ledgerwatch.llm import binary, chat, jaccard, language, lexicon, maxent, packing, quality, repair, topk, wrapper
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES = {
         lexicon.op8_bpe_lexicon,
         maxent.op9_maxent_scores,
         binary.op10_token_files,
+        repair.op12_structure_repair,
     )
 }
-ORACLES: dict[str, str] = {"op3_exact_top_k": topk.ORACLE, "op6_chat_format": chat.ORACLE}
+ORACLES: dict[str, str] = {"op3_exact_top_k": topk.ORACLE, "op6_chat_format": chat.ORACLE, "op12_structure_repair": repair.ORACLE}
