@@ -88,10 +88,11 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def words(texts: pa.Array, lower: bool = False) -> Words:
+def words(texts: pa.Array, lower: bool = False, between: np.ndarray = SPACE) -> Words:
+    """The runs of bytes that `between` does not mark."""
     buf, text = bytes_of(texts)
     buf = LOWER[buf] if lower else buf
-    space = SPACE[buf]
+    space = between[buf]
     before, after = np.ones(len(buf), bool), np.ones(len(buf), bool)
     before[1:], after[:-1] = space[:-1], space[1:]
     cuts = text[(text > 0) & (text < len(buf))]
