@@ -1,0 +1,155 @@
+import base64
+import glob
+import gzip
+import hashlib
+import os
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerwatch.llm import warc
+from tests.oracle import differences
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def test_equals_sql(spark, small):
+    assert differences(warc.op11_warc_archives(spark, small), warc.ORACLE, small) == []
+
+
+def digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def expected(rows, least=0):
+    groups, out = {}, []
+    for k, (page, url, html) in enumerate(rows):
+        groups.setdefault(html or "", []).append((page is None, page or 0, url is None, url or "", k))
+    for k, (page, _, html) in enumerate(rows):
+        size = len((html or "").encode())
+        lead = min(groups[html or ""])[-1] if size >= least else k
+        out.append((page, size, digest(html), "response" if lead == k else "revisit", None if lead == k else rows[lead][0]))
+    return sorted(out, key=repr)
+
+
+ROWS = [
+    (1, "http://a/1", "<p>same</p>"), (2, "http://a/2", "<p>same</p>"), (0, None, "<p>same</p>"), (3, "http://b/3", None), (4, "http://b/4", ""), (5, "http://c/ü 5\r\nX: y", "ß" * 70_000),
+    (None, "http://d", "<p>no id</p>"), (None, None, "<p>no id</p>"), (6, "u", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (7, "u", "x"), (7, "u", "x"), (7, "u", "x"), (8, "t", "x"), (9, "z", "HTTP/1.1 200\r\n\r\n"),
+]
+
+
+def archived(spark, folder, rows, least=0):
+    pages = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("digest", "row", "size", "key", "value", "block", "file", "first", "n")})
+    pages.repartition(3).write.parquet(f"{folder}/pages")
+    warc.write(spark.read.parquet(f"{folder}/pages"), f"{folder}/warc", least=least)
+    return warc.records(spark, f"{folder}/warc")
+
+
+@pytest.mark.parametrize("least", [0, 2, 10**6])
+def test_round_trip(spark, folder, least):
+    found = archived(spark, folder, ROWS, least).collect()
+    assert not any(r["broken"] for r in found)
+    got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in found]
+    # Which of equal rows is the response is free.
+    assert sorted(got, key=repr) == expected(ROWS, least)
+    texts = {r[0]: r[2] or "" for r in ROWS}
+    assert all(r["payload"].decode() == texts[r["page_id"]] and r["intact"] for r in found if r["record_type"] == "response")
+    assert all(r["payload"] is None for r in found if r["record_type"] == "revisit")
+
+
+def test_copies_by_join_and_by_broadcast(spark, folder, monkeypatch):
+    monkeypatch.setattr(warc, "COMMON", 4)
+    rows = [(k, "u", f"<p>{'hot' if k % 3 else k % 40}</p>") for k in range(300)]
+    found = archived(spark, folder, rows).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == expected(rows)
+
+
+def test_files_are_plain_gzip(spark, folder):
+    rows = [*ROWS, (10, "big", "many\x1f words " * 1_700_000)]
+    archived(spark, folder, rows).count()
+    whole = b"".join(gzip.decompress(open(f, "rb").read()) for f in glob.glob(f"{folder}/warc/part-*"))
+    assert whole.count(b"WARC-Type: ") == len(rows)
+    assert rows[-1][2].encode() in whole
+    found = warc.records(spark, f"{folder}/warc", payload=False).where("page_id = 10").first()
+    assert found["payload_digest"] == digest(rows[-1][2])
+
+
+def test_renamed(spark, folder):
+    archived(spark, folder, ROWS).count()
+    warc.renamed(spark, f"{folder}/warc", ".txt", ".warc.gz")
+    names = glob.glob(f"{folder}/warc/part-*.warc.gz")
+    assert names and not glob.glob(f"{folder}/warc/*.txt")
+    with pytest.raises(ValueError, match="renamed"):
+        warc.records(spark, f"{folder}/warc")
+    warc.renamed(spark, f"{folder}/warc", ".warc.gz", ".warc")
+    assert warc.records(spark, f"{folder}/warc").count() == len(ROWS)
+
+
+def foreign(payload: bytes, level: int, kind: str = "response") -> bytes:
+    body = b"HTTP/1.0 200\r\n\r\n" + payload
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nContent-Type: application/http\r\nContent-Length: {len(body)}\r\n\r\n".encode()
+    pack = zlib.compressobj(level, wbits=31)
+    return pack.compress(head + body + b"\r\n\r\n") + pack.flush()
+
+
+@pytest.fixture
+def ranges(spark):
+    """Byte ranges of a given size."""
+    names = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = [spark.conf.get(n) for n in names]
+
+    def cut(size):
+        spark.conf.set(names[0], size)
+        spark.conf.set(names[1], 1)
+
+    yield cut
+    for name, value in zip(names, before, strict=True):
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("size", [7, 64, 100, 333, 1001, 5000])
+def test_any_byte_ranges(spark, folder, ranges, size):
+    """Stored payloads full of magic bytes, whole gzip members inside, empty members and zero padding between."""
+    rng = random.Random(size)
+    payloads = []
+    for k in range(14):
+        parts = [rng.choice([warc.MAGIC, b"\x1f\x8b", b"\x1f", gzip.compress(b"inner"), rng.randbytes(rng.randrange(60)), b"WARC/1.0", b"\r\n\r\n"]) for _ in range(rng.randrange(k + 1))]
+        payloads.append(b"".join(parts))
+    made = b"".join(foreign(p, rng.choice([0, 6])) + rng.choice([b"", warc.EMPTY, b"\0\0"]) for p in payloads)
+    os.makedirs(folder)
+    for name, data in (("a.warc", made), ("b.warc", foreign(payloads[3], 0) + foreign(b"x" * 2000 + warc.MAGIC * 300, 0))):
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(data)
+    ranges(size)
+    found = warc.records(spark, folder).collect()
+    assert not [r for r in found if r["broken"]]
+    assert sorted(bytes(r["payload"]) for r in found) == sorted([*payloads, payloads[3], b"x" * 2000 + warc.MAGIC * 300])
+
+
+@pytest.mark.parametrize("size", [50, 10**6])
+def test_broken_bytes_cost_no_other_record(spark, folder, ranges, size):
+    good = [foreign(f"page {k}".encode() * 20, 6) for k in range(6)]
+    cut, other = foreign(os.urandom(300), 0)[:200], gzip.compress(b"no record")
+    files = {"a": good[0] + cut + good[1] + other + good[2] + b"garbage" + good[3], "b": b"plain text", "c": b"before" + good[4], "d": good[5][:-20], "e": b""}
+    os.makedirs(folder)
+    for name, data in files.items():
+        with open(f"{folder}/{name}.warc", "wb") as file:
+            file.write(data)
+    ranges(size)
+    found = warc.records(spark, folder).collect()
+    assert sorted(bytes(r["payload"])[:6] for r in found if not r["broken"]) == [f"page {k}".encode() for k in range(5)]
+    assert sum(r["broken"] for r in found if r["broken"]) >= len(cut) + len(other) + len(b"garbage" + b"plain text" + b"before")
+
+
+def test_odd_headers():
+    assert warc.parsed(b"WARC/1.1\r\nContent-Length: many\r\n\r\nx")["broken"]
+    assert warc.parsed(b"WARC/1.1\r\n\r\n")["broken"]
+    told = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Payload-Digest: sha1:XX\r\nContent-Length: 2\r\n\r\nabc"
+    row = warc.parsed(told)
+    assert (row["payload"], row["intact"], row["record_type"], row["page_id"]) == (b"ab", False, "resource", None)
+
+
+def test_empty_table(spark, folder):
+    assert archived(spark, folder, []).count() == 0
