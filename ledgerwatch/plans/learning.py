@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import split_by_type, to_number
 from ledgerwatch.operators.metrics import classification_report, confusion, f1
 from ledgerwatch.operators.sampling import hash_bucket
+from ledgerwatch.plans import trees
 
 # Most values of a column that is encoded one by one: their names lie on the driver and in the plan.
 MOST_CATEGORIES = 1000
@@ -284,6 +285,13 @@ def feature_names(model: PipelineModel) -> list[str]:
     return names
 
 
+def explain_trees(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+    """(key, feature, value) by input column: exact contributions to the score of a model of trees (see `trees`)."""
+    forest = trees.fitted_forest(model, [name.split("=", 1)[0] for name in feature_names(model)])
+    prepared = PipelineModel(stages=model.stages[:-1]).transform(df)
+    return trees.tree_attribution(prepared, key, vector_to_array(FEATURES), forest)
+
+
 def trial_from(row: Any) -> Trial:
     """The trial that a row of the trial log describes."""
     return Trial(row.trial, row.family, dict(row.settings))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,13 +47,15 @@ class Candidate:
 def explain(
     model: PipelineModel, rows: DataFrame, background: DataFrame, inputs: Sequence[str], percent: int = 100, most: int | None = None, draws: int = attribution.DRAWS
 ) -> DataFrame:
-    """Exact attributions of a linear model by place of its feature vector, on all rows; sampled ones of any other by
-    input, on `percent` of the rows and `most` of these, all if not said otherwise."""
+    """Exact attributions on all rows: of a linear model by place of its feature vector, of trees by input. Sampled ones of any other
+    model by input, on `percent` of the rows and `most` of these, all if not said otherwise."""
     classifier = model.stages[-1]
     if isinstance(classifier, LogisticRegressionModel):
         names = learning.feature_names(model)
         prepared = PipelineModel(stages=model.stages[:-1]).transform(rows)
         return attribution.model_attribution(prepared, KEY, list(classifier.coefficients), names)
+    if isinstance(classifier, (GBTClassificationModel, RandomForestClassificationModel)):
+        return learning.explain_trees(model, rows, KEY)
     some = staged(attribution.explained_rows(rows, KEY, percent, most), "explained")
     return attribution.sampled_attribution(some, background, KEY, inputs, lambda df: learning.score(model, df), draws)
 
@@ -72,7 +74,7 @@ def train_and_judge(
 ) -> Candidate:
     """Training set, search, refit of the best trial, metrics, explanations and the fairness gate.
 
-    All training rows train. Explanations and fairness metrics use all test rows; sampled explanations take `percent` and `rows` for fewer.
+    All training rows train. Explanations and fairness metrics use all test rows; only models without an exact form take `percent` and `rows` for fewer.
     """
     spark = gold.sparkSession
     labels, known = features.label_table(gold, event_ts), features.feature_table(gold, event_ts)

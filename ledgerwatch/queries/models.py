@@ -11,7 +11,7 @@ from ledgerwatch.functions.risk import RISK_SCORE
 from ledgerwatch.operators import gates
 from ledgerwatch.operators.metrics import f1
 from ledgerwatch.operators.sampling import split_name
-from ledgerwatch.plans import attribution, features, layers, learning
+from ledgerwatch.plans import attribution, features, layers, learning, trees
 from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
 from ledgerwatch.sources.binding import Bank
@@ -239,24 +239,121 @@ def row_explanations(bank: Bank) -> DataFrame:
 
 EXPLAINED = ["amount", "balance_orig_ratio", "is_full_transfer", "is_cross_border", "type", "country"]
 
+# A small forest over the six features. Its covers are counted on the training rows.
+_INPUTS = {
+    "amount": "amount", "balance_orig_ratio": "balance_orig_ratio", "is_full_transfer": "is_full_transfer", "is_cross_border": "is_cross_border",
+    "type": "CASE WHEN type IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END", "country": "CASE WHEN country < 'N10' THEN 1 ELSE 0 END",
+}
+_FOREST = trees.Forest(
+    (
+        trees.Node(0, 0, left=1, right=2, place=0, threshold=150_000.0),
+        trees.Node(0, 1, left=3, right=4, place=1, threshold=0.5),
+        trees.Node(0, 2, left=5, right=6, place=2, threshold=0.5),
+        trees.Node(0, 3, -0.6),
+        trees.Node(0, 4, 0.2),
+        trees.Node(0, 5, left=7, right=8, place=4, values=(0.0,)),
+        trees.Node(0, 6, 1.4),
+        trees.Node(0, 7, 0.4),
+        trees.Node(0, 8, left=9, right=10, place=0, threshold=250_000.0),
+        trees.Node(0, 9, 0.7),
+        trees.Node(0, 10, 0.9),
+        trees.Node(1, 0, left=1, right=2, place=5, values=(1.0,)),
+        trees.Node(1, 1, left=3, right=4, place=1, threshold=1.0),
+        trees.Node(1, 2, left=5, right=6, place=3, threshold=0.5),
+        trees.Node(1, 3, left=7, right=8, place=1, threshold=0.25),
+        trees.Node(1, 4, 0.35),
+        trees.Node(1, 5, -0.15),
+        trees.Node(1, 6, left=9, right=10, place=0, threshold=200_000.0),
+        trees.Node(1, 7, -0.25),
+        trees.Node(1, 8, 0.05),
+        trees.Node(1, 9, 0.1),
+        trees.Node(1, 10, 0.45),
+    ),
+    tuple(EXPLAINED),
+)
 
-@query()
-def tree_attribution(bank: Bank, percent: int = 100, rows: int | None = None, draws: int = attribution.DRAWS) -> DataFrame:
-    """Sampled explanations of a boosted model on the test rows, or on some of them."""
+
+def _forest_inputs() -> Column:
+    return F.array(*[F.expr(f"cast({_INPUTS[c]} AS DOUBLE)") for c in EXPLAINED])
+
+
+def _subset_sql() -> str:
+    """Shapley values by their definition: the value of every one of the 64 sets of features, for every row."""
+    nodes = {(n.tree, n.node): n for n in _FOREST.nodes}
+    covers, terms = {}, []
+
+    def goes(node: trees.Node, left: bool) -> str:
+        column = f"x{node.place}"
+        side = f"{column} <= {node.threshold}" if node.values is None else f"{column} IN ({', '.join(map(str, node.values))})"
+        return side if left else f"NOT ({side})"
+
+    def walk(node: trees.Node, above: list[tuple[trees.Node, bool]]):
+        covers[node.tree, node.node] = " AND ".join(goes(*a) for a in above) or "true"
+        if node.left >= 0:
+            walk(nodes[node.tree, node.left], [*above, (node, True)])
+            walk(nodes[node.tree, node.right], [*above, (node, False)])
+            return
+        factors = [f"CAST({node.value} AS DOUBLE)"]
+        for parent, left in above:
+            child = parent.left if left else parent.right
+            share = f"CAST(n_{node.tree}_{child} AS DOUBLE) / n_{node.tree}_{parent.node}"
+            factors.append(f"CASE WHEN s & {1 << parent.place} = 0 THEN {share} WHEN {goes(parent, left)} THEN 1 ELSE 0 END")
+        terms.append(" * ".join(factors))
+
+    for tree in (0, 1):
+        walk(nodes[tree, 0], [])
+    inputs = ", ".join(f"CAST({_INPUTS[c]} AS DOUBLE) AS x{k}" for k, c in enumerate(EXPLAINED))
+    counts = ", ".join(f"count(*) FILTER (WHERE {condition}) AS n_{tree}_{node}" for (tree, node), condition in covers.items())
+    names = " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(EXPLAINED))
+    return over(
+        "fraud_features",
+        "fraud_labels",
+        ctes=f"""x AS (SELECT transaction_id, split, {inputs} FROM fraud_features JOIN fraud_labels USING (transaction_id)),
+            covers AS (SELECT {counts} FROM x WHERE split = 'train'), sets AS (SELECT CAST(unnest(range(64)) AS INT) AS s),
+            worth AS (SELECT transaction_id, s, bit_count(s) AS size, {" + ".join(terms)} AS v FROM x, covers, sets WHERE split = 'test'),
+            gains AS (SELECT a.transaction_id, j, (b.v - a.v) / (6 * list_extract([1, 5, 10, 10, 5, 1], a.size + 1)) AS gain
+              FROM worth a JOIN (SELECT CAST(unnest(range(6)) AS INT) AS j) ON a.s & (1 << j) = 0 JOIN worth b ON b.transaction_id = a.transaction_id AND b.s = a.s + (1 << j))""",
+        select=f"SELECT transaction_id, CASE j {names} END AS feature, round(sum(gain), 6) + 0.0 AS value FROM gains GROUP BY 1, 2",
+    )
+
+
+@query(_subset_sql())
+def tree_attribution(bank: Bank) -> DataFrame:
+    """Exact explanations of a fixed forest on the test rows, its shares counted on the training rows."""
+    rows = staged(features.with_features(bank.gold).select("transaction_id", *EXPLAINED).withColumn("split", split_name(F.col("transaction_id"))), "explained")
+    forest = trees.covered(_FOREST, _train_rows(rows), _forest_inputs())
+    found = trees.tree_attribution(rows.where("split = 'test'"), "transaction_id", _forest_inputs(), forest)
+    return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+def _explained_model(bank: Bank):
+    """Rows with the six features and a boosted model of them."""
     training = staged(
         features.with_features(bank.gold, keep=["is_fraud"]).withColumns(
             {"is_fraud": F.col("is_fraud").cast("int"), "split": split_name(F.col("transaction_id"))}
         ),
         "explained",
     )
-    train = _train_rows(training)
     categorical = ["type", "country"]
     numeric = [c for c in EXPLAINED if c not in categorical]
-    model = learning.fit(train, BOOSTED, categorical, numeric)
+    return training, learning.fit(_train_rows(training), BOOSTED, categorical, numeric)
+
+
+@query()
+def boosted_attribution(bank: Bank) -> DataFrame:
+    """Exact explanations of a boosted model on all test rows, in log-odds."""
+    training, model = _explained_model(bank)
+    return learning.explain_trees(model, training.where("split = 'test'"), "transaction_id")
+
+
+@query()
+def sampled_attribution(bank: Bank, percent: int = 100, rows: int | None = None, draws: int = attribution.DRAWS) -> DataFrame:
+    """Sampled explanations of the same model on the test rows, or on some of them: the way for models without trees."""
+    training, model = _explained_model(bank)
     explained = attribution.explained_rows(training.where("split = 'test'"), "transaction_id", percent, rows)
     return attribution.sampled_attribution(
         explained,
-        train,
+        _train_rows(training),
         "transaction_id",
         EXPLAINED,
         lambda rows: learning.score(model, rows),

@@ -155,7 +155,7 @@ def test_the_registered_search_draws_from_the_whole_space(spark, small, monkeypa
     assert seen == learning.draw_trials(space=learning.SPACE)
 
 
-def test_tree_explanations_take_all_test_rows(spark, small):
+def test_sampled_explanations_take_all_test_rows(spark, small):
     from ledgerwatch.operators.sampling import split_name
     from ledgerwatch.plans import features
     from ledgerwatch.queries import models
@@ -163,5 +163,5 @@ def test_tree_explanations_take_all_test_rows(spark, small):
 
     bank = Bank(spark, small)
     ids = features.with_features(bank.gold).where(split_name(F.col("transaction_id")) == "test").select("transaction_id").distinct()
-    assert models.tree_attribution(bank, draws=2).select("transaction_id").distinct().count() == ids.count()
-    assert models.tree_attribution(bank, rows=7, draws=2).select("transaction_id").distinct().count() == 7
+    assert models.sampled_attribution(bank, draws=2).select("transaction_id").distinct().count() == ids.count()
+    assert models.sampled_attribution(bank, rows=7, draws=2).select("transaction_id").distinct().count() == 7
