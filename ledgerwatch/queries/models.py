@@ -400,19 +400,44 @@ def ingest_grown(bank: Bank) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN user_id END AS user_id, event_id % 10 = 3 AS rescued,
-       CASE WHEN event_id % 10 = 3 THEN 'u' || user_id END AS rescued_user FROM events"""
+    """SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type, value,
+       CASE WHEN event_id % 2 = 1 THEN props END AS props FROM events"""
+)
+def ingest_nested(bank: Bank) -> DataFrame:
+    """Events as objects and lists in JSON files; the later ones have a field more inside the object's object, and one inside the list."""
+    folder, events = scratch(bank.spark, "ingest"), bank.table("events")
+    table = StreamTable(f"{folder}/events")
+    for k, (who, what) in enumerate((("user_id",), ("value",)) if k == 0 else (("user_id", "event_type"), ("value", "props")) for k in range(2)):
+        event = F.struct(F.struct(*who).alias("who")).alias("event")
+        rows = events.where(F.pmod("event_id", F.lit(2)) == k).select("event_id", event, F.array(F.struct(*what)).alias("items"))
+        rows.coalesce(2).write.mode("append").json(f"{folder}/raw")
+        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table))
+    first = F.col("items")[0]
+    return read_table(bank.spark, table).select("event_id", "event.who.user_id", "event.who.event_type", first["value"].alias("value"), first["props"].alias("props"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN user_id END AS user_id, event_type AS kind,
+       CASE WHEN event_id % 10 = 3 THEN '{"Event_id":' || event_id || ',"place":{"till":[1]},"user_id":"u' || user_id || '"}' END AS rescued FROM events"""
 )
 def ingest_rescued(bank: Bank) -> DataFrame:
-    """Events from JSON files; later some users are text, which does not fit and is kept as it came."""
-    folder, events = scratch(bank.spark, "ingest"), bank.table("events").select("event_id", "user_id")
+    """Events from JSON files with settled columns; later some users are text, one name differs in case, and an object has a field more.
+
+    Exactly these fields are rescued; the others of the same records keep their columns.
+    """
+    folder, events = scratch(bank.spark, "ingest"), bank.table("events").select("event_id", "user_id", "event_type")
     table, odd = StreamTable(f"{folder}/events"), F.pmod("event_id", F.lit(10)) == 3
-    late = events.where(odd).withColumn("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string")))
-    for part in (events.where(~odd), late):
-        part.coalesce(2).write.mode("append").json(f"{folder}/raw")
-        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table))
-    raw = F.col("_rescued_data")
-    return read_table(bank.spark, table).select("event_id", "user_id", raw.isNotNull().alias("rescued"), F.get_json_object(raw, "$.user_id").alias("rescued_user"))
+    plain = events.where(~odd).select("event_id", "user_id", F.struct(F.col("event_type").alias("kind")).alias("place"))
+    place = F.struct(F.col("event_type").alias("kind"), F.array(F.lit(1)).alias("till"))
+    fields = {"event_id": F.col("event_id"), "Event_id": F.col("event_id"), "user_id": F.concat(F.lit("u"), F.col("user_id").cast("string")), "place": place}
+    # Spark has no two columns that differ in case, so the text of the object is put together from its fields.
+    texts = [F.concat(F.lit(f'"{name}":'), F.substring(F.to_json(F.struct(value.alias("x"))), 6, 1 << 30)) for name, value in fields.items()]
+    late = events.where(odd).select(F.concat(F.lit("{"), F.array_join(F.array(*[F.substr(t, F.lit(1), F.length(t) - 1) for t in texts]), ","), F.lit("}")).alias("value"))
+    plain.coalesce(2).write.json(f"{folder}/raw")
+    run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table))
+    late.coalesce(2).write.mode("append").option("lineSep", "\n").text(f"{folder}/raw")
+    run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", table, grow=False))
+    return read_table(bank.spark, table).select("event_id", "user_id", "place.kind", F.col("_rescued_data").alias("rescued"))
 
 
 @query(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESCUE = "_rescued_data"
+from ledgerwatch.sources import rescue
+from ledgerwatch.sources.rescue import RESCUE
 
 TEXT_FORMATS = ("json", "csv")
 
@@ -41,9 +42,8 @@ def infer_schema(
 
 
 def grown(known: T.StructType, seen: T.StructType) -> T.StructType:
-    """Known columns with their types, then the new ones. A value that no longer fits is rescued, not retyped."""
-    names = {n.lower() for n in known.fieldNames()}
-    return T.StructType([*known.fields, *[f for f in seen.fields if f.name.lower() not in names]])
+    """Known columns with their types, then what is new, at any depth. A value that no longer fits is rescued, not retyped."""
+    return rescue.merged(known, seen)
 
 
 def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -63,16 +63,20 @@ def read_files(
     known: T.StructType | None = None,
     multi_line: bool = False,
     typed: bool = True,
+    grow: bool = True,
 ) -> tuple[DataFrame, T.StructType]:
     """The rows of exactly these JSON or CSV files, and the columns known so far with those the files add.
 
     Columns are matched by name, whatever their order in a file, and none is lost: what a file has beyond the
-    known columns is added. A record that does not fit the columns' types is kept as text in `_rescued_data`.
+    known columns is added, in JSON also inside objects and lists. What does not fit is kept in `_rescued_data`: of JSON the
+    fields in question (see `rescue`), of CSV the text of the record. Without `grow` known columns stay all there is of JSON
+    files, and what is new is rescued.
     """
     known = known or T.StructType()
     if fmt == "json":
-        schema = grown(known, infer_schema(spark, paths, fmt, multi_line, typed))
-        return read_raw(spark, paths, fmt, schema, multi_line, rescue=True), schema
+        records = rescue.records(spark, paths, multi_line)
+        schema = known if known.fields and not grow else grown(known, rescue.found_columns(records, typed))
+        return rescue.with_rescue(records, schema), schema
     schema, parts = known, []
     for header, own in _by_header(spark, paths).items():
         schema = grown(schema, infer_schema(spark, own, fmt, multi_line, typed))

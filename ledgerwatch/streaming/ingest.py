@@ -139,12 +139,13 @@ def ingest_files(
     max_files: int | None = None,
     multi_line: bool = False,
     typed: bool = True,
+    grow: bool = True,
 ) -> StreamingQuery:
     """Append the rows of all JSON or CSV files that are new in a folder, each file once, then stop.
 
     The stream carries file names only. Each batch reads exactly its files, takes new columns from them whatever
     their time stamps, matches columns by name and rescues what does not fit, so that a change of
-    shape loses nothing.
+    shape loses nothing. Without `grow` the first batch settles the columns of JSON files.
     """
     expectations = list(expectations)
     names = spark.readStream.format("binaryFile").schema(_FILES).options(maxFilesPerTrigger=max_files or MAX_FILES, maxFileAge=_ANY_AGE)
@@ -154,7 +155,7 @@ def ingest_files(
         if not paths:
             return
         past = remembered(spark, f"{table.folder}/g={table.generation}/raw_columns")
-        rows, columns = read_files(spark, paths, fmt, past[0] if past else None, multi_line, typed)
+        rows, columns = read_files(spark, paths, fmt, past[0] if past else None, multi_line, typed, grow)
         if past is None or past[0] != columns:
             now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             remember(spark, f"{table.folder}/g={table.generation}/raw_columns", columns, now)
