@@ -48,6 +48,12 @@ def matching_paths(spark: SparkSession, pattern: str) -> list:
     return [found.getPath() for found in system.globStatus(glob) or []]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Creates a folder that is not there yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def claimed(spark: SparkSession, path: str) -> bool:
     """Creates an empty file; false if it is there already."""
     file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -56,6 +62,19 @@ def claimed(spark: SparkSession, path: str) -> bool:
     return bool(system.createNewFile(file))
 
 
+def marked(spark: SparkSession, path: str) -> None:
+    """Creates a file of one line, in one step: it is there whole or not at all."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    file = hadoop.Path(path)
+    system = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    draft = hadoop.Path(file.getParent(), f".{file.getName()}-{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    out.writeBytes("committed\n")
+    out.close()
+    if not system.rename(draft, file):
+        raise OSError(f"{path} was not created")
+
+
 class VersionedTable:
     """A table that is replaced as a whole while it may be read, also by the plan that replaces it.
 

@@ -21,11 +21,10 @@ from ledgerwatch.sources.readers import with_coordinates
 from ledgerwatch.sources.tables import VersionedTable, matching_paths
 from ledgerwatch.streaming.ingest import (
     StreamTable,
-    append_stream,
+    follow,
     ingest_files,
     read_table,
     run_to_end,
-    table_stream,
 )
 
 
@@ -75,11 +74,10 @@ class Lake:
 
     def clean(self) -> None:
         """New bronze transactions to silver, labelled with the reports known by now."""
-        transactions = table_stream(self.spark, self.stream_table("bronze_transactions"))
         reports = read_table(self.spark, self.stream_table("fraud_reports"))
-        silver = layers.silver(transactions, reports)
         checks = [CORRECT_DATA, CORRECT_CUSTOMER, READABLE_LABEL]
-        run_to_end(append_stream(silver, self.stream_table("silver_transactions"), checks))
+        bronze, silver = self.stream_table("bronze_transactions"), self.stream_table("silver_transactions")
+        run_to_end(follow(self.spark, bronze, silver, lambda rows: layers.silver(rows, reports), checks))
 
     def enrich(self) -> int:
         """Silver to gold, recomputed as a whole and replaced; sorted by step for readers that filter on it."""

@@ -1,4 +1,8 @@
-"""Incremental file ingest: every file once, in small batches, to a Parquet folder."""
+"""Incremental file ingest: every file once, in small batches, to a Parquet folder.
+
+A batch is written to a folder of its own and then marked as committed. Whoever follows the table follows the marks, not the files: a batch
+without a mark has been read by nobody and may be written again, one with a mark never is, so a repeated batch changes nothing downstream.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.operators.quality import DROP, FAIL, Expectation, enforce
 from ledgerwatch.sources.readers import TEXT_FORMATS, _options, grown, infer_schema, read_files, rescue_options
-from ledgerwatch.sources.tables import VersionedTable
+from ledgerwatch.sources.tables import VersionedTable, make_folder, marked, matching_paths
 
 # Files per batch where nothing else is said: their names reach the driver.
 MAX_FILES = 1000
@@ -49,6 +53,10 @@ class StreamTable:
     def schema(self) -> str:
         return f"{self.folder}/g={self.generation}/schema"
 
+    @property
+    def commits(self) -> str:
+        return f"{self.folder}/g={self.generation}/commits"
+
 
 def remembered(spark: SparkSession, folder: str) -> tuple[T.StructType, dt.datetime] | None:
     """The columns noted in a folder and when."""
@@ -93,11 +101,19 @@ def _note_columns(spark: SparkSession, table: StreamTable, columns: T.StructType
         remember(spark, table.schema, merged, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
 
+def committed(spark: SparkSession, table: StreamTable) -> int | None:
+    """The newest committed batch; batches are committed in order."""
+    return max((int(path.getName()) for path in matching_paths(spark, f"{table.commits}/[0-9]*")), default=None)
+
+
 def write_batch(rows: DataFrame, table: StreamTable, expectations: Iterable[Expectation], number: int) -> None:
-    """One batch in a folder of its own, replaced if the batch is repeated, then its counts.
+    """One batch in a folder of its own, then its counts, then its mark. A batch that has its mark is left as it is.
 
     The rows are read once: they are counted while they are written. A broken `fail` expectation ends the write.
     """
+    spark = rows.sparkSession
+    if matching_paths(spark, f"{table.commits}/{number}"):
+        return
     expectations = list(expectations)
     counted, fatal = Observation(), [e for e in expectations if e.policy == FAIL]
     for e in fatal:
@@ -110,8 +126,9 @@ def write_batch(rows: DataFrame, table: StreamTable, expectations: Iterable[Expe
     if expectations:
         found = counted.get
         lines = [(e.name, e.policy, found[f"e{k}"], found["rows"] - found[f"e{k}"], number) for k, e in enumerate(expectations)]
-        counts = rows.sparkSession.createDataFrame(lines, "expectation string, policy string, passed long, failed long, batch long")
+        counts = spark.createDataFrame(lines, "expectation string, policy string, passed long, failed long, batch long")
         counts.coalesce(1).write.mode("overwrite").parquet(f"{table.quality}/batch_id={number}")
+    marked(spark, f"{table.commits}/{number}")
 
 
 def append_stream(
@@ -167,6 +184,36 @@ def ingest_files(
     return stream.writeStream.option("checkpointLocation", table.checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
+def follow(
+    spark: SparkSession,
+    source: StreamTable,
+    table: StreamTable,
+    transform: Callable[[DataFrame], DataFrame],
+    expectations: Iterable[Expectation] = (),
+    max_batches: int = MAX_FILES,
+) -> StreamingQuery:
+    """Append what `transform` makes of the committed batches of another table, each batch once, then stop.
+
+    The stream carries the marks. Each of its batches reads the folders of its marks with all columns known by then, so columns that
+    came later upstream flow on.
+    """
+    expectations = list(expectations)
+    names = spark.readStream.format("binaryFile").schema(_FILES).options(maxFilesPerTrigger=max_batches, maxFileAge=_ANY_AGE)
+
+    def write(batch: DataFrame, number: int) -> None:
+        marks = sorted(int(r.path.rsplit("/", 1)[1]) for r in batch.select("path").collect())  # at most max_batches
+        if not marks:
+            return
+        schema = table_schema(spark, source)
+        rows = transform(spark.read.schema(schema).parquet(*[f"{source.data}/batch_id={n}" for n in marks]))
+        _note_columns(spark, table, rows.schema)
+        write_batch(rows, table, expectations, number)
+
+    make_folder(spark, source.commits)  # of a table that has no batch yet
+    stream = names.load(source.commits).select("path")
+    return stream.writeStream.option("checkpointLocation", table.checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """Wait for a triggered query; a failure inside is raised here."""
     query.awaitTermination()
@@ -178,19 +225,31 @@ def table_schema(spark: SparkSession, table: StreamTable) -> T.StructType:
     return past[0] if past else spark.read.parquet(table.data).schema
 
 
+def _committed_rows(spark: SparkSession, table: StreamTable, reader: DataFrame) -> DataFrame:
+    """Without the rows of a batch that is not committed; the file sink keeps a log of its own instead of marks."""
+    newest = committed(spark, table)
+    return reader if newest is None else reader.where(F.col("batch_id") <= newest)
+
+
 def read_table(spark: SparkSession, table: StreamTable) -> DataFrame:
     """The rows so far. Columns that came later are null in older rows."""
     schema = table_schema(spark, table)
-    return spark.read.schema(schema).parquet(table.data).select(*schema.fieldNames())
+    if committed(spark, table) is None:
+        return spark.read.schema(schema).parquet(table.data).select(*schema.fieldNames())
+    placed = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return _committed_rows(spark, table, spark.read.schema(placed).parquet(table.data)).select(*schema.fieldNames())
 
 
 def read_quality(spark: SparkSession, table: StreamTable) -> DataFrame:
-    """Counts per expectation over all batches so far."""
-    counts = spark.read.parquet(table.quality)
+    """Counts per expectation over all committed batches."""
+    counts = _committed_rows(spark, table, spark.read.parquet(table.quality))
     return counts.groupBy("expectation", "policy").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
 def table_stream(spark: SparkSession, table: StreamTable, max_bytes: int = 64 << 30) -> DataFrame:
-    """Stream of the rows appended to another table's folder, in batches of about `max_bytes` of files."""
+    """Stream of the rows of a folder that only the file sink or other writers of whole files append to, in batches of about `max_bytes`.
+
+    A table written in batches is followed by its marks instead (see `follow`).
+    """
     reader = spark.readStream.schema(table_schema(spark, table)).option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(table.data)

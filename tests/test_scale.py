@@ -31,7 +31,9 @@ BOUNDED = {
     ("plans/trees.py", "fitted_forest", "collect"): (1, "the nodes of a model"),
     ("queries/storage.py", "one_customer", "first"): (1, "one id"),
     ("queries/storage.py", "one_customer_sql", "first"): (1, "one id"),
+    ("streaming/ingest.py", "follow", "collect"): (1, "marks of a batch"),
     ("streaming/ingest.py", "ingest_files", "collect"): (1, "names of the files of a batch"),
+    ("sources/rescue.py", "found_columns", "first"): (1, "one text with the columns"),
     ("streaming/ingest.py", "remembered", "first"): (1, "the note of a table's columns"),
 }
 WATCHED = {"collect", "toPandas", "first", "head", "take", "count", "toLocalIterator"}

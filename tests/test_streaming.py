@@ -12,12 +12,15 @@ from ledgerwatch.streaming.flows import Lake, score_requests
 from ledgerwatch.streaming.ingest import (
     StreamTable,
     append_stream,
+    committed,
+    follow,
     ingest_files,
     raw_stream,
     read_quality,
     read_table,
     run_to_end,
     table_stream,
+    write_batch,
 )
 from tests.bank import frames
 
@@ -168,10 +171,64 @@ def test_csv_columns_are_matched_by_name(spark, folder):
 
 
 def test_a_repeated_batch_replaces_itself(spark, folder):
-    from ledgerwatch.streaming.ingest import write_batch
-
     table, seen = StreamTable(f"{folder}/t"), [Expectation("small", "id < 3")]
     for _ in range(2):
         write_batch(spark.range(5).toDF("id"), table, seen, 0)
     assert spark.read.parquet(table.data).count() == 5
     assert [(r.passed, r.failed) for r in read_quality(spark, table).collect()] == [(3, 2)]
+
+
+def chained(spark, up, down):
+    run_to_end(follow(spark, up, down, lambda rows: rows.withColumn("x", F.col("id") * 2), [Expectation("small", "id < 3")]))
+    return sorted(r.x for r in read_table(spark, down).collect())
+
+
+def test_a_batch_repeated_after_it_was_read_changes_nothing_downstream(spark, folder):
+    up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
+    write_batch(spark.range(5).toDF("id"), up, [], 0)
+    assert chained(spark, up, down) == [0, 2, 4, 6, 8]
+    write_batch(spark.range(5).toDF("id"), up, [], 0)
+    write_batch(spark.range(5, 7).toDF("id"), up, [], 1)
+    assert chained(spark, up, down) == [0, 2, 4, 6, 8, 10, 12]
+    assert [(r.passed, r.failed) for r in read_quality(spark, down).collect()] == [(3, 4)]
+
+
+def test_a_batch_without_its_mark_is_seen_by_nobody(spark, folder):
+    """The writer stopped between the rows and the mark; the batch comes again, with other files."""
+    up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
+    write_batch(spark.range(2).toDF("id"), up, [], 0)
+    spark.range(2, 5).toDF("id").write.parquet(f"{up.data}/batch_id=1")
+    assert chained(spark, up, down) == [0, 2]
+    assert read_table(spark, up).count() == 2
+    write_batch(spark.range(2, 5).toDF("id").repartition(3), up, [], 1)
+    assert chained(spark, up, down) == [0, 2, 4, 6, 8] and read_table(spark, up).count() == 5
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_a_follower_that_stopped_takes_its_batch_up_again(spark, folder, marked):
+    """The checkpoint does not know the last batch as done; its mark may have been set or not."""
+    up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
+    write_batch(spark.range(3).toDF("id"), up, [], 0)
+    assert chained(spark, up, down) == [0, 2, 4]
+    for name in ("commits/0", "commits/.0.crc"):
+        Path(f"{down.checkpoint}/{name}").unlink(missing_ok=True)
+    if not marked:
+        Path(f"{down.commits}/0").unlink()
+        assert committed(spark, down) is None
+    write_batch(spark.range(3, 4).toDF("id"), up, [], 1)
+    assert chained(spark, up, down) == [0, 2, 4, 6]
+
+
+def test_columns_that_come_later_upstream_flow_on(spark, folder):
+    up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
+    for k, record in enumerate(('{"id": 1}', '{"id": 2, "fee": {"now": 0.5}}')):
+        files(f"{folder}/raw", **{f"f{k}": record + "\n"})
+        run_to_end(ingest_files(spark, f"{folder}/raw", "json", up))
+        chained(spark, up, down)
+    assert {r.id: r.fee and r.fee.now for r in read_table(spark, down).collect()} == {1: None, 2: 0.5}
+
+
+def test_following_a_table_without_batches(spark, folder):
+    up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
+    run_to_end(follow(spark, up, down, lambda rows: rows))
+    assert committed(spark, down) is None
