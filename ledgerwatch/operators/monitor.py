@@ -34,44 +34,26 @@ EDGE_ACCURACY = 100_000
 MAX_VALUES = 100
 
 
-def profile_metrics(
-    log: DataFrame,
-    columns: Sequence[str],
-    ts: str = "inference_timestamp",
-    version: str = "model_version",
-    slices: Mapping[str, str] = SLICES,
-    window: str = "1 day",
-) -> DataFrame:
-    """Per window, model version and slice: one `:table` row with model quality, one row per column with statistics.
+def by_slice(log: DataFrame, keys: Mapping[str, Column], slices: Mapping[str, str], values: Sequence[Column]) -> DataFrame:
+    """`values` per group of `keys`, for the whole (`slice_key` null) and for each slice expression, true and false apart.
 
-    The whole log and each slice expression (true and false apart) come from one pass with grouping
-    sets. `slice_key` is null for the whole.
+    All come from one pass with grouping sets.
     """
     flags = {f"__slice_{i}": (name, F.expr(condition)) for i, (name, condition) in enumerate(slices.items())}
-    base = log.withColumns({"window": F.window(ts, window), **{f: c for f, (_, c) in flags.items()}})
-    keys = [F.col("window"), F.col(version)]
-    flag_columns = [F.col(f) for f in flags]
-    statistics = []
-    for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
-        statistics += [
-            F.count(value).alias(f"__count_{i}"),
-            F.avg(value).alias(f"__mean_{i}"),
-            F.min(value).alias(f"__min_{i}"),
-            F.max(value).alias(f"__max_{i}"),
-            F.stddev(value).alias(f"__stddev_{i}"),
-        ]
-    grouped = base.groupingSets([keys, *[[*keys, f] for f in flag_columns]], *keys, *flag_columns).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("label").alias("labelled"),
-        *[c.alias(k) for k, c in confusion_counts().items()],
-        expected_loss().alias("expected_fraud_loss"),
-        *[F.grouping(f).alias(f"{f}_off") for f in flags],
-        *statistics,
+    base = log.withColumns({**keys, **{f: c for f, (_, c) in flags.items()}})
+    key_columns, flag_columns = [F.col(k) for k in keys], [F.col(f) for f in flags]
+    grouped = base.groupingSets([key_columns, *[[*key_columns, f] for f in flag_columns]], *key_columns, *flag_columns).agg(
+        *values, *[F.grouping(f).alias(f"{f}_off") for f in flags]
     )
     # A row belongs to the slice whose grouping column is on, to the whole when all are off.
     slice_key = F.coalesce(*[F.when(F.col(f"{f}_off") == 0, F.lit(name)) for f, (name, _) in flags.items()], F.lit(None))
     slice_value = F.coalesce(*flag_columns, F.lit(None).cast("boolean")).cast("string")
+    named = grouped.withColumns({"slice_key": slice_key, "slice_value": slice_value}).drop(*[n for f in flags for n in (f, f"{f}_off")])
+    return named.where(F.col("slice_key").isNull() | F.col("slice_value").isNotNull())
+
+
+def profile_lines(grouped: DataFrame, version: str, columns: Sequence[str]) -> DataFrame:
+    """One `:table` row with model quality, and one row per column with statistics, of each group of counts and statistics."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     nothing = F.lit(None).cast("double")
 
@@ -97,11 +79,36 @@ def profile_metrics(
     for i, c in enumerate(columns):
         stats = [F.col(f"__{s}_{i}") for s in ("mean", "min", "max", "stddev")]
         lines.append(line(c, F.col(f"__count_{i}"), [nothing] * 4, stats))
-    return (
-        grouped.withColumns({"slice_key": slice_key, "slice_value": slice_value, "log_type": F.lit(INPUT)})
-        .where(F.col("slice_key").isNull() | F.col("slice_value").isNotNull())
-        .select("window", version, "log_type", "slice_key", "slice_value", "n", "labelled", F.inline(F.array(*lines)))
-    )
+    rows = grouped.withColumn("log_type", F.lit(INPUT))
+    return rows.select("window", version, "log_type", "slice_key", "slice_value", "n", "labelled", F.inline(F.array(*lines)))
+
+
+def profile_metrics(
+    log: DataFrame,
+    columns: Sequence[str],
+    ts: str = "inference_timestamp",
+    version: str = "model_version",
+    slices: Mapping[str, str] = SLICES,
+    window: str = "1 day",
+) -> DataFrame:
+    """Per window, model version and slice: one `:table` row with model quality, one row per column with statistics.
+
+    `slice_key` is null for the whole.
+    """
+    statistics = []
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        statistics += [
+            F.count(value).alias(f"__count_{i}"),
+            F.avg(value).alias(f"__mean_{i}"),
+            F.min(value).alias(f"__min_{i}"),
+            F.max(value).alias(f"__max_{i}"),
+            F.stddev(value).alias(f"__stddev_{i}"),
+        ]
+    counts = [F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), *[c.alias(k) for k, c in confusion_counts().items()]]
+    values = [*counts, expected_loss().alias("expected_fraud_loss"), *statistics]
+    grouped = by_slice(log, {"window": F.window(ts, window), version: F.col(version)}, slices, values)
+    return profile_lines(grouped, version, columns)
 
 
 @dataclass(frozen=True)
@@ -165,9 +172,17 @@ def stored_bins(table: DataFrame) -> list[Bins]:
 
 def histograms(df: DataFrame, bins: Sequence[Bins], by: Sequence[Column]) -> DataFrame:
     """Per group and column one map bin -> rows, from one pass. A map has as many entries as there are bins."""
+    return as_maps(bin_counts(df, bins, by), [*df.select(*by).columns])
+
+
+def bin_counts(df: DataFrame, bins: Sequence[Bins], by: Sequence[Column]) -> DataFrame:
+    """Rows per group, column and bin, from one pass."""
     cells = F.inline(F.array(*[F.struct(F.lit(b.column).alias("column_name"), b.label().alias("bin")) for b in bins]))
     names = [*df.select(*by).columns]
-    counted = df.select(*by, cells).groupBy(*names, "column_name", "bin").agg(F.count(F.lit(1)).alias("rows"))
+    return df.select(*by, cells).groupBy(*names, "column_name", "bin").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def as_maps(counted: DataFrame, names: Sequence[str]) -> DataFrame:
     entry = F.struct("bin", "rows")
     return counted.groupBy(*names, "column_name").agg(F.map_from_entries(F.collect_list(entry)).alias("histogram"))
 
@@ -215,7 +230,11 @@ def drift_consecutive(
 
     The rows are read into histograms once; what is ordered per version is one row per window.
     """
-    found = histograms(log, bins, [F.window(ts, window).alias("window"), F.col(version)])
+    return consecutive_distance(histograms(log, bins, [F.window(ts, window).alias("window"), F.col(version)]), version)
+
+
+def consecutive_distance(found: DataFrame, version: str) -> DataFrame:
+    """Distances of the histograms per window, version and column to those of the window before."""
     earlier = Window.partitionBy(version, "column_name").orderBy("window.start")
     with_previous = found.withColumn("previous", F.lag("histogram").over(earlier)).where("previous IS NOT NULL")
     distance = js_distance(F.col("histogram"), F.col("previous"))
@@ -232,8 +251,12 @@ def drift_baseline(
 ) -> DataFrame:
     """Distance of each column between a window and the baseline that the bins were fixed with."""
     found = histograms(log, bins, [F.window(ts, window).alias("window"), F.col(version)])
-    # One row per column.
-    reference = F.broadcast(histograms(baseline, bins, []).withColumnRenamed("histogram", "reference"))
+    return baseline_distance(found, histograms(baseline, bins, []), version)
+
+
+def baseline_distance(found: DataFrame, reference: DataFrame, version: str) -> DataFrame:
+    """Distances of the histograms per window, version and column to those of the baseline, one row per column."""
+    reference = F.broadcast(reference.withColumnRenamed("histogram", "reference"))
     distance = js_distance(F.col("histogram"), F.col("reference"))
     return found.join(reference, "column_name").select(*_drift_row(BASELINE, version, distance))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import protected_columns
 from ledgerwatch.functions.risk import RISK_SCORE, BoundFunction
 from ledgerwatch.operators import fairness, gates, monitor
+from ledgerwatch.operators.monitor_tables import MonitorTables
 from ledgerwatch.plans import attribution, features, learning
 from ledgerwatch.sources.tables import append, append_lineage, scratch, staged
 
@@ -154,3 +155,13 @@ def watch(
         monitor.drift_baseline(labelled, baseline, bins, ts=ts),
         monitor.retrain_decision(monitor.judged_profile(profile), monitor.judged_drift(drift)),
     )
+
+
+def keep_watch(tables: MonitorTables, log: DataFrame, labels: DataFrame, until: dt.date, since: dt.date | None = None) -> Watch:
+    """As `watch`, from tables that hold all earlier days: only the days from the last run, or from `since`, are read.
+
+    `since` takes days in again whose labels came late. The baseline is the one the tables were made with.
+    """
+    tables.refresh(features.with_labels(log, labels), until, since)
+    profile, drift = staged(tables.profile(), "profile"), staged(tables.drift_consecutive(), "drift")
+    return Watch(profile, drift, tables.drift_baseline(), monitor.retrain_decision(monitor.judged_profile(profile), monitor.judged_drift(drift)))
