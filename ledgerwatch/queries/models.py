@@ -15,7 +15,7 @@ from ledgerwatch.plans import attribution, features, layers, learning, trees
 from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
 from ledgerwatch.sources.binding import Bank
-from ledgerwatch.sources.readers import convert
+from ledgerwatch.sources.readers import convert, with_coordinates
 from ledgerwatch.sources.tables import scratch, staged
 from ledgerwatch.streaming.flows import score_requests
 from ledgerwatch.streaming.ingest import StreamTable, append_stream, follow, ingest_files, read_table, run_to_end, write_batch
@@ -388,6 +388,21 @@ def ingest_csv(bank: Bank) -> DataFrame:
     return read_table(bank.spark, table).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment")
 
 
+@query(
+    """SELECT n_name AS country, CAST(n_nationkey * 1.5 AS DOUBLE) AS long_avg, CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_nationkey - 4.5 AS DOUBLE) END AS lat_avg,
+       CAST(n_regionkey AS STRING) AS region FROM nation"""
+)
+def ingest_untyped(bank: Bank) -> DataFrame:
+    """Nations from CSV files without types: all text, but for the coordinates, where text that is no number is null."""
+    folder, region = scratch(bank.spark, "ingest"), F.col("n_regionkey").alias("region")
+    even = F.when(F.col("n_nationkey") % 2 == 0, (F.col("n_nationkey") - 4.5).cast("string")).otherwise("unknown").alias("lat_avg")
+    rows = bank.table("nation").select(F.col("n_name").alias("country"), (F.col("n_nationkey") * 1.5).alias("long_avg"), even, region)
+    rows.repartition(3).write.option("header", "true").csv(f"{folder}/raw")
+    table = StreamTable(f"{folder}/countries")
+    run_to_end(ingest_files(bank.spark, f"{folder}/raw", "csv", table, prepare=with_coordinates, typed=False))
+    return read_table(bank.spark, table).drop("_rescued_data")
+
+
 @query("SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN props END AS props FROM events")
 def ingest_grown(bank: Bank) -> DataFrame:
     """Events from JSON files; the later ones have a field more."""

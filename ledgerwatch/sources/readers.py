@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +49,43 @@ def grown(known: T.StructType, seen: T.StructType) -> T.StructType:
     return rescue.merged(known, seen)
 
 
-def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """CSV files by their header; files without one hold no rows."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.option("header", "true").csv(path).columns)
-        groups.setdefault(header, []).append(path)
-    groups.pop((), None)
-    return groups
+def _plain_path(path: str) -> str:
+    """A path as one form, whether it comes as given or, encoded, from the metadata of a scan."""
+    return re.sub(r"^([a-z0-9]+):/{1,3}(?=[^/])", r"\1:/", unquote(path))
+
+
+def _given_paths(paths: list[str]) -> dict[str, str]:
+    """The paths by their plain forms; one without a file system also stands for that path on any."""
+    return {form: path for path in paths for form in (_plain_path(path), _plain_path(quote(path, safe=":/")))}
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> list[tuple[tuple[str, ...], list[str]]]:
+    """CSV files by the text of their header, from one scan of them all; files without one hold no rows."""
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", F.monotonically_increasing_id().alias("at")).where(F.trim("value") != "")
+    # The first line of each file, then the files of each header: at most one row per file.
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    found = first.groupBy("header").agg(F.collect_list("file_path").alias("files")).collect()
+    given = _given_paths(paths)
+    groups = []
+    for row in found:
+        plain = [_plain_path(file) for file in row["files"]]
+        own = sorted(given[p] if p in given else given[re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", p)] for p in plain)
+        if row["header"].count('"') % 2:  # a name goes on in the next line
+            groups += [(tuple(spark.read.options(header="true", multiLine="true").csv(path).columns), [path]) for path in own]
+        else:
+            names = next(csv.reader([row["header"].removeprefix("\ufeff")]))
+            groups.append((tuple(name or f"_c{k}" for k, name in enumerate(names)), own))
+    return sorted(groups, key=lambda group: group[1])
+
+
+def _numbered(header: tuple[str, ...]) -> list[tuple[str, bool]]:
+    """The names of a header and whether each is its first of that name; later ones are numbered."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in header:
+        seen[name.lower()] = nth = seen.get(name.lower(), 0) + 1
+        out.append((name if nth == 1 else f"{name}#{nth}", nth == 1))
+    return out
 
 
 def read_files(
@@ -78,13 +110,25 @@ def read_files(
         schema = known if known.fields and not grow else grown(known, rescue.found_columns(records, typed))
         return rescue.with_rescue(records, schema), schema
     schema, parts = known, []
-    for header, own in _by_header(spark, paths).items():
-        schema = grown(schema, infer_schema(spark, own, fmt, multi_line, typed))
+    for header, own in _by_header(spark, paths):
+        names = _numbered(header)
+        # Columns are matched by place, so that a name that occurs twice is read twice.
+        by_place = T.StructType([T.StructField(name, T.StringType()) for name, _ in names])
+        seen = infer_schema(spark, own, fmt, multi_line, typed).fields if typed else by_place.fields
+        schema = grown(schema, T.StructType([T.StructField(name, f.dataType) for (name, first), f in zip(names, seen, strict=True) if first]))
         types = {f.name.lower(): f for f in schema.fields}
-        parts.append((T.StructType([types[name.lower()] for name in header]), own))
+        order = T.StructType([types[name.lower()] if first else T.StructField(name, T.StringType()) for name, first in names])
+        parts.append((order, [name for name, first in names if not first], own))
     if not parts:
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(RESCUE, T.StringType())])), schema
-    frames = [read_raw(spark, own, fmt, order, multi_line, rescue=True) for order, own in parts]
+    frames = []
+    for order, again, own in parts:
+        rows = read_raw(spark, own, fmt, order, multi_line, rescue=True)
+        if again:
+            # The values of a repeated name have no column.
+            more = F.when(F.coalesce(*again).isNotNull(), F.to_json(F.struct(*[F.col(f"`{name}`") for name in again])))
+            rows = rows.withColumn(RESCUE, F.coalesce(RESCUE, more)).drop(*again)
+        frames.append(rows)
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return rows.select(*schema.fieldNames(), RESCUE), schema
 

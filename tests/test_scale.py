@@ -33,6 +33,7 @@ BOUNDED = {
     ("queries/storage.py", "one_customer_sql", "first"): (1, "one id"),
     ("streaming/ingest.py", "follow", "collect"): (1, "marks of a batch"),
     ("streaming/ingest.py", "ingest_files", "collect"): (1, "names of the files of a batch"),
+    ("sources/readers.py", "_by_header", "collect"): (1, "at most one row per file of a batch"),
     ("sources/rescue.py", "found_columns", "first"): (1, "one text with the columns"),
     ("streaming/ingest.py", "remembered", "first"): (1, "the note of a table's columns"),
 }

@@ -141,3 +141,30 @@ def test_upsert_rewrites_only_touched_partitions(spark, folder):
         (1, "d1", "a"), (2, "d1", "B"), (3, "d2", "c"), (4, "d1", "d"), (5, "d3", "e")
     ]
     assert [f for f in found.inputFiles() if "day=d2" in f] == untouched
+
+
+def test_headers_of_many_files_take_one_job_per_header(spark, folder):
+    """Names in any order, blank lines before the header, quoted names, a byte order mark, odd file names."""
+    from ledgerwatch.sources.readers import read_files
+
+    names = [f"{k} %20ü#{'+' * (k % 3)}.csv" for k in range(60)]
+    for k, name in enumerate(names):
+        write(folder, name, ("id,name\n" if k % 2 else "\n\ufeffname,id\n" if k % 4 else '"name",id\n') + (f"{k},n{k}\n" if k % 2 else f"n{k},{k}\n"))
+    write(folder, "none.csv", "\n\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found, schema = read_files(spark, [f"file:{folder}/{name}" for name in [*names, "none.csv"]], "csv")
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs <= 12
+    assert {(r.id, r.name) for r in found.collect()} == {(k, f"n{k}") for k in range(60)} and found.count() == 60
+
+
+def test_a_name_that_occurs_twice(spark, folder):
+    from ledgerwatch.sources.readers import read_files
+
+    write(folder, "a.csv", "id,name,Name\n1,Ann,Lee\n2,Bo,\n")
+    write(folder, "b.csv", '"id","two\nlines"\n3,x\n')
+    found, schema = read_files(spark, [f"{folder}/a.csv", f"{folder}/b.csv"], "csv", multi_line=True)
+    assert schema.fieldNames() == ["id", "name", "two\nlines"]
+    assert {r.id: (r.name, r._rescued_data) for r in found.collect()} == {1: ("Ann", '{"Name#2":"Lee"}'), 2: ("Bo", None), 3: (None, None)}
