@@ -70,7 +70,7 @@ def upsert_stored(bank: Bank) -> DataFrame:
     changed = orders.where("o_orderkey % 7 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     for rows in (orders.where("o_orderkey % 5 <> 0"), orders.where("o_orderkey % 5 = 0"), changed):
         tables.upsert_partitions(bank.spark, folder, rows, ["o_orderkey"], "status")
-    return bank.spark.read.parquet(folder).select("o_orderkey", "o_totalprice", "status")
+    return tables.read_partitions(bank.spark, folder).select("o_orderkey", "o_totalprice", "status")
 
 
 @query(

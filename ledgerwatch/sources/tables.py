@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -9,6 +10,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwatch.operators import keyed
 
@@ -138,29 +140,65 @@ def append(df: DataFrame, path: str, day_of: str | None = None) -> None:
         df.withColumn("day", F.to_date(day_of)).write.mode("append").partitionBy("day").parquet(path)
 
 
+_MANIFEST = "folder string, version long, columns string"
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int | None, dict[str, int], T.StructType | None]:
+    """The newest version of a partitioned table: which version each partition's folder is of, and the columns."""
+    table = VersionedTable(spark, f"{path}/manifest")
+    versions = table.versions()
+    if not versions:
+        return None, {}, None
+    rows = table.read(versions[-1]).collect()  # one row per partition
+    return versions[-1], {r.folder: r.version for r in rows}, T.StructType.fromJson(json.loads(rows[0].columns)) if rows else None
+
+
+def read_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that `upsert_partitions` keeps, as of its newest version."""
+    newest, folders, columns = _manifest(spark, path)
+    if newest is None or columns is None:
+        raise FileNotFoundError(path)
+    placed = T.StructType([*columns.fields, T.StructField("v", T.LongType())])
+    paths = [f"{path}/data/v={version}/{folder}" for folder, version in folders.items()]
+    return spark.read.schema(placed).option("basePath", f"{path}/data").parquet(*paths).select(*columns.fieldNames())
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str
 ) -> None:
-    """Merge rows by key into a folder partitioned by `partition`, rewriting only the partitions `source` touches.
+    """Merge rows by key into a table of one folder per value of `partition`, rewriting only the partitions `source` touches.
 
-    `partition` must follow from the key, so that a row never has its match in another partition. The
-    merged partitions are staged before they replace the old ones, because a plan cannot overwrite what
-    it reads. Rows without a partition value are a partition of their own.
+    `partition` must follow from the key, so that a row never has its match in another partition. The merged partitions are written
+    beside the old ones; a manifest that names the folders that count, written last, switches to them all at once. Until
+    then, and if the write stops on its way, readers see the old table whole. If another writer was faster, the write is refused and may be
+    repeated. Rows without a partition value are a partition of their own. No column may be called `v`.
     """
+    if "v" == partition or "v" in source.columns:
+        raise ValueError("a column named v")
     incoming = staged(source, "upsert")
-    # A dynamic overwrite leaves no success marker; the partitions themselves tell that the table exists.
-    if matching_paths(spark, f"{path}/{partition}=*"):
-        stored = spark.read.parquet(path)
+    base, folders, _ = _manifest(spark, path)
+    if folders:
+        stored = read_partitions(spark, path)
         # A join on the partition column: the scan skips every partition that is not touched.
         target = stored.join(incoming.select(partition).where(F.col(partition).isNotNull()).distinct(), partition, "left_semi")
         if not incoming.where(F.col(partition).isNull()).isEmpty():
-            # A null matches nothing in a join, but the overwrite replaces its partition all the same.
+            # A null matches nothing in a join, but the new folder replaces its partition all the same.
             target = target.unionByName(stored.where(F.col(partition).isNull()))
-        merged = staged(keyed.upsert(target, incoming, keys), "merged")
+        merged = keyed.upsert(target, incoming, keys)
     else:
         merged = keyed.upsert(None, incoming, keys)
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
+    version = (base or 0) + 1
+    while not claimed(spark, f"{path}/claims/{version}"):
+        version += 1
+    merged.write.partitionBy(partition).parquet(f"{path}/data/v={version}")
+    written = {found.getName(): version for found in matching_paths(spark, f"{path}/data/v={version}/{partition}=*")}
+    columns = merged.schema.json()
+    rows = [(folder, n, columns) for folder, n in {**folders, **written}.items()]
+    manifest = VersionedTable(spark, f"{path}/manifest")
+    if max(manifest.versions(), default=None) != base:
+        raise RuntimeError(f"{path} was changed by another writer: repeat the upsert")
+    if rows:
+        manifest.replace(spark.createDataFrame(rows, _MANIFEST).coalesce(1))
 
 
 def append_lineage(df: DataFrame, path: str, run_id: str, at: Column, at_name: str = "computed_at") -> None:

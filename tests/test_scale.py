@@ -31,6 +31,7 @@ BOUNDED = {
     ("plans/trees.py", "fitted_forest", "collect"): (1, "the nodes of a model"),
     ("queries/storage.py", "one_customer", "first"): (1, "one id"),
     ("queries/storage.py", "one_customer_sql", "first"): (1, "one id"),
+    ("sources/tables.py", "_manifest", "collect"): (1, "one row per partition, whose folders are listed anyway"),
     ("streaming/ingest.py", "follow", "collect"): (1, "marks of a batch"),
     ("streaming/ingest.py", "ingest_files", "collect"): (1, "names of the files of a batch"),
     ("sources/readers.py", "_by_header", "collect"): (1, "at most one row per file of a batch"),

@@ -1,6 +1,7 @@
 """Raw files, rescue column, conversion and tables."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,11 +118,11 @@ def test_two_writers_never_share_a_version(spark, folder):
 
 
 def test_upsert_keeps_rows_without_partition(spark, folder):
-    schema = "id int, day string, v string"
+    schema = "id int, day string, text string"
     tables.upsert_partitions(spark, folder, spark.createDataFrame([(1, None, "a"), (2, "d1", "b")], schema), ["id"], "day")
     tables.upsert_partitions(spark, folder, spark.createDataFrame([(3, None, "c"), (1, None, "A")], schema), ["id"], "day")
     tables.upsert_partitions(spark, folder, spark.createDataFrame([(2, "d1", "B")], schema), ["id"], "day")
-    found = sorted((r.id, r.day, r.v) for r in spark.read.parquet(folder).collect())
+    found = sorted((r.id, r.day, r.text) for r in tables.read_partitions(spark, folder).collect())
     assert found == [(1, None, "A"), (2, "d1", "B"), (3, None, "c")]
 
 
@@ -130,19 +131,62 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 def test_upsert_rewrites_only_touched_partitions(spark, folder):
-    schema = "id int, day string, v string"
+    schema = "id int, day string, text string"
     first = [(1, "d1", "a"), (2, "d1", "b"), (3, "d2", "c")]
     tables.upsert_partitions(spark, folder, spark.createDataFrame(first, schema), ["id", "day"], "day")
-    untouched = [f for f in spark.read.parquet(folder).inputFiles() if "day=d2" in f]
+    untouched = [f for f in tables.read_partitions(spark, folder).inputFiles() if "day=d2" in f]
     later = [(2, "d1", "B"), (4, "d1", "d"), (5, "d3", "e")]
     tables.upsert_partitions(spark, folder, spark.createDataFrame(later, schema), ["id", "day"], "day")
-    found = spark.read.parquet(folder)
-    assert sorted((r.id, r.day, r.v) for r in found.collect()) == [
+    found = tables.read_partitions(spark, folder)
+    assert sorted((r.id, r.day, r.text) for r in found.collect()) == [
         (1, "d1", "a"), (2, "d1", "B"), (3, "d2", "c"), (4, "d1", "d"), (5, "d3", "e")
     ]
     assert [f for f in found.inputFiles() if "day=d2" in f] == untouched
 
 
+def test_partitions_switch_at_once(spark, folder, monkeypatch):
+    """A writer that stops between its partitions and the manifest changes nothing; its work may be repeated."""
+    schema = "id int, day string, v_ string"
+    tables.upsert_partitions(spark, folder, spark.createDataFrame([(1, "1", "a"), (2, "2", "b")], schema), ["id"], "day")
+    later = spark.createDataFrame([(1, "1", "A"), (3, "3", "c")], schema)
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.VersionedTable, "replace", stop)
+        with pytest.raises(OSError, match="stopped"):
+            tables.upsert_partitions(spark, folder, later, ["id"], "day")
+    # One of the new partitions is there, the other is not.
+    assert {r["day"] for r in spark.read.parquet(f"{folder}/data/v=2").collect()} == {1, 3}
+    shutil.rmtree(f"{folder}/data/v=2/day=3")
+    old = tables.read_partitions(spark, folder)
+    assert sorted((r.id, r.day, r.v_) for r in old.collect()) == [(1, "1", "a"), (2, "2", "b")]
+    tables.upsert_partitions(spark, folder, later, ["id"], "day")
+    found = tables.read_partitions(spark, folder)
+    assert sorted((r.id, r.day, r.v_) for r in found.collect()) == [(1, "1", "A"), (2, "2", "b"), (3, "3", "c")]
+    # Who reads the old version still can.
+    assert sorted(r.v_ for r in old.collect()) == ["a", "b"]
+
+
+def test_a_faster_writer_is_not_overwritten(spark, folder, monkeypatch):
+    schema = "id int, day string"
+    one = spark.createDataFrame([(1, "a")], schema)
+    tables.upsert_partitions(spark, folder, one, ["id"], "day")
+    whole = tables.claimed
+
+    def claimed(session, path):
+        # Another writer comes in between.
+        monkeypatch.setattr(tables, "claimed", whole)
+        tables.upsert_partitions(spark, folder, spark.createDataFrame([(2, "a")], schema), ["id"], "day")
+        return whole(session, path)
+
+    monkeypatch.setattr(tables, "claimed", claimed)
+    with pytest.raises(RuntimeError, match="repeat"):
+        tables.upsert_partitions(spark, folder, spark.createDataFrame([(3, "a")], schema), ["id"], "day")
+    assert {r.id for r in tables.read_partitions(spark, folder).collect()} == {1, 2}
+
+
 def test_headers_of_many_files_take_one_job_per_header(spark, folder):
     """Names in any order, blank lines before the header, quoted names, a byte order mark, odd file names."""
     from ledgerwatch.sources.readers import read_files
