@@ -12,10 +12,11 @@ from ledgerwatch.operators import fairness, gates, metrics, monitor
 from ledgerwatch.operators.monitor_tables import MonitorTables
 from ledgerwatch.operators.quality import AMOUNT_DECENT, CORRECT_CUSTOMER, CORRECT_DATA, Expectation, report
 from ledgerwatch.operators.sampling import split_name
+from ledgerwatch.plans import features, validation
 from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
 from ledgerwatch.sources.binding import Bank
-from ledgerwatch.sources.tables import scratch, staged
+from ledgerwatch.sources.tables import VersionedTable, scratch, staged
 
 DECIDED_AT = "2024-01-01 12:00:00"
 
@@ -480,3 +481,37 @@ def promotion_gate(bank: Bank) -> DataFrame:
     )
     performance = measured.select(*keys, "f1", "value", "scored", "unscored")
     return gates.promotion_gate(versions, performance, F.lit(DECIDED_AT).cast("timestamp_ntz"))
+
+
+_CHALLENGER = """challenger AS (SELECT * REPLACE (CASE WHEN risk_score >= CAST(0.5 AS FLOAT) THEN 1 ELSE 0 END AS prediction) FROM fraud_scored),
+both_versions AS (SELECT '1' AS model_version, label, prediction FROM fraud_scored UNION ALL SELECT '2', label, prediction FROM challenger)"""
+
+
+@query(
+    over(
+        "fraud_scored",
+        ctes=f"""{_CHALLENGER}, {_CALIBRATION.replace("fraud_scored", "challenger")},
+gate AS (SELECT coalesce(max(ratio) <= 5.0, true) AS passes FROM worst),
+counts AS (SELECT model_version, {_COUNTS}, count(*) FILTER (WHERE prediction IS NULL) AS unscored FROM both_versions GROUP BY 1),
+judged AS (SELECT *, CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0) AS f1, -500 * fp - 200000 * fn + 199500 * tp AS value FROM counts),
+flags AS (SELECT c.model_version, p.model_version AS champion_version, true AS has_description, c.unscored = 0 AS predicts,
+  c.f1 >= p.f1 * 0.95::DOUBLE AS metric_f1_passed, c.value >= p.value AS business_metric_passed, passes AS fairness_passed
+  FROM judged c, judged p, gate WHERE c.model_version = '2' AND p.model_version = '1'),
+decided AS (SELECT *, has_description AND predicts AND metric_f1_passed AND business_metric_passed AND fairness_passed AS promoted FROM flags)""",
+        select=f"""SELECT 'rule' AS model_name, d.*, CASE WHEN promoted THEN 'Approved' ELSE 'Failed' END AS approval_check, TIMESTAMP '{DECIDED_AT}' AS decided_at,
+  CASE WHEN promoted THEN '2' ELSE '1' END AS champion_after FROM decided d""",
+    )
+)
+def model_validation(bank: Bank) -> DataFrame:
+    """The rule with a lower cutoff against the rule in use, on the same rows, and which of them is the champion afterwards."""
+    rows = bank.scored.drop("prediction", "model_version")
+
+    def rule(cutoff: float):
+        return lambda df: df.withColumn("prediction", features.rule_prediction(F.col("risk_score"), cutoff))
+
+    known = [("rule", "1", gates.CHAMPION, "The risk score rule in use, cutoff 0.6"), ("rule", "2", gates.CHALLENGER, "The risk score rule with cutoff 0.5")]
+    table = VersionedTable(bank.spark, scratch(bank.spark, "versions"))
+    table.replace(bank.spark.createDataFrame(known, "model_name string, model_version string, alias string, description string"))
+    decisions = staged(validation.validate(rows, {"1": rule(0.6), "2": rule(0.5)}, table.read(), "rule", DECIDED_AT), "decision")
+    after = validation.promote(table, decisions).where(F.col("alias") == gates.CHAMPION)
+    return decisions.join(after.select("model_name", F.col("model_version").alias("champion_after")), "model_name")
