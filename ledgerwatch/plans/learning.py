@@ -71,7 +71,7 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def numeric_stage(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> SQLTransformer:
-    """A stage that converts, imputes and standardises the numeric columns and marks missing categories.
+    """A stage that converts, imputes and standardises the numeric columns and marks missing categories, empty texts among them.
 
     Means and deviations come from one aggregate; the stage is plain SQL with those numbers, so scoring
     needs no Python. The deviation is that of the imputed column, over all rows.
@@ -90,7 +90,7 @@ def numeric_stage(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
         deviation = variance**0.5 or 1.0
         value = f"coalesce(try_cast(`{c}` AS DOUBLE), {mean!r}D)"
         columns.append(f"({value} - {mean!r}D) / {deviation!r}D AS `{c}_scaled`")
-    columns += [f"coalesce(cast(`{c}` AS STRING), '{MISSING}') AS `{c}_text`" for c in categorical]
+    columns += [f"coalesce(nullif(cast(`{c}` AS STRING), ''), '{MISSING}') AS `{c}_text`" for c in categorical]
     return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
 
