@@ -63,9 +63,12 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], che
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Overwrite `values` where the key matches, also with null; rows without match stay as they are.
 
-    `source` must have one row per key, so the row count never changes.
+    Several source rows with one key end the query, as in a merge statement, so the row count never changes. A null key matches nothing.
     """
-    patch = source.select(*keys, F.struct(*values).alias("__new"))
+    full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    once = source.where(full).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.any_value(F.struct(*values)).alias("__new"))
+    refused = F.raise_error(F.lit(f"several source rows for one key {list(keys)}"))
+    patch = once.select(*keys, F.when(F.col("__rows") == 1, F.col("__new")).otherwise(refused).alias("__new"))
     joined = target.join(patch, list(keys), "left")
     found = F.col("__new").isNotNull()
     return joined.select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import ratio
-from ledgerwatch.operators.skew import running_totals
+from ledgerwatch.operators.skew import HOT_ROWS, parts_for, running_totals
 from ledgerwatch.sources.tables import staged
 
 # Fixed value: loss booked for one missed positive.
@@ -104,14 +104,16 @@ def score_points(
     )
 
 
-def curve_areas(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def curve_areas(points: DataFrame, by: Sequence[str] = (), window_rows: int = HOT_ROWS) -> DataFrame:
     """Exact ROC AUC (ties count half) and PR AUC (trapezoids, starting at precision 1) from `score_points`.
 
-    The running counts over the scores are made by ranges of scores, not in one task.
+    `points` should be a stored table: its rows are counted first. The running counts over the scores are made by ranges of scores, so many
+    that no window has more than `window_rows` rows.
     """
+    parts = parts_for(points.count(), window_rows)
     per_score = points.where("score IS NOT NULL").groupBy(*by, "score")
     steps = per_score.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    walked = running_totals(steps, "score", ["pos", "neg"], by, descending=True)
+    walked = running_totals(steps, "score", ["pos", "neg"], by, descending=True, parts=parts)
     tp, fp = F.col("pos_before"), F.col("neg_before")
     pos, neg = F.col("pos"), F.col("neg")
     precision_before = F.coalesce(ratio(tp, tp + fp), F.lit(1.0))

@@ -33,6 +33,11 @@ def range_number(value: Column, cuts: Column, parts: int) -> Column:
     return F.aggregate(F.array(*[F.lit(j) for j in jumps]), F.lit(0), jump)
 
 
+def parts_for(rows: int, most: int = HOT_ROWS) -> int:
+    """Ranges for so many rows, so that no range has more than `most` of them."""
+    return max(1, -(-rows * 11 // (most * 10))) if rows > most else 1
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -43,10 +48,13 @@ def running_totals(
 ) -> DataFrame:
     """For each row the sum of `values` over the rows before it, as `<value>_before`.
 
-    `order` must be unique within `by`. The rows are cut into ranges of equal size; only one row per
-    range is totalled in a single window, and the windows over the rows cover one range each.
+    `order` must be unique within `by`. The rows are cut into ranges of equal size, at most a tenth above the mean; only one row per
+    range is totalled in a single window, and the windows over the rows cover one range each. See `parts_for` for their number.
     """
     direction = (lambda c: c.desc()) if descending else (lambda c: c.asc())
+    if parts == 1:
+        before = Window.partitionBy(*by).orderBy(direction(F.col(order))).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"{v}_before": F.coalesce(F.sum(v).over(before), F.lit(0)) for v in values})
     ranged = df.withColumn("__cuts", cut_points(df, F.col(order), parts))
     ranged = ranged.withColumn("__range", range_number(F.col(order), F.col("__cuts"), parts)).drop("__cuts")
     carried = Window.partitionBy(*by).orderBy(direction(F.col("__range"))).rowsBetween(Window.unboundedPreceding, -1)

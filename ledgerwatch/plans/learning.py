@@ -192,7 +192,7 @@ def draw_trials(n: int = TRIALS, seed: int = SEED, space: Mapping[str, Mapping]
     return trials
 
 
-TRIAL_SCHEMA = "run_id string, trial int, family string, settings map<string,double>, test_f1 double, state string, started_at timestamp_ntz"  # noqa: E501
+TRIAL_SCHEMA = "run_id string, trial int, family string, settings map<string,double>, holdout_f1 double, state string, error string, started_at timestamp_ntz"  # noqa: E501
 
 
 def validation_rows(key: Column, percent: int = HOLDOUT_PERCENT) -> Column:
@@ -213,7 +213,7 @@ def search(
     """One row per trial with its hold-out F1 of the positive class, best first.
 
     The preparation is fitted once on the rows that train; trials run as concurrent Spark jobs over the
-    same prepared rows. A trial that fails is kept in the log with its state and no score.
+    same prepared rows. A trial that fails is kept in the log with its state and the text of its error, and no score.
     """
     held_out = validation_rows(F.col(key))
     prepared = preparation(train.where(~held_out), categorical, numeric).transform(train)
@@ -227,9 +227,9 @@ def search(
                 model = trial.estimator(size, label).fit(fit_rows)
                 counts = confusion(model.transform(rows.where("held_out")), label=label)
                 score = counts.select(f1(F.col("tp"), F.col("fp"), F.col("fn"))).first()[0]
-                return trial, score if score is not None else 0.0, "FINISHED"
-            except Exception:  # one failed trial must not end the search; its state says so
-                return trial, None, "FAILED"
+                return trial, score if score is not None else 0.0, "FINISHED", None
+            except Exception as error:  # one failed trial must not end the search; its state says so
+                return trial, None, "FAILED", f"{type(error).__name__}: {error}"
 
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             done = list(pool.map(run, trials))
@@ -237,10 +237,10 @@ def search(
         rows.unpersist()
     spark = train.sparkSession
     log = [
-        (f"trial-{t.number}", t.number, t.family, {k: float(v) for k, v in t.settings.items()}, score, state, started_at)
-        for t, score, state in done
+        (f"trial-{t.number}", t.number, t.family, {k: float(v) for k, v in t.settings.items()}, score, state, error, started_at)
+        for t, score, state, error in done
     ]
-    return spark.createDataFrame(log, TRIAL_SCHEMA).orderBy(F.desc_nulls_last("test_f1"), "trial")
+    return spark.createDataFrame(log, TRIAL_SCHEMA).orderBy(F.desc_nulls_last("holdout_f1"), "trial")
 
 
 def fit(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import protected_columns
 from ledgerwatch.functions.risk import RISK_SCORE, BoundFunction
-from ledgerwatch.operators import fairness, gates, monitor
+from ledgerwatch.operators import fairness, gates, metrics, monitor
 from ledgerwatch.operators.monitor_tables import MonitorTables
 from ledgerwatch.plans import attribution, features, learning
 from ledgerwatch.sources.tables import append, append_lineage, scratch, staged
@@ -84,7 +84,7 @@ def train_and_judge(
     categorical, numeric = learning.model_columns(training, NOT_INPUTS)
 
     log = learning.search(train, trials, categorical, numeric, started_at, parallelism=parallelism)
-    best = gates.best_trial(log).first()  # one row
+    best = gates.best_trial(log, "holdout_f1").first()  # one row
     if best is None:
         raise RuntimeError("no trial finished")
     path = path or scratch(spark, "model")
@@ -92,6 +92,9 @@ def train_and_judge(
     model = learning.save_and_load(spark, fitted, path)
 
     scored = learning.score(model, test).withColumn("label", F.col("is_fraud"))
+    # The refitted model's own score on the test rows, in the row of its trial.
+    test_f1 = metrics.confusion(scored).select(metrics.f1(F.col("tp"), F.col("fp"), F.col("fn"))).scalar()
+    log = log.withColumn("test_f1", F.when(F.col("run_id") == best.run_id, test_f1))
     slices = fairness.subgroup_metrics(scored, protected_columns(scored.columns))
     return Candidate(
         model=model,

@@ -91,3 +91,12 @@ def test_latest_snapshot(spark):
     df = frame(spark, ("a", 1, 9.0), ("a", 2, 1.0), ("a", 2, 5.0), ("b", None, 1.0))
     found = keyed.latest_snapshot(df, "id", "t", F.lit(3))
     assert rows(found, ("id", "t", "v", "snapshot_version")) == [("a", 2, 5.0, 3), ("b", None, 1.0, 3)]
+
+
+def test_update_refuses_several_source_rows_for_one_key(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
+    with pytest.raises(Exception, match="several source rows"):
+        keyed.update_from(target, twice, ["id"], ["v"]).collect()
+    nulls = spark.createDataFrame([(2, None), (None, "x"), (None, "y")], "id int, v string")
+    assert sorted((r.id or 0, r.v) for r in keyed.update_from(target, nulls, ["id"], ["v"]).collect()) == [(0, "c"), (1, "a"), (2, None)]

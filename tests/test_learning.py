@@ -85,7 +85,8 @@ def test_search_logs_every_trial(spark, planted):
         planted.where("split = 'train'"), [LOGISTIC, BOOSTED, broken], CATEGORICAL, NUMERIC, dt.datetime(2024, 1, 1)
     ).collect()
     assert [r.state for r in log] == ["FINISHED", "FINISHED", "FAILED"] and log[2].run_id == "trial-3"
-    assert log[0].test_f1 >= log[1].test_f1 > 0.5 and log[2].test_f1 is None
+    assert log[0].holdout_f1 >= log[1].holdout_f1 > 0.5 and log[2].holdout_f1 is None
+    assert log[0].error is None and "Exception" in log[2].error
 
 
 def test_columns_of_many_values_are_refused(spark):

@@ -31,6 +31,7 @@ def test_train_judge_score_watch(spark, gold, folder, trial):
     assert report["test"].roc_auc > 0.95
     assert {r.slice_dimension for r in candidate.slices.collect()} == {"country", "age_group", "is_cross_border"}
     assert candidate.gate.count() == 1 and candidate.trials.first().state == "FINISHED"
+    assert candidate.trials.first().test_f1 == pytest.approx(report["test"].f1, abs=1e-9)
     # The destination gains the amount, so its balances say the same.
     assert candidate.importance().first().feature in {"amount", "diffDest", "newBalanceDest"}
     candidate.save_review(f"{folder}/review", "run-1", F.lit(AT).cast("timestamp_ntz"))

@@ -99,6 +99,25 @@ def test_running_totals(spark, descending):
     assert len(found) == len(rows)
 
 
+def test_ranges_follow_the_number_of_scores(spark):
+    """No window has more rows than it may, and the areas do not depend on the ranges."""
+    from ledgerwatch.operators import skew
+
+    assert [skew.parts_for(n, 1000) for n in (0, 1000, 1001, 10_000, 10**6)] == [1, 1, 2, 11, 1100]
+    dice = random.Random(9)
+    rows = [(g, round(dice.random(), 4), dice.randrange(2), dice.randrange(2)) for g in "ab" for _ in range(3000)]
+    points = metrics.score_points(frame(spark, rows), "score", ["g"])
+    whole = metrics.curve_areas(points, ["g"]).orderBy("g").collect()
+    cut = metrics.curve_areas(points, ["g"], window_rows=200).orderBy("g").collect()
+    for a, b in zip(whole, cut, strict=True):
+        assert a.roc_auc == pytest.approx(b.roc_auc, abs=1e-12) and a.pr_auc == pytest.approx(b.pr_auc, abs=1e-12)
+    parts = skew.parts_for(points.count(), 200)
+    steps = points.groupBy("g", "score").agg(F.sum("pos").alias("pos"))
+    cuts = steps.withColumn("cuts", skew.cut_points(steps, F.col("score"), parts))
+    sizes = cuts.withColumn("range", skew.range_number(F.col("score"), F.col("cuts"), parts)).groupBy("range").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200
+
+
 def test_running_totals_on_empty(spark):
     df = spark.createDataFrame([], "x int, v long")
     assert running_totals(df, "x", ["v"], parts=4).withColumn("z", F.lit(1)).count() == 0

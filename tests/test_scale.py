@@ -17,6 +17,7 @@ ROOT = Path(__file__).resolve().parents[1] / "ledgerwatch"
 # Every place where rows reach the driver, how often, and why their number is bounded.
 BOUNDED = {
     ("operators/asof.py", "asof_join", "first"): (1, "one sum"),
+    ("operators/metrics.py", "curve_areas", "count"): (1, "a number"),
     ("operators/monitor.py", "fix_bins", "collect"): (1, "at most MAX_VALUES per column"),
     ("operators/monitor.py", "fix_bins", "first"): (1, "one row of edges"),
     ("operators/monitor.py", "stored_bins", "collect"): (1, "one row per column"),
