@@ -86,13 +86,20 @@ def changes_grown(bank: Bank) -> DataFrame:
     return keyed.changes(table.read(1), table.read(2), ["c_custkey"]).select("c_custkey", "change_type", "segment")
 
 
-@query("SELECT 'o_orderkey' AS name, false AS categorical UNION ALL SELECT 'o_orderstatus', true UNION ALL SELECT 'o_totalprice', false FROM (SELECT count(*) FROM orders)")
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {kind} AS categorical, count(DISTINCT {c}) AS n_values, count({c}) AS n_rows FROM orders"
+        for c, kind in (("o_orderkey", "false"), ("o_orderstatus", "true"), ("o_totalprice", "false"))
+    )
+)
 def column_types(bank: Bank) -> DataFrame:
-    """Which columns of the orders count as categories."""
+    """Which columns of the orders count as categories, and how many values and rows each has."""
     orders = bank.table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     categorical, numeric = split_by_type(orders)
-    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(c in categorical).alias("categorical")) for c in [*categorical, *numeric]]))
-    return orders.agg(F.count(F.lit(1)).alias("n")).select(cells)
+    cells = [F.struct(F.lit(c).alias("name"), F.lit(c in categorical).alias("categorical"), F.col(c).cast("string").alias("value")) for c in [*categorical, *numeric]]
+    # One row per value first, so that no task holds the values of a column.
+    values = orders.select(F.inline(F.array(*cells))).groupBy("name", "categorical", "value").agg(F.count("value").alias("rows"))
+    return values.groupBy("name", "categorical").agg(F.count("value").alias("n_values"), F.sum("rows").alias("n_rows"))
 
 
 _ONE = over("gold_transactions", ctes="newest AS (SELECT max(id) AS id FROM gold_transactions)", select="SELECT id, amount FROM gold_transactions JOIN newest USING (id)")
