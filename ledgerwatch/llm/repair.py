@@ -18,7 +18,8 @@ text. Null texts and roles count as one space; rows with a null conv_id are one
 only their first character matters to the structure. Repeated rows are rows each.
 
 A conversation is one answer here: its digest must see all of its text in order. Its rows stream through one task, sorted by
-Spark; that task holds a byte per row, as many as the audit has, and no text.
+Spark. That task holds no text: a byte per row, four bounds per row for the search, and the path of the search, some hundred bytes per row in
+all; the audit that it returns has a byte per row as well.
 """
 
 from __future__ import annotations
