@@ -2,9 +2,9 @@
 
 Texts with the same set of shingles form a class, which takes part once. A class goes to one bucket per
 band; buckets with the same members are looked at once. A bucket is cut into blocks, and
-each pair of blocks is a cell of bounded size, so a hot bucket spreads over many tasks. In a cell the
-sets are compared exactly, and a pair counts only in the bucket of the first band that it has in common: no pair
-is counted twice and none is written out. A cell returns the number of links per class and a spanning
+each pair of blocks is a cell of bounded size, so a hot bucket spreads over many tasks. A pair counts only
+in the bucket of the first band that it has in common: no pair is counted twice and none is written out. Signatures
+tell which classes have a pair to count in a cell; only those send their sets there, which are compared exactly. A cell returns the number of links per class and a spanning
 forest of them, from which the connected classes follow.
 
 Texts of one to four words have one shingle, all their words; empty and null texts have none and stand
@@ -130,15 +130,22 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _cell(band: int, diagonal: bool, ids: list[bytes], size: np.ndarray, bands: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similarity: tuple[int, int]):
-    """(node, links, root) of the classes that have a link in this cell."""
-    near = ~np.eye(len(ids), dtype=bool) if diagonal else side[:, None] != side[None, :]
+def _own_pairs(band: int, diagonal: bool, size: np.ndarray, bands: np.ndarray, side: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
+    """Which pairs are looked at in this cell: those without an earlier band in common whose sizes allow the similarity."""
+    near = ~np.eye(len(size), dtype=bool) if diagonal else side[:, None] != side[None, :]
     for k in range(band):
         near &= bands[:, k][:, None] != bands[:, k][None, :]
     part, whole = similarity
     near &= whole * np.minimum.outer(size, size) >= part * np.maximum.outer(size, size)
+    return near
+
+
+def _cell(band: int, diagonal: bool, ids: list[bytes], size: np.ndarray, bands: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similarity: tuple[int, int]):
+    """(node, links, root) of the classes that have a link in this cell."""
+    near = _own_pairs(band, diagonal, size, bands, side, similarity)
     if not near.any():
         return []
+    part, whole = similarity
     own = np.flatnonzero(near.any(1))
     near, size = near[np.ix_(own, own)], size[own]
     both = _shared([sets[i] for i in own]).astype(np.int64)
@@ -153,39 +160,59 @@ def _cell(band: int, diagonal: bool, ids: list[bytes], size: np.ndarray, bands:
     return [(ids[own[i]], int(links[i]), ids[own[root[i]]]) for i in np.flatnonzero(links)]
 
 
-def _verify(similarity: tuple[int, int], schema: str):
+def _by_cell(schema: str, work, *names: str):
+    """Calls `work` with the key of each cell, (bucket, i, j, band), and its rows of `names`; yields the rows it makes."""
     into = X.arrow_schema(schema)
 
+    def record(made: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*made, strict=True), into, strict=True)], schema=into)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, made = None, [], []
-
-        def close():
-            rows = sorted({(r[0], r[3]): r for r in held}.values(), key=lambda r: (r[0], r[3]))  # a repeated document once
-            ids, size, bands, side, sets = zip(*rows, strict=True)
-            return _cell(
-                key[3], key[1] == key[2], list(ids), np.array(size), np.array(bands),
-                np.array(side), [np.frombuffer(s, np.uint64) for s in sets], similarity,
-            )
-
         for batch in batches:
             columns = batch.to_pydict()
-            for now, row in zip(zip(*(columns[c] for c in ("bucket", "i", "j", "band")), strict=True), zip(*(columns[c] for c in ("node", "shingles", "bands", "block", "set")), strict=True), strict=True):
+            keys = zip(*(columns[c] for c in ("bucket", "i", "j", "band")), strict=True)
+            for now, row in zip(keys, zip(*(columns[c] for c in names), strict=True), strict=True):
                 if now != key and held:
-                    made += close()
+                    made += work(key, held)
                     held = []
                 key = now
                 held.append(row)
             if len(made) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*made, strict=True), into, strict=True)], schema=into)
+                yield record(made)
                 made = []
         if held:
-            made += close()
+            made += work(key, held)
         if made:
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*made, strict=True), into, strict=True)], schema=into)
+            yield record(made)
 
     return run
 
 
+def _owners(similarity: tuple[int, int]):
+    """The rows of a cell that have a pair of their own in it, decided by signatures."""
+
+    def work(key: tuple, rows: list[tuple]) -> list[tuple]:
+        bucket, i, j, band = key
+        node, size, bands, side = zip(*rows, strict=True)
+        near = _own_pairs(band, i == j, np.array(size), np.array(bands), np.array(side), similarity)
+        return [(bucket, band, node[k], side[k], i, j) for k in np.flatnonzero(near.any(1)).tolist()]
+
+    return work
+
+
+def _verified(similarity: tuple[int, int]):
+    def work(key: tuple, rows: list[tuple]) -> list[tuple]:
+        rows = sorted({(r[0], r[3]): r for r in rows}.values(), key=lambda r: (r[0], r[3]))  # a repeated document once
+        ids, size, bands, side, sets = zip(*rows, strict=True)
+        return _cell(
+            key[3], key[1] == key[2], list(ids), np.array(size), np.array(bands),
+            np.array(side), [np.frombuffer(s, np.uint64) for s in sets], similarity,
+        )
+
+    return work
+
+
 def bits_of(keys: DataFrame, key: str) -> DataFrame:
     """A table of BITS bits, at most BITS / 64 rows whatever the number of keys, with one bit per key set."""
     bit = F.pmod(F.xxhash64(key), F.lit(BITS))
@@ -242,10 +269,15 @@ def linked(docs: DataFrame, distinct: DataFrame, similarity: tuple[int, int]) ->
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("bucket", "band", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    spread = cells.join(sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    spread = lambda df: df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    # Which rows of a cell have a pair of their own there needs no sets; only those send theirs.
     kind = distinct.schema["node"].dataType.simpleString()
+    schema = f"bucket long, band int, node {kind}, block int, i int, j int"
+    signed_cells = spread(cells.join(some.select("node", "shingles", "bands"), "node"))
+    owned = signed_cells.mapInArrow(_by_cell(schema, _owners(similarity), "node", "shingles", "bands", "block"), schema)
     schema = f"node {kind}, links long, root {kind}"
-    return spread.mapInArrow(_verify(similarity, schema), schema).join(some.select("node", "class"), "node")
+    compared = spread(owned.join(sets, "node")).mapInArrow(_by_cell(schema, _verified(similarity), "node", "shingles", "bands", "block", "set"), schema)
+    return compared.join(some.select("node", "class"), "node")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
