@@ -33,7 +33,7 @@ def test_no_document_or_column_breaks_a_stage(spark, small):
 
 def test_every_number_has_one_query():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", sorted(n for n in oracle_sql() if n.startswith("op")))
@@ -47,6 +47,7 @@ BOUNDED = {
     ("binary.py", "collect"): "ids of a vocabulary", ("language.py", "toPandas"): "the training sample",
     ("lexicon.py", "toPandas"): "the words of the lexicon", ("lexicon.py", "collect"): "a row per distinct count", ("maxent.py", "collect"): "one row per class or slice of the weights", ("maxent.py", "first"): "two sums",
     ("packing.py", "collect"): "one row per length", ("quality.py", "toPandas"): "the training sample", ("topk.py", "collect"): "cutoffs of a block of queries",
+    ("lexical.py", "first"): "one row of totals", ("lexical.py", "toArrow"): "a part of the items, their terms, a row per term of it", ("lexical.py", "take"): "of an Arrow table",
     ("packing.py", "take"): "of an Arrow array", ("maxent.py", "take"): "of a numpy array", ("topk.py", "toArrow"): "a block of queries", ("topk.py", "count"): "a number", ("jaccard.py", "count"): "an aggregate",
 }
 
