@@ -183,10 +183,15 @@ def fit_trees(
     return Trees(np.array(feature), np.array(threshold), np.array(left), np.array(value), np.array(roots), depth, start)
 
 
-def fit(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | None:
-    """Trees from at most `sample` labelled rows, taken in the order of a hash of their id."""
+def taught(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, y) of at most `sample` labelled rows, taken in the order of a hash of their id."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
-    taken = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+
+
+def fit(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | None:
+    """Trees from the rows that `taught` chooses."""
+    taken = taught(labels, sample)
     rows = measured.select("doc_id", *FEATURES).dropDuplicates(["doc_id"]).join(F.broadcast(taken), "doc_id").orderBy("doc_id").limit(sample).toPandas()
     return fit_trees(rows[list(FEATURES)].to_numpy(float).reshape(-1, len(FEATURES)), (rows["y"] > 0).to_numpy(float), np.array(list(FEATURES.values())))
 
@@ -222,8 +227,9 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def stage_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that the rules keep, judged row by row so that no join by id is needed."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    measured = staged(statistics(docs), "quality")
-    model = fit(measured, labels)
+    # Only the documents that the trees learn from are measured before; all are measured where they are judged.
+    some = docs.select("doc_id", "text").join(F.broadcast(taught(labels).select("doc_id")), "doc_id")
+    model = fit(statistics(some), labels)
 
     def run(batches):
         for batch in batches:
