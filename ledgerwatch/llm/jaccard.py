@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,8 +161,8 @@ def _cell(band: int, diagonal: bool, ids: list[bytes], size: np.ndarray, bands:
     return [(ids[own[i]], int(links[i]), ids[own[root[i]]]) for i in np.flatnonzero(links)]
 
 
-def _by_cell(schema: str, work, *names: str):
-    """Calls `work` with the key of each cell, (bucket, i, j, band), and its rows of `names`; yields the rows it makes."""
+def _by_cell(schema: str, work):
+    """Calls `work` with the key of each cell, (bucket, i, j, band), and its rows, which stay in Arrow; yields the rows it makes."""
     into = X.arrow_schema(schema)
 
     def record(made: list) -> pa.RecordBatch:
@@ -170,45 +171,54 @@ def _by_cell(schema: str, work, *names: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, made = None, [], []
         for batch in batches:
-            columns = batch.to_pydict()
-            keys = zip(*(columns[c] for c in ("bucket", "i", "j", "band")), strict=True)
-            for now, row in zip(keys, zip(*(columns[c] for c in names), strict=True), strict=True):
+            if not len(batch):
+                continue
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("bucket", "i", "j", "band")])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(batch)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                now = tuple(keys[low].tolist())
                 if now != key and held:
-                    made += work(key, held)
+                    made += work(key, pa.Table.from_batches(held))
                     held = []
                 key = now
-                held.append(row)
+                held.append(batch.slice(low, high - low))
             if len(made) > 10_000:
                 yield record(made)
                 made = []
         if held:
-            made += work(key, held)
+            made += work(key, pa.Table.from_batches(held))
         if made:
             yield record(made)
 
     return run
 
 
+def _signatures_of(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """node, shingles, bands and block of the rows of a cell."""
+    bands = pc.list_flatten(rows["bands"]).to_numpy().reshape(len(rows), -1)
+    return rows["node"].to_numpy(), rows["shingles"].to_numpy(), bands, rows["block"].to_numpy()
+
+
 def _owners(similarity: tuple[int, int]):
     """The rows of a cell that have a pair of their own in it, decided by signatures."""
 
-    def work(key: tuple, rows: list[tuple]) -> list[tuple]:
+    def work(key: tuple, rows: pa.Table) -> list[tuple]:
         bucket, i, j, band = key
-        node, size, bands, side = zip(*rows, strict=True)
-        near = _own_pairs(band, i == j, np.array(size), np.array(bands), np.array(side), similarity)
-        return [(bucket, band, node[k], side[k], i, j) for k in np.flatnonzero(near.any(1)).tolist()]
+        node, size, bands, side = _signatures_of(rows)
+        own = np.flatnonzero(_own_pairs(band, i == j, size, bands, side, similarity).any(1))
+        return [(bucket, band, n, s, i, j) for n, s in zip(node[own].tolist(), side[own].tolist(), strict=True)]
 
     return work
 
 
 def _verified(similarity: tuple[int, int]):
-    def work(key: tuple, rows: list[tuple]) -> list[tuple]:
-        rows = sorted({(r[0], r[3]): r for r in rows}.values(), key=lambda r: (r[0], r[3]))  # a repeated document once
-        ids, size, bands, side, sets = zip(*rows, strict=True)
-        return _cell(
-            key[3], key[1] == key[2], list(ids), np.array(size), np.array(bands),
-            np.array(side), [np.frombuffer(s, np.uint64) for s in sets], similarity,
-        )
+    def work(key: tuple, rows: pa.Table) -> list[tuple]:
+        node, size, bands, side = _signatures_of(rows)
+        order = np.lexsort((side, node))
+        repeated = (np.diff(node[order]) == 0) & (np.diff(side[order]) == 0)
+        order = order[np.concatenate([[True], ~repeated])]  # a repeated document once
+        sets = [np.frombuffer(rows["set"][k].as_buffer(), np.uint64) for k in order.tolist()]
+        return _cell(key[3], key[1] == key[2], node[order].tolist(), size[order], bands[order], side[order], sets, similarity)
 
     return work
 
@@ -274,9 +284,9 @@ def linked(docs: DataFrame, distinct: DataFrame, similarity: tuple[int, int]) ->
     kind = distinct.schema["node"].dataType.simpleString()
     schema = f"bucket long, band int, node {kind}, block int, i int, j int"
     signed_cells = spread(cells.join(some.select("node", "shingles", "bands"), "node"))
-    owned = signed_cells.mapInArrow(_by_cell(schema, _owners(similarity), "node", "shingles", "bands", "block"), schema)
+    owned = signed_cells.mapInArrow(_by_cell(schema, _owners(similarity)), schema)
     schema = f"node {kind}, links long, root {kind}"
-    compared = spread(owned.join(sets, "node")).mapInArrow(_by_cell(schema, _verified(similarity), "node", "shingles", "bands", "block", "set"), schema)
+    compared = spread(owned.join(sets, "node")).mapInArrow(_by_cell(schema, _verified(similarity)), schema)
     return compared.join(some.select("node", "class"), "node")
 
 
