@@ -16,7 +16,7 @@ from ledgerwatch.plans.oracles import over
 from ledgerwatch.plans.registry import query
 from ledgerwatch.sources.binding import Bank
 from ledgerwatch.sources.readers import convert, with_coordinates
-from ledgerwatch.sources.tables import scratch, staged
+from ledgerwatch.sources.tables import bucketed, scratch, staged
 from ledgerwatch.streaming.flows import score_requests
 from ledgerwatch.streaming.ingest import StreamTable, append_stream, follow, ingest_files, read_table, run_to_end, write_batch
 
@@ -549,6 +549,6 @@ def stream_scores(bank: Bank) -> DataFrame:
         )
 
     table = StreamTable(f"{scratch(spark, 'scores')}/scores")
-    snapshot = staged(features.with_features(bank.gold), "snapshot")  # each batch reads it
+    snapshot = bucketed(features.with_features(bank.gold), "transaction_id", "snapshot")  # no batch shuffles it
     run_to_end(append_stream(score_requests(requests, snapshot, score), table))
     return read_table(spark, table)

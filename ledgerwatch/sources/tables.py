@@ -43,6 +43,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+    """`df` stored in buckets by `key`, each one sorted file, and read back: a join by `key` moves only its other side.
+
+    As many buckets as a shuffle has partitions, if no number is given; with fewer Spark may move both sides. The table is
+    an entry of the session's catalog over a folder below the shared one. A join reads all buckets, of the columns it needs.
+    """
+    spark = df.sparkSession
+    number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder, table = scratch(spark, name), f"{name}_{uuid.uuid4().hex}"
+    df.repartition(number, key).write.bucketBy(number, key).sortBy(key).option("path", folder).saveAsTable(table)
+    return spark.table(table)
+
+
 def matching_paths(spark: SparkSession, pattern: str) -> list:
     """Paths that match a glob, on any file system Spark can read."""
     glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.risk import RISK_SCORE
 from ledgerwatch.operators.quality import DROP, FAIL, Expectation
 from ledgerwatch.plans import layers
+from ledgerwatch.sources.tables import bucketed
 from ledgerwatch.streaming.flows import Lake, score_requests
 from ledgerwatch.streaming.ingest import (
     StreamTable,
@@ -123,6 +124,23 @@ def test_scores_on_a_stream(spark, folder):
     assert found == {"a": (300_000.0, 0.8), "unknown": (None, 0.0)}
 
 
+def test_a_batch_leaves_the_bucketed_snapshot_where_it_is(spark, folder, no_broadcast):
+    rows = [(str(k), k) for k in range(500)] + [(None, -1), ("7", -7)]
+    snapshot = bucketed(spark.createDataFrame(rows, "key string, value long"), "key", "snapshot")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 0 < len(snapshot.inputFiles()) <= parts
+    files(f"{folder}/raw", r='{"key": "3"}\n{"key": "7"}\n{"key": "none"}\n{"other": 1}\n')
+    requests = raw_stream(spark, f"{folder}/raw", "json").select("key")
+    joined = score_requests(requests, snapshot, lambda df: df.select("key", "value"), "key")
+    stream = joined.writeStream.queryName("asked").format("memory").option("checkpointLocation", f"{folder}/marks").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    plan = stream._jsq.explainInternal(False)
+    plan = plan.split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan, plan
+    found = [(r.key, r.value) for r in spark.table("asked").collect()]
+    assert sorted(found, key=repr) == sorted([("3", 3), ("7", 7), ("7", -7), ("none", None), (None, None)], key=repr)
+
+
 def test_chained_stream(spark, folder):
     spark.range(10).write.parquet(f"{folder}/up/g=1/data")
     up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
