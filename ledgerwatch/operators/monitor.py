@@ -29,8 +29,10 @@ JUDGED_WINDOWS = 30
 # How the columns are compared: these by value, the others by ranges.
 VALUE_COLUMNS = ("prediction", "label", "is_cross_border")
 RANGE_BINS = 10
-# Exact quantiles up to so many baseline rows, and the most values of a column compared by value.
+# Approximate quantiles are off by one in so many rows; the exact ones are looked for this many times as far on either side of them.
 EDGE_ACCURACY = 100_000
+EDGE_REACH = 4
+# The most values of a column compared by value.
 MAX_VALUES = 100
 
 
@@ -137,26 +139,49 @@ class Bins:
         return F.when(value.isNull(), "null").when(F.isnan(value), "NaN").otherwise(place)
 
 
+def _finite(c: str) -> Column:
+    value = F.col(c).cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def exact_edges(baseline: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`column_name` and `edges`: the exact tenths of the finite values of each column, equal ones once, however the rows are dealt.
+
+    Approximate quantiles bound every tenth. The few values between the bounds are counted one by one, all others by range.
+    """
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), _finite(c).alias("value")) for c in columns]))
+    values, value = baseline.select(cells).where("value IS NOT NULL"), F.col("value")
+    tenths, reach = range(1, RANGE_BINS), EDGE_REACH / EDGE_ACCURACY
+    bounds = [max(k / RANGE_BINS - reach, 0.0) for k in tenths] + [min(k / RANGE_BINS + reach, 1.0) for k in tenths]
+    near = values.groupBy("column_name").agg(F.count("value").alias("n"), F.percentile_approx("value", bounds, EDGE_ACCURACY).alias("bounds"))
+    low, high = F.slice("bounds", 1, len(tenths)), F.slice("bounds", len(tenths) + 1, len(tenths))
+    close = F.exists(F.arrays_zip(low.alias("low"), high.alias("high")), lambda b: (b["low"] <= value) & (value <= b["high"]))
+    place = F.size(F.filter(low, lambda b: b <= value))
+    placed = values.join(F.broadcast(near), "column_name").select("column_name", "n", place.alias("place"), F.when(close, value).alias("value"))
+    counted = placed.groupBy("column_name", "n", "place", "value").agg(F.count(F.lit(1)).alias("rows"))
+    # Within a place the values beyond its bounds come after those between them.
+    until = F.sum("rows").over(Window.partitionBy("column_name").orderBy("place", F.asc_nulls_last("value")))
+    ranks = F.array(*[F.expr(f"({k} * n + {RANGE_BINS - 1}) div {RANGE_BINS}") for k in tenths])
+    hit = counted.withColumn("until", until).where(F.exists(ranks, lambda r: (r <= F.col("until")) & (r > F.col("until") - F.col("rows"))))
+    found = F.coalesce(value, F.raise_error(F.lit("a tenth lies outside of its bounds")).cast("double"))
+    return hit.groupBy("column_name").agg(F.sort_array(F.collect_set(found)).alias("edges"))
+
+
 def fix_bins(baseline: DataFrame, columns: Sequence[str] = DRIFT_COLUMNS, by_value: Sequence[str] = VALUE_COLUMNS) -> list[Bins]:
     """The bins of a baseline: one per value for the columns named in `by_value`, else tenths of its finite values.
 
     A column by value with more than MAX_VALUES of them is refused; it belongs among the ranges.
     """
-
-    def finite(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return F.when(F.abs(value) < float("inf"), value)
-
-    tenths = [k / RANGE_BINS for k in range(1, RANGE_BINS)]
     few, ranged = [c for c in columns if c in by_value], [c for c in columns if c not in by_value]
-    edges = baseline.agg(F.lit(0).alias("none"), *[F.percentile_approx(finite(c), tenths, EDGE_ACCURACY).alias(c) for c in ranged]).first()
-    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), finite(c).alias("value")) for c in few]))
+    listed = F.map_from_entries(F.collect_list(F.struct("column_name", "edges")))
+    edges = exact_edges(baseline, ranged).agg(listed.alias("edges")).first()["edges"] if ranged else {}
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), _finite(c).alias("value")) for c in few]))
     seen = baseline.select(cells).distinct().where("value IS NOT NULL").limit(MAX_VALUES * len(few) + 1).collect() if few else []
     values = {c: tuple(sorted(r.value for r in seen if r.column == c)) for c in few}
     for c, found in values.items():
         if len(found) > MAX_VALUES:
             raise ValueError(f"{c} has more than {MAX_VALUES} values: compare it by ranges")
-    return [Bins(c, values[c]) if c in few else Bins(c, None, tuple(sorted(set(edges[c] or ())))) for c in columns]
+    return [Bins(c, values[c]) if c in few else Bins(c, None, tuple(edges.get(c, ()))) for c in columns]
 
 
 def bins_table(spark: SparkSession, bins: Sequence[Bins]) -> DataFrame:

@@ -73,6 +73,18 @@ def test_bins_of_a_baseline(spark):
     assert monitor.stored_bins(monitor.bins_table(spark, [a, b, c])) == [a, b, c]
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_edges_are_exact_beyond_the_accuracy(spark, monkeypatch, parts):
+    """The tenths are those of the sorted values, also with more rows than approximate quantiles tell apart."""
+    monkeypatch.setattr(monitor, "EDGE_ACCURACY", 100)
+    values = [float(i * 7919 % 20_011) ** 1.5 for i in range(1, 20_008)]
+    ties = [float(i % 13) for i in range(len(values))]
+    df = spark.createDataFrame(list(zip(values, ties, strict=True)), "a double, b double").repartition(parts)
+    for found, own in zip(monitor.fix_bins(df, ["a", "b"], by_value=[]), (values, ties), strict=True):
+        ranked = sorted(own)
+        assert found.edges == tuple(sorted({ranked[-(-k * len(own) // 10) - 1] for k in range(1, 10)}))
+
+
 def test_too_many_values_are_refused(spark):
     df = spark.range(200).select(F.col("id").cast("double").alias("b"))
     with pytest.raises(ValueError, match="by ranges"):
