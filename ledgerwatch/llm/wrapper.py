@@ -23,10 +23,13 @@ from __future__ import annotations
 import hashlib
 import html as H
 import json
+import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +52,7 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|di
 _ATTRIBUTE = re.compile(r"""([^\s=\"'/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Elements nested deeper than this are siblings there, as in browsers.
 DEEPEST = 200
-#: Pairs of siblings that are compared one by one; longer lists are cut to what differs, and then compared near the diagonal.
+#: Pairs of siblings that are compared one by one; more are compared a line at a time, with the same result.
 CELLS = 1 << 12
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -176,72 +179,109 @@ class Shape:
         return [self.label, self.marks, [c.skeleton() for c in self.children]]
 
 
-def _same(a: list, b: list) -> bool:
-    """Whether two skeletons have the same labels all over."""
-    open_ = [(a, b)]
-    while open_:
-        x, y = open_.pop()
-        if x[0] != y[0] or len(x[2]) != len(y[2]):
-            return False
-        open_ += zip(x[2], y[2], strict=True)
-    return True
-
-
-def _whole(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
-    """All pairs of two skeletons with the same labels."""
-    pairs = list(zip(numbered(a), numbered(b), strict=True))
-    return len(pairs), pairs
+def _filled(rows: Sequence[int], columns: Sequence[int], worth: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """The most that pairs of rows and columns in order are worth together, and these pairs, the first ones of equal worth."""
+    best = [[0] * (len(columns) + 1)]
+    for x in rows:
+        above, own = best[-1], [0]
+        for j, y in enumerate(columns):
+            own.append(max(above[j + 1], own[j], above[j] + worth(x, y)))
+        best.append(own)
+    i, j, pairs = len(rows), len(columns), []
+    while i and j:
+        if best[i][j] == best[i - 1][j]:
+            i -= 1
+        elif best[i][j] == best[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+    return best[-1][-1], pairs
+
+
+def _filled_by_line(rows: Sequence[int], columns: Sequence[int], worth: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """As `_filled`, a line at a time. Of the lines every so many are kept, and those between are filled again on the way back."""
+    of_row, row = np.unique(rows, return_inverse=True)
+    of_column, column = np.unique(columns, return_inverse=True)
+    table = np.array([[worth(x, y) for y in of_column.tolist()] for x in of_row.tolist()], np.int32)
+    step = math.isqrt(len(rows)) + 1
+
+    def lines(line: np.ndarray, low: int, high: int) -> Iterator[np.ndarray]:
+        at = column[: len(line) - 1]
+        for i in range(low, high):
+            below = np.zeros_like(line)
+            np.maximum(line[1:], line[:-1] + table[row[i]][at], out=below[1:])
+            line = np.maximum.accumulate(below)
+            yield line
+
+    line = np.zeros(len(columns) + 1, np.int32)
+    kept = {0: line}
+    for i, line in enumerate(lines(line, 0, len(rows)), 1):
+        if i % step == 0:
+            kept[i] = line
+    i, j, pairs, low, block = len(rows), len(columns), [], len(rows), []
+    while i and j:
+        if i == low or not block:
+            low = (i - 1) // step * step
+            block = [kept[low][: j + 1], *lines(kept[low][: j + 1], low, i)]
+        own, above = block[i - low], block[i - 1 - low]
+        if own[j] == above[j]:
+            i -= 1
+        elif own[j] == own[j - 1]:
+            j = int(np.searchsorted(own[: j + 1], own[j]))
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+    return int(line[-1]), pairs
 
 
 def matching(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
     """Simple tree matching of two skeletons: the most nodes that pair up with equal labels, in order and level by level.
 
-    Of long lists of siblings, equal ones at both ends pair up first, which loses nothing; what is left is matched near the diagonal
-    only if it is long still.
+    Siblings with the same labels all over pair up first at both ends, which loses nothing; every pair of the others counts, however many
+    there are. Subtrees with the same labels all over are matched once.
     """
+    numbers: dict[tuple, int] = {}
+    kinds: list[tuple[str, tuple[int, ...], int]] = []
+
+    def kind(tree: list) -> int:
+        """A number for the labels of a subtree."""
+        own = tree[0], tuple([kind(c) for c in tree[2]])
+        if own not in numbers:
+            numbers[own] = len(kinds)
+            kinds.append((*own, 1 + sum(kinds[c][2] for c in own[1])))
+        return numbers[own]
+
+    known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def aligned(x: int, y: int) -> tuple[int, list[tuple[int, int]]]:
+        """How many nodes of two kinds of one label pair up, and which of their children do."""
+        if (x, y) not in known:
+            rows, columns = kinds[x][1], kinds[y][1]
+            most, head, tail = min(len(rows), len(columns)), 0, 0
+            while head < most and rows[head] == columns[head]:
+                head += 1
+            while tail < most - head and rows[-1 - tail] == columns[-1 - tail]:
+                tail += 1
+            middle = rows[head : len(rows) - tail], columns[head : len(columns) - tail]
+            fill = _filled if len(middle[0]) * len(middle[1]) <= CELLS else _filled_by_line
+            more, pairs = fill(*middle, worth) if all(middle) else (0, [])
+            ends = [(k, k) for k in range(head)] + [(len(rows) - k, len(columns) - k) for k in range(1, tail + 1)]
+            score = 1 + sum(kinds[rows[i]][2] for i, _ in ends) + more
+            known[x, y] = score, ends + [(head + i, head + j) for i, j in pairs]
+        return known[x, y]
+
+    def worth(x: int, y: int) -> int:
+        return kinds[x][2] if x == y else aligned(x, y)[0] if kinds[x][0] == kinds[y][0] else 0
+
     if a[0] != b[0]:
         return 0, []
-    rows, columns = a[2], b[2]
-    ends: list[tuple[int, list]] = []
-    if len(rows) * len(columns) > CELLS:
-        most, head, tail = min(len(rows), len(columns)), 0, 0
-        while head < most and _same(rows[head], columns[head]):
-            head += 1
-        while tail < most - head and _same(rows[-1 - tail], columns[-1 - tail]):
-            tail += 1
-        ends = [_whole(x, y) for x, y in [*zip(rows[:head], columns[:head]), *zip(rows[len(rows) - tail :], columns[len(columns) - tail :])]]
-        rows, columns = rows[head : len(rows) - tail], columns[head : len(columns) - tail]
-    score, pairs = sum(n for n, _ in ends) + 1, [(a, b), *(p for _, own in ends for p in own)]
-    if not rows or not columns:
-        return score, pairs
-    slope = len(columns) / len(rows)
-    wide = len(columns) if len(rows) * len(columns) <= CELLS else max(8, round(16 * slope))
-    own, best = {}, [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)] if wide == len(columns) else None
-    if best is not None:
-        for i in range(1, len(rows) + 1):
-            for j in range(1, len(columns) + 1):
-                own[i - 1, j - 1] = matching(rows[i - 1], columns[j - 1])
-                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + own[i - 1, j - 1][0])
-        i, j, last = len(rows), len(columns), best[-1][-1]
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs += own[i, j][1]
-        return score + last, pairs
-    # Near the diagonal: each row in order takes the next equal or, failing that, equally labelled column within its reach.
-    j = 0
-    for i, row in enumerate(rows):
-        low, high = max(j, round(i * slope) - wide), min(len(columns), round((i + 1) * slope) + wide)
-        near = range(low, high)
-        k = next((k for k in near if _same(row, columns[k])), None)
-        k = next((k for k in near if row[0] == columns[k][0]), None) if k is None else k
-        if k is not None:
-            n, more = matching(row, columns[k])
-            score, pairs, j = score + n, pairs + more, k + 1
+    pairs, open_ = [], [(a, kind(a), b, kind(b))]
+    score = worth(open_[0][1], open_[0][3])
+    while open_:
+        one, x, two, y = open_.pop()
+        pairs.append((one, two))
+        open_ += [(one[2][i], kinds[x][1][i], two[2][j], kinds[y][1][j]) for i, j in aligned(x, y)[1]]
     return score, pairs
 
 

@@ -1,5 +1,6 @@
 import html
 import json
+import random
 import re
 import time
 
@@ -139,6 +140,31 @@ def test_many_siblings_take_little_time():
         assert all(x[0] == y[0] for x, y in pairs) and len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == score
 
 
+def test_matching_has_one_rule_for_short_and_long_lists(monkeypatch):
+    """The most pairs, as a plain table over all siblings has them, whether the lists are compared one by one or by line."""
+    dice = random.Random(7)
+    leaves = [["p", [0], []], ["p", [0], [["a", [0], []]]], ["h2", [0], []], ["ul", [0], [["li", [0], []], ["p", [0], []]]], ["ul", [0], [["li", [0], []]]]]
+
+    def most(one, two):
+        if one[0] != two[0]:
+            return 0
+        best = [[0] * (len(two[2]) + 1) for _ in range(len(one[2]) + 1)]
+        for i, x in enumerate(one[2], 1):
+            for j, y in enumerate(two[2], 1):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + most(x, y))
+        return best[-1][-1] + 1
+
+    for long in (3, 12, 70, 90):
+        one, two = (["main", [0], [json.loads(json.dumps(dice.choice(leaves))) for _ in range(long + k)]] for k in (0, 5))
+        found = []
+        for cells in (0, 1 << 30):
+            monkeypatch.setattr(wrapper, "CELLS", cells)
+            score, pairs = wrapper.matching(one, two)
+            assert score == len(pairs) == most(one, two) and all(x[0] == y[0] for x, y in pairs)
+            found.append({(id(x), id(y)) for x, y in pairs})
+        assert found[0] == found[1]
+
+
 @pytest.mark.parametrize(
     "page",
     [
