@@ -39,6 +39,8 @@ SPACE: dict[str, dict[str, tuple[str, float, float]]] = {
 TRIALS = 8
 SEED = 2025
 HOLDOUT_PERCENT = 10
+# Rows that one task of a fit holds; a stored table has as few parts as its files are small.
+ROWS_A_TASK = 100_000
 
 
 def _means(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -200,6 +202,11 @@ def validation_rows(key: Column, percent: int = HOLDOUT_PERCENT) -> Column:
     return hash_bucket(key, "holdout") < percent
 
 
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """The rows in parts of bounded size: every iteration of a fit reads its parts whole."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // ROWS_A_TASK)))
+
+
 def search(
     train: DataFrame,
     trials: Sequence[Trial],
@@ -216,11 +223,11 @@ def search(
     same prepared rows. A trial that fails is kept in the log with its state and the text of its error, and no score.
     """
     held_out = validation_rows(F.col(key))
-    prepared = preparation(train.where(~held_out), categorical, numeric).transform(train)
+    size = train.where(~held_out).count()
+    prepared = preparation(train.where(~held_out), categorical, numeric).transform(_dealt(train, size))
     rows = prepared.select(F.col(label).cast("double").alias(label), FEATURES, held_out.alias("held_out")).persist()
     try:
         fit_rows = rows.where(~F.col("held_out"))
-        size = fit_rows.count()
 
         def run(trial: Trial):
             try:
@@ -247,10 +254,10 @@ def fit(
     train: DataFrame, trial: Trial, categorical: Sequence[str], numeric: Sequence[str], label: str = "is_fraud"
 ) -> PipelineModel:
     """Preparation and classifier fitted on all training rows, as one model."""
-    prepared = preparation(train, categorical, numeric)
-    rows = prepared.transform(train).select(F.col(label).cast("double").alias(label), FEATURES).persist()
+    prepared, size = preparation(train, categorical, numeric), train.count()
+    rows = prepared.transform(_dealt(train, size)).select(F.col(label).cast("double").alias(label), FEATURES).persist()
     try:
-        classifier = trial.estimator(rows.count(), label).fit(rows)
+        classifier = trial.estimator(size, label).fit(rows)
     finally:
         rows.unpersist()
     return PipelineModel(stages=[*prepared.stages, classifier])

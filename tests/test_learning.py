@@ -36,6 +36,25 @@ BOOSTED = learning.Trial(1, "gbt", {"trees": 10, "depth": 3, "rate": 0.3, "bins"
 FOREST = learning.Trial(2, "forest", {"trees": 10, "depth": 4, "bins": 32})
 
 
+class Probe:
+    """An estimator that notes how many rows it has, and how many of them its largest part."""
+
+    def estimator(self, rows, label):
+        self.rows = rows
+        return self
+
+    def fit(self, rows):
+        parts = rows.groupBy(F.spark_partition_id()).count()
+        self.seen, self.largest = parts.agg(F.sum("count"), F.max("count")).first()
+
+
+def test_no_task_of_a_fit_holds_more_rows_with_a_larger_table(planted, monkeypatch):
+    monkeypatch.setattr(learning, "ROWS_A_TASK", 100)
+    probe = Probe()
+    learning.fit(planted.coalesce(1), probe, CATEGORICAL, NUMERIC)
+    assert probe.rows == probe.seen == 4000 and probe.largest <= 120
+
+
 @pytest.mark.parametrize("trial", [LOGISTIC, BOOSTED, FOREST], ids=lambda t: t.family)
 def test_every_family_finds_the_signal(spark, planted, folder, trial):
     model = learning.fit(planted.where("split = 'train'"), trial, CATEGORICAL, NUMERIC)
