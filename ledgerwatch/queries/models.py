@@ -511,16 +511,17 @@ def ingest_rescued(bank: Bank) -> DataFrame:
     )
 )
 def stream_silver(bank: Bank) -> DataFrame:
-    """Silver built by a chain of streams, in batches of two files and of one: raw files to a table, cleaned and labelled from there.
+    """Silver built by a chain of streams, in batches of half the files and of one: raw files to a table, cleaned and labelled from there.
 
     After each round the first batch of the raw table comes a second time, as after a failure; nothing may come through twice.
     """
     folder = scratch(bank.spark, "silver")
     bronze, silver = StreamTable(f"{folder}/bronze"), StreamTable(f"{folder}/silver")
-    bank.transactions.repartition(4).write.json(f"{folder}/raw")
+    files = max(4, int(bank.spark.conf.get("spark.sql.shuffle.partitions")))  # a task writes one
+    bank.transactions.repartition(files).write.json(f"{folder}/raw")
     reports = staged(bank.reports, "reports")  # each batch reads them
     for _ in range(2):  # the second round finds nothing new
-        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", bronze, max_files=2))
+        run_to_end(ingest_files(bank.spark, f"{folder}/raw", "json", bronze, max_files=-(-files // 2)))
         run_to_end(follow(bank.spark, bronze, silver, lambda rows: layers.silver(rows, reports), max_batches=1))
         write_batch(read_table(bank.spark, bronze), bronze, [], 0)
     return read_table(bank.spark, silver).select("id", "amount", "diffDest", "is_fraud", "countryOrig")

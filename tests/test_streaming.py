@@ -5,9 +5,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from ledgerwatch.functions.risk import RISK_SCORE
 from ledgerwatch.operators.quality import DROP, FAIL, Expectation
 from ledgerwatch.plans import layers
+from ledgerwatch.queries import models
 from ledgerwatch.sources.tables import bucketed
 from ledgerwatch.streaming.flows import Lake, score_requests
 from ledgerwatch.streaming.ingest import (
@@ -250,3 +252,17 @@ def test_following_a_table_without_batches(spark, folder):
     up, down = StreamTable(f"{folder}/up"), StreamTable(f"{folder}/down")
     run_to_end(follow(spark, up, down, lambda rows: rows))
     assert committed(spark, down) is None
+
+
+def test_no_task_of_the_silver_chain_writes_a_fixed_share(spark, small, tmp_path, monkeypatch):
+    """As many raw files as a shuffle has parts, still in two batches."""
+    monkeypatch.setattr(models, "scratch", lambda spark, name: str(tmp_path / name))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        rows = queries()["stream_silver"](spark, small).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows == spark.read.parquet(f"{small}/orders.parquet").count()
+    assert len(list((tmp_path / "silver" / "raw").glob("*.json"))) == 7
+    assert len(list((tmp_path / "silver" / "bronze" / "g=1" / "commits").glob("[0-9]*"))) == 2
