@@ -6,6 +6,9 @@ path, of o (1 if the row passes all tests on the feature there) or of z (the sha
 value of feature j at the leaf is w (o_j - z_j) times the integral over t in [0, 1] of the product, over the others, of t o + (1 - t) z
 (Owen, 1972). That is a polynomial of lower degree than the path has features, so Gauss-Legendre points of half their number give it
 exactly. Everything is array expressions over one array of leaves; no row leaves the JVM.
+
+Leaves that together ask few tests have one contribution per feature for each outcome of these. A forest whose outcomes fit in tables of
+`MOST_CELLS` numbers is explained by them: a row is tested and its outcomes are looked up, in expressions that Spark compiles.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from ledgerwatch.sources.tables import scratch
 
 # Leaves of a model that may lie on the driver and in the plan.
 MOST_LEAVES = 1 << 18
+# Tests that leaves share a table for, if a path has no more; numbers in all tables of a plan, else the leaves are evaluated for each row.
+TESTS, MOST_CELLS = 6, 1 << 16
 _TEST = "struct<place:int,above:double,upto:double,in:array<double>,without:array<double>>"
 _LEAF = f"leaf int, value double, factors array<struct<feature:int,share:double,tests:array<{_TEST}>>>"
 
@@ -124,11 +129,77 @@ def raw_score(rows: DataFrame, inputs: Column, forest: Forest, name: str = "scor
     return own.withColumn(name, F.aggregate(reached, F.lit(0.0), lambda total, leaf: total + leaf["value"])).drop("__x", "__leaves")
 
 
+def _outcome(place: int, above: float | None, upto: float | None, listed: list[float] | None, without: list[float] | None) -> tuple[tuple, bool]:
+    """A test of a leaf as what goes left at its node, and whether the leaf is on that side."""
+    if listed is None and without is None:
+        return (place, above if upto is None else upto, None), upto is not None
+    return (place, None, tuple(without if listed is None else listed)), listed is not None
+
+
+def _tables(forest: Forest) -> list[tuple[list[tuple], dict[int, np.ndarray]]] | None:
+    """Groups of leaves: the tests they ask, and per feature the contribution for every outcome of these, the first test the lowest bit.
+    None if they have more than `MOST_CELLS` numbers."""
+    leaves = [(value, [(f, share, [_outcome(*t) for t in tests]) for f, share, tests in factors]) for _, value, factors in forest.leaves()]
+    groups: list[tuple[dict[tuple, int], list]] = []
+    for leaf in leaves:
+        asked = dict.fromkeys(test for _, _, tests in leaf[1] for test, _ in tests)
+        if groups and len({**groups[-1][0], **asked}) <= TESTS:
+            groups[-1][0].update(asked)
+            groups[-1][1].append(leaf)
+        else:
+            groups.append((asked, [leaf]))
+    features = [{f for _, factors in some for f, _, _ in factors} for _, some in groups]
+    if sum(len(f) << len(tests) for f, (tests, _) in zip(features, groups, strict=True)) > MOST_CELLS:
+        return None
+    out = []
+    for tests, some in groups:
+        number = {test: k for k, test in enumerate(tests)}
+        outcomes = np.arange(1 << len(number))
+        totals: dict[int, np.ndarray] = {}
+        for value, factors in some:
+            z = np.array([share for _, share, _ in factors])
+            o = np.array([np.all([(outcomes >> number[t] & 1) == left for t, left in asked], axis=0) for _, _, asked in factors], float)
+            at, weight = np.polynomial.legendre.leggauss(max(1, -(-len(factors) // 2)))
+            for k, (feature, share, _) in enumerate(factors):
+                others = [j for j in range(len(factors)) if j != k]
+                whole = sum(w / 2 * np.prod((1 + t) / 2 * o[others] + (1 - t) / 2 * z[others, None], axis=0) for t, w in zip(at, weight, strict=True))
+                totals[feature] = totals.get(feature, 0.0) + value * (o[k] - share) * whole
+        out.append((list(tests), totals))
+    return out
+
+
+def _sum_of(terms: Sequence[str]) -> str:
+    """Nested in halves, so that no expression is deep."""
+    half = len(terms) // 2
+    return terms[0] if len(terms) == 1 else f"({_sum_of(terms[:half])} + {_sum_of(terms[half:])})"
+
+
+def _looked_up(rows: DataFrame, key: str, inputs: Column, forest: Forest, tables: list[tuple[list[tuple], dict[int, np.ndarray]]]) -> DataFrame:
+    def bit(k: int, place: int, threshold: float | None, values: tuple[float, ...] | None) -> str:
+        own = f"get(__x, {place})"
+        return f"{1 << k} * CAST({own} <= {threshold!r}D AS INT)" if values is None else f"{1 << k} * CAST({own} IN ({', '.join(f'{v!r}D' for v in values)}) AS INT)"
+
+    def listed(numbers: np.ndarray) -> str:
+        return f"array({', '.join(f'{v!r}D' for v in numbers.tolist())})"
+
+    asked = [(k, tests, totals) for k, (tests, totals) in enumerate(tables) if tests]
+    codes = [F.expr(_sum_of([bit(k, *test) for k, test in enumerate(tests)])).alias(f"__code{g}") for g, tests, _ in asked]
+    tested = rows.select(key, inputs.alias("__x")).select(key, *codes)
+    cells = []
+    for number, name in enumerate(forest.names):
+        terms = [f"get({listed(totals[number])}, __code{g})" for g, _, totals in asked if number in totals]
+        cells.append(F.struct(F.lit(name).alias("feature"), F.expr(_sum_of(["0.0D", *terms])).alias("value")))
+    return tested.select(key, F.inline(F.array(*cells)))
+
+
 def tree_attribution(rows: DataFrame, key: str, inputs: Column, forest: Forest) -> DataFrame:
     """(key, feature, value): exact contributions; those of a row add up to its score minus the expected score.
 
     `inputs` is an array of doubles, one per place. Places of one feature (its categories) count as one.
     """
+    tables = _tables(forest)
+    if tables is not None:
+        return _looked_up(rows, key, inputs, forest, tables)
     longest = max((len(factors) for _, _, factors in forest.leaves()), default=0)
     at, weight = np.polynomial.legendre.leggauss(max(1, -(-longest // 2)))
     points = F.array(*[F.struct(F.lit((1 + a) / 2).alias("t"), F.lit(w / 2).alias("w")) for a, w in zip(at.tolist(), weight.tolist(), strict=True)])

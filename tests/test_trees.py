@@ -78,6 +78,22 @@ def test_equals_all_orders(spark, seed):
     assert forest.expected() == pytest.approx(worth(forest, rows[0][1], ()))
 
 
+@pytest.mark.parametrize(("seed", "depth"), [(0, 4), (1, 6), (2, 8)])
+def test_tables_and_leaves_explain_alike(spark, monkeypatch, seed, depth):
+    """With room for tables no leaf is evaluated for a row; without it all are. Thresholds are met exactly, and some inputs are NaN."""
+    rng = random.Random(seed)
+    forest = Forest(tuple(n for t in range(5) for n in grown(rng, t, len(FEATURES), depth)), FEATURES)
+    rows = [(k, [float(rng.randrange(6)), *[rng.choice([rng.randrange(12) / 2, math.nan]) for _ in FEATURES[1:]]]) for k in range(40)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    found = []
+    for most in (1 << 30, 0):
+        monkeypatch.setattr(trees, "MOST_CELLS", most)
+        explained = trees.tree_attribution(df, "id", F.col("x"), forest)
+        assert ("lambda" in explained._jdf.queryExecution().executedPlan().toString()) == (most == 0)
+        found.append({(r["id"], r["feature"]): r["value"] for r in explained.collect()})
+    assert len(found[0]) == 40 * 5 and found[0] == pytest.approx(found[1], abs=1e-9)
+
+
 def test_single_leaves_and_branches_without_rows(spark):
     """A branch that no training row took weighs nothing, and a row in it is explained all the same."""
     forest = Forest((Node(0, 0, 0.5, 9.0), Node(1, 0, 0.0, 9.0, 1, 2, 0, 1.0), Node(1, 1, 1.0, 9.0), Node(1, 2, 3.0, 0.0)), ("a",))
