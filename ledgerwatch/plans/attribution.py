@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.sampling import hash_sample, hash_top_n
@@ -57,8 +57,9 @@ def sampled_attribution(
 
     For each row and draw the features switch, in an order decided by a hash, from those of a background
     row to the row's own, and every step is scored (Strumbelj and Kononenko, 2014). `score` adds a column
-    `probability`. Rows x draws x (features + 1) instances are scored in one distributed pass; the values of
-    a row add up to its score minus the mean score of its background rows.
+    `probability` to rows with a key and the features. A row itself and a background row are scored once for
+    all draws, so there are rows x (draws x (features - 1) + 1) instances; the values of a row add up to its
+    score minus the mean score of its background rows. Rows are dealt out by key once; their instances stay in that task.
     """
     pool = hash_top_n(background.select(key, *features), key, background_rows, "background")
     # The pool has a fixed size, so it is numbered as one list and sent to every task.
@@ -67,39 +68,57 @@ def sampled_attribution(
     size = pool.agg(F.count(F.lit(1))).scalar()
 
     # Names of its own, so that any name may be a feature.
-    draw, step, feature = "__draw", "__step", "__feature"
-    draws = rows.select(key, F.struct(*features).alias("own")).withColumn(
-        draw, F.explode(F.sequence(F.lit(1), F.lit(permutations)))
-    )
+    draw, step, first, last, between = "__draw", "__step", "__first", "__last", "__between"
+    bases = score(numbered.select(F.col("place").alias(step), "base.*"))
+    bases = bases.select(F.col(step).alias("place"), F.struct(*features).alias("base"), F.col("probability").alias(first))
+    # A number of parts of its own: the few bytes of a row become many instances, so parts must not be joined by their size.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owns = score(rows.select(key, *features).repartition(parts, key))
+    owns = owns.select(key, F.struct(*features).alias("own"), F.col("probability").alias(last))
+    draws = owns.withColumn(draw, F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+    place = F.pmod(F.xxhash64(F.col(key), F.col(draw), F.lit("background")), size).cast("int")
     shuffled = [F.struct(F.xxhash64(F.col(key), F.col(draw), F.lit(f)).alias("o"), F.lit(f).alias("f")) for f in features]
     order = F.transform(F.array_sort(F.array(*shuffled)), lambda s: s["f"])
-    place = F.pmod(F.xxhash64(F.col(key), F.col(draw), F.lit("background")), size).cast("int")
-    drawn = draws.withColumns({"order": order, "place": place}).join(F.broadcast(numbered), "place")
-    steps = drawn.withColumn(step, F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
-    mixed = steps.select(
-        key,
-        draw,
-        step,
-        F.when(F.col(step) > 0, F.get(F.col("order"), F.col(step) - 1)).alias(feature),
+    drawn = draws.withColumn("place", place).join(F.broadcast(bases), "place")
+    inner = range(1, len(features))
+    if inner:
+        steps = drawn.withColumns({"order": order, step: F.explode(F.sequence(F.lit(1), F.lit(len(features) - 1)))})
+        mixed = steps.select(
+            key,
+            draw,
+            step,
+            first,
+            last,
+            *[
+                F.when(F.array_position("order", f) <= F.col(step), F.col("own")[f]).otherwise(F.col("base")[f]).alias(f)
+                for f in features
+            ],
+        )
+        scored = score(mixed).select(key, draw, step, first, last, "probability")
+        drawn = scored.groupBy(key, draw).agg(
+            F.max(first).alias(first),
+            F.max(last).alias(last),
+            *[F.max(F.when(F.col(step) == k, F.col("probability"))).alias(f"{between}{k}") for k in inner],
+        )
+    walk = F.array(first, *[f"{between}{k}" for k in inner], last)
+    walks = drawn.select(key, order.alias("order"), walk.alias("walk"))
+    changes = walks.select(key, *[_change(F.array_position("order", f).cast("int")).alias(f"{step}{i}") for i, f in enumerate(features)])
+    found = changes.groupBy(key).agg(
         *[
-            F.when(F.array_position("order", f) <= F.col(step), F.col("own")[f]).otherwise(F.col("base")[f]).alias(f)
-            for f in features
-        ],
-    )
-    scored = score(mixed).select(key, draw, step, feature, "probability")
-    # At most features + 1 scores per (row, draw).
-    walk = scored.groupBy(key, draw).agg(
-        F.array_sort(F.collect_list(F.struct(step, feature, "probability"))).alias("walk")
-    )
-    changes = walk.select(key, F.posexplode("walk").alias("i", "now"), "walk").where("i > 0").select(
-        key,
-        F.col("now")[feature].alias("feature"),
-        (F.col("now.probability") - F.get(F.col("walk"), F.col("i") - 1)["probability"]).alias("change"),
-    )
-    return changes.groupBy(key, "feature").agg(
-        F.avg("change").alias("value"),
-        (F.stddev_samp("change") / F.sqrt(F.count(F.lit(1)))).alias("stderr"),
+            F.struct(
+                F.lit(f).alias("feature"),
+                F.avg(f"{step}{i}").alias("value"),
+                (F.stddev_samp(f"{step}{i}") / F.sqrt(F.count(F.lit(1)))).alias("stderr"),
+            ).alias(f"{step}{i}")
+            for i, f in enumerate(features)
+        ]
     )
+    return found.select(key, F.inline(F.array(*[f"{step}{i}" for i in range(len(features))])))
+
+
+def _change(position: Column) -> Column:
+    """What the score gains at a step of `walk`, counted from 1."""
+    return F.get("walk", position) - F.get("walk", position - 1)
 
 
 def global_importance(attributions: DataFrame, n: int = TOP_FEATURES) -> DataFrame:

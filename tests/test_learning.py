@@ -165,6 +165,25 @@ def test_sampled_attributions_add_up_for_an_interaction(spark):
         assert math.isclose(value, (i % 5) * (i % 3) - mean, abs_tol=4 * error + 0.05)
 
 
+def test_sampled_attributions_score_each_state_once_and_keep_rows_in_their_task(spark, no_broadcast):
+    """A row and a background row are scored once, not in every draw, and only the rows themselves are shuffled, by key."""
+    df = spark.range(20).select(F.col("id").cast("string").alias("id"), *[(F.col("id") * k % 7).cast("double").alias(f) for k, f in enumerate("xyz", 1)])
+    scored = []
+
+    def score(rows):
+        scored.append(rows)
+        return rows.withColumn("probability", F.col("x") * F.col("y") - F.col("z"))
+
+    found = attribution.sampled_attribution(df, df, "id", ["x", "y", "z"], score, permutations=5, background_rows=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sum(rows.count() for rows in scored) == 4 + 20 + 20 * 5 * 2
+    assert plan.count("Exchange hashpartitioning") == 1
+    totals = {r.id: r.n for r in found.groupBy("id").agg(F.count("value").alias("n")).collect()}
+    assert len(totals) == 20 and set(totals.values()) == {3}
+    one = attribution.sampled_attribution(df, df.where("id = '3'"), "id", ["x"], lambda rows: rows.withColumn("probability", F.col("x") * 2), permutations=2)
+    assert {r.id: r.value for r in one.collect()} == {str(i): 2.0 * (i % 7 - 3) for i in range(20)}
+
+
 def test_the_registered_search_draws_from_the_whole_space(spark, small, monkeypatch):
     from ledgerwatch.queries import models
     from ledgerwatch.sources.binding import Bank
