@@ -6,19 +6,20 @@ words before, the last one, the last two together, and the second and third last
 class that follows it somewhere in the training texts. The second is the share of the word among the words of its class
 after the same last word, drawn by `MASS` to its smoothed share in the class, with one place for all unseen words of the class.
 
-Texts are coded once into blocks, each with a dictionary of its own. Counts over the corpus come from the
-dictionaries: every block sends its words in packets by hash, which sums them without a row per word, and gets
-the totals back. Weights live in a table by ranges of feature keys, as many ranges as the tokens ask for; they start
-at nothing and see every training text once, in rounds: in a round each block asks for the weights of its own features, takes
-gradient steps, and sends the changes back, which are averaged by how often a block has the feature. Scoring asks alike.
-
-Words and features are told apart by 64-bit hashes. Null and empty texts are the end token alone. Repeated rows count and are scored each.
+Texts are coded once into blocks, each with a dictionary of its own, in buckets by block, so that a join by it moves only what
+comes back. Counts over the corpus come from the dictionaries: every block sends its words in packets by hash, which sums
+them without a row per word, and gets the totals back. Weights are summed by ranges of feature keys, as many ranges as the
+tokens ask for. Every block takes gradient steps over its training texts once, from nothing on, and sends weights and counts
+of its features; a range averages the weights by how often a block has the feature and answers each block, so that one
+exchange serves training and scoring. Weights travel as bytes, in steps of 1 / `SCALE`. In a block, features of many tokens have a row of a table, the
+others only the pairs of feature and class that there are.
+
+Words are told apart by 64-bit hashes, features by their range and 32 bits. Null and empty texts are the end token alone. Repeated rows count and are scored each.
 Without training texts every class and word is equally new. A null id is never held out.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +31,11 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm import text as X
 from ledgerwatch.sources.tables import scratch
 
-#: Classes; features that a gradient step or a scoring batch has at most; bytes of a word that make its class.
-CLASSES, ROWS, SUFFIX = 64, 1 << 14, 3
+#: Classes; features of a block that have a whole row of weights at most, and tokens that they have at least; bytes of a word that make its class.
+CLASSES, ROWS, OFTEN, SUFFIX = 64, 1 << 16, 4, 3
 #: Bytes of text in a block; dictionary entries that one task counts; tokens per gradient step and scoring batch.
-BLOCK_BYTES, ENTRIES, STEP, BATCH = 1 << 21, 1_000_000, 2048, 4096
-ROUNDS, RATE, MASS = 3, 0.2, 4.0
+BLOCK_BYTES, ENTRIES, STEP, BATCH = 6 << 20, 1_000_000, 2048, 4096
+RATE, MASS, SCALE = 0.2, 4.0, 16
 END = np.uint64(0x1D8AF066A1C3B2E5)
 _SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
 _BLOCK = "block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, low binary, high binary"
@@ -110,12 +111,47 @@ class Block:
         return np.column_stack([X.mix(x ^ s) for x, s in zip((one, one * X.GOLDEN + two, two, three), _SALTS, strict=True)])
 
 
+    def places(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct features in order of range and key, 32 bits of each, and for every token the places of its own among them.
+
+        The dictionary names the words before a token, so only pairs of words are looked for among the tokens. The last two
+        bits of a key are the kind of feature, so that those of a word lie together."""
+        words, first, back = np.concatenate([self.words, np.arange(1, 4, dtype=np.uint64)]), np.cumsum(self.size) - self.size, []
+        codes = self.codes
+        for k in range(3):
+            codes = np.concatenate([codes[:1], codes[:-1]])
+            codes[first] = len(self.words) + k
+            back.append(codes)
+        one, two, three = back
+        pairs, at = np.unique(one * len(words) + two, return_inverse=True)
+        before = words[pairs // len(words)] * X.GOLDEN + words[pairs % len(words)]
+        word, before = (X.mix(x ^ s) & ~np.uint64(3) for x, s in ((words, _SALTS[0]), (before, _SALTS[1])))
+        keys = np.concatenate([word, before | np.uint64(1), word | np.uint64(2), word | np.uint64(3)])
+        low = np.cumsum([0, len(words), len(pairs), len(words)])
+        keys = _buckets(keys, number).astype(np.uint64) << np.uint64(32) | keys & np.uint64(0xFFFFFFFF)
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), np.int32)
+        rank[order] = np.arange(len(keys))
+        return keys[order], np.column_stack([rank[x + a] for x, a in zip((one, at, two, three), low, strict=True)])
+
+
 def _buckets(words: np.ndarray, number: int) -> np.ndarray:
     return ((words >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)).astype(np.int64)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Integers byte by byte of a kind, so that bytes that are alike lie together."""
+    raw = values.view("u1").reshape(len(values), -1).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(body: bytes, kind: str) -> np.ndarray:
+    raw = pa.decompress(memoryview(body)[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, "u1").reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def counts(coded: DataFrame, number: int) -> DataFrame:
-    """(block, bucket, totals): training counts over the corpus of a block's words of one bucket, in dictionary order;
+    """(block, bucket, totals): training counts over the corpus of a block's words of one bucket, in order of their hashes;
     and for block -1 `sums`: tokens and distinct words of each class in the bucket."""
     into = X.arrow_schema("bucket int, block long, words binary, classes binary, tf binary")
 
@@ -123,18 +159,20 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
         for batch in batches:
             for row in range(len(batch)):
                 words, classes, tf = (np.frombuffer(batch.column(n)[row].as_buffer(), k) for n, k in (("words", "<u8"), ("classes", "u1"), ("tf", "<u4")))
-                bucket = _buckets(words, number)
-                order = np.argsort(bucket, kind="stable")
-                some, first = np.unique(bucket[order], return_index=True)
-                parts = [order[a:b] for a, b in zip(first, [*first[1:], len(order)], strict=True)]
+                order = np.argsort(words)
+                words, classes, tf = words[order], classes[order], tf[order]
+                some, first = np.unique(_buckets(words, number), return_index=True)
+                cuts = [*zip(first, [*first[1:], len(order)], strict=True)]
                 made = {"bucket": some, "block": np.full(len(some), batch.column("block")[row].as_py())}
-                yield X.record(made | {n: [v[p].tobytes() for p in parts] for n, v in (("words", words), ("classes", classes), ("tf", tf))}, into)
+                made["words"] = [_packed(np.diff(words[a:b], prepend=np.uint64(0))) for a, b in cuts]
+                yield X.record(made | {n: [_packed(v[a:b]) for a, b in cuts] for n, v in (("classes", classes), ("tf", tf))}, into)
 
     back = X.arrow_schema("bucket int, block long, totals binary, sums array<long>")
 
     def add(table: pa.Table) -> pa.Table:
-        words, classes, tf = (np.frombuffer(b"".join(table.column(n).to_pylist()), k) for n, k in (("words", "<u8"), ("classes", "u1"), ("tf", "<u4")))
-        sizes = np.array([len(x) // 8 for x in table.column("words").to_pylist()])
+        steps, classes, tf = ([_unpacked(x, k) for x in table.column(n).to_pylist()] for n, k in (("words", "<u8"), ("classes", "u1"), ("tf", "<u4")))
+        words, classes, tf = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps]), np.concatenate(classes), np.concatenate(tf)
+        sizes = np.array([len(x) for x in steps])
         _, first, at = np.unique(words, return_index=True, return_inverse=True)
         total = np.bincount(at, tf, len(first)).astype("<u8")
         kind = classes[first]
@@ -143,7 +181,7 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
         own = total[at]
         made = {
             "bucket": [*table.column("bucket").to_pylist(), table.column("bucket")[0].as_py()], "block": [*table.column("block").to_pylist(), -1],
-            "totals": [*(own[b - n : b].tobytes() for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)), None], "sums": [*[None] * len(sizes), sums.tolist()],
+            "totals": [*(_packed(own[b - n : b]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)), None], "sums": [*[None] * len(sizes), sums.tolist()],
         }
         return pa.Table.from_batches([X.record(made, back)])
 
@@ -151,139 +189,207 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(add, "bucket int, block long, totals binary, sums array<long>")
 
 
-def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, rare: Rare | None = None) -> np.ndarray:
     z = np.take(weights, features[:, 0], axis=0)
     for k in range(1, features.shape[1]):
         z += np.take(weights, features[:, k], axis=0)
     z += bias
+    if rare is not None:
+        np.add.at(z.ravel(), rare.cell, rare.of.value[rare.own] * rare.of.scale)
     z -= z.max(1, keepdims=True)
     return z
 
 
-def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray) -> np.ndarray:
+def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rare: Rare | None = None) -> np.ndarray:
     """Natural logarithm of the probability of each target class."""
-    z = _logits(weights, bias, features)
+    z = _logits(weights, bias, features, rare)
     own = z[np.arange(len(z)), target]
     return own - np.log(np.exp(z, out=z).sum(1))
 
 
-def _steps(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray | None = None) -> None:
-    """Gradient steps over batches of tokens, each weight row with its own pace. Only weights that `seen` marks move."""
+def _summed(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of n rows, by pairs of neighbours."""
+    while len(values) > len(n):
+        first = np.cumsum(n) - n
+        place = np.arange(len(values)) - np.repeat(first, n)
+        odd = np.flatnonzero(place & 1)
+        values[odd - 1] += values[odd]
+        values, n = values[place & 1 == 0], n + 1 >> 1
+    return values
+
+
+def _steps(
+    weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray | None = None, rare=None,
+) -> None:
+    """Gradient steps over batches of tokens, each weight row with its own pace. Only weights that `seen` marks move.
+
+    With `rare`, which gives the other features of a batch, row 0 of the weights stands for them and stays as it is."""
     for low in range(0, len(target), STEP):
         f, y = features[low : low + STEP], target[low : low + STEP]
-        g = _logits(weights, bias, f)
+        other = rare(low, low + STEP) if rare else None
+        g = _logits(weights, bias, f, other)
         np.exp(g, out=g)
         g /= g.sum(1, keepdims=True)
         g[np.arange(len(y)), y] -= 1
         flat = f.T.ravel()
         order = np.argsort(flat, kind="stable")
+        if rare:
+            order = order[np.searchsorted(flat[order], 1) :]
         ranked = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
         rows, n = ranked[first], np.diff(first, append=len(ranked))
-        summed = np.add.reduceat(np.take(g, order % len(y), axis=0), first, axis=0)
-        summed /= np.sqrt(n, dtype=np.float32)[:, None]
+        summed = _summed(np.take(g, order % len(y), axis=0), n)
         if seen is not None:
             summed *= seen[rows]
-        squares[rows] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
-        summed *= (rate / np.sqrt(squares[rows] + 1e-3))[:, None]
+        speed = squares[rows] + np.einsum("ij,ij->i", summed, summed) / (n * summed.shape[1]).astype(np.float32)
+        squares[rows] = speed
+        summed *= (rate / np.sqrt((speed + 1e-3) * n)).astype(np.float32)[:, None]
         weights[rows] -= summed
+        if other is not None:
+            other.move(g, rate)
 
 
-#: Weights by feature. In changes `n` counts the feature's training tokens in a block, in the table it is 0; `tf` counts those of each class.
-_PACKET = "bucket int, block long, keys binary, per binary, n binary, classes binary, value binary, tf binary"
-_INTO = pa.schema([pa.field(n, pa.int32() if n == "bucket" else pa.int64() if n == "block" else pa.binary()) for n in re.findall(r"(\w+) \w+", _PACKET)])
-_KINDS = {"keys": "<u8", "per": "u1", "n": "<u4", "classes": "u1", "value": "<f2", "tf": "<u8"}
+#: What blocks send and get by ranges of feature keys: `size` features and `body`, see `_body`.
+_PACKET = "bucket int, block long, size long, body binary"
+_INTO = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("body", pa.binary())])
+_COMMON = 255
 
 
-def _joined(values: list, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(v for v in values if v is not None), kind)
+def _body(per: np.ndarray, classes: np.ndarray, value: np.ndarray, tf: np.ndarray, keys: np.ndarray | None = None) -> bytes:
+    """One packed value: keys and the classes of each feature as steps from the one before, and their weights and training tokens, byte by byte of a kind.
 
+    Weights are in steps of 1 / `SCALE`. Counts from 255 on are listed behind the others."""
+    large, classes, first = np.flatnonzero(tf >= _COMMON), classes.astype("u1"), (np.cumsum(per, dtype=np.int64) - per)[per > 0]
+    steps = np.diff(classes, prepend=np.uint8(0))
+    steps[first] = classes[first]
+    parts = [per.astype("u1"), steps, np.clip(np.rint(value * SCALE), -127, 127).astype("i1"), np.minimum(tf, _COMMON).astype("u1"), tf[large].astype("<u8")]
+    if keys is not None:
+        parts.insert(0, np.diff(keys, prepend=np.uint64(0)).astype("<u4").view("u1").reshape(-1, 4).T)
+    raw = b"".join(x.tobytes() for x in parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-def _packets(number: int, block: int, keys: np.ndarray, per: np.ndarray | None = None, n=None, classes=None, value=None, tf=None) -> pa.RecordBatch:
-    """Sorted keys, and what belongs to them, cut by bucket."""
-    bucket = _buckets(keys, number)
-    some, first = np.unique(bucket, return_index=True)
-    cuts = [*first.tolist(), len(keys)]
-    made = {"bucket": some, "block": np.full(len(some), block)} | dict.fromkeys(_KINDS)
-    ends = [0] * len(cuts) if per is None else np.concatenate([[0], np.cumsum(per, dtype=np.int64)])[cuts].tolist()
-    for name, values, at in (("keys", keys, cuts), ("per", per, cuts), ("n", n, cuts), ("classes", classes, ends), ("value", value, ends), ("tf", tf, ends)):
-        made[name] = [None] * len(some) if values is None else [values[a:b].astype(_KINDS[name]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-    return X.record(made, _INTO)
 
+def _read(body: bytes, size: int, keyed: bool = False) -> dict[str, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(memoryview(body)[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True), "u1")
+    got = {}
+    if keyed:
+        steps = np.ascontiguousarray(raw[: 4 * size].reshape(4, size).T).view("<u4").ravel()
+        got["keys"], raw = np.cumsum(steps, dtype=np.uint32), raw[4 * size :]
+    got["per"] = per = raw[:size]
+    pairs = int(per.sum(dtype=np.int64))
+    steps, value, tf = (raw[size + k * pairs : size + (k + 1) * pairs] for k in range(3))
+    got["classes"], first = np.cumsum(steps, dtype="u1"), (np.cumsum(per, dtype=np.int64) - per)[per > 0]
+    got["classes"] -= np.repeat(got["classes"][first] - steps[first], per[per > 0])
+    got["value"], got["tf"] = value.view("i1"), tf.astype("<u4")
+    if len(raw) > size + 3 * pairs:
+        got["tf"] = got["tf"].astype(np.int64)
+        got["tf"][tf == _COMMON] = np.frombuffer(raw[size + 3 * pairs :].tobytes(), "<u8")
+    return got
 
-def merged(table: pa.Table) -> pa.Table:
-    """The weights of a bucket from those before and the changes of a round."""
-    got = {n: _joined(table.column(n).to_pylist(), k) for n, k in _KINDS.items()}
-    keys, place = np.unique(got["keys"], return_inverse=True)
-    owner = np.repeat(np.arange(len(place)), got["per"])
-    pairs, at = np.unique(place[owner] * CLASSES + got["classes"], return_inverse=True)
-    n, value = got["n"][owner].astype(float), got["value"].astype(float)
-    weights = np.bincount(at, np.where(n, 0, value), len(pairs)) + np.bincount(at, n * value, len(pairs)) / np.maximum(np.bincount(at, n, len(pairs)), 1)
-    tf = np.bincount(at, got["tf"], len(pairs))
-    per = np.bincount(pairs // CLASSES, minlength=len(keys))
-    made = {"keys": keys, "per": per, "n": np.zeros(len(keys)), "classes": pairs % CLASSES, "value": weights, "tf": tf}
-    made = {k: [v.astype(_KINDS[k]).tobytes()] for k, v in made.items()}
-    return pa.Table.from_batches([X.record({"bucket": [table.column("bucket")[0].as_py()], "block": [-1], **made}, _INTO)])
+
+def _spread(low: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """The places low, low + 1, ... of each of several runs."""
+    return np.repeat(low - np.cumsum(per) + per, per) + np.arange(per.sum())
 
 
 def answered(table: pa.Table) -> pa.Table:
-    """For every packet of keys the weights and counts that its features have."""
-    rows = table.to_pylist()
-    known = {n: _joined([r[n] for r in rows if r["block"] < 0], k) for n, k in _KINDS.items()}
-    low = np.concatenate([[0], np.cumsum(known["per"], dtype=np.int64)])
-    made: dict[str, list] = {n: [] for n in _INTO.names}
-    for r in rows:
-        if r["block"] < 0:
-            continue
-        asked = np.frombuffer(r["keys"], "<u8")
-        at = np.searchsorted(known["keys"], asked)
-        found = at < len(known["keys"])
-        found[found] = known["keys"][at[found]] == asked[found]
-        per = np.zeros(len(asked), np.int64)
-        per[found] = known["per"][at[found]]
-        begin = np.where(found, low[np.minimum(at, len(low) - 1)], 0)
-        own = np.repeat(begin - np.cumsum(per) + per, per) + np.arange(per.sum())
-        one = {"per": per.astype("u1").tobytes(), "keys": None, "n": None} | {n: known[n][own].tobytes() for n in ("classes", "value", "tf")}
-        for name, value in ({"bucket": r["bucket"], "block": r["block"]} | one).items():
-            made[name].append(value)
-    return pa.Table.from_batches([X.record(made, _INTO)])
+    """Weights of a range of features, averaged over the blocks by the training tokens each has, and for every block those of its own features."""
+    got = [_read(b, n, keyed=True) for b, n in zip(table.column("body").to_pylist(), table.column("size").to_pylist(), strict=True)]
+    per, classes, value, tf = (np.concatenate([g[n] for g in got]) for n in ("per", "classes", "value", "tf"))
+    keys, place = np.unique(np.concatenate([g["keys"] for g in got]), return_inverse=True)
+    own = np.add.reduceat(np.append(tf, 0), np.cumsum(per, dtype=np.int64) - per) * (per > 0) if len(per) else tf
+    pairs, at = np.unique(np.repeat(place, per) * CLASSES + classes, return_inverse=True)
+    n = np.repeat(own, per).astype(float)
+    value = np.bincount(at, n * value / SCALE, len(pairs)) / np.maximum(np.bincount(at, n, len(pairs)), 1)
+    tf, per = np.bincount(at, tf, len(pairs)).astype(np.int64), np.bincount(pairs // CLASSES, minlength=len(keys))
+    # Shares are of words after the last one or two, which are kinds 0 and 1.
+    tf[np.repeat(keys & np.uint32(3), per) > 1] = 0
+    low, classes, bodies, first = np.cumsum(per) - per, pairs % CLASSES, [], 0
+    for size in table.column("size").to_pylist():
+        mine = place[first : first + size]
+        some = _spread(low[mine], per[mine])
+        bodies.append(_body(per[mine], classes[some], value[some], tf[some]))
+        first += size
+    return pa.Table.from_batches([X.record({n: table.column(n).to_pylist() for n in ("bucket", "block", "size")} | {"body": bodies}, _INTO)])
 
 
 class Weights:
     """Weights and training counts of the features of a block. `pairs` are feature places times CLASSES plus class, in order."""
 
-    def __init__(self, block: Block, parts: list[dict] | None, taught: np.ndarray | None = None):
-        self.keys, place = np.unique(block.features(), return_inverse=True)
-        self.place, self.target = place.reshape(-1, len(_SALTS)), block.classes[block.codes].astype(np.int64)
-        parts = sorted(parts or [], key=lambda p: p["bucket"])
-        per, classes, value, tf = (_joined([p[n] for p in parts], _KINDS[n]) for n in ("per", "classes", "value", "tf"))
-        given = np.repeat(np.arange(len(per)), per) * CLASSES + classes
+    def __init__(self, block: Block, parts: list[dict] | None = None, taught: np.ndarray | None = None, number: int = 1):
+        self.keys, self.place = block.places(number)
+        self.target = block.classes[block.codes].astype(np.int64)
         self.own, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if taught is not None:
-            self.own, self.count = np.unique(self.place[taught] * CLASSES + self.target[taught][:, None], return_counts=True)
-        self.pairs = np.union1d(given, self.own) if len(self.own) else given
-        self.value, self.tf = np.zeros(len(self.pairs), np.float32), np.zeros(len(self.pairs), np.int64)
-        at = np.searchsorted(self.pairs, given)
-        self.value[at], self.tf[at] = value, tf
-        self.low = np.searchsorted(self.pairs, np.arange(len(self.keys) + 1) * CLASSES)
-
-    def dense(self, some) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Features of some tokens; a table of their weights, the rows of it for each token, and which pairs it holds where."""
-        used, row = np.unique(self.place[some], return_inverse=True)
-        per = self.low[used + 1] - self.low[used]
-        own = np.repeat(self.low[used] - np.cumsum(per) + per, per) + np.arange(per.sum())
-        at = np.repeat(np.arange(len(used)), per) * CLASSES + self.pairs[own] % CLASSES
-        table = np.zeros((len(used), CLASSES), np.float32)
-        table.ravel()[at] = self.value[own]
-        return used, table, row.reshape(-1, len(_SALTS)), np.stack([own, at])
+        self.scale = np.float32(1 / SCALE if parts else 1)
+        if parts:
+            got = [_read(p["body"], p["size"]) for p in sorted(parts, key=lambda p: p["bucket"])]
+            self.per, self.kind, self.value, self.tf = (np.concatenate([g.pop(n) for g in got]) for n in ("per", "classes", "value", "tf"))
+            self.per = self.per.astype(np.int64)
+        else:
+            if taught is not None:
+                self.own, self.count = np.unique(self.place[taught] * np.int32(CLASSES) + self.target[taught, None].astype(np.int32), return_counts=True)
+            self.per, self.kind = np.bincount(self.own // CLASSES, minlength=len(self.keys)), (self.own % CLASSES).astype(np.uint8)
+            self.value, self.tf = np.zeros(len(self.own), np.float32), np.zeros(len(self.own), np.int64)
+        self.low = np.cumsum(np.append(0, self.per), dtype=np.int64)
+
+    @property
+    def pairs(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.keys), dtype=np.int32) * np.int32(CLASSES), self.per) + self.kind
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of weights for the features with the most tokens, the row of every feature, and which pairs it has where.
+
+        Row 0 is empty and stands for the others, as most of the features have few classes."""
+        n = np.bincount(self.place.ravel(), minlength=len(self.keys))
+        common = np.flatnonzero(n >= OFTEN)
+        common = common[np.argsort(-n[common], kind="stable")[: ROWS - 1]]
+        row = np.zeros(len(self.keys), np.uint16)
+        row[common] = np.arange(1, len(common) + 1)
+        held = np.flatnonzero(np.repeat(row > 0, self.per))
+        at = np.repeat(row[row > 0].astype(np.int64) * CLASSES, self.per[row > 0]) + self.kind[held]
+        table = np.zeros((len(common) + 1, CLASSES), np.float32)
+        table.ravel()[at] = self.value[held] * self.scale
+        return table, row, held, at
+
+    def learn(self, taught: np.ndarray, bias: np.ndarray, rate: float = RATE) -> None:
+        """Gradient steps over the tokens `taught`, in their order, and their counts."""
+        table, row, held, at = self.table()
+        seen = np.zeros(table.shape, bool)
+        seen.ravel()[at] = True
+        self.squares, self.sums, self.seen = (np.zeros(k, np.float32) for k in (len(self.keys), len(self.kind), len(self.keys)))
+        place, target = self.place[taught], self.target[taught]
+        rows = row[place]
+        _steps(table, np.zeros(len(table), np.float32), bias, rows, target, rate, seen, lambda a, b: Rare(self, place[a:b], rows[a:b]))
+        self.value[held] = table.ravel()[at]
+        self.tf = self.count
+
+    def chosen(self, bias: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the probability of every token's class."""
+        table, row, _, _ = self.table()
+        out = np.empty(len(self.target))
+        for low in range(0, len(out), BATCH):
+            some = slice(low, low + BATCH)
+            place = self.place[some]
+            rows = row[place]
+            out[some] = _log_softmax(table, bias, rows, self.target[some], Rare(self, place, rows))
+        return out
+
+    def packets(self, number: int, block: int) -> pa.RecordBatch:
+        """What the block has learned, by ranges; features that only texts held out have are asked for with it."""
+        bucket, per = (self.keys >> np.uint64(32)).astype(np.int64), self.per
+        some, first = np.unique(bucket, return_index=True)
+        cuts, bodies = [*first.tolist(), len(bucket)], []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            c, d = self.low[a], self.low[b]
+            bodies.append(_body(per[a:b], self.kind[c:d], self.value[c:d], self.tf[c:d], self.keys[a:b] & np.uint64(0xFFFFFFFF)))
+        return X.record({"bucket": some, "block": np.full(len(some), block), "size": np.diff(cuts), "body": bodies}, _INTO)
 
     def share(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of each word after the one before it, and of its class there."""
-        pair = self.place[:, 0] * CLASSES + self.target
-        at = np.minimum(np.searchsorted(self.pairs, pair), max(len(self.pairs) - 1, 0))
-        kind = np.where(self.pairs[at] == pair, self.tf[at], 0) if len(self.pairs) else np.zeros(len(pair), np.int64)
-        total = np.concatenate([[0], np.cumsum(self.tf)])
-        total = total[self.low[1:]] - total[self.low[:-1]]
+        pairs, pair = self.pairs, (self.place[:, 0].astype(np.int64) * CLASSES + self.target).astype(np.int32)
+        at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
+        kind = np.where(pairs[at] == pair, self.tf[at], 0) if len(pairs) else np.zeros(len(pair), np.int64)
+        total = np.add.reduceat(np.append(self.tf, 0), self.low[:-1], dtype=np.int64) * (self.per > 0)
         # The word and the one before it are the last two of the next token; the end has no next and is alone in its class.
         word = np.append(total[self.place[1:, 1]], 0)
         last = np.cumsum(block.size) - 1
@@ -291,58 +397,48 @@ class Weights:
         return word, kind
 
 
-def _with_parts(coded: DataFrame, state: DataFrame, number: int) -> DataFrame:
-    """Blocks with `weights`: what the table has for their features."""
+class Rare:
+    """The pairs of the features of some tokens that have no row in the table of weights."""
+
+    def __init__(self, of: Weights, place: np.ndarray, rows: np.ndarray):
+        token, column = np.nonzero(rows == 0)
+        self.of, self.features = of, place[token, column]
+        per = of.per[self.features]
+        self.own, self.each = _spread(of.low[self.features], per), np.repeat(self.features, per)
+        self.cell = np.repeat(token * CLASSES, per) + of.kind[self.own]
+
+    def move(self, g: np.ndarray, rate: float) -> None:
+        """One gradient step. A feature found several times has the same new values each time."""
+        of = self.of
+        np.add.at(of.seen, self.features, np.ones(len(self.features), np.float32))
+        np.add.at(of.sums, self.own, g.ravel()[self.cell])
+        n = of.seen[self.each]
+        slope = of.sums[self.own] / np.sqrt(n)
+        np.add.at(of.squares, self.each, slope * slope / (n * CLASSES))
+        of.value[self.own] = of.value[self.own] - rate / np.sqrt(of.squares[self.each] + 1e-3) * slope
+        of.seen[self.features], of.sums[self.own] = 0, 0
+
+
+def train(coded: DataFrame, number: int, bias: np.ndarray) -> DataFrame:
+    """(block, weights): for every block the weights and counts of its features after one pass over all training tokens.
+
+    A block takes its steps from nothing on; the weights of the blocks are averaged and sent back in one exchange."""
 
-    def ask(batches):
+    def step(batches):
         for batch in batches:
             for row in range(len(batch)):
-                yield _packets(number, batch.column("block")[row].as_py(), np.unique(Block.of(batch, row).features()))
-
-    asked = coded.select("block", "held", "size", "words", "classes", "low", "high").mapInArrow(ask, _PACKET)
-    parts = asked.union(state).groupBy("bucket").applyInArrow(answered, _PACKET)
-    parts = parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "per", F.col("classes"), "value", "tf")).alias("weights"))
-    return coded.join(parts, "block")
-
-
-def train(coded: DataFrame, number: int, bias: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> DataFrame:
-    """The table of weights after one pass over all training tokens in rounds of averaged local steps."""
-    state = None
-
-    for turn in range(rounds):
-
-        def step(batches, pace=rate / (1 + turn)):
-            for batch in batches:
-                for row in range(len(batch)):
-                    block = Block.of(batch, row)
-                    taught = np.flatnonzero(np.repeat(~block.held, block.size))
-                    if not len(taught):
-                        continue
-                    parts = batch.column("weights")[row].as_py() if "weights" in batch.schema.names else None
-                    w = Weights(block, parts, taught)
-                    before, squares = w.value.copy(), np.zeros(len(w.keys), np.float32)
-                    for low in range(0, len(taught), STEP):
-                        some = taught[low : low + STEP]
-                        used, table, rows, (own, at) = w.dense(some)
-                        seen, speed = np.zeros(table.shape, bool), squares[used]
-                        seen.ravel()[at] = True
-                        _steps(table, speed, bias, rows, w.target[some], pace, seen)
-                        squares[used], w.value[own] = speed, table.ravel()[at]
-                    n = np.bincount(w.place[taught].ravel(), minlength=len(w.keys))
-                    keep, tf = n > 0, np.zeros(len(w.pairs), np.int64)
-                    tf[np.searchsorted(w.pairs, w.own)] = w.count
-                    moved = keep[w.pairs // CLASSES]
-                    yield _packets(
-                        number, 0, w.keys[keep], np.diff(w.low)[keep], n[keep], (w.pairs % CLASSES)[moved], (w.value - before)[moved], tf[moved],
-                    )
-
-        mine = coded.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn).select("block", "held", "size", "words", "classes", "low", "high")
-        moved = (mine if state is None else _with_parts(mine, state, number)).mapInArrow(step, _PACKET)
-        state = _stored((moved if state is None else moved.union(state)).groupBy("bucket").applyInArrow(merged, _PACKET), "weights")
-    return state
-
-
-def score(coded: DataFrame, counted: DataFrame, number: int, class_tokens: np.ndarray, class_words: np.ndarray) -> DataFrame:
+                block = Block.of(batch, row)
+                taught = np.flatnonzero(np.repeat(~block.held, block.size))
+                w = Weights(block, None, taught, number)
+                w.learn(taught, bias)
+                yield w.packets(number, batch.column("block")[row].as_py())
+
+    sent = coded.select("block", "held", "size", "words", "classes", "low", "high").mapInArrow(step, _PACKET)
+    parts = sent.groupBy("bucket").applyInArrow(answered, _PACKET)
+    return parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "size", "body")).alias("weights"))
+
+
+def score(coded: DataFrame, counted: DataFrame, ranges: int, class_tokens: np.ndarray, class_words: np.ndarray) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text; `coded` has its weights."""
     kind = coded.schema["doc_id"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -354,17 +450,13 @@ def score(coded: DataFrame, counted: DataFrame, number: int, class_tokens: np.nd
         for batch in batches:
             for row in range(len(batch)):
                 block = Block.of(batch, row)
-                order = np.argsort(_buckets(block.words, number), kind="stable")
+                order = np.argsort(block.words)
                 parts = sorted(batch.column("parts")[row].as_py(), key=lambda p: p["bucket"])
                 own = np.empty(len(order))
-                own[order] = np.frombuffer(b"".join(p["totals"] for p in parts), "<u8")
+                own[order] = np.concatenate([_unpacked(p["totals"], "<u8") for p in parts])
                 gain, classes = np.log10(own + 1), block.classes.astype(np.int64)
-                w = Weights(block, batch.column("weights")[row].as_py())
-                chosen = np.empty(len(w.target))
-                for low in range(0, len(w.target), BATCH):
-                    some = slice(low, low + BATCH)
-                    _, table, rows, _ = w.dense(some)
-                    chosen[some] = _log_softmax(table, bias, rows, w.target[some])
+                w = Weights(block, batch.column("weights")[row].as_py(), number=ranges)
+                chosen = w.chosen(bias)
                 word, alike = w.share(block)
                 within = np.log10((word + MASS * ((own + 1) / places[classes])[block.codes]) / (alike + MASS))
                 first = np.cumsum(block.size) - block.size
@@ -384,25 +476,32 @@ def _bias(class_tokens: np.ndarray) -> np.ndarray:
     return np.log((class_tokens + 1.0) / (class_tokens.sum() + len(class_tokens))).astype(np.float32)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Written and read back, tightly packed: the blocks are about as large as the texts."""
-    folder = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+def _stored(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+    """Written and read back, tightly packed: the blocks are about as large as the texts.
+
+    With `key` in as many buckets as a shuffle has partitions, dealt by the tasks that make the rows: a join by it moves only the other side."""
+    spark, folder = df.sparkSession, scratch(df.sparkSession, name)
+    writer = df.write.option("compression", "zstd")
+    if key is None:
+        writer.parquet(folder)
+        return spark.read.parquet(folder)
+    table = folder.rsplit("/", 1)[1].replace("-", "_")
+    writer.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", folder).saveAsTable(table)
+    return spark.table(table)
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:
     """Scores of (doc_id, text, held) under a model of the texts that are not held."""
     coded = blocks(docs)
-    folder = _stored(coded, "coded")
+    folder = _stored(coded, "coded", "block")
     size = folder.agg(F.sum(F.expr("length(words) div 8")).alias("entries"), F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
     number = max(1, -(-(size["entries"] or 0) // ENTRIES))
     counted = _stored(counts(folder, number), "counts")
     sums = {r["pos"]: r["n"] for r in counted.where("block < 0").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     tokens, words = (np.array([sums.get(k + at, 0) for k in range(CLASSES)], np.int64) for at in (0, CLASSES))
-    ranges = max(1, -(-(size["tokens"] or 0) * len(_SALTS) // ENTRIES))
+    ranges = max(1, -(-(size["tokens"] or 0) * 2 // ENTRIES))
     weights = train(folder, ranges, _bias(tokens))
-    return score(_with_parts(folder, weights, ranges), counted, number, tokens, words)
+    return score(folder.join(weights, "block"), counted, ranges, tokens, words)
 
 
 def op9_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -115,3 +115,66 @@ def test_words_of_a_class_add_up_in_a_context():
     pairs, kinds = Counter(zip(before, codes)), Counter(zip(before, block.classes[codes]))
     assert word.tolist() == [pairs[b, c] for b, c in zip(before, codes)]
     assert alike.tolist() == [kinds[b, c] for b, c in zip(before, block.classes[codes])]
+
+
+def _learned(seed, texts=300, number=2):
+    """A block of random texts over words of very different frequency, after its steps."""
+    rng = np.random.default_rng(seed)
+    size = rng.integers(2, 60, texts)
+    codes = np.minimum(rng.zipf(1.3, size.sum()), 2000)
+    codes[np.cumsum(size) - 1] = 0
+    words = maxent.X.mix(np.arange(1, 2002, dtype=np.uint64))
+    block = maxent.Block(words, (np.arange(2001) % maxent.CLASSES).astype(np.uint8), codes, size, np.arange(texts) % 5 == 0)
+    taught = np.flatnonzero(np.repeat(~block.held, size))
+    w = maxent.Weights(block, None, taught, number)
+    w.learn(taught, np.zeros(maxent.CLASSES, np.float32))
+    return block, w
+
+
+def _by_key(w, keys, row):
+    """{(range and key, class): (weight, tokens)} of one packet."""
+    got = maxent._read(row["body"], row["size"])
+    feature = np.repeat(keys, got["per"])
+    return {(k, c): (v / maxent.SCALE, n) for k, c, v, n in zip(feature.tolist(), got["classes"].tolist(), got["value"].tolist(), got["tf"].tolist(), strict=True)}
+
+
+def test_packets_are_small_and_answers_are_averages():
+    """Of what two blocks send, by a plain loop; all of it takes few bytes a token."""
+    blocks = [_learned(seed) for seed in (1, 2)]
+    sent = [w.packets(2, at).to_pylist() for at, (_, w) in enumerate(blocks)]
+    assert sum(len(r["body"]) for rows in sent for r in rows) < 12 * sum(len(b.codes) for b, _ in blocks)
+    tokens, sums = Counter(), Counter()
+    for _, w in blocks:
+        feature = np.repeat(w.keys, w.per).tolist()
+        n = Counter()
+        for k, c in zip(feature, w.tf.tolist(), strict=True):
+            n[k] += c
+        for k, c, v, tf in zip(feature, w.kind.tolist(), w.value.tolist(), w.tf.tolist(), strict=True):
+            tokens[k, c] += tf
+            sums[k, c, "n"] += n[k]
+            sums[k, c] += n[k] * np.clip(np.rint(v * maxent.SCALE), -127, 127) / maxent.SCALE
+    for bucket in (0, 1):
+        rows = [r for at in sent for r in at if r["bucket"] == bucket]
+        back = maxent.answered(maxent.pa.Table.from_pylist(rows, maxent._INTO)).to_pylist()
+        assert [r["block"] for r in back] == [0, 1]
+        for r, (_, w) in zip(back, blocks, strict=True):
+            keys = w.keys[w.keys >> np.uint64(32) == bucket]
+            got, mine = _by_key(w, keys, r), set(keys.tolist())
+            assert got.keys() == {p for p in tokens if p[0] in mine}
+            for p, (value, tf) in got.items():
+                assert value == pytest.approx(sums[p] / sums[*p, "n"], abs=0.51 / maxent.SCALE)
+                assert tf == (tokens[p] if p[0] & 3 < 2 else 0)
+
+
+def test_counts_beyond_a_byte_are_kept():
+    per, classes, tf = np.array([2, 0, 1]), np.array([3, 60, 1]), np.array([254, 255, 1 << 40])
+    got = maxent._read(maxent._body(per, classes, np.array([0.5, -1.0, 99.0]), tf, np.array([4, 9, 1 << 31], np.uint64)), 3, keyed=True)
+    assert got["keys"].tolist() == [4, 9, 1 << 31] and got["per"].tolist() == [2, 0, 1] and got["classes"].tolist() == [3, 60, 1]
+    assert got["tf"].tolist() == tf.tolist() and (got["value"] / maxent.SCALE).tolist() == [0.5, -1.0, 127 / maxent.SCALE]
+
+
+def test_runs_are_summed():
+    n = np.array([1, 5, 2, 1, 16, 3])
+    values = np.random.default_rng(0).normal(size=(n.sum(), 3))
+    want = [values[a : a + k].sum(0) for a, k in zip(np.cumsum(n) - n, n)]
+    assert maxent._summed(values.copy(), n) == pytest.approx(np.array(want))
