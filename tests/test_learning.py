@@ -108,6 +108,40 @@ def test_search_logs_every_trial(spark, planted):
     assert log[0].error is None and "Exception" in log[2].error
 
 
+def test_boosted_trials_leave_out_repeated_inputs(spark, planted, monkeypatch):
+    """Every input twice under another name, and one that is nearly the same: the trees are those of all inputs."""
+    near = F.when(F.col("transaction_id") != "17", F.col("ratio")).otherwise(0.5)
+    twice = planted.withColumns({"kind": F.concat(F.lit("k"), F.coalesce("type", F.lit("?"))), "money": F.col("amount"), "near": near, "one": F.lit(1.0)})
+    train, numeric, categorical = twice.where("split = 'train'"), [*NUMERIC, "money", "near", "one"], ["type", "kind"]
+    seen = []
+
+    def kept(self, rows, label, seed=learning.SEED, before=learning.Trial.estimator):
+        made = before(self, rows, label, seed)
+        fit = made.fit
+        made.fit = lambda df: seen.append((fit(df), df)) or seen[-1][0]
+        return made
+
+    monkeypatch.setattr(learning.Trial, "estimator", kept)
+    log = learning.search(train, [BOOSTED], categorical, numeric, dt.datetime(2024, 1, 1)).collect()
+    model, rows = seen[0]
+    monkeypatch.undo()
+    fitted = train.where(~learning.validation_rows(F.col("transaction_id")))
+    prepared = learning.preparation(fitted, categorical, numeric).transform(fitted)
+    assert prepared.first()[learning.FEATURES].size == 11 and model.numFeatures == 6
+    whole = BOOSTED.estimator(0, "is_fraud").fit(prepared.withColumn("is_fraud", F.col("is_fraud").cast("double")))
+    places = learning.different_inputs(prepared).first()[0]
+    assert len(places) == 6 and {0, 1, 3} <= set(places) and 2 not in places and 4 not in places
+    assert [t.numNodes for t in model.trees] == [t.numNodes for t in whole.trees]
+    assert log[0].state == "FINISHED" and log[0].holdout_f1 > 0.5
+
+
+def test_inputs_that_are_nothing_in_every_row(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(Vectors.sparse(3, {}),), (Vectors.sparse(3, {}),)], [learning.FEATURES])
+    assert learning.different_inputs(rows).first()[0] == [0]
+
+
 def test_columns_of_many_values_are_refused(spark):
     df = spark.range(3000).select(F.col("id").cast("string").alias("name"), F.lit("a").alias("kind"))
     learning.check_categories(df, ["kind"])
