@@ -6,12 +6,12 @@ words before, the last one, the last two together, and the second and third last
 class that follows it somewhere in the training texts. The second is the share of the word among the words of its class
 after the same last word, drawn by `MASS` to its smoothed share in the class, with one place for all unseen words of the class.
 
-Texts are coded once into blocks, each with a dictionary of its own, in buckets by block, so that a join by it moves only what
-comes back. Counts over the corpus come from the dictionaries: every block sends its words in packets by hash, which sums
+Texts are coded once into blocks, each with a dictionary of its own, and blocks are dealt into units, in buckets by unit, so that
+a join by it moves only what comes back. Counts over the corpus come from the dictionaries: every block sends its words in packets by hash, which sums
 them without a row per word, and gets the totals back. Weights are summed by ranges of feature keys, as many ranges as the
 tokens ask for. Every block takes gradient steps over its training texts once, from nothing on, and sends weights and counts
-of its features; a range averages the weights by how often a block has the feature and answers each block, so that one
-exchange serves training and scoring. Weights travel as bytes, in steps of 1 / `SCALE`. In a block, features of many tokens have a row of a table, the
+of its features; a range averages the weights by how often a block has the feature and answers each unit once for all its blocks,
+which share most of their frequent features. So one exchange serves training and scoring. Weights travel as bytes, in steps of 1 / `SCALE`. In a block, features of many tokens have a row of a table, the
 others only the pairs of feature and class that there are.
 
 Words are told apart by 64-bit hashes, features by their range and 32 bits. Null and empty texts are the end token alone. Repeated rows count and are scored each.
@@ -20,6 +20,7 @@ Without training texts every class and word is equally new. A null id is never h
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,20 +34,22 @@ from ledgerwatch.sources.tables import scratch
 
 #: Classes; features of a block that have a whole row of weights at most, and tokens that they have at least; bytes of a word that make its class.
 CLASSES, ROWS, OFTEN, SUFFIX = 64, 1 << 16, 4, 3
-#: Bytes of text in a block; dictionary entries that one task counts; tokens per gradient step and scoring batch.
-BLOCK_BYTES, ENTRIES, STEP, BATCH = 6 << 20, 1_000_000, 2048, 4096
+#: Bytes of text in a block and in a unit of blocks that are scored together; dictionary entries that one task counts; tokens per gradient step and scoring batch.
+BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH = 8 << 20, 96 << 20, 1_000_000, 2048, 4096
 RATE, MASS, SCALE = 0.2, 4.0, 16
 END = np.uint64(0x1D8AF066A1C3B2E5)
 _SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
-_BLOCK = "block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, low binary, high binary"
+#: Spark drops what a query has shuffled when the query has ended.
+_DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BLOCK = "unit int, block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, low binary, high binary"
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """Coded texts of (doc_id, text, held). `words` and `classes` are a block's dictionary, most frequent first; `tf` counts its training tokens."""
+def blocks(docs: DataFrame, units: int = 1) -> DataFrame:
+    """Coded texts of (doc_id, text, held). Blocks of a part go to one unit after the other. `words` and `classes` are a block's dictionary, most frequent first; `tf` counts its training tokens."""
     schema = _BLOCK.format(kind=docs.schema["doc_id"].dataType.simpleString())
     into = X.arrow_schema(schema)
 
-    def code(part: pa.RecordBatch, block: int) -> pa.RecordBatch:
+    def code(part: pa.RecordBatch, block: int, unit: int) -> pa.RecordBatch:
         w = X.words(part.column("text"), lower=True)
         size = np.diff(w.first) + 1
         hashed = np.insert(w.hashes() if len(w.start) else np.zeros(0, np.uint64), w.first[1:], END)
@@ -67,18 +70,18 @@ def blocks(docs: DataFrame) -> DataFrame:
         held = part.column("held").to_numpy(zero_copy_only=False).astype(bool)
         tf = np.bincount(codes[np.repeat(~held, size)], minlength=len(words)).astype("<u4")
         made = {
-            "block": [block], "doc_id": [part.column("doc_id").to_pylist()], "held": [held.tolist()], "size": [size.tolist()],
+            "unit": [unit], "block": [block], "doc_id": [part.column("doc_id").to_pylist()], "held": [held.tolist()], "size": [size.tolist()],
             "words": [words.astype("<u8").tobytes()], "classes": [classes.tobytes()], "tf": [tf.tobytes()],
             "low": [(codes & 0xFFFF).astype("<u2").tobytes()], "high": [(codes >> 16).astype("<u2").tobytes()],
         }
         return X.record(made, into)
 
     def run(batches):
-        block = TaskContext.get().partitionId() << 32
+        task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in X.slices(batch, size=BLOCK_BYTES):
-                yield code(part, block)
-                block += 1
+                yield code(part, (task << 32) + made, (task + made) % units)
+                made += 1
 
     return docs.select("doc_id", "text", "held").mapInArrow(run, schema)
 
@@ -111,30 +114,44 @@ class Block:
         return np.column_stack([X.mix(x ^ s) for x, s in zip((one, one * X.GOLDEN + two, two, three), _SALTS, strict=True)])
 
 
-    def places(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct features in order of range and key, 32 bits of each, and for every token the places of its own among them.
-
-        The dictionary names the words before a token, so only pairs of words are looked for among the tokens. The last two
-        bits of a key are the kind of feature, so that those of a word lie together."""
+    def _before(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Words, with one for each place before a text, and for every token the places of the last three there."""
         words, first, back = np.concatenate([self.words, np.arange(1, 4, dtype=np.uint64)]), np.cumsum(self.size) - self.size, []
         codes = self.codes
         for k in range(3):
             codes = np.concatenate([codes[:1], codes[:-1]])
             codes[first] = len(self.words) + k
             back.append(codes)
-        one, two, three = back
+        return words, back
+
+    def keys(self, number: int) -> np.ndarray:
+        """Distinct features in order of range and key, see `places`."""
+        words, (one, two, _) = self._before()
+        return np.sort(_keys(words, np.unique(one * len(words) + two), number))
+
+    def places(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct features in order of range and key, 32 bits of each, and for every token the places of its own among them.
+
+        The dictionary names the words before a token, so only pairs of words are looked for among the tokens. The last two
+        bits of a key are the kind of feature, so that those of a word lie together."""
+        words, (one, two, three) = self._before()
         pairs, at = np.unique(one * len(words) + two, return_inverse=True)
-        before = words[pairs // len(words)] * X.GOLDEN + words[pairs % len(words)]
-        word, before = (X.mix(x ^ s) & ~np.uint64(3) for x, s in ((words, _SALTS[0]), (before, _SALTS[1])))
-        keys = np.concatenate([word, before | np.uint64(1), word | np.uint64(2), word | np.uint64(3)])
+        keys = _keys(words, pairs, number)
         low = np.cumsum([0, len(words), len(pairs), len(words)])
-        keys = _buckets(keys, number).astype(np.uint64) << np.uint64(32) | keys & np.uint64(0xFFFFFFFF)
         order = np.argsort(keys)
         rank = np.empty(len(keys), np.int32)
         rank[order] = np.arange(len(keys))
         return keys[order], np.column_stack([rank[x + a] for x, a in zip((one, at, two, three), low, strict=True)])
 
 
+def _keys(words: np.ndarray, pairs: np.ndarray, number: int) -> np.ndarray:
+    """Keys of all features of words and of pairs of their places, by kind."""
+    before = words[pairs // len(words)] * X.GOLDEN + words[pairs % len(words)]
+    word, before = (X.mix(x ^ s) & ~np.uint64(3) for x, s in ((words, _SALTS[0]), (before, _SALTS[1])))
+    keys = np.concatenate([word, before | np.uint64(1), word | np.uint64(2), word | np.uint64(3)])
+    return _buckets(keys, number).astype(np.uint64) << np.uint64(32) | keys & np.uint64(0xFFFFFFFF)
+
+
 def _buckets(words: np.ndarray, number: int) -> np.ndarray:
     return ((words >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)).astype(np.int64)
 
@@ -151,9 +168,10 @@ def _unpacked(body: bytes, kind: str) -> np.ndarray:
 
 
 def counts(coded: DataFrame, number: int) -> DataFrame:
-    """(block, bucket, totals): training counts over the corpus of a block's words of one bucket, in order of their hashes;
+    """(unit, block, bucket, totals): training counts over the corpus of a block's words of one bucket, in order of their hashes;
     and for block -1 `sums`: tokens and distinct words of each class in the bucket."""
-    into = X.arrow_schema("bucket int, block long, words binary, classes binary, tf binary")
+    sends, gets = "bucket int, unit int, block long, words binary, classes binary, tf binary", "bucket int, unit int, block long, totals binary, sums array<long>"
+    into, back = X.arrow_schema(sends), X.arrow_schema(gets)
 
     def send(batches):
         for batch in batches:
@@ -163,12 +181,10 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
                 words, classes, tf = words[order], classes[order], tf[order]
                 some, first = np.unique(_buckets(words, number), return_index=True)
                 cuts = [*zip(first, [*first[1:], len(order)], strict=True)]
-                made = {"bucket": some, "block": np.full(len(some), batch.column("block")[row].as_py())}
+                made = {"bucket": some} | {n: np.full(len(some), batch.column(n)[row].as_py()) for n in ("unit", "block")}
                 made["words"] = [_packed(np.diff(words[a:b], prepend=np.uint64(0))) for a, b in cuts]
                 yield X.record(made | {n: [_packed(v[a:b]) for a, b in cuts] for n, v in (("classes", classes), ("tf", tf))}, into)
 
-    back = X.arrow_schema("bucket int, block long, totals binary, sums array<long>")
-
     def add(table: pa.Table) -> pa.Table:
         steps, classes, tf = ([_unpacked(x, k) for x in table.column(n).to_pylist()] for n, k in (("words", "<u8"), ("classes", "u1"), ("tf", "<u4")))
         words, classes, tf = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps]), np.concatenate(classes), np.concatenate(tf)
@@ -180,13 +196,13 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
         ends = np.cumsum(sizes)
         own = total[at]
         made = {
-            "bucket": [*table.column("bucket").to_pylist(), table.column("bucket")[0].as_py()], "block": [*table.column("block").to_pylist(), -1],
+            "bucket": [*table.column("bucket").to_pylist(), table.column("bucket")[0].as_py()], "unit": [*table.column("unit").to_pylist(), -1], "block": [*table.column("block").to_pylist(), -1],
             "totals": [*(_packed(own[b - n : b]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)), None], "sums": [*[None] * len(sizes), sums.tolist()],
         }
         return pa.Table.from_batches([X.record(made, back)])
 
-    sent = coded.select("block", "words", "classes", "tf").mapInArrow(send, "bucket int, block long, words binary, classes binary, tf binary")
-    return sent.groupBy("bucket").applyInArrow(add, "bucket int, block long, totals binary, sums array<long>")
+    sent = coded.select("unit", "block", "words", "classes", "tf").mapInArrow(send, sends)
+    return sent.groupBy("bucket").applyInArrow(add, gets)
 
 
 def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, rare: Rare | None = None) -> np.ndarray:
@@ -208,14 +224,8 @@ def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, ta
 
 
 def _summed(values: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of runs of n rows, by pairs of neighbours."""
-    while len(values) > len(n):
-        first = np.cumsum(n) - n
-        place = np.arange(len(values)) - np.repeat(first, n)
-        odd = np.flatnonzero(place & 1)
-        values[odd - 1] += values[odd]
-        values, n = values[place & 1 == 0], n + 1 >> 1
-    return values
+    """Sums of runs of n rows."""
+    return np.add.reduceat(values, np.cumsum(n) - n, axis=0) if len(n) else values
 
 
 def _steps(
@@ -249,7 +259,7 @@ def _steps(
             other.move(g, rate)
 
 
-#: What blocks send and get by ranges of feature keys: `size` features and `body`, see `_body`.
+#: What blocks send and units get by ranges of feature keys: `size` features and `body`, see `_body`. `block` is who gets the answer.
 _PACKET = "bucket int, block long, size long, body binary"
 _INTO = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("body", pa.binary())])
 _COMMON = 255
@@ -293,7 +303,7 @@ def _spread(low: np.ndarray, per: np.ndarray) -> np.ndarray:
 
 
 def answered(table: pa.Table) -> pa.Table:
-    """Weights of a range of features, averaged over the blocks by the training tokens each has, and for every block those of its own features."""
+    """Weights of a range of features, averaged over the packets by the training tokens each has, and for every receiver, once, those of the features in its packets."""
     got = [_read(b, n, keyed=True) for b, n in zip(table.column("body").to_pylist(), table.column("size").to_pylist(), strict=True)]
     per, classes, value, tf = (np.concatenate([g[n] for g in got]) for n in ("per", "classes", "value", "tf"))
     keys, place = np.unique(np.concatenate([g["keys"] for g in got]), return_inverse=True)
@@ -304,37 +314,86 @@ def answered(table: pa.Table) -> pa.Table:
     tf, per = np.bincount(at, tf, len(pairs)).astype(np.int64), np.bincount(pairs // CLASSES, minlength=len(keys))
     # Shares are of words after the last one or two, which are kinds 0 and 1.
     tf[np.repeat(keys & np.uint32(3), per) > 1] = 0
-    low, classes, bodies, first = np.cumsum(per) - per, pairs % CLASSES, [], 0
-    for size in table.column("size").to_pylist():
-        mine = place[first : first + size]
+    low, classes = np.cumsum(per) - per, pairs % CLASSES
+    whose = np.repeat(table.column("block").to_numpy(), table.column("size").to_numpy())
+    made = {"block": np.unique(table.column("block").to_numpy()), "size": [], "body": []}
+    for receiver in made["block"]:
+        mine = np.unique(place[whose == receiver])
         some = _spread(low[mine], per[mine])
-        bodies.append(_body(per[mine], classes[some], value[some], tf[some]))
-        first += size
-    return pa.Table.from_batches([X.record({n: table.column(n).to_pylist() for n in ("bucket", "block", "size")} | {"body": bodies}, _INTO)])
+        made["size"].append(len(mine))
+        made["body"].append(_body(per[mine], classes[some], value[some], tf[some]))
+    return pa.Table.from_batches([X.record(made | {"bucket": np.full(len(made["size"]), table.column("bucket")[0].as_py())}, _INTO)])
+
+
+@dataclass
+class Answers:
+    """Averaged weights and counts of all features of a unit, in order of their keys. Feature k has the pairs low[k] to low[k + 1].
+
+    Counts from 255 on are in `large`, at the pairs `where`."""
+
+    keys: np.ndarray
+    low: np.ndarray
+    kind: np.ndarray
+    value: np.ndarray
+    tf: np.ndarray
+    where: np.ndarray
+    large: np.ndarray
+
+    @classmethod
+    def of(cls, blocks: Iterable[Block], parts: Iterable[dict], number: int) -> Answers:
+        """`parts` are the unit's packets in order of range; the blocks name the features, as the packets leave keys out."""
+        keys = np.zeros(0, np.uint64)
+        for block in blocks:
+            keys = np.concatenate([keys, block.keys(number)])
+            keys.sort(kind="stable")
+            keys = keys[np.append(True, keys[1:] != keys[:-1])]
+        got, large = {n: [] for n in ("per", "classes", "value", "tf")}, []
+        for part in parts:
+            read = _read(part["body"], part["size"])
+            large.append(np.where(read["tf"] >= _COMMON, read["tf"], 0).astype(np.int64)[read["tf"] >= _COMMON])
+            read["tf"] = np.minimum(read["tf"], _COMMON).astype("u1")
+            for n, values in got.items():
+                values.append(np.array(read[n]))
+        per, kind, value, tf = (np.concatenate(got.pop(n)) for n in ("per", "classes", "value", "tf"))
+        low = np.zeros(len(keys) + 1, np.int64)
+        np.cumsum(per, out=low[1:])
+        return cls(keys, low, kind, value, tf, np.flatnonzero(tf == _COMMON), np.concatenate(large))
 
 
 class Weights:
-    """Weights and training counts of the features of a block. `pairs` are feature places times CLASSES plus class, in order."""
+    """Weights and training counts of the features of a block: its own, from nothing on, or those that its unit was answered.
 
-    def __init__(self, block: Block, parts: list[dict] | None = None, taught: np.ndarray | None = None, number: int = 1):
+    Feature k has the pairs low[k] to low[k] + per[k]. `pairs` are feature places times CLASSES plus class, in order."""
+
+    def __init__(self, block: Block, answers: Answers | None = None, taught: np.ndarray | None = None, number: int = 1):
         self.keys, self.place = block.places(number)
         self.target = block.classes[block.codes].astype(np.int64)
         self.own, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.scale = np.float32(1 / SCALE if parts else 1)
-        if parts:
-            got = [_read(p["body"], p["size"]) for p in sorted(parts, key=lambda p: p["bucket"])]
-            self.per, self.kind, self.value, self.tf = (np.concatenate([g.pop(n) for g in got]) for n in ("per", "classes", "value", "tf"))
-            self.per = self.per.astype(np.int64)
+        self.scale, self.answers = np.float32(1 / SCALE if answers else 1), answers
+        if answers:
+            at = np.searchsorted(answers.keys, self.keys)
+            self.low, self.per = answers.low[at], answers.low[at + 1] - answers.low[at]
+            self.kind, self.value, self.tf = answers.kind, answers.value, answers.tf
         else:
             if taught is not None:
                 self.own, self.count = np.unique(self.place[taught] * np.int32(CLASSES) + self.target[taught, None].astype(np.int32), return_counts=True)
             self.per, self.kind = np.bincount(self.own // CLASSES, minlength=len(self.keys)), (self.own % CLASSES).astype(np.uint8)
             self.value, self.tf = np.zeros(len(self.own), np.float32), np.zeros(len(self.own), np.int64)
-        self.low = np.cumsum(np.append(0, self.per), dtype=np.int64)
+            self.low = np.cumsum(np.append(0, self.per), dtype=np.int64)
 
     @property
     def pairs(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.keys), dtype=np.int32) * np.int32(CLASSES), self.per) + self.kind
+        return self._pairs(np.arange(len(self.keys)))[0]
+
+    def _pairs(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of some features, and their training counts."""
+        per = self.per[features]
+        some = _spread(self.low[features], per)
+        tf = self.tf[some].astype(np.int64)
+        if self.answers:
+            many = np.flatnonzero(tf == _COMMON)
+            tf[many] = self.answers.large[np.searchsorted(self.answers.where, some[many])]
+        return np.repeat(features.astype(np.int32) * np.int32(CLASSES), per) + self.kind[some], tf
 
     def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Rows of weights for the features with the most tokens, the row of every feature, and which pairs it has where.
@@ -345,8 +404,9 @@ class Weights:
         common = common[np.argsort(-n[common], kind="stable")[: ROWS - 1]]
         row = np.zeros(len(self.keys), np.uint16)
         row[common] = np.arange(1, len(common) + 1)
-        held = np.flatnonzero(np.repeat(row > 0, self.per))
-        at = np.repeat(row[row > 0].astype(np.int64) * CLASSES, self.per[row > 0]) + self.kind[held]
+        some = np.flatnonzero(row)
+        held = _spread(self.low[some], self.per[some])
+        at = np.repeat(row[some].astype(np.int64) * CLASSES, self.per[some]) + self.kind[held]
         table = np.zeros((len(common) + 1, CLASSES), np.float32)
         table.ravel()[at] = self.value[held] * self.scale
         return table, row, held, at
@@ -386,10 +446,13 @@ class Weights:
 
     def share(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of each word after the one before it, and of its class there."""
-        pairs, pair = self.pairs, (self.place[:, 0].astype(np.int64) * CLASSES + self.target).astype(np.int32)
+        of = self.keys & np.uint64(3)
+        pairs, tf = self._pairs(np.flatnonzero(of == 0))
+        pair = (self.place[:, 0].astype(np.int64) * CLASSES + self.target).astype(np.int32)
         at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
-        kind = np.where(pairs[at] == pair, self.tf[at], 0) if len(pairs) else np.zeros(len(pair), np.int64)
-        total = np.add.reduceat(np.append(self.tf, 0), self.low[:-1], dtype=np.int64) * (self.per > 0)
+        kind = np.where(pairs[at] == pair, tf[at], 0) if len(pairs) else np.zeros(len(pair), np.int64)
+        pairs, tf = self._pairs(np.flatnonzero(of == 1))
+        total = np.bincount(pairs // CLASSES, tf, len(self.keys)).astype(np.int64)
         # The word and the one before it are the last two of the next token; the end has no next and is alone in its class.
         word = np.append(total[self.place[1:, 1]], 0)
         last = np.cumsum(block.size) - 1
@@ -420,7 +483,7 @@ class Rare:
 
 
 def train(coded: DataFrame, number: int, bias: np.ndarray) -> DataFrame:
-    """(block, weights): for every block the weights and counts of its features after one pass over all training tokens.
+    """For every unit, as `block`, the weights and counts of its features after one pass over all training tokens, in packets by range.
 
     A block takes its steps from nothing on; the weights of the blocks are averaged and sent back in one exchange."""
 
@@ -431,45 +494,51 @@ def train(coded: DataFrame, number: int, bias: np.ndarray) -> DataFrame:
                 taught = np.flatnonzero(np.repeat(~block.held, block.size))
                 w = Weights(block, None, taught, number)
                 w.learn(taught, bias)
-                yield w.packets(number, batch.column("block")[row].as_py())
+                yield w.packets(number, batch.column("unit")[row].as_py())
 
-    sent = coded.select("block", "held", "size", "words", "classes", "low", "high").mapInArrow(step, _PACKET)
-    parts = sent.groupBy("bucket").applyInArrow(answered, _PACKET)
-    return parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "size", "body")).alias("weights"))
+    sent = coded.select("unit", "held", "size", "words", "classes", "low", "high").mapInArrow(step, _PACKET)
+    return sent.groupBy("bucket").applyInArrow(answered, _PACKET)
 
 
-def score(coded: DataFrame, counted: DataFrame, ranges: int, class_tokens: np.ndarray, class_words: np.ndarray) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text; `coded` has its weights."""
+def score(coded: DataFrame, counted: DataFrame, weights: DataFrame, ranges: int, class_tokens: np.ndarray, class_words: np.ndarray) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text; `weights` are packets by unit."""
     kind = coded.schema["doc_id"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     into, bias = X.arrow_schema(schema), _bias(class_tokens)
     total, distinct = int(class_tokens.sum()), int(class_words.sum())
     places = class_tokens + class_words + 1.0
 
-    def run(batches):
-        for batch in batches:
-            for row in range(len(batch)):
-                block = Block.of(batch, row)
-                order = np.argsort(block.words)
-                parts = sorted(batch.column("parts")[row].as_py(), key=lambda p: p["bucket"])
-                own = np.empty(len(order))
-                own[order] = np.concatenate([_unpacked(p["totals"], "<u8") for p in parts])
-                gain, classes = np.log10(own + 1), block.classes.astype(np.int64)
-                w = Weights(block, batch.column("weights")[row].as_py(), number=ranges)
-                chosen = w.chosen(bias)
-                word, alike = w.share(block)
-                within = np.log10((word + MASS * ((own + 1) / places[classes])[block.codes]) / (alike + MASS))
-                first = np.cumsum(block.size) - block.size
-                per = lambda values: np.add.reduceat(values, first)  # noqa: E731  every text has its end token
-                made = {
-                    "doc_id": batch.column("doc_id")[row].values, "held_out": block.held, "n_tokens": block.size, "n_known": per((own > 0)[block.codes].astype(np.int64)),
-                    "train_tokens": np.full(len(first), total), "base_score": per((gain - np.log10(total + distinct + 1.0))[block.codes]),
-                    "score": per(within + chosen / np.log(10)),
-                }
-                yield X.record(made, into)
-
-    totals = counted.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("parts"))
-    return coded.drop("tf").join(totals, "block").mapInArrow(run, schema)
+    def one(batch: pa.RecordBatch, row: int, totals: list, answers: Answers) -> pa.RecordBatch:
+        block = Block.of(batch, row)
+        order = np.argsort(block.words)
+        own = np.empty(len(order))
+        own[order] = np.concatenate([_unpacked(p, "<u8") for p in totals])
+        gain, classes = np.log10(own + 1), block.classes.astype(np.int64)
+        w = Weights(block, answers, number=ranges)
+        chosen = w.chosen(bias)
+        word, alike = w.share(block)
+        within = np.log10((word + MASS * ((own + 1) / places[classes])[block.codes]) / (alike + MASS))
+        first = np.cumsum(block.size) - block.size
+        per = lambda values: np.add.reduceat(values, first)  # noqa: E731  every text has its end token
+        made = {
+            "doc_id": batch.column("doc_id")[row].values, "held_out": block.held, "n_tokens": block.size, "n_known": per((own > 0)[block.codes].astype(np.int64)),
+            "train_tokens": np.full(len(first), total), "base_score": per((gain - np.log10(total + distinct + 1.0))[block.codes]),
+            "score": per(within + chosen / np.log(10)),
+        }
+        return X.record(made, into)
+
+    def run(own: pa.Table, sent: pa.Table) -> pa.Table:
+        rows = [(batch, row) for batch in own.to_batches() for row in range(len(batch))]
+        sent = sent.sort_by("bucket")
+        block, size = sent.column("block").to_numpy(zero_copy_only=False), sent.column("size").to_numpy(zero_copy_only=False)
+        body = lambda at: sent.column("body")[at].as_py()
+        parts = ({"size": int(size[k]), "body": body(k)} for k in np.flatnonzero(block < 0))
+        answers = Answers.of((Block.of(*x) for x in rows), parts, ranges)
+        return pa.Table.from_batches([one(*x, [body(k) for k in np.flatnonzero(block == x[0].column("block")[x[1]].as_py())], answers) for x in rows], into)
+
+    totals = counted.where("block >= 0").select("unit", "block", "bucket", F.lit(0).cast("long").alias("size"), F.col("totals").alias("body"))
+    sent = totals.unionAll(weights.select(F.col("block").cast("int").alias("unit"), F.lit(-1).cast("long").alias("block"), "bucket", "size", "body"))
+    return coded.drop("tf").groupBy("unit").cogroup(sent.groupBy("unit")).applyInArrow(run, schema)
 
 
 def _bias(class_tokens: np.ndarray) -> np.ndarray:
@@ -477,31 +546,37 @@ def _bias(class_tokens: np.ndarray) -> np.ndarray:
 
 
 def _stored(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
-    """Written and read back, tightly packed: the blocks are about as large as the texts.
+    """Written and read back, tightly packed: the blocks are about as large as the texts. What was shuffled for it is dropped.
 
     With `key` in as many buckets as a shuffle has partitions, dealt by the tasks that make the rows: a join by it moves only the other side."""
     spark, folder = df.sparkSession, scratch(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
-    if key is None:
-        writer.parquet(folder)
-        return spark.read.parquet(folder)
-    table = folder.rsplit("/", 1)[1].replace("-", "_")
-    writer.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", folder).saveAsTable(table)
-    return spark.table(table)
+    before = spark.conf.get(_DROP, None)
+    spark.conf.set(_DROP, "true")
+    try:
+        writer = df.write.option("compression", "zstd")
+        if key is None:
+            writer.parquet(folder)
+            return spark.read.parquet(folder)
+        table = folder.rsplit("/", 1)[1].replace("-", "_")
+        writer.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", folder).saveAsTable(table)
+        return spark.table(table)
+    finally:
+        spark.conf.set(_DROP, before) if before is not None else spark.conf.unset(_DROP)
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:
     """Scores of (doc_id, text, held) under a model of the texts that are not held."""
-    coded = blocks(docs)
-    folder = _stored(coded, "coded", "block")
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    units = max(1, -(-size // UNIT_BYTES), min(-(-size // BLOCK_BYTES), spark.sparkContext.defaultParallelism))
+    folder = _stored(blocks(docs, units), "coded", "unit")
     size = folder.agg(F.sum(F.expr("length(words) div 8")).alias("entries"), F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
     number = max(1, -(-(size["entries"] or 0) // ENTRIES))
     counted = _stored(counts(folder, number), "counts")
     sums = {r["pos"]: r["n"] for r in counted.where("block < 0").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     tokens, words = (np.array([sums.get(k + at, 0) for k in range(CLASSES)], np.int64) for at in (0, CLASSES))
     ranges = max(1, -(-(size["tokens"] or 0) * 2 // ENTRIES))
-    weights = train(folder, ranges, _bias(tokens))
-    return score(folder.join(weights, "block"), counted, ranges, tokens, words)
+    return score(folder, counted, train(folder, ranges, _bias(tokens)), ranges, tokens, words)
 
 
 def op9_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
