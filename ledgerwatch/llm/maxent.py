@@ -34,14 +34,14 @@ from ledgerwatch.sources.tables import scratch
 
 #: Classes; features of a block that have a whole row of weights at most, and tokens that they have at least; bytes of a word that make its class.
 CLASSES, ROWS, OFTEN, SUFFIX = 64, 1 << 16, 4, 3
-#: Bytes of text in a block and in a unit of blocks that are scored together; dictionary entries that one task counts; tokens per gradient step and scoring batch.
-BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH = 8 << 20, 96 << 20, 1_000_000, 2048, 4096
+#: Bytes of text in a block and in a unit of blocks that are scored together; dictionary entries that one task counts; tokens per gradient step and scoring batch; features whose pairs are listed at a time.
+BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH, FEW = 8 << 20, 64 << 20, 1_000_000, 2048, 4096, 1 << 15
 RATE, MASS, SCALE = 0.2, 4.0, 16
 END = np.uint64(0x1D8AF066A1C3B2E5)
 _SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
 #: Spark drops what a query has shuffled when the query has ended.
 _DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_BLOCK = "unit int, block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, low binary, high binary"
+_BLOCK = "unit int, block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, codes binary"
 
 
 def blocks(docs: DataFrame, units: int = 1) -> DataFrame:
@@ -71,8 +71,8 @@ def blocks(docs: DataFrame, units: int = 1) -> DataFrame:
         tf = np.bincount(codes[np.repeat(~held, size)], minlength=len(words)).astype("<u4")
         made = {
             "unit": [unit], "block": [block], "doc_id": [part.column("doc_id").to_pylist()], "held": [held.tolist()], "size": [size.tolist()],
-            "words": [words.astype("<u8").tobytes()], "classes": [classes.tobytes()], "tf": [tf.tobytes()],
-            "low": [(codes & 0xFFFF).astype("<u2").tobytes()], "high": [(codes >> 16).astype("<u2").tobytes()],
+            "words": [_steps_of(words)], "classes": [classes.tobytes()], "tf": [tf.tobytes()],
+            "codes": [_packed(codes.astype("<u4"))],
         }
         return X.record(made, into)
 
@@ -98,10 +98,10 @@ class Block:
 
     @classmethod
     def of(cls, batch: pa.RecordBatch, row: int) -> Block:
-        raw = {n: batch.column(n)[row].as_buffer() for n in ("words", "classes", "low", "high")}
-        codes = np.frombuffer(raw["low"], "<u2").astype(np.int64) | np.frombuffer(raw["high"], "<u2").astype(np.int64) << 16
+        raw = {n: batch.column(n)[row].as_buffer() for n in ("words", "classes", "codes")}
+        codes = _unpacked(raw["codes"], "<u4").astype(np.int64)
         lists = (np.array(batch.column(n)[row].values.to_numpy(zero_copy_only=False)) for n in ("size", "held"))
-        return cls(np.frombuffer(raw["words"], "<u8"), np.frombuffer(raw["classes"], np.uint8), codes, *lists)
+        return cls(_words(raw["words"]), np.frombuffer(raw["classes"], np.uint8), codes, *lists)
 
     def features(self) -> np.ndarray:
         """Keys of the features of every token: last word, last two, second last, third last."""
@@ -163,10 +163,20 @@ def _packed(values: np.ndarray) -> bytes:
 
 
 def _unpacked(body: bytes, kind: str) -> np.ndarray:
-    raw = pa.decompress(memoryview(body)[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True)
+    body = memoryview(body)
+    raw = pa.decompress(body[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True)
     return np.ascontiguousarray(np.frombuffer(raw, "u1").reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+def _steps_of(words: np.ndarray) -> bytes:
+    """Hashes as steps from the one before; those of equally frequent words rise."""
+    return _packed(np.diff(words, prepend=np.uint64(0)).astype("<u8"))
+
+
+def _words(body: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(body, "<u8"), dtype=np.uint64)
+
+
 def counts(coded: DataFrame, number: int) -> DataFrame:
     """(unit, block, bucket, totals): training counts over the corpus of a block's words of one bucket, in order of their hashes;
     and for block -1 `sums`: tokens and distinct words of each class in the bucket."""
@@ -176,19 +186,20 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
     def send(batches):
         for batch in batches:
             for row in range(len(batch)):
-                words, classes, tf = (np.frombuffer(batch.column(n)[row].as_buffer(), k) for n, k in (("words", "<u8"), ("classes", "u1"), ("tf", "<u4")))
+                classes, tf = (np.frombuffer(batch.column(n)[row].as_buffer(), k) for n, k in (("classes", "u1"), ("tf", "<u4")))
+                words = _words(batch.column("words")[row].as_buffer())
                 order = np.argsort(words)
                 words, classes, tf = words[order], classes[order], tf[order]
                 some, first = np.unique(_buckets(words, number), return_index=True)
                 cuts = [*zip(first, [*first[1:], len(order)], strict=True)]
                 made = {"bucket": some} | {n: np.full(len(some), batch.column(n)[row].as_py()) for n in ("unit", "block")}
-                made["words"] = [_packed(np.diff(words[a:b], prepend=np.uint64(0))) for a, b in cuts]
+                made["words"] = [_steps_of(words[a:b]) for a, b in cuts]
                 yield X.record(made | {n: [_packed(v[a:b]) for a, b in cuts] for n, v in (("classes", classes), ("tf", tf))}, into)
 
     def add(table: pa.Table) -> pa.Table:
-        steps, classes, tf = ([_unpacked(x, k) for x in table.column(n).to_pylist()] for n, k in (("words", "<u8"), ("classes", "u1"), ("tf", "<u4")))
-        words, classes, tf = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps]), np.concatenate(classes), np.concatenate(tf)
-        sizes = np.array([len(x) for x in steps])
+        classes, tf = (np.concatenate([_unpacked(x, k) for x in table.column(n).to_pylist()]) for n, k in (("classes", "u1"), ("tf", "<u4")))
+        words = [_words(x) for x in table.column("words").to_pylist()]
+        words, sizes = np.concatenate(words), np.array([len(x) for x in words])
         _, first, at = np.unique(words, return_index=True, return_inverse=True)
         total = np.bincount(at, tf, len(first)).astype("<u8")
         kind = classes[first]
@@ -224,8 +235,19 @@ def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, ta
 
 
 def _summed(values: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of runs of n rows."""
-    return np.add.reduceat(values, np.cumsum(n) - n, axis=0) if len(n) else values
+    """Sums of runs of n rows: of parts of up to eight rows, row by row for all parts at once, then of the parts."""
+    while len(values) > len(n):
+        parts, first = n + 7 >> 3, np.cumsum(n) - n
+        at = _spread(np.zeros(len(n), np.int64), parts) << 3
+        size, at = np.minimum(np.repeat(n, parts) - at, 8), at + np.repeat(first, parts)
+        order = np.argsort(-size, kind="stable")
+        at, larger = at[order], len(size) - np.cumsum(np.bincount(size, minlength=9))
+        summed = values[at]
+        for k, some in enumerate(larger[1:8].tolist(), 1):
+            summed[:some] += values[at[:some] + k]
+        values, n = np.empty_like(summed), parts
+        values[order] = summed
+    return values
 
 
 def _steps(
@@ -297,6 +319,11 @@ def _read(body: bytes, size: int, keyed: bool = False) -> dict[str, np.ndarray]:
     return got
 
 
+def _slices(features: np.ndarray) -> list[np.ndarray]:
+    """As many features at a time as keep their pairs small."""
+    return [features[a : a + FEW] for a in range(0, len(features), FEW)]
+
+
 def _spread(low: np.ndarray, per: np.ndarray) -> np.ndarray:
     """The places low, low + 1, ... of each of several runs."""
     return np.repeat(low - np.cumsum(per) + per, per) + np.arange(per.sum())
@@ -327,10 +354,11 @@ def answered(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Answers:
-    """Averaged weights and counts of all features of a unit, in order of their keys. Feature k has the pairs low[k] to low[k + 1].
+    """Averaged weights and counts of all features of a unit, in order of range and key. Feature k has the pairs low[k] to low[k + 1].
 
-    Counts from 255 on are in `large`, at the pairs `where`."""
+    The features of range r begin at start[r]. Counts from 255 on are in `large`, at the pairs `where`."""
 
+    start: np.ndarray
     keys: np.ndarray
     low: np.ndarray
     kind: np.ndarray
@@ -347,17 +375,28 @@ class Answers:
             keys = np.concatenate([keys, block.keys(number)])
             keys.sort(kind="stable")
             keys = keys[np.append(True, keys[1:] != keys[:-1])]
+        start, keys = np.searchsorted(keys, _starts(number)), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         got, large = {n: [] for n in ("per", "classes", "value", "tf")}, []
         for part in parts:
             read = _read(part["body"], part["size"])
-            large.append(np.where(read["tf"] >= _COMMON, read["tf"], 0).astype(np.int64)[read["tf"] >= _COMMON])
+            large.append(read["tf"][read["tf"] >= _COMMON].astype(np.int64))
             read["tf"] = np.minimum(read["tf"], _COMMON).astype("u1")
             for n, values in got.items():
                 values.append(np.array(read[n]))
         per, kind, value, tf = (np.concatenate(got.pop(n)) for n in ("per", "classes", "value", "tf"))
-        low = np.zeros(len(keys) + 1, np.int64)
-        np.cumsum(per, out=low[1:])
-        return cls(keys, low, kind, value, tf, np.flatnonzero(tf == _COMMON), np.concatenate(large))
+        low = np.zeros(len(keys) + 1, np.int32 if len(kind) < 1 << 31 else np.int64)
+        np.cumsum(per, dtype=low.dtype, out=low[1:])
+        return cls(start, keys, low, kind, value, tf, np.flatnonzero(tf == _COMMON), np.concatenate(large))
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where sorted features are among all."""
+        cuts = np.searchsorted(keys, _starts(len(self.start) - 1)).tolist()
+        own = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        return np.concatenate([a + np.searchsorted(self.keys[a:b], own[c:d]) for a, b, c, d in zip(self.start[:-1], self.start[1:], cuts[:-1], cuts[1:], strict=True)])
+
+
+def _starts(number: int) -> np.ndarray:
+    return np.arange(number + 1, dtype=np.uint64) << np.uint64(32)
 
 
 class Weights:
@@ -371,8 +410,8 @@ class Weights:
         self.own, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.scale, self.answers = np.float32(1 / SCALE if answers else 1), answers
         if answers:
-            at = np.searchsorted(answers.keys, self.keys)
-            self.low, self.per = answers.low[at], answers.low[at + 1] - answers.low[at]
+            at = answers.places(self.keys)
+            self.low, self.per = answers.low[at].astype(np.int64), (answers.low[at + 1] - answers.low[at]).astype(np.int64)
             self.kind, self.value, self.tf = answers.kind, answers.value, answers.tf
         else:
             if taught is not None:
@@ -446,13 +485,17 @@ class Weights:
 
     def share(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of each word after the one before it, and of its class there."""
-        of = self.keys & np.uint64(3)
-        pairs, tf = self._pairs(np.flatnonzero(of == 0))
-        pair = (self.place[:, 0].astype(np.int64) * CLASSES + self.target).astype(np.int32)
-        at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
-        kind = np.where(pairs[at] == pair, tf[at], 0) if len(pairs) else np.zeros(len(pair), np.int64)
-        pairs, tf = self._pairs(np.flatnonzero(of == 1))
-        total = np.bincount(pairs // CLASSES, tf, len(self.keys)).astype(np.int64)
+        own, back = np.unique((self.place[:, 0].astype(np.int64) * CLASSES + self.target).astype(np.int32), return_inverse=True)
+        kind, total, of = np.zeros(len(own), np.int64), np.zeros(len(self.keys), np.int64), self.keys & np.uint64(3)
+        for few in _slices(np.flatnonzero(of == 0)):
+            pairs, tf = self._pairs(few)
+            some = slice(*np.searchsorted(own, [few[0] * CLASSES, (few[-1] + 1) * CLASSES]))
+            at = np.minimum(np.searchsorted(pairs, own[some]), max(len(pairs) - 1, 0))
+            kind[some] = np.where(pairs[at] == own[some], tf[at], 0) if len(pairs) else 0
+        for few in _slices(np.flatnonzero(of == 1)):
+            ends, tf = np.cumsum(self.per[few]), np.cumsum(np.append(0, self._pairs(few)[1]))
+            total[few] = tf[ends] - tf[ends - self.per[few]]
+        kind = kind[back]
         # The word and the one before it are the last two of the next token; the end has no next and is alone in its class.
         word = np.append(total[self.place[1:, 1]], 0)
         last = np.cumsum(block.size) - 1
@@ -496,7 +539,7 @@ def train(coded: DataFrame, number: int, bias: np.ndarray) -> DataFrame:
                 w.learn(taught, bias)
                 yield w.packets(number, batch.column("unit")[row].as_py())
 
-    sent = coded.select("unit", "held", "size", "words", "classes", "low", "high").mapInArrow(step, _PACKET)
+    sent = coded.select("unit", "held", "size", "words", "classes", "codes").mapInArrow(step, _PACKET)
     return sent.groupBy("bucket").applyInArrow(answered, _PACKET)
 
 
@@ -529,12 +572,12 @@ def score(coded: DataFrame, counted: DataFrame, weights: DataFrame, ranges: int,
 
     def run(own: pa.Table, sent: pa.Table) -> pa.Table:
         rows = [(batch, row) for batch in own.to_batches() for row in range(len(batch))]
-        sent = sent.sort_by("bucket")
-        block, size = sent.column("block").to_numpy(zero_copy_only=False), sent.column("size").to_numpy(zero_copy_only=False)
-        body = lambda at: sent.column("body")[at].as_py()
-        parts = ({"size": int(size[k]), "body": body(k)} for k in np.flatnonzero(block < 0))
+        block, bucket, size = (sent.column(n).to_numpy() for n in ("block", "bucket", "size"))
+        body, order = lambda at: sent.column("body")[at].as_py(), np.argsort(bucket)
+        parts = ({"size": int(size[k]), "body": body(k)} for k in order[block[order] < 0].tolist())
         answers = Answers.of((Block.of(*x) for x in rows), parts, ranges)
-        return pa.Table.from_batches([one(*x, [body(k) for k in np.flatnonzero(block == x[0].column("block")[x[1]].as_py())], answers) for x in rows], into)
+        totals = lambda batch, row: [body(k) for k in order[block[order] == batch.column("block")[row].as_py()].tolist()]
+        return pa.Table.from_batches([one(*x, totals(*x), answers) for x in rows], into)
 
     totals = counted.where("block >= 0").select("unit", "block", "bucket", F.lit(0).cast("long").alias("size"), F.col("totals").alias("body"))
     sent = totals.unionAll(weights.select(F.col("block").cast("int").alias("unit"), F.lit(-1).cast("long").alias("block"), "bucket", "size", "body"))
@@ -570,7 +613,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     units = max(1, -(-size // UNIT_BYTES), min(-(-size // BLOCK_BYTES), spark.sparkContext.defaultParallelism))
     folder = _stored(blocks(docs, units), "coded", "unit")
-    size = folder.agg(F.sum(F.expr("length(words) div 8")).alias("entries"), F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
+    size = folder.agg(F.sum(F.length("classes")).alias("entries"), F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
     number = max(1, -(-(size["entries"] or 0) // ENTRIES))
     counted = _stored(counts(folder, number), "counts")
     sums = {r["pos"]: r["n"] for r in counted.where("block < 0").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}

@@ -178,3 +178,51 @@ def test_runs_are_summed():
     values = np.random.default_rng(0).normal(size=(n.sum(), 3))
     want = [values[a : a + k].sum(0) for a, k in zip(np.cumsum(n) - n, n)]
     assert maxent._summed(values.copy(), n) == pytest.approx(np.array(want))
+
+
+def test_a_unit_is_answered_once():
+    """Packets of one receiver get one answer, which names each of their features once; a block reads its own from it."""
+    blocks = [_learned(seed, number=3) for seed in (1, 2)]
+    sent = [r for _, w in blocks for r in w.packets(3, 7).to_pylist()]
+    back = []
+    for bucket in range(3):
+        back += maxent.answered(maxent.pa.Table.from_pylist([r for r in sent if r["bucket"] == bucket], maxent._INTO)).to_pylist()
+    assert [(r["bucket"], r["block"]) for r in back] == [(0, 7), (1, 7), (2, 7)]
+    keys = np.unique(np.concatenate([w.keys for _, w in blocks]))
+    assert sum(r["size"] for r in back) == len(keys) < sum(len(w.keys) for _, w in blocks)
+    want = {}
+    for r in back:
+        want |= _by_key(None, keys[keys >> np.uint64(32) == r["bucket"]], r)
+    answers = maxent.Answers.of([b for b, _ in blocks], back, 3)
+    for block, _ in blocks:
+        w = maxent.Weights(block, answers, number=3)
+        got = {}
+        for f in range(0, len(w.keys), 7):
+            pairs, tf = w._pairs(np.array([f]))
+            some = slice(w.low[f], w.low[f] + w.per[f])
+            got |= {(int(w.keys[f]), p % maxent.CLASSES): (v / maxent.SCALE, n) for p, v, n in zip(pairs.tolist(), w.value[some].tolist(), tf.tolist(), strict=True)}
+        asked = set(w.keys[::7].tolist())
+        assert got == {k: v for k, v in want.items() if k[0] in asked}
+
+
+def test_large_counts_of_a_unit():
+    block, w = _learned(5, 400, 1)
+    w.tf = w.tf * 300
+    answers = maxent.Answers.of([block], maxent.answered(maxent.pa.Table.from_batches([w.packets(1, 0)])).to_pylist(), 1)
+    got, of = maxent.Weights(block, answers), w.keys & np.uint64(3)
+    for kind in (0, 1):
+        features = np.flatnonzero((of == kind) & (w.per > 0))
+        assert got._pairs(features)[0].tolist() == w._pairs(features)[0].tolist()
+        assert got._pairs(features)[1].tolist() == w._pairs(features)[1].tolist()
+
+
+def test_units_leave_scores_as_they_are(spark, monkeypatch):
+    """Blocks are the same, however they are dealt; one unit or many."""
+    rows = [(k, " ".join(f"w{(k * j) % 37}x{j % 5}" for j in range(1, 60)), k % 5 == 0) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean").repartition(3, "doc_id").cache()
+    monkeypatch.setattr(maxent, "BLOCK_BYTES", 2000)
+    scores = []
+    for size in (1 << 30, 3000):
+        monkeypatch.setattr(maxent, "UNIT_BYTES", size)
+        scores.append({r["doc_id"]: r["score"] for r in maxent.language_model_scores(docs).collect()})
+    assert len(scores[0]) == 120 and scores[1] == pytest.approx(scores[0], rel=1e-3)
