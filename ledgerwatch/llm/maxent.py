@@ -35,7 +35,7 @@ from ledgerwatch.sources.tables import scratch
 #: Classes; features of a block that have a whole row of weights at most, and tokens that they have at least; bytes of a word that make its class.
 CLASSES, ROWS, OFTEN, SUFFIX = 64, 1 << 16, 4, 3
 #: Bytes of text in a block and in a unit of blocks that are scored together; dictionary entries that one task counts; tokens per gradient step and scoring batch; features whose pairs are listed at a time.
-BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH, FEW = 8 << 20, 64 << 20, 1_000_000, 2048, 4096, 1 << 15
+BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH, FEW = 6 << 20, 64 << 20, 1_000_000, 2048, 4096, 1 << 15
 RATE, MASS, SCALE = 0.2, 4.0, 16
 END = np.uint64(0x1D8AF066A1C3B2E5)
 _SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
