@@ -20,6 +20,8 @@ Without training texts every class and word is equally new. A null id is never h
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -34,13 +36,19 @@ from ledgerwatch.sources.tables import scratch
 
 #: Classes; features of a block that have a whole row of weights at most, and tokens that they have at least; bytes of a word that make its class.
 CLASSES, ROWS, OFTEN, SUFFIX = 64, 1 << 16, 4, 3
+#: Rows of a run that are added one by one; batches of tokens whose pairs without a row are listed at a time.
+LONG, LISTED = 16, 16
+#: Logits whose exponentials 32 bits hold for certain, with the sum of those of all classes.
+STEEP = 60
 #: Bytes of text in a block and in a unit of blocks that are scored together; dictionary entries that one task counts; tokens per gradient step and scoring batch; features whose pairs are listed at a time.
-BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH, FEW = 6 << 20, 64 << 20, 1_000_000, 2048, 4096, 1 << 15
+BLOCK_BYTES, UNIT_BYTES, ENTRIES, STEP, BATCH, FEW = 6 << 20, 64 << 20, 1_000_000, 2048, 1024, 1 << 15
 RATE, MASS, SCALE = 0.2, 4.0, 16
 END = np.uint64(0x1D8AF066A1C3B2E5)
 _SALTS = np.array([0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9FB21C651E98DF25], np.uint64)
 #: Spark drops what a query has shuffled when the query has ended.
 _DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows with packed values are large: so many bytes of them go to Python at a time.
+_SENT = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 _BLOCK = "unit int, block long, doc_id array<{kind}>, held array<boolean>, size array<long>, words binary, classes binary, tf binary, codes binary"
 
 
@@ -127,7 +135,7 @@ class Block:
     def keys(self, number: int) -> np.ndarray:
         """Distinct features in order of range and key, see `places`."""
         words, (one, two, _) = self._before()
-        return np.sort(_keys(words, np.unique(one * len(words) + two), number))
+        return np.sort(_keys(words, _distinct(one * len(words) + two), number))
 
     def places(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct features in order of range and key, 32 bits of each, and for every token the places of its own among them.
@@ -135,13 +143,44 @@ class Block:
         The dictionary names the words before a token, so only pairs of words are looked for among the tokens. The last two
         bits of a key are the kind of feature, so that those of a word lie together."""
         words, (one, two, three) = self._before()
-        pairs, at = np.unique(one * len(words) + two, return_inverse=True)
+        pairs, order = _sorted(one * len(words) + two)
+        new = _changes(pairs)
+        at, pairs = np.empty(len(pairs), np.int32), pairs[new].astype(np.int64)
+        at[order] = np.cumsum(new, dtype=np.int32) - 1
         keys = _keys(words, pairs, number)
         low = np.cumsum([0, len(words), len(pairs), len(words)])
-        order = np.argsort(keys)
-        rank = np.empty(len(keys), np.int32)
-        rank[order] = np.arange(len(keys))
-        return keys[order], np.column_stack([rank[x + a] for x, a in zip((one, at, two, three), low, strict=True)])
+        keys, order = _sorted(keys)
+        rank, place = np.empty(len(keys), np.int32), np.empty((len(one), 4), np.int32)
+        rank[order] = np.arange(len(keys), dtype=np.int32)
+        for k, (x, a) in enumerate(zip((one, at, two, three), low, strict=True)):
+            place[:, k] = rank[a:][x]
+        return keys, place
+
+
+def _sorted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 on in order, and where they were: in one sort of both where 64 bits hold them. Equal ones may come in any order."""
+    bits = max(len(values) - 1, 1).bit_length()
+    if not len(values) or int(values.max()).bit_length() + bits > 64:
+        order = np.argsort(values)
+        return values[order], order
+    both = values.astype(np.uint64) << np.uint64(bits) | np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    order = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    both >>= np.uint64(bits)
+    return both, order
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    """Which of some numbers in order are the first of their kind."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return new
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """By sorting, as hashing them takes many times as long."""
+    values = np.sort(values)
+    return values[_changes(values)]
 
 
 def _keys(words: np.ndarray, pairs: np.ndarray, number: int) -> np.ndarray:
@@ -217,13 +256,17 @@ def counts(coded: DataFrame, number: int) -> DataFrame:
 
 
 def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, rare: Rare | None = None) -> np.ndarray:
+    """For every token and class up to a constant of the token, so that none is too large for `exp`. Whole weights are in steps of 1 / `SCALE`. A bias for each token of a batch adds up faster than one for all."""
     z = np.take(weights, features[:, 0], axis=0)
     for k in range(1, features.shape[1]):
         z += np.take(weights, features[:, k], axis=0)
-    z += bias
     if rare is not None:
-        np.add.at(z.ravel(), rare.cell, rare.of.value[rare.own] * rare.of.scale)
-    z -= z.max(1, keepdims=True)
+        np.add.at(z.ravel(), rare.cell, rare.of.value[rare.own].astype(z.dtype, copy=False))
+    if z.dtype.kind == "i":
+        z = np.multiply(z, np.float32(1 / SCALE), dtype=np.float32)
+    z += bias if bias.ndim == 1 else bias[: len(z)]
+    if len(z) and max(z.max(), -z.min()) > STEEP:
+        z -= z.max(1, keepdims=True)
     return z
 
 
@@ -231,52 +274,62 @@ def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, ta
     """Natural logarithm of the probability of each target class."""
     z = _logits(weights, bias, features, rare)
     own = z[np.arange(len(z)), target]
-    return own - np.log(np.exp(z, out=z).sum(1))
-
-
-def _summed(values: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of runs of n rows: of parts of up to eight rows, row by row for all parts at once, then of the parts."""
-    while len(values) > len(n):
-        parts, first = n + 7 >> 3, np.cumsum(n) - n
-        at = _spread(np.zeros(len(n), np.int64), parts) << 3
-        size, at = np.minimum(np.repeat(n, parts) - at, 8), at + np.repeat(first, parts)
-        order = np.argsort(-size, kind="stable")
-        at, larger = at[order], len(size) - np.cumsum(np.bincount(size, minlength=9))
-        summed = values[at]
-        for k, some in enumerate(larger[1:8].tolist(), 1):
-            summed[:some] += values[at[:some] + k]
-        values, n = np.empty_like(summed), parts
-        values[order] = summed
-    return values
+    return own - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype))
+
+
+def _summed(values: np.ndarray, n: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Sums of runs of n of the rows `at`, all in order if there is none: row by row for all runs at once, what long runs have beyond `LONG` as a product."""
+    at = np.arange(len(values)) if at is None else at
+    first, order = np.cumsum(n) - n, np.argsort(-n, kind="stable")
+    size, low = n[order], first[order]
+    larger = len(n) - np.searchsorted(size[::-1], np.arange(LONG + 1), "right")
+    summed = np.take(values, at[low], axis=0)
+    for k, some in enumerate(larger[1:LONG].tolist(), 1):
+        if not some:
+            break
+        summed[:some] += np.take(values, at[low[:some] + k], axis=0)
+    if long := int(larger[LONG]):
+        rest = size[:long] - LONG
+        part = np.zeros((long, len(values)), values.dtype)
+        np.add.at(part.ravel(), np.repeat(np.arange(long) * len(values), rest) + at[_spread(low[:long] + LONG, rest)], values.dtype.type(1))
+        summed[:long] += part @ values
+    out = np.empty_like(summed)
+    out[order] = summed
+    return out
 
 
 def _steps(
-    weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray | None = None, rare=None,
+    weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, features: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray | None = None, rare=None, missed=None,
 ) -> None:
-    """Gradient steps over batches of tokens, each weight row with its own pace. Only weights that `seen` marks move.
+    """Gradient steps over batches of tokens, each weight row with its own pace. Only weights that `seen`, 1 or 0, marks move.
 
-    With `rare`, which gives the other features of a batch, row 0 of the weights stands for them and stays as it is."""
+    With `rare`, which gives the other features of a batch, row 0 of the weights stands for them and stays as it is. `missed` gets the slope of every token's own class."""
+    token, ones, bias = np.tile(np.arange(STEP), features.shape[1]), np.ones(weights.shape[1], weights.dtype), np.tile(bias, (min(STEP, len(target)), 1))
     for low in range(0, len(target), STEP):
         f, y = features[low : low + STEP], target[low : low + STEP]
-        other = rare(low, low + STEP) if rare else None
+        other = rare(low, low + len(y)) if rare else None
         g = _logits(weights, bias, f, other)
         np.exp(g, out=g)
-        g /= g.sum(1, keepdims=True)
-        g[np.arange(len(y)), y] -= 1
+        g *= (1 / (g @ ones))[:, None]
+        cell = np.arange(0, g.size, g.shape[1]) + y
+        own = g.ravel()[cell] - 1
+        g.ravel()[cell] = own
+        if missed is not None:
+            missed[low : low + len(y)] = own
         flat = f.T.ravel()
         order = np.argsort(flat, kind="stable")
         if rare:
-            order = order[np.searchsorted(flat[order], 1) :]
+            order = order[np.count_nonzero(flat == 0) :]
         ranked = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+        first = np.flatnonzero(_changes(ranked))
         rows, n = ranked[first], np.diff(first, append=len(ranked))
-        summed = _summed(np.take(g, order % len(y), axis=0), n)
+        summed = _summed(g, n, token[order] if len(y) == STEP else order % len(y))
         if seen is not None:
-            summed *= seen[rows]
+            summed *= np.take(seen, rows, axis=0)
         speed = squares[rows] + np.einsum("ij,ij->i", summed, summed) / (n * summed.shape[1]).astype(np.float32)
         squares[rows] = speed
         summed *= (rate / np.sqrt((speed + 1e-3) * n)).astype(np.float32)[:, None]
-        weights[rows] -= summed
+        weights[rows] = np.subtract(np.take(weights, rows, axis=0), summed, out=summed)
         if other is not None:
             other.move(g, rate)
 
@@ -287,35 +340,70 @@ _INTO = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("size", pa.in
 _COMMON = 255
 
 
+def _framed(parts: list[np.ndarray]) -> bytes:
+    """Arrays of bytes, each compressed by itself, as they differ in what is frequent."""
+    out = []
+    for x in parts:
+        raw = x.tobytes()
+        packed = pa.compress(raw, codec="zstd", asbytes=True) if raw else raw
+        out += [len(raw).to_bytes(5, "little"), len(packed).to_bytes(5, "little"), packed]
+    return b"".join(out)
+
+
+def _unframed(body: bytes) -> list[np.ndarray]:
+    body, at, out = memoryview(body), 0, []
+    while at < len(body):
+        raw, packed = (int.from_bytes(body[at + k : at + k + 5], "little") for k in (0, 5))
+        at += 10 + packed
+        out.append(np.frombuffer(pa.decompress(body[at - packed : at], raw, codec="zstd", asbytes=True) if raw else b"", "u1"))
+    return out
+
+
 def _body(per: np.ndarray, classes: np.ndarray, value: np.ndarray, tf: np.ndarray, keys: np.ndarray | None = None) -> bytes:
     """One packed value: keys and the classes of each feature as steps from the one before, and their weights and training tokens, byte by byte of a kind.
 
-    Weights are in steps of 1 / `SCALE`. Counts from 255 on are listed behind the others."""
-    large, classes, first = np.flatnonzero(tf >= _COMMON), classes.astype("u1"), (np.cumsum(per, dtype=np.int64) - per)[per > 0]
+    Weights are in steps of 1 / `SCALE`. Counts from 255 on are listed behind the others. Keys that differ in their last two bits only, as those
+    of a word do, are one step and a bit for each; an equal key begins anew."""
+    return _packet(per.astype("u1"), _class_steps(per, classes), _quantized(value), np.minimum(tf, _COMMON).astype("u1"), tf[tf >= _COMMON], keys)
+
+
+def _class_steps(per: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    classes, first = classes.astype("u1"), (np.cumsum(per, dtype=np.int64) - per)[per > 0]
     steps = np.diff(classes, prepend=np.uint8(0))
     steps[first] = classes[first]
-    parts = [per.astype("u1"), steps, np.clip(np.rint(value * SCALE), -127, 127).astype("i1"), np.minimum(tf, _COMMON).astype("u1"), tf[large].astype("<u8")]
+    return steps
+
+
+def _quantized(value: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(value * SCALE), -127, 127).astype("i1")
+
+
+def _packet(per: np.ndarray, steps: np.ndarray, value: np.ndarray, tf: np.ndarray, large: np.ndarray, keys: np.ndarray | None = None) -> bytes:
+    """What `_body` says, of arrays that are bytes already."""
+    parts = [per, steps, value, tf, large.astype("<u8")]
     if keys is not None:
-        parts.insert(0, np.diff(keys, prepend=np.uint64(0)).astype("<u4").view("u1").reshape(-1, 4).T)
-    raw = b"".join(x.tobytes() for x in parts)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+        word, kind = keys >> np.uint64(2), np.uint8(1) << (keys & np.uint64(3)).astype(np.uint8)
+        begin = np.flatnonzero(_changes(word) | ~_changes(keys))
+        raw = np.diff(word[begin], prepend=np.uint64(0)).astype("<u4").view("u1").reshape(-1, 4).T
+        parts = [raw[:2], raw[2:], np.bitwise_or.reduceat(kind, begin) if len(begin) else kind, *parts]
+    return _framed(parts)
 
 
 def _read(body: bytes, size: int, keyed: bool = False) -> dict[str, np.ndarray]:
-    raw = np.frombuffer(pa.decompress(memoryview(body)[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True), "u1")
-    got = {}
+    got, parts = {}, _unframed(body)
     if keyed:
-        steps = np.ascontiguousarray(raw[: 4 * size].reshape(4, size).T).view("<u4").ravel()
-        got["keys"], raw = np.cumsum(steps, dtype=np.uint32), raw[4 * size :]
-    got["per"] = per = raw[:size]
-    pairs = int(per.sum(dtype=np.int64))
-    steps, value, tf = (raw[size + k * pairs : size + (k + 1) * pairs] for k in range(3))
+        raw = np.concatenate(parts[:2]).reshape(4, -1)
+        word = np.cumsum(np.ascontiguousarray(raw.T).view("<u4").ravel(), dtype=np.uint32)
+        at, kind = np.nonzero(parts[2][:, None] >> np.arange(4, dtype=np.uint8) & np.uint8(1))
+        got["keys"], parts = word[at] << np.uint32(2) | kind.astype(np.uint32), parts[3:]
+    got["per"], steps, value, tf, large = parts
+    per = got["per"]
     got["classes"], first = np.cumsum(steps, dtype="u1"), (np.cumsum(per, dtype=np.int64) - per)[per > 0]
     got["classes"] -= np.repeat(got["classes"][first] - steps[first], per[per > 0])
     got["value"], got["tf"] = value.view("i1"), tf.astype("<u4")
-    if len(raw) > size + 3 * pairs:
+    if len(large):
         got["tf"] = got["tf"].astype(np.int64)
-        got["tf"][tf == _COMMON] = np.frombuffer(raw[size + 3 * pairs :].tobytes(), "<u8")
+        got["tf"][tf == _COMMON] = np.frombuffer(large.tobytes(), "<u8")
     return got
 
 
@@ -331,27 +419,63 @@ def _spread(low: np.ndarray, per: np.ndarray) -> np.ndarray:
 
 def answered(table: pa.Table) -> pa.Table:
     """Weights of a range of features, averaged over the packets by the training tokens each has, and for every receiver, once, those of the features in its packets."""
-    got = [_read(b, n, keyed=True) for b, n in zip(table.column("body").to_pylist(), table.column("size").to_pylist(), strict=True)]
-    per, classes, value, tf = (np.concatenate([g[n] for g in got]) for n in ("per", "classes", "value", "tf"))
-    keys, place = np.unique(np.concatenate([g["keys"] for g in got]), return_inverse=True)
-    own = np.add.reduceat(np.append(tf, 0), np.cumsum(per, dtype=np.int64) - per) * (per > 0) if len(per) else tf
-    pairs, at = np.unique(np.repeat(place, per) * CLASSES + classes, return_inverse=True)
-    n = np.repeat(own, per).astype(float)
-    value = np.bincount(at, n * value / SCALE, len(pairs)) / np.maximum(np.bincount(at, n, len(pairs)), 1)
-    tf, per = np.bincount(at, tf, len(pairs)).astype(np.int64), np.bincount(pairs // CLASSES, minlength=len(keys))
+    got = [_read(b.as_py(), n, keyed=True) for b, n in zip(table.column("body"), table.column("size").to_pylist(), strict=True)]
+    per, classes, value, tf, keys = (np.concatenate([g.pop(n) for g in got]) for n in ("per", "classes", "value", "tf", "keys"))
+    per = per.astype(np.int64)
+    ordered, order = _sorted(keys)
+    new = _changes(ordered)
+    keys, place = ordered[new].astype(np.uint32), np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    own = np.repeat(np.add.reduceat(np.append(tf, 0).astype(np.int64), np.cumsum(per) - per), per)
+    pairs, order = _sorted(np.repeat(place, per) * CLASSES + classes)
+    first = np.flatnonzero(_changes(pairs))
+    pairs, own = pairs[first].astype(np.int64), own[order]
+    total = lambda x: np.add.reduceat(x, first) if len(first) else x
+    value = total(own * value[order]) / SCALE / np.maximum(total(own), 1)
+    tf, per = total(tf[order].astype(np.int64)), np.bincount(pairs // CLASSES, minlength=len(keys))
     # Shares are of words after the last one or two, which are kinds 0 and 1.
     tf[np.repeat(keys & np.uint32(3), per) > 1] = 0
-    low, classes = np.cumsum(per) - per, pairs % CLASSES
-    whose = np.repeat(table.column("block").to_numpy(), table.column("size").to_numpy())
-    made = {"block": np.unique(table.column("block").to_numpy()), "size": [], "body": []}
-    for receiver in made["block"]:
-        mine = np.unique(place[whose == receiver])
-        some = _spread(low[mine], per[mine])
-        made["size"].append(len(mine))
-        made["body"].append(_body(per[mine], classes[some], value[some], tf[some]))
+    low, steps, value, common = np.cumsum(per) - per, _class_steps(per, pairs % CLASSES), _quantized(value), np.minimum(tf, _COMMON).astype("u1")
+    many = len(tf) and tf.max() >= _COMMON
+    to = table.column("block").to_numpy()
+    receivers = np.sort(to)
+    receivers = receivers[_changes(receivers)]
+    mine = _distinct(np.repeat(np.searchsorted(receivers, to), table.column("size").to_numpy()) * len(keys) + place)
+    cuts = np.searchsorted(mine, np.arange(len(receivers) + 1) * len(keys)).tolist()
+    made = {"block": receivers, "size": [], "body": []}
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        whose = mine[a:b] - k * len(keys)
+        some = _spread(low[whose], per[whose])
+        made["size"].append(b - a)
+        made["body"].append(_packet(per[whose].astype("u1"), steps[some], value[some], common[some], tf[some[common[some] == _COMMON]] if many else tf[:0]))
     return pa.Table.from_batches([X.record(made | {"bucket": np.full(len(made["size"]), table.column("bucket")[0].as_py())}, _INTO)])
 
 
+def _returned() -> None:
+    """Gives memory that is free back to the system, where the C library can: a worker keeps pages else, and two of them live beside Spark's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim is not None:
+        trim(0)
+
+
+class _Grown:
+    """Numbers that come in parts, in one array that grows in place."""
+
+    def __init__(self, kind):
+        self.values, self.size = np.zeros(1 << 16, kind), 0
+
+    def add(self, part: np.ndarray) -> None:
+        if self.size + len(part) > len(self.values):
+            self.values.resize((self.size + len(part)) * 5 // 4, refcheck=False)
+        self.values[self.size : self.size + len(part)] = part
+        self.size += len(part)
+
+    def all(self) -> np.ndarray:
+        self.values.resize(self.size, refcheck=False)
+        return self.values
+
+
 @dataclass
 class Answers:
     """Averaged weights and counts of all features of a unit, in order of range and key. Feature k has the pairs low[k] to low[k + 1].
@@ -370,23 +494,28 @@ class Answers:
     @classmethod
     def of(cls, blocks: Iterable[Block], parts: Iterable[dict], number: int) -> Answers:
         """`parts` are the unit's packets in order of range; the blocks name the features, as the packets leave keys out."""
-        keys = np.zeros(0, np.uint64)
+        each = []
         for block in blocks:
-            keys = np.concatenate([keys, block.keys(number)])
-            keys.sort(kind="stable")
-            keys = keys[np.append(True, keys[1:] != keys[:-1])]
-        start, keys = np.searchsorted(keys, _starts(number)), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        got, large = {n: [] for n in ("per", "classes", "value", "tf")}, []
+            keys = block.keys(number)
+            each.append((np.searchsorted(keys, _starts(number)).tolist(), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)))
+        made = [_distinct(np.concatenate([keys[at[r] : at[r + 1]] for at, keys in each])) for r in range(number)]
+        start, keys = np.cumsum([0, *map(len, made)]), np.concatenate(made)
+        del each, made
+        _returned()
+        got, large = {n: _Grown(np.uint8) for n in ("per", "classes", "value", "tf")}, []
         for part in parts:
             read = _read(part["body"], part["size"])
             large.append(read["tf"][read["tf"] >= _COMMON].astype(np.int64))
             read["tf"] = np.minimum(read["tf"], _COMMON).astype("u1")
             for n, values in got.items():
-                values.append(np.array(read[n]))
-        per, kind, value, tf = (np.concatenate(got.pop(n)) for n in ("per", "classes", "value", "tf"))
+                values.add(read[n].view("u1"))
+        per, kind, value, tf = (got.pop(n).all() for n in ("per", "classes", "value", "tf"))
         low = np.zeros(len(keys) + 1, np.int32 if len(kind) < 1 << 31 else np.int64)
         np.cumsum(per, dtype=low.dtype, out=low[1:])
-        return cls(start, keys, low, kind, value, tf, np.flatnonzero(tf == _COMMON), np.concatenate(large))
+        made = cls(start, keys, low, kind, value.view("i1"), tf, np.flatnonzero(tf == _COMMON), np.concatenate(large) if large else np.zeros(0, np.int64))
+        del per, kind, value, tf
+        _returned()
+        return made
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Where sorted features are among all."""
@@ -406,12 +535,11 @@ class Weights:
 
     def __init__(self, block: Block, answers: Answers | None = None, taught: np.ndarray | None = None, number: int = 1):
         self.keys, self.place = block.places(number)
-        self.target = block.classes[block.codes].astype(np.int64)
-        self.own, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.scale, self.answers = np.float32(1 / SCALE if answers else 1), answers
+        self.target = block.classes[block.codes]
+        self.own, self.count, self.answers = np.zeros(0, np.int64), np.zeros(0, np.int64), answers
         if answers:
             at = answers.places(self.keys)
-            self.low, self.per = answers.low[at].astype(np.int64), (answers.low[at + 1] - answers.low[at]).astype(np.int64)
+            self.low, self.per = answers.low[at], answers.low[at + 1] - answers.low[at]
             self.kind, self.value, self.tf = answers.kind, answers.value, answers.tf
         else:
             if taught is not None:
@@ -434,43 +562,63 @@ class Weights:
             tf[many] = self.answers.large[np.searchsorted(self.answers.where, some[many])]
         return np.repeat(features.astype(np.int32) * np.int32(CLASSES), per) + self.kind[some], tf
 
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of weights for the features with the most tokens, the row of every feature, and which pairs it has where.
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of weights for the features with the most tokens, or where there are answers, most tokens times pairs, and the row of every feature.
 
-        Row 0 is empty and stands for the others, as most of the features have few classes."""
+        Row 0 is empty and stands for the others, as most of the features have few classes. Answers stay whole numbers, in twice the rows."""
         n = np.bincount(self.place.ravel(), minlength=len(self.keys))
-        common = np.flatnonzero(n >= OFTEN)
-        common = common[np.argsort(-n[common], kind="stable")[: ROWS - 1]]
-        row = np.zeros(len(self.keys), np.uint16)
+        use, least, rows = (n * self.per, OFTEN, 2 * ROWS) if self.answers else (n, OFTEN, ROWS)
+        if len(use) >= rows:
+            least = max(least, int(np.partition(use, len(use) - rows + 1)[len(use) - rows + 1]))
+        common = np.flatnonzero(use >= least)
+        common = common[np.argsort(-use[common], kind="stable")[: rows - 1]]
+        row = np.zeros(len(self.keys), np.int32 if self.answers else np.uint16)
         row[common] = np.arange(1, len(common) + 1)
+        del n, use, common
         some = np.flatnonzero(row)
-        held = _spread(self.low[some], self.per[some])
-        at = np.repeat(row[some].astype(np.int64) * CLASSES, self.per[some]) + self.kind[held]
-        table = np.zeros((len(common) + 1, CLASSES), np.float32)
-        table.ravel()[at] = self.value[held] * self.scale
-        return table, row, held, at
+        table = np.zeros((len(some) + 1, CLASSES), np.int16 if self.answers else np.float32)
+        for few in _slices(some):
+            held = self._held(few)
+            table.ravel()[self._cells(row, few, held)] = self.value[held]
+        return table, row
+
+    def _held(self, features: np.ndarray) -> np.ndarray:
+        return _spread(self.low[features], self.per[features])
+
+    def _cells(self, row: np.ndarray, features: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Where the pairs of features with a row are in the table."""
+        return np.repeat(row[features].astype(np.int64) * CLASSES, self.per[features]) + self.kind[held]
 
     def learn(self, taught: np.ndarray, bias: np.ndarray, rate: float = RATE) -> None:
         """Gradient steps over the tokens `taught`, in their order, and their counts."""
-        table, row, held, at = self.table()
-        seen = np.zeros(table.shape, bool)
-        seen.ravel()[at] = True
+        table, row = self.table()
+        held = self._held(some := np.flatnonzero(row))
+        at = self._cells(row, some, held)
+        seen = np.zeros(table.shape, np.float32)
+        seen.ravel()[at] = 1
         self.squares, self.sums, self.seen = (np.zeros(k, np.float32) for k in (len(self.keys), len(self.kind), len(self.keys)))
         place, target = self.place[taught], self.target[taught]
         rows = row[place]
-        _steps(table, np.zeros(len(table), np.float32), bias, rows, target, rate, seen, lambda a, b: Rare(self, place[a:b], rows[a:b]))
+        # A feature of one token has no weight when its token comes, and one step from there.
+        n = np.bincount(self.own // CLASSES, self.count, len(self.keys))
+        missed = np.empty(len(taught), np.float32)
+        _steps(table, np.zeros(len(table), np.float32), bias, rows, target, rate, seen, Rares(self, place, (row == 0) & (n > 1), STEP), missed)
+        once = (row == 0) & (n == 1)
+        for column in place.T:
+            token = np.flatnonzero(once[column])
+            slope = missed[token]
+            self.value[self.low[column[token]]] = -rate / np.sqrt(slope * slope / np.float32(CLASSES) + 1e-3) * slope
         self.value[held] = table.ravel()[at]
         self.tf = self.count
 
     def chosen(self, bias: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of every token's class."""
-        table, row, _, _ = self.table()
-        out = np.empty(len(self.target))
+        table, row = self.table()
+        out, rare = np.empty(len(self.target)), Rares(self, self.place, (row == 0) & (self.per > 0), BATCH)
+        bias = np.tile(bias, (BATCH, 1))
         for low in range(0, len(out), BATCH):
             some = slice(low, low + BATCH)
-            place = self.place[some]
-            rows = row[place]
-            out[some] = _log_softmax(table, bias, rows, self.target[some], Rare(self, place, rows))
+            out[some] = _log_softmax(table, bias, row[self.place[some]], self.target[some], rare(low, low + BATCH))
         return out
 
     def packets(self, number: int, block: int) -> pa.RecordBatch:
@@ -485,7 +633,9 @@ class Weights:
 
     def share(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of each word after the one before it, and of its class there."""
-        own, back = np.unique((self.place[:, 0].astype(np.int64) * CLASSES + self.target).astype(np.int32), return_inverse=True)
+        own, order = _sorted(self.place[:, 0].astype(np.int64) * CLASSES + self.target)
+        new, back = _changes(own), np.empty(len(own), np.int32)
+        own, back[order] = own[new].astype(np.int32), np.cumsum(new, dtype=np.int32) - 1
         kind, total, of = np.zeros(len(own), np.int64), np.zeros(len(self.keys), np.int64), self.keys & np.uint64(3)
         for few in _slices(np.flatnonzero(of == 0)):
             pairs, tf = self._pairs(few)
@@ -503,25 +653,49 @@ class Weights:
         return word, kind
 
 
+class Rares:
+    """The pairs of features that have no row in the table of weights, for batches of tokens one after the other. `which` marks the features."""
+
+    def __init__(self, of: Weights, place: np.ndarray, which: np.ndarray, step: int):
+        self.of, self.place, self.which, self.many, self.low = of, place, which, step * LISTED, -1
+
+    def __call__(self, low: int, high: int) -> Rare:
+        if self.low < 0 or low >= self.low + self.many:
+            self._list(low)
+        a, b = np.searchsorted(self.token, [low - self.low, high - self.low])
+        c, d = self.ends[a], self.ends[b]
+        return Rare(self.of, self.features[a:b], self.of.per[self.features[a:b]], self.own[c:d], self.cell[c:d] - (low - self.low) * CLASSES)
+
+    def _list(self, low: int) -> None:
+        self.low, place = low, self.place[low : low + self.many]
+        self.token, column = np.nonzero(self.which[place])
+        self.features = place[self.token, column]
+        per = self.of.per[self.features]
+        self.ends = np.append(0, np.cumsum(per))
+        self.own = _spread(self.of.low[self.features], per)
+        self.cell = np.repeat(self.token * CLASSES, per)
+        self.cell += self.of.kind[self.own]
+
+
+@dataclass
 class Rare:
-    """The pairs of the features of some tokens that have no row in the table of weights."""
+    """Features of some tokens without a row, how many pairs each has, their places, and where each counts among tokens and classes."""
 
-    def __init__(self, of: Weights, place: np.ndarray, rows: np.ndarray):
-        token, column = np.nonzero(rows == 0)
-        self.of, self.features = of, place[token, column]
-        per = of.per[self.features]
-        self.own, self.each = _spread(of.low[self.features], per), np.repeat(self.features, per)
-        self.cell = np.repeat(token * CLASSES, per) + of.kind[self.own]
+    of: Weights
+    features: np.ndarray
+    per: np.ndarray
+    own: np.ndarray
+    cell: np.ndarray
 
     def move(self, g: np.ndarray, rate: float) -> None:
         """One gradient step. A feature found several times has the same new values each time."""
-        of = self.of
+        of, each = self.of, np.repeat(self.features, self.per)
         np.add.at(of.seen, self.features, np.ones(len(self.features), np.float32))
         np.add.at(of.sums, self.own, g.ravel()[self.cell])
-        n = of.seen[self.each]
+        n = of.seen[each]
         slope = of.sums[self.own] / np.sqrt(n)
-        np.add.at(of.squares, self.each, slope * slope / (n * CLASSES))
-        of.value[self.own] = of.value[self.own] - rate / np.sqrt(of.squares[self.each] + 1e-3) * slope
+        np.add.at(of.squares, each, slope * slope / (n * CLASSES))
+        of.value[self.own] = of.value[self.own] - rate / np.sqrt(of.squares[each] + 1e-3) * slope
         of.seen[self.features], of.sums[self.own] = 0, 0
 
 
@@ -537,7 +711,10 @@ def train(coded: DataFrame, number: int, bias: np.ndarray) -> DataFrame:
                 taught = np.flatnonzero(np.repeat(~block.held, block.size))
                 w = Weights(block, None, taught, number)
                 w.learn(taught, bias)
-                yield w.packets(number, batch.column("unit")[row].as_py())
+                made = w.packets(number, batch.column("unit")[row].as_py())
+                del block, taught, w
+                _returned()
+                yield made
 
     sent = coded.select("unit", "held", "size", "words", "classes", "codes").mapInArrow(step, _PACKET)
     return sent.groupBy("bucket").applyInArrow(answered, _PACKET)
@@ -588,13 +765,15 @@ def _bias(class_tokens: np.ndarray) -> np.ndarray:
     return np.log((class_tokens + 1.0) / (class_tokens.sum() + len(class_tokens))).astype(np.float32)
 
 
-def _stored(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+def _stored(df: DataFrame, name: str, key: str | None = None, conf: dict = _SENT) -> DataFrame:
     """Written and read back, tightly packed: the blocks are about as large as the texts. What was shuffled for it is dropped.
 
     With `key` in as many buckets as a shuffle has partitions, dealt by the tasks that make the rows: a join by it moves only the other side."""
     spark, folder = df.sparkSession, scratch(df.sparkSession, name)
-    before = spark.conf.get(_DROP, None)
-    spark.conf.set(_DROP, "true")
+    conf = conf | {_DROP: "true"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         writer = df.write.option("compression", "zstd")
         if key is None:
@@ -604,7 +783,8 @@ def _stored(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
         writer.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", folder).saveAsTable(table)
         return spark.table(table)
     finally:
-        spark.conf.set(_DROP, before) if before is not None else spark.conf.unset(_DROP)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:
@@ -612,14 +792,14 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     units = max(1, -(-size // UNIT_BYTES), min(-(-size // BLOCK_BYTES), spark.sparkContext.defaultParallelism))
-    folder = _stored(blocks(docs, units), "coded", "unit")
+    folder = _stored(blocks(docs, units), "coded", "unit", {})
     size = folder.agg(F.sum(F.length("classes")).alias("entries"), F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
     number = max(1, -(-(size["entries"] or 0) // ENTRIES))
     counted = _stored(counts(folder, number), "counts")
     sums = {r["pos"]: r["n"] for r in counted.where("block < 0").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     tokens, words = (np.array([sums.get(k + at, 0) for k in range(CLASSES)], np.int64) for at in (0, CLASSES))
     ranges = max(1, -(-(size["tokens"] or 0) * 2 // ENTRIES))
-    return score(folder, counted, train(folder, ranges, _bias(tokens)), ranges, tokens, words)
+    return _stored(score(folder, counted, train(folder, ranges, _bias(tokens)), ranges, tokens, words), "scores")
 
 
 def op9_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -226,3 +227,71 @@ def test_units_leave_scores_as_they_are(spark, monkeypatch):
         monkeypatch.setattr(maxent, "UNIT_BYTES", size)
         scores.append({r["doc_id"]: r["score"] for r in maxent.language_model_scores(docs).collect()})
     assert len(scores[0]) == 120 and scores[1] == pytest.approx(scores[0], rel=1e-3)
+
+
+def test_steps_equal_plain_ones():
+    """Weights of all pairs, of features found once and of frequent ones, by steps over whole rows of all features."""
+    block, w = _learned(7, 400)
+    taught = np.flatnonzero(np.repeat(~block.held, block.size))
+    place, target = w.place[taught], w.target[taught].astype(np.int64)
+    weights, squares = np.zeros((len(w.keys), maxent.CLASSES)), np.zeros(len(w.keys))
+    seen = np.zeros(weights.shape, bool)
+    seen[place, target[:, None]] = True
+    for low in range(0, len(target), maxent.STEP):
+        f, y = place[low : low + maxent.STEP], target[low : low + maxent.STEP]
+        g = np.exp(weights[f].sum(1))
+        g /= g.sum(1, keepdims=True)
+        g[np.arange(len(y)), y] -= 1
+        rows, n = np.unique(f, return_counts=True)
+        summed = np.zeros(weights.shape)
+        for k in range(4):
+            np.add.at(summed, f[:, k], g)
+        summed = (summed * seen)[rows]
+        squares[rows] += (summed**2).sum(1) / (n * maxent.CLASSES)
+        weights[rows] -= maxent.RATE * summed / np.sqrt((squares[rows] + 1e-3) * n)[:, None]
+    assert len(w.pairs) == seen.sum() and w.value == pytest.approx(weights.ravel()[w.pairs], abs=1e-3)
+    assert w.chosen(np.zeros(maxent.CLASSES, np.float32))[taught].shape == target.shape
+
+
+def test_keys_of_a_word_are_sent_once():
+    """Three keys that differ in their last two bits take hardly more than one; equal keys stay."""
+    words = np.sort(np.random.default_rng(0).choice(1 << 30, 4000, replace=False)).astype(np.uint64) << np.uint64(2)
+    body = lambda keys: maxent._body(np.zeros(len(keys), np.int64), *[np.zeros(0, np.int64)] * 3, keys)
+    three = (words[:, None] | np.array([0, 2, 3], np.uint64)).ravel()
+    assert len(body(three)) < 1.1 * len(body(words))
+    twice = np.array([0, 0, 2, 3, 5, 5, 5, 7, (1 << 32) - 1], np.uint64)
+    assert maxent._read(body(twice), len(twice), keyed=True)["keys"].tolist() == twice.tolist()
+
+
+def test_long_runs_are_summed():
+    rng = np.random.default_rng(1)
+    n = np.array([maxent.LONG + 40, 1, maxent.LONG, 0 + 2, maxent.LONG + 1])
+    values, at = rng.normal(size=(50, 3)), rng.integers(0, 50, n.sum())
+    want = [values[at[a : a + k]].sum(0) for a, k in zip(np.cumsum(n) - n, n)]
+    assert maxent._summed(values, n, at) == pytest.approx(np.array(want))
+
+
+def test_features_are_listed_at_the_pace_of_a_sort():
+    """Distinct pairs of words by sorting: by hashes they took forty times as long."""
+    rng = np.random.default_rng(2)
+    size, codes = np.full(400, 1000), rng.integers(1, 50_000, 400_000)
+    codes[np.cumsum(size) - 1] = 0
+    block = maxent.Block(maxent.X.mix(np.arange(50_000, dtype=np.uint64)), np.zeros(50_000, np.uint8), codes, size, np.zeros(400, bool))
+
+    def least(work):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            work()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    pairs = np.random.default_rng(3).permutation(len(codes))
+    assert least(lambda: block.keys(3)) < 8 * least(lambda: np.argsort(pairs))
+
+
+def test_numbers_are_sorted_with_their_places():
+    for values in ([5, 1, 5, 0], [], [7], [(1 << 64) - 1, 3, 1 << 63, 3]):
+        values = np.array(values, np.uint64)
+        ordered, order = maxent._sorted(values)
+        assert ordered.tolist() == sorted(values.tolist()) and values[order].tolist() == ordered.tolist() and sorted(order.tolist()) == [*range(len(values))]
