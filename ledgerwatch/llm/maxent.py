@@ -61,12 +61,15 @@ def blocks(docs: DataFrame, units: int = 1) -> DataFrame:
         w = X.words(part.column("text"), lower=True)
         size = np.diff(w.first) + 1
         hashed = np.insert(w.hashes() if len(w.start) else np.zeros(0, np.uint64), w.first[1:], END)
-        words, first, codes, count = np.unique(hashed, return_index=True, return_inverse=True, return_counts=True)
+        ordered, at = _sorted(hashed)
+        first = np.flatnonzero(_changes(ordered))
+        count = np.diff(first, append=len(ordered))
         order = np.argsort(-count, kind="stable")
-        place = np.empty(len(order), np.uint32)
+        place, codes = np.empty(len(order), np.uint32), np.empty(len(hashed), np.uint32)
         place[order] = np.arange(len(order))
-        codes, words, first = place[codes], words[order], first[order]
-        # Place of each distinct word in the text, for its last bytes; tokens up to there hold one end per text before.
+        codes[at] = np.repeat(place, count)
+        words, first = ordered[first[order]], at[first[order]]
+        # A place of each distinct word in the text, for its last bytes; tokens up to there hold one end per text before.
         doc = np.searchsorted(np.cumsum(size), first, "right")
         at = np.minimum(first - doc, max(len(w.start) - 1, 0))
         suffix = np.zeros(len(words), np.uint64)
@@ -278,24 +281,27 @@ def _log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, ta
 
 
 def _summed(values: np.ndarray, n: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """Sums of runs of n of the rows `at`, all in order if there is none: row by row for all runs at once, what long runs have beyond `LONG` as a product."""
-    at = np.arange(len(values)) if at is None else at
+    """Sums of runs of n of the rows `at`, all in order if there is none."""
     first, order = np.cumsum(n) - n, np.argsort(-n, kind="stable")
-    size, low = n[order], first[order]
-    larger = len(n) - np.searchsorted(size[::-1], np.arange(LONG + 1), "right")
+    out = np.empty((len(n), values.shape[1]), values.dtype)
+    out[order] = _runs(values, first[order], n[order], np.arange(len(values)) if at is None else at)
+    return out
+
+
+def _runs(values: np.ndarray, low: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the rows at[low : low + n], the longest first: row by row for all runs at once, what long runs have beyond `LONG` as a product."""
+    larger = len(n) - np.searchsorted(n[::-1], np.arange(LONG + 1), "right")
     summed = np.take(values, at[low], axis=0)
     for k, some in enumerate(larger[1:LONG].tolist(), 1):
         if not some:
             break
         summed[:some] += np.take(values, at[low[:some] + k], axis=0)
     if long := int(larger[LONG]):
-        rest = size[:long] - LONG
+        rest = n[:long] - LONG
         part = np.zeros((long, len(values)), values.dtype)
         np.add.at(part.ravel(), np.repeat(np.arange(long) * len(values), rest) + at[_spread(low[:long] + LONG, rest)], values.dtype.type(1))
         summed[:long] += part @ values
-    out = np.empty_like(summed)
-    out[order] = summed
-    return out
+    return summed
 
 
 def _steps(
@@ -322,8 +328,10 @@ def _steps(
             order = order[np.count_nonzero(flat == 0) :]
         ranked = flat[order]
         first = np.flatnonzero(_changes(ranked))
-        rows, n = ranked[first], np.diff(first, append=len(ranked))
-        summed = _summed(g, n, token[order] if len(y) == STEP else order % len(y))
+        n = np.diff(first, append=len(ranked))
+        most = np.argsort(-n, kind="stable")
+        first, n = first[most], n[most]
+        rows, summed = ranked[first], _runs(g, first, n, token[order] if len(y) == STEP else order % len(y))
         if seen is not None:
             summed *= np.take(seen, rows, axis=0)
         speed = squares[rows] + np.einsum("ij,ij->i", summed, summed) / (n * summed.shape[1]).astype(np.float32)
@@ -597,7 +605,7 @@ class Weights:
         seen = np.zeros(table.shape, np.float32)
         seen.ravel()[at] = 1
         self.squares, self.sums, self.seen = (np.zeros(k, np.float32) for k in (len(self.keys), len(self.kind), len(self.keys)))
-        place, target = self.place[taught], self.target[taught]
+        place, target = np.take(self.place, taught, axis=0), self.target[taught]
         rows = row[place]
         # A feature of one token has no weight when its token comes, and one step from there.
         n = np.bincount(self.own // CLASSES, self.count, len(self.keys))
@@ -664,13 +672,13 @@ class Rares:
             self._list(low)
         a, b = np.searchsorted(self.token, [low - self.low, high - self.low])
         c, d = self.ends[a], self.ends[b]
-        return Rare(self.of, self.features[a:b], self.of.per[self.features[a:b]], self.own[c:d], self.cell[c:d] - (low - self.low) * CLASSES)
+        return Rare(self.of, self.features[a:b], self.per[a:b], self.own[c:d], self.cell[c:d] - (low - self.low) * CLASSES)
 
     def _list(self, low: int) -> None:
         self.low, place = low, self.place[low : low + self.many]
         self.token, column = np.nonzero(self.which[place])
         self.features = place[self.token, column]
-        per = self.of.per[self.features]
+        self.per = per = self.of.per[self.features]
         self.ends = np.append(0, np.cumsum(per))
         self.own = _spread(self.of.low[self.features], per)
         self.cell = np.repeat(self.token * CLASSES, per)
